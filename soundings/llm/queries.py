@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid
+from .bpe import bpe_digests
 from .linededup import line_dedup
 from .quality import quality_rules
-from .shared import table
+from .sampling import fold
+from .shared import new_path, table
+from .tokens import id_digests, read_token_ids, write_token_ids
 from .urls import UrlRule, host_of, url_filter
 
 # The rules every page is judged by, and host labels whose pages make up the list of blocked URLs.
@@ -20,6 +25,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_deleted", "emptied", F.length("row.text").cast("long").alias("n_chars_kept"), F.md5("row.text").alias("text_md5"))
 
 
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-ids")
+    write_token_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return id_digests(read_token_ids(spark, path))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -31,4 +42,15 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(pages, listed, URL_RULES).select("row.page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op4_quality_rules, op5_url_filters)}
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(fold("doc_id", 5) != 0))
+    out = langid.predict(docs.select("doc_id", "text"), model)
+    return out.select("row.doc_id", (fold("row.doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_token_ids, op4_quality_rules, op5_url_filters, op8_language_id, op10_bpe)}

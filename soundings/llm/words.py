@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -70,6 +71,12 @@ class Words:
         h = (run[self.end] - run[self.start]) * _power(_INVERSE, n + 1)[self.start]
         return mix(h + (self.end - self.start).astype(np.uint64) * np.uint64(_ODD))
 
+    def distinct(self) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """Hashes and bytes of the distinct words, and for each word its place among them."""
+        h, first, place = np.unique(self.hashes(), return_index=True, return_inverse=True)
+        data = self.data.tobytes()
+        return h, [data[a:b] for a, b in zip(self.start[first].tolist(), self.end[first].tolist(), strict=True)], place
+
     def text(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
@@ -96,10 +103,88 @@ def split_words(column: pa.Array, inside: np.ndarray | None = None) -> Words:
     return Words(data, start, end, doc, bounds, len(offsets) - 1)
 
 
+# The UTF-8 forms of white space beyond ASCII.
+_WIDE_BLANKS = [c.encode() for c in "\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"]
+
+
+_LETTER = np.zeros(256, bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+_STOP = np.zeros(256, bool)
+_STOP[list(b'.,;:!?"()')] = True
+
+
+def _stops(data: np.ndarray) -> np.ndarray:
+    """Places between an ASCII letter and a stop: words and runs of stops are tokens apart on either side."""
+    letter, stop = _LETTER[data], _STOP[data]
+    return (letter[:-1] & stop[1:]) | (stop[:-1] & letter[1:])
+
+
+def split_pieces(column: pa.Array) -> Words:
+    """Words as in ``split_words``, cut between letters and stops too."""
+    words = split_words(column)
+    at = np.flatnonzero(_stops(words.data)) + 1
+    if not len(at):
+        return words
+    start = np.sort(np.concatenate((words.start, at)))
+    end = np.sort(np.concatenate((words.end, at)))
+    inner = at[np.searchsorted(words.end, at, side="right") == np.searchsorted(words.start, at, side="left") - 1]
+    if len(inner) != len(at):  # a text's end lies between the two
+        start, end = np.sort(np.concatenate((words.start, inner))), np.sort(np.concatenate((words.end, inner)))
+    first = np.append(words.start, len(words.data))[words.bounds]
+    bounds = np.searchsorted(start, first)
+    bounds[-1] = len(start)
+    return Words(words.data, start, end, np.repeat(np.arange(words.n_docs), np.diff(bounds)), bounds, words.n_docs)
+
+
+def split_chunks(column: pa.Array) -> Words:
+    """Cut texts before each space or line feed that follows a character other than white space,
+    after such a line feed, and between letters and stops.
+
+    No token of the public tokenizers spans such a place, so chunks can be encoded one by one.
+    The chunks of a text, end to end, are the text."""
+    column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
+    column = column.fill_null("")
+    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1 + column.offset)[column.offset :]
+    raw = column.buffers()[2]
+    data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    solid = (data > 0x20) & (data != 0x7F)
+    cut = ((data[1:] == 0x20) | (data[1:] == 0x0A)) & solid[:-1]
+    cut = np.flatnonzero(cut) + 1
+    wide = data[cut - 1] >= 0x80
+    if wide.any():
+        at, bad = cut[wide], np.zeros(int(wide.sum()), bool)
+        for blank in _WIDE_BLANKS:
+            same = at >= len(blank)
+            for k in range(1, len(blank) + 1):
+                same &= data[np.maximum(at - k, 0)] == blank[-k]
+            bad |= same
+        keep = np.ones(len(cut), bool)
+        keep[np.flatnonzero(wide)[bad]] = False
+        cut = cut[keep]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[cut] = True
+    feed = cut[(data[cut] == 0x0A) & (cut + 1 < len(data))]
+    edge[feed[_LETTER[data[feed + 1]]] + 1] = True
+    if len(data) > 1:
+        edge[1:-1] |= _stops(data)
+    edge[offsets] = True
+    places = np.flatnonzero(edge)
+    start, end = places[:-1], places[1:]
+    bounds = np.searchsorted(start, offsets)
+    return Words(data, start, end, np.repeat(np.arange(len(offsets) - 1), np.diff(bounds)), bounds, len(offsets) - 1)
+
+
+def spread(lengths: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Indexes of runs laid end to end: run i has ``lengths[i]`` entries from ``begins[i]`` on."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(begins - before, lengths) + np.arange(int(lengths.sum()))
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose texts hold about ``most`` bytes, so that scratch arrays stay small; a longer text is a run of its own."""
     texts = batch.column(column)
-    sizes = np.asarray(pa.compute.binary_length(texts).fill_null(0), np.int64)
+    sizes = np.asarray(pc.binary_length(texts).fill_null(0), np.int64)
     total, first = 0, 0
     for i, size in enumerate(sizes):
         if total and total + size > most:
@@ -130,10 +215,9 @@ def shingle_sets(words: Words, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
             s = np.sort(full[a : b - width + 1])
             s = s[np.concatenate(([True], s[1:] != s[:-1]))]
         elif b > a:
-            short = np.uint64(b - a)
+            s = np.array([b - a], np.uint64)
             for k in range(b - a):
-                short = mix(np.atleast_1d(short * np.uint64(_ODD) + h[a + k]))[0]
-            s = np.array([short], np.uint64)
+                s = mix(s * np.uint64(_ODD) + h[a + k])
         else:
             continue
         out.append(s)
