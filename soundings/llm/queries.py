@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from . import langid
 from .bpe import bpe_digests
+from .decontam import decontaminate
 from .linededup import line_dedup
+from .neardup import jaccard_components
 from .quality import quality_rules
 from .sampling import fold
 from .shared import new_path, table
@@ -42,6 +44,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(pages, listed, URL_RULES).select("row.page_id", "host", "path", "rule", "verdict")
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs.where(fold("doc_id", 5) != 0))
@@ -49,8 +55,15 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", (fold("row.doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.concat_ws(",", "items").cast("binary"), 256)
+    return out.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_token_ids, op4_quality_rules, op5_url_filters, op8_language_id, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_token_ids, op4_quality_rules, op5_url_filters, op7_ngram_jaccard, op8_language_id, op9_decontamination, op10_bpe)}
