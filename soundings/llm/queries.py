@@ -14,6 +14,7 @@ from .neardup import jaccard_components
 from .quality import quality_rules
 from .sampling import fold
 from .shared import new_path, table
+from .suffixtree import score_texts
 from .tokens import id_digests, read_token_ids, write_token_ids
 from .urls import UrlRule, host_of, url_filter
 
@@ -44,6 +45,12 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(pages, listed, URL_RULES).select("row.page_id", "host", "path", "rule", "verdict")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold("doc_id", 7) != 2).alias("learn"))
+    out = score_texts(docs)
+    return out.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -66,4 +73,4 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_token_ids, op4_quality_rules, op5_url_filters, op7_ngram_jaccard, op8_language_id, op9_decontamination, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_token_ids, op4_quality_rules, op5_url_filters, op6_lm_scoring, op7_ngram_jaccard, op8_language_id, op9_decontamination, op10_bpe)}
