@@ -1 +1,58 @@
-def run(spark, sf_dir): pass
+"""A corpus pipeline: language, repeated lines, near duplicates, benchmark passages, tokens.
+
+Each stage is written as Parquet in the shared folder and read again by the next."""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from soundings.llm import langid
+from soundings.llm.bpe import bpe_digests
+from soundings.llm.decontam import decontaminate
+from soundings.llm.linededup import line_dedup
+from soundings.llm.neardup import jaccard_components
+from soundings.llm.sampling import fold
+from soundings.llm.shared import row_key, staged, table
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents in a learned language; those without text or letters, and those the model is unsure of, go."""
+    model = langid.fit(docs.where(fold("doc_id", 5) != 0))
+    return langid.predict(docs, model).where("not rejected").select("row.*")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Delete later copies of runs of lines; documents of which nothing is left go."""
+    return line_dedup(docs).where("not emptied").select("row.*").withColumn("n_chars", F.length("text").cast("long"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of similar documents, the one with the least id stays, and of equal rows one."""
+    found = jaccard_components(docs)
+    stay = found.where((F.col("doc_id") == F.col("component_id")) | F.col("component_id").isNull()).select("_k").distinct()
+    own = docs.withColumn("_k", row_key("doc_id", "text")).join(staged(stay, "stay"), "_k", "left_semi")
+    return own.drop("_k")
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with any passage of the benchmark go."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark")).where("n_hit = 0").select("row.*")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Counts and digests of the token ids and of the text they decode to."""
+    return bpe_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("language", language), ("lines", lines), ("near_duplicates", near_duplicates), ("decontaminated", decontaminated), ("tokens", tokens)]
+#: Not expressible in SQL (trained model, library tokenizer): tested stage by stage against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid
+from . import langid, toxicity
 from .bpe import bpe_digests
 from .decontam import decontaminate
 from .linededup import line_dedup
@@ -23,6 +23,13 @@ URL_RULES = (UrlRule("block", "net"), UrlRule("allow", "example.net", "/en/"), U
 LISTED_LABELS = ("ads-track", "spam-farm", "casino-win", "adult-x", "cheap-pills", "free-bets")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labelled = docs.where(fold("doc_id", 3) != 1).join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id")
+    out = toxicity.score(docs, toxicity.fit(labelled))
+    return out.select("row.doc_id", (fold("row.doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents"))
     return out.select("row.doc_id", "n_lines", "n_deleted", "emptied", F.length("row.text").cast("long").alias("n_chars_kept"), F.md5("row.text").alias("text_md5"))
@@ -73,4 +80,4 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_token_ids, op4_quality_rules, op5_url_filters, op6_lm_scoring, op7_ngram_jaccard, op8_language_id, op9_decontamination, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_line_dedup, op3_token_ids, op4_quality_rules, op5_url_filters, op6_lm_scoring, op7_ngram_jaccard, op8_language_id, op9_decontamination, op10_bpe)}
