@@ -73,6 +73,25 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def _features(items: list[str], most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets and counts of all items end to end, and where each begins; made in runs of about ``most`` bytes to keep scratch small."""
+    buckets, counts, sizes, at = [], [], [], 0
+    while at < len(items):
+        end, total = at, 0
+        while end < len(items) and (not total or total + len(items[end]) <= most):
+            total += len(items[end])
+            end += 1
+        data, offsets = _bytes(pa.array(items[at:end], pa.large_string()))
+        codes = [r.astype(np.int64) << BUCKET_BITS | b for r, b in subwords(data, offsets)]
+        code, n = np.unique(np.concatenate(codes or [np.zeros(0, np.int64)]), return_counts=True)
+        buckets.append((code & ((1 << BUCKET_BITS) - 1)).astype(np.int32))
+        counts.append(n.astype(np.int32))
+        sizes.append(np.bincount(code >> BUCKET_BITS, minlength=end - at))
+        at = end
+    begin = np.concatenate(([0], np.cumsum(np.concatenate(sizes or [np.zeros(0, np.int64)])))).astype(np.int64)
+    return np.concatenate(buckets or [np.zeros(0, np.int32)]), np.concatenate(counts or [np.zeros(0, np.int32)]), begin
+
+
 def train(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4, rate: float = 0.5, reject: float = 0.002, seed: int = 7) -> LanguageModel:
     """Stochastic gradient descent over whole texts and their lines; a fifth of the texts calibrates.
 
@@ -89,13 +108,7 @@ def train(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4, r
             items.append(x)
             gold.append(names.index(y))
             held.append(back)
-    data, offsets = _bytes(pa.array(items, pa.large_string()))
-    grams = list(subwords(data, offsets))
-    row = np.concatenate([r for r, _ in grams] or [np.zeros(0, np.int32)])
-    bucket = np.concatenate([b for _, b in grams] or [np.zeros(0, np.int32)])
-    code, n = np.unique(row.astype(np.int64) << BUCKET_BITS | bucket, return_counts=True)
-    row, bucket = code >> BUCKET_BITS, code & ((1 << BUCKET_BITS) - 1)
-    begin = np.searchsorted(row, np.arange(len(items) + 1))
+    bucket, n, begin = _features(items)
     emb = rng.normal(0, 0.1, (1 << BUCKET_BITS, dim))
     out, bias = rng.normal(0, 0.1, (dim, len(names))), np.zeros(len(names))
     gold, held = np.array(gold), np.array(held)
@@ -116,8 +129,8 @@ def train(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4, r
     model = LanguageModel(names, (emb @ out).astype(np.float32), bias, 1.0, 0.0)
     back = np.flatnonzero(held)
     if len(back):
-        column = pa.array([items[i] for i in back], pa.large_string())
-        logits = np.log(np.maximum(model.scores(column), 1e-30))
+        parts = [model.scores(pa.array([items[i] for i in back[k : k + 50]], pa.large_string())) for k in range(0, len(back), 50)]
+        logits = np.log(np.maximum(np.concatenate(parts), 1e-30))
         losses = {t: -np.mean(np.log(np.maximum(_softmax(logits / t)[np.arange(len(back)), gold[back]], 1e-30))) for t in (0.1, 0.2, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 3.0)}
         model.temperature = min(losses, key=losses.get)
         best = _softmax(logits / model.temperature).max(axis=1)
@@ -125,8 +138,8 @@ def train(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4, r
     return model
 
 
-def fit(rows: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 600, keys: tuple[str, ...] = ("doc_id",)) -> LanguageModel | None:
-    """Fit on about ``per_language`` labelled rows of each language (a documented bound; whole texts). None without rows."""
+def fit(rows: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 400, keys: tuple[str, ...] = ("doc_id",)) -> LanguageModel | None:
+    """Fit on about ``per_language`` (400) labelled rows of each language (a documented bound; whole texts). None without rows."""
     own = rows.where(F.col(text).rlike(r"\p{L}"))
     got = per_class(own, lang, per_language, keys).select(text, lang).collect()
     got.sort(key=lambda r: (r[1], r[0]))
