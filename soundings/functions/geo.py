@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,10 +50,7 @@ def bin_label(prefix: str, index: Column, edges: Sequence[float]) -> Column:
     return F.coalesce(F.concat(F.lit(prefix + "_"), edge_text(F.get(ends, index)), F.lit("_"), edge_text(F.get(ends, index + 1))), F.lit("nan"))
 
 
-@F.pandas_udf("binary")
 def _wkb(lon: pd.Series, lat: pd.Series) -> pd.Series:
-    import numpy as np
-
     xy = np.stack((lon.to_numpy("<f8"), lat.to_numpy("<f8")), axis=1).tobytes()
     return pd.Series([b"\x01\x01\x00\x00\x00" + xy[i : i + 16] for i in range(0, len(xy), 16)])
 
@@ -60,7 +58,7 @@ def _wkb(lon: pd.Series, lat: pd.Series) -> pd.Series:
 def point_wkb(lon: Column, lat: Column) -> Column:
     """21-byte little-endian point; NULL where either coordinate is."""
     both = lon.isNotNull() & lat.isNotNull()
-    return F.when(both, _wkb(F.coalesce(lon, F.lit(0.0)), F.coalesce(lat, F.lit(0.0))))
+    return F.when(both, F.pandas_udf(_wkb, "binary")(F.coalesce(lon, F.lit(0.0)), F.coalesce(lat, F.lit(0.0))))
 
 
 def bbox_ring(west: Column, south: Column, east: Column, north: Column) -> Column:

@@ -31,7 +31,7 @@ def blended_profile(surface: DataFrame, model: DataFrame, keys: Sequence[str], b
 
 def nearest_depth(profile: DataFrame, keys: Sequence[str], target: Column) -> DataFrame:
     """The profile row of each key whose depth is closest to ``target`` (the shallower of two), with its sound speed."""
-    best = F.min_by(F.struct("t", "s", "depth"), F.struct(F.abs(F.col("depth") - target), F.col("depth")))
+    best = F.min_by(F.struct("t", "s", "depth"), F.struct(F.abs(F.col("depth") - target), F.col("depth"), F.col("t"), F.col("s")))
     out = profile.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
     return out.withColumn("sound_speed", acoustics.speed_mackenzie(F.col("t"), F.col("s"), F.col("depth")))
 

@@ -48,7 +48,9 @@ def roster(df: DataFrame) -> DataFrame:
 
 def pivot_quality(df: DataFrame, index: Sequence[str], variables: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Long to wide: of each variable the first value and its quality flag; rows with a NULL key are left out."""
-    own = df.dropna("any", list(index))
+    own = df
+    for c in index:
+        own = own.where(F.col(c).isNotNull())
     place = F.struct(*order)
     out = []
     for v in variables:

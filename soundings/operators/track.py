@@ -29,12 +29,12 @@ def recording_breaks(df: DataFrame, gap_minutes: float, time: str = "t", tie: Se
     return segments(df.withColumn("_all", F.lit(0)), gap_minutes, ("_all",), time, tie, bucket_us).withColumnRenamed("segment", "block").drop("_all")
 
 
-def segment_summary(df: DataFrame, measures: Sequence[str], by: Sequence[str] = ("platform",), time: str = "t", tie: Sequence[str] = ()) -> DataFrame:
-    """One row for each segment of two points or more: span, mean measures (3 decimals), coordinates in order."""
+def segment_summary(df: DataFrame, measures: Sequence[str], by: Sequence[str] = ("platform",), time: str = "t", tie: Sequence[str] = (), decimals: int = 3) -> DataFrame:
+    """One row for each segment of two points or more: span, mean measures (rounded), coordinates in order."""
     path = F.sort_array(F.collect_list(F.struct(time, *tie, "lon", "lat")))
     out = df.groupBy(*by, "segment").agg(
         F.count("*").alias("n_points"), F.min(time).alias("t_start"), F.max(time).alias("t_end"),
-        *[F.round(F.avg(m), 3).alias(f"mean_{m}") for m in measures],
+        *[F.round(F.avg(m), decimals).alias(f"mean_{m}") for m in measures],
         F.transform(path, lambda p: F.array(p["lon"], p["lat"])).alias("coordinates"),
     )
     return out.where("n_points > 1")

@@ -33,7 +33,7 @@ def read_csv_directory(spark: SparkSession, path: str | list[str], skip_non_spat
     own = own.where(F.col("_bad").isNull() | (F.size(F.split("_bad", ",")) < most)).select(*[blank_to_null(F.col(f"`{n}`")).alias(n) for n in names], platform_of(F.col("_metadata.file_name")).alias("platform_id"))
     has = all(c in names for c in POSITION)
     if has and skip_non_spatial:
-        own = own.withColumns({c: F.col(c).try_cast("double") for c in POSITION}).dropna("any", list(POSITION))
+        own = own.withColumns({c: F.col(c).try_cast("double") for c in POSITION}).dropna("any", subset=list(POSITION))
     return own if has or not skip_non_spatial else own.limit(0)
 
 
@@ -66,7 +66,7 @@ def coerce_by_majority(df: DataFrame, least: float = 0.6, skip: Sequence[str] =
 def union_all(frames: Sequence[DataFrame], ignore: Sequence[str] = ("platform_id",)) -> DataFrame:
     """Frames of drifting schemas as one; rows with nothing but ignored columns and columns with no value are dropped."""
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    out = out.dropna("all", [c for c in out.columns if c not in ignore])
+    out = out.dropna("all", subset=[c for c in out.columns if c not in ignore])
     row = out.agg(*[F.count(f"`{c}`").alias(c) for c in out.columns]).first()
     return out.drop(*[c for c in out.columns if not row[c]])
 

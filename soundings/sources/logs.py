@@ -68,7 +68,7 @@ def read_sound_velocity(lines: DataFrame) -> DataFrame:
     """``MM/DD/YYYY,HH:MM:SS.sss,v``; fewer parts or no number, and the line goes."""
     f = F.split("line", ",")
     own = lines.where(F.size(f) >= 3).select("file", "line_no", F.try_to_timestamp(F.concat_ws(" ", F.trim(f[0]), F.trim(f[1])), F.lit("MM/dd/yyyy HH:mm:ss[.SSS]")).alias("time"), F.trim(f[2]).try_cast("double").alias("velocity"))
-    return own.dropna("any", ["time", "velocity"])
+    return own.dropna("any", subset=["time", "velocity"])
 
 
 def read_fluorometer(lines: DataFrame) -> DataFrame:
