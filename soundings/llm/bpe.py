@@ -234,7 +234,7 @@ def bpe_encode(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = TextEncoder.of(tokenizer)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 4 << 20):
                 chunks, found, place = coder.distinct(batch.column("text"))
                 n = np.fromiter(map(len, found), np.int64, len(found))
                 flat = np.array([i for x in found for i in x], np.int32)
@@ -270,7 +270,7 @@ def bpe_digests(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str
         coder = TextEncoder.of(tokenizer)
         names = coder.words.names
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 4 << 20):
                 chunks, found, place = coder.distinct(batch.column("text"))
                 n = np.fromiter(map(len, found), np.int64, len(found))
                 decimal = [" ".join(map(str, x)).encode() for x in found]

@@ -16,7 +16,7 @@ from .words import ALNUM, slices, split_words
 #: Most window terms looked for in one pass over the documents; a larger benchmark is searched in several blocks.
 TERMS_PER_BLOCK = 1_000_000
 #: Lists that are intersected for each window.
-RAREST = 3
+RAREST = 2
 
 
 def windows_of(benchmark: DataFrame, size: int = 10, text: str = "text", item_id: str = "item_id") -> DataFrame:
@@ -145,13 +145,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, text: s
         found = part if found is None else found.unionByName(part)
     found = staged(found, "candidates")
     asked = found.join(windows, "win").groupBy("_k").agg(F.collect_list(F.struct("start", "terms", "items")).alias("asked"))
-    own = docs.select(F.struct("*").alias("row")).withColumn("_k", row_key(f"row.{doc_id}", f"row.{text}")).withColumn("text", F.col(f"row.`{text}`"))
-    own = own.join(asked, "_k", "left").select("row", "text", "asked")
+    own = docs.select(F.struct("*").alias("row")).withColumn("_k", row_key(f"row.{doc_id}", f"row.{text}"))
+    own = own.join(asked, "_k", "left").select("row", "asked")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
-                words = split_words(batch.column("text"), ALNUM)
+            for batch in slices(whole, text, inside="row"):
+                words = split_words(batch.column("row").field(text), ALNUM)
                 h = words.hashes().view(np.int64)
                 n_hit, items, spans = [], [], []
                 for d, asked in enumerate(batch.column("asked")):

@@ -72,7 +72,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, tex
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, at = ChunkEncoder.of(tokenizer), TaskContext.get().partitionId(), 0
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 4 << 20):
                 ids, n = coder.ids(batch.column("text"))
                 ends = np.cumsum(n)
                 ids = np.insert(ids, ends, end_id)

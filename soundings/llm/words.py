@@ -181,9 +181,11 @@ def spread(lengths: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.repeat(begins - before, lengths) + np.arange(int(lengths.sum()))
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Runs of rows whose texts hold about ``most`` bytes, so that scratch arrays stay small; a longer text is a run of its own."""
-    texts = batch.column(column)
+def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20, inside: str | None = None) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts hold about ``most`` bytes, so that scratch arrays stay small; a longer text is a run of its own.
+
+    The texts are ``column``, or the field of that name of the struct column ``inside``."""
+    texts = batch.column(inside).field(column) if inside else batch.column(column)
     sizes = np.asarray(pc.binary_length(texts).fill_null(0), np.int64)
     total, first = 0, 0
     for i, size in enumerate(sizes):
