@@ -15,9 +15,10 @@ STOP_WORDS = (
     "le la les de et des que un une est dans pour par qui "
     "el los las que en y del por se con una para no"
 )
-# The bytes that separate words, and the characters counted as symbols.
+# The bytes that separate words, the characters counted as symbols, and those left off stop words.
 BLANKS = " \t\n\u000b\u000c\r"
 SYMBOLS = "#*$%&|<>"
+STOPS = '.,;:!?"()'
 
 
 @dataclass(frozen=True)
@@ -41,7 +42,7 @@ DEFAULT_RULES: tuple[Threshold, ...] = (
     Threshold("n_words", low=10, high=100_000),
     Threshold("mean_word_chars", low=2.0, high=14.0),
     Threshold("symbol_ratio", high=0.1),
-    Threshold("dup_line_ratio", high=0.3),
+    Threshold("dup_line_ratio", high=0.5),
     Threshold("stop_word_ratio", low=0.02),
     Threshold("shout_ratio", high=0.5),
 )
@@ -105,7 +106,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     def per_word(ws: Column) -> Column:
         return F.struct(
             F.size(ws).cast("long").alias("n_words"),
-            F.size(F.filter(ws, lambda w: w.isin(stops))).alias("n_stop"),
+            F.size(F.filter(ws, lambda w: F.translate(w, STOPS, "").isin(stops))).alias("n_stop"),
             F.size(F.filter(ws, lambda w: (F.length(w) > 1) & (w == F.upper(w)) & (w != F.lower(w)))).alias("n_shout"),
             repeat_words(ws).alias("n_repeat_words"),
         )

@@ -18,14 +18,14 @@ rep as (select doc_id, count(distinct i + k) as n from dup, (select unnest(range
 m as (select w.doc_id, len(ws) as n_words, length(regexp_replace(t, '{_BLANK}', '', 'g')) as word_chars,
              length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
              len(ls) as n_lines, len(ls) - len(list_distinct(ls)) as n_dup_lines, coalesce(rep.n, 0) as n_repeat_words,
-             len(list_filter(ws, lambda x: x in ({_STOPS}))) as n_stop,
+             len(list_filter(ws, lambda x: regexp_replace(x, '[.,;:!?"()]', '', 'g') in ({_STOPS}))) as n_stop,
              len(list_filter(ws, lambda x: length(x) > 1 and x = upper(x) and x <> lower(x))) as n_shout
       from w left join rep on rep.doc_id = w.doc_id),
 v as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed, greatest(n_words, 1) as k from m)
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
        n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed,
        not base_failed and n_words between 10 and 100000 and word_chars / k between 2 and 14 and n_symbols / k <= 0.1
-       and n_dup_lines / greatest(n_lines, 1) <= 0.3 and n_stop / k >= 0.02 and n_shout / k <= 0.5 as kept
+       and n_dup_lines / greatest(n_lines, 1) <= 0.5 and n_stop / k >= 0.02 and n_shout / k <= 0.5 as kept
 from v
 """
 
