@@ -25,8 +25,8 @@ LISTED_LABELS = ("ads-track", "spam-farm", "casino-win", "adult-x", "cheap-pills
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labelled = docs.where(fold("doc_id", 3) != 1).join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id")
-    out = toxicity.score(docs, toxicity.fit(labelled))
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 3) != 1)
+    out = toxicity.score(docs, toxicity.fit(docs, labels))
     return out.select("row.doc_id", (fold("row.doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 

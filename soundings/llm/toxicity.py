@@ -177,15 +177,15 @@ def train(texts: list[str], labels: list[int], prior: float, rounds: int = 3, ep
             pair = np.unique(words.doc.astype(np.int64) * (len(word) + 1) + place)
             d, w = pair // (len(word) + 1), pair % (len(word) + 1)
             if which == 0:
-                codes.append(word[w])
-                docs.append(d + a)
+                codes.append(word[w].astype(np.int32))
+                docs.append((d + a).astype(np.int32))
             else:
                 by = np.argsort(owner, kind="stable")
                 n = np.bincount(owner, minlength=len(word))
                 first = np.cumsum(n) - n
                 grams = np.unique(np.repeat(d + a, n[w]) << BITS | bucket[by][spread(n[w], first[w])])
-                codes.append(grams & (size - 1))
-                docs.append(grams >> BITS)
+                codes.append((grams & (size - 1)).astype(np.int32))
+                docs.append((grams >> BITS).astype(np.int32))
         codes, docs = np.concatenate(codes), np.concatenate(docs)
         own = ~back[docs]
         table[:, 0] = _log_odds(codes[own], docs[own], toxic)
@@ -276,13 +276,17 @@ def _step(net: GatedNetwork, params: list[np.ndarray], speed: list[np.ndarray],
         p -= rate * g / np.sqrt(s)
 
 
-def fit(rows: DataFrame, text: str = "text", label: str = "toxic", per_label: int = 1500, keys: tuple[str, ...] = ("doc_id",)) -> GatedNetwork | None:
-    """Fit on about ``per_label`` (1,500) whole texts of each label, a documented bound. None unless both labels are there."""
-    own = rows.where(F.col(text).isNotNull() & F.col(label).isin(0, 1))
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", per_label: int = 1500, key: str = "doc_id") -> GatedNetwork | None:
+    """Fit on about ``per_label`` (1,500) whole texts of each label, a documented bound. None unless both labels are there.
+
+    The rows of ``labels`` (``key``, ``label``) are drawn first, so only as many texts as that meet the join."""
+    own = labels.where(F.col(label).isin(0, 1)).select(key, label)
     share = own.agg(F.avg(F.col(label).cast("double"))).first()[0]
     if share is None or share in (0.0, 1.0):
         return None
-    got = sorted((r[1], r[0]) for r in per_class(own, label, per_label, keys).select(text, label).collect())
+    drawn = per_class(own, label, per_label, (key,))
+    got = docs.where(F.col(text).isNotNull()).select(key, text).join(F.broadcast(drawn), key).select(text, label).collect()
+    got = sorted((r[1], r[0]) for r in got)
     return train([t for _, t in got], [y for y, _ in got], float(share)) if len({y for y, _ in got}) == 2 else None
 
 
@@ -291,15 +295,15 @@ def score(docs: DataFrame, net: GatedNetwork | None, text: str = "text") -> Data
 
     Texts without words, null ones too, get the share of toxic texts among those learned from; without a network all get 0.
     Repeated rows each get their score."""
-    own = docs.select(F.struct("*").alias("row")).select("row", F.col(f"row.`{text}`").alias("text"))
+    own = docs.select(F.struct("*").alias("row"))
     if net is None:
         return own.select("row", F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(net)  # a fixed number of buckets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
-                p = shared.value.scores(split_words(batch.column("text")))
+            for batch in slices(whole, text, inside="row"):
+                p = shared.value.scores(split_words(batch.column("row").field(text)))
                 yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(p.astype(float))], names=["row", "score"])
 
     return own.mapInArrow(run, StructType().add("row", own.schema["row"].dataType).add("score", DoubleType()))
