@@ -31,12 +31,12 @@ def bearing(lat0: Column, lon0: Column, lat1: Column, lon1: Column) -> Column:
 def edge_text(x: Column) -> Column:
     """An edge with six decimals, trailing zeros cut, and no negative zero."""
     t = F.regexp_replace(F.regexp_replace(F.format_string("%.6f", x), r"0+$", ""), r"\.$", "")
-    return F.when(t == "-0", "0").otherwise(t)
+    return F.when(x.isNotNull(), F.when(t == "-0", "0").otherwise(t))
 
 
 def right_closed_bin(x: Column, edges: Sequence[float], clip: bool = True, lowest: bool = True) -> Column:
     """Index of the bin (edges[i], edges[i + 1]] that holds ``x``; ``lowest`` lets the first bin hold its low edge."""
-    x = F.least(F.greatest(x, F.lit(float(edges[0]))), F.lit(float(edges[-1]))) if clip else x
+    x = F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(float(edges[0]))), F.lit(float(edges[-1])))) if clip else x
     found = F.lit(None).cast("int")
     for i in range(len(edges) - 2, -1, -1):
         low = (x >= edges[i]) if i == 0 and lowest else (x > edges[i])

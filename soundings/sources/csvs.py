@@ -29,7 +29,7 @@ def read_csv_directory(spark: SparkSession, path: str | list[str], skip_non_spat
     most = len(names)
     # A corrupt-record column needs a schema; short lines are padded and kept, over-long ones told by their field count.
     schema = ", ".join(f"`{n}` string" for n in names) + ", `_bad` string"
-    own = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").csv(path)
+    own = spark.read.schema(schema).option("columnPruning", False).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").csv(path)
     own = own.where(F.col("_bad").isNull() | (F.size(F.split("_bad", ",")) < most)).select(*[blank_to_null(F.col(f"`{n}`")).alias(n) for n in names], platform_of(F.col("_metadata.file_name")).alias("platform_id"))
     has = all(c in names for c in POSITION)
     if has and skip_non_spatial:
