@@ -83,7 +83,7 @@ def snk07_products(spark, d):
     return spark.read.parquet(path).groupBy("day", "category").agg(F.count("*").alias("n")).select("day", F.col("category").cast("long").alias("category"), "n")
 
 
-@query(f"with {SEGMENTS} select day, count(*) as n_points, round(arg_min(lon, (t, event_id)), 6) as lon_start from seg where platform = platform group by day")
+@query(f"with {SEGMENTS} select day, count(*) as n_points, round(arg_min(lon, (t, event_id)), 6) as lon_start from seg group by day")
 def snk10_day_segments(spark, d):
     own = track.capped_points(fixes(spark, d), 1_000_000, ["day"], ["t", "event_id"])
     return own.groupBy("day").agg(F.count("*").alias("n_points"), r6(F.min_by("lon", F.struct("t", "event_id"))).alias("lon_start"))
@@ -175,16 +175,17 @@ def set04_pings_deduped(spark, d):
     return store.distinct_on(table(spark, d, "events"), ["event_type", "user_id"], ["event_id"]).select("event_type", "user_id", "event_id")
 
 
-@query("select o_orderkey, unnest([0, 100, 500, 1000]) as depth from orders")
+@query("""select o_orderkey, z as depth, round((0.106 * f1 * f / (f1 * f1 + f) + 0.52 * (1 + 10 / 43.0) * f2 * f / (f2 * f2 + f) * exp(-z / 6000.0) + 0.00049 * f * exp(-(10 / 27.0 + z / 17000.0))) / 1000, 9) as absorption
+from (select o_orderkey, unnest([0, 100, 500, 1000]) as z, 38.0 * 38.0 as f, 0.78 * exp(10 / 26.0) as f1, 42.0 * exp(10 / 17.0) as f2 from orders)""")
 def scl07_typical_depths(spark, d):
     own = table(spark, d, "orders").select("o_orderkey", F.explode(F.array(*[F.lit(x) for x in (0, 100, 500, 1000)])).alias("depth"))
-    own = own.withColumn("absorption", acoustics.absorption_ainslie_mccolm(F.lit(38.0), F.lit(10.0), F.lit(35.0), F.col("depth"), F.lit(8.0)))
-    return own.where("absorption between 0.008 and 0.012").select("o_orderkey", "depth")
+    alpha = acoustics.absorption_ainslie_mccolm(F.lit(38.0), F.lit(10.0), F.lit(35.0), F.col("depth"), F.lit(8.0))
+    return own.select("o_orderkey", "depth", F.round(alpha, 9).alias("absorption"))
 
 
-@query(f"with {TRACK} select event_id, regexp_replace(regexp_replace(printf('%.6f', lat), '0+$', ''), '\\.$', '') as label from track where abs(lat) > 0.001")
+@query(f"with {TRACK} select event_id, regexp_replace(regexp_replace(printf('%.6f', lat), '0+$', ''), '\\.$', '') as label from track")
 def scl13_edge_text(spark, d):
-    return fixes(spark, d).where(F.abs("lat") > 0.001).select("event_id", geo.edge_text(F.col("lat")).alias("label"))
+    return fixes(spark, d).select("event_id", geo.edge_text(F.col("lat")).alias("label"))
 
 
 @query("select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as iso from events")

@@ -366,10 +366,11 @@ def join13_frequency_difference(spark, d):
     return out.groupBy("pair").agg(F.count("*").alias("n_cells"), F.count("difference").alias("n_both"), F.sum(F.col("mask").cast("long")).alias("n_mask"))
 
 
-@query(f"with {SAMPLES} select ping_idx, depth, max(sv) filter (channel = 1) as c1, max(sv) filter (channel = 2) as c2 from samples where channel in (1, 2) group by all")
+@query(f"""with {SAMPLES} select t // 86400000000 * 86400000000 as t_bin, floor(depth / 50) * 50.0 as depth_bin, round(10 * log10(avg(pow(10, sv / 10)) filter (channel % 2 = 0)), 6) as low, round(10 * log10(avg(pow(10, sv / 10)) filter (channel % 2 = 1)), 6) as high from samples group by all""")
 def join14_aligned(spark, d):
-    s = samples(spark, d)
-    return grid.aligned([("c1", s.where("channel = 1")), ("c2", s.where("channel = 2"))], ["ping_idx", "depth"])
+    cells = grid.mvbs(samples(spark, d).withColumn("channel", F.col("channel") % 2), 50.0, 86_400_000_000)
+    out = grid.aligned([("low", cells.where("channel = 0")), ("high", cells.where("channel = 1"))], ["t_bin", "depth_bin"])
+    return out.select("t_bin", "depth_bin", r6("low").alias("low"), r6("high").alias("high"))
 
 
 @query(f"""with {SAMPLES}, n as (select channel, ping_idx, depth + (event_id % 7) as depth, sv, lead(depth + (event_id % 7)) over w as d1, lead(sv) over w as s1 from samples window w as (partition by channel, ping_idx order by depth)),
