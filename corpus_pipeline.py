@@ -32,8 +32,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of similar documents, the one with the least id stays, and of equal rows one."""
     found = jaccard_components(docs)
     stay = found.where((F.col("doc_id") == F.col("component_id")) | F.col("component_id").isNull()).select("_k").distinct()
-    own = docs.withColumn("_k", row_key("doc_id", "text")).join(staged(stay, "stay"), "_k", "left_semi")
-    return own.drop("_k")
+    own = docs.select(F.struct("*").alias("row")).withColumn("_k", row_key("row.doc_id", "row.text"))
+    return own.join(staged(stay, "stay"), "_k", "left_semi").select("row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
