@@ -1,0 +1,70 @@
+"""Data providers as rules: markers to recognise their files, and names, codes and fixed values to bring them in line."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.environment import best_provider
+from .csvs import normalise, typed
+
+
+@dataclass(frozen=True)
+class Provider:
+    name: str
+    markers: tuple[str, ...]
+    renames: dict[str, str] = field(default_factory=dict)
+    codes: dict[str, dict[str, str]] = field(default_factory=dict)
+    defaults: dict[str, object] = field(default_factory=dict)
+
+
+#: Common spellings of position and time, tried for files of no known provider.
+GENERIC = Provider("generic", (), {"lat": "latitude", "Latitude": "latitude", "LATITUDE": "latitude", "lon": "longitude", "Longitude": "longitude", "LONGITUDE": "longitude", "TIME": "time", "datetime": "time", "timestamp": "time", "date_time": "time"})
+PROVIDERS: dict[str, Provider] = {
+    p.name: p
+    for p in (
+        GENERIC,
+        Provider("oceansites", ("TIME", "LATITUDE", "LONGITUDE", "TEMP", "PSAL"), GENERIC.renames | {"TEMP": "temperature", "PSAL": "salinity", "PRES": "pressure", "DEPH": "depth"}, {"platform_type": {"MO": "mooring", "GL": "glider", "PF": "profiler", "FB": "ferrybox"}}),
+        Provider("ship", ("ship_latitude", "ship_longitude"), {"ship_latitude": "latitude", "ship_longitude": "longitude", "iso_time": "time"}),
+    )
+}
+
+
+def register(provider: Provider) -> None:
+    PROVIDERS[provider.name] = provider
+
+
+def rules(spark: SparkSession) -> DataFrame:
+    """``provider``, ``markers`` of all registered providers that can be recognised."""
+    return spark.createDataFrame([(p.name, list(p.markers)) for p in PROVIDERS.values() if p.markers], "provider string, markers array<string>")
+
+
+def recognise(headers: DataFrame) -> DataFrame:
+    """The best provider of each file by its columns; see ``best_provider``."""
+    return best_provider(headers, rules(headers.sparkSession))
+
+
+def enrich(df: DataFrame, provider: str = "generic") -> DataFrame:
+    """Canonical names, code lists, fixed values and types of one provider."""
+    p = PROVIDERS[provider]
+    return typed(normalise(df, p.renames, p.codes, p.defaults))
+
+
+def campaign(df: DataFrame, user: str | None = None, cruise: str = "cruise_id", platform: str = "platform_id") -> DataFrame:
+    """``campaign_id``: the user's, else the file's cruise, else the platform."""
+    known = [F.lit(user), *[F.col(c) for c in (cruise, platform) if c in df.columns]]
+    return df.withColumn("campaign_id", F.coalesce(*known))
+
+
+def choose_channels(samples: DataFrame, khz: float = 38.0, tolerance: float = 0.5, label: str | None = None) -> DataFrame:
+    """Samples of the channels within ``tolerance`` kHz; by part of their label if one is given."""
+    return samples.where(F.col("channel").cast("string").contains(label)) if label else samples.where(F.abs(F.col("khz") - khz) <= tolerance)
+
+
+def sensors_present(columns: Sequence[str], catalogue: DataFrame) -> DataFrame:
+    """Sensors of a catalogue (``sensor``, ``variable``) any of whose variables is a column."""
+    have = catalogue.sparkSession.createDataFrame([(c,) for c in columns], "variable string")
+    return catalogue.join(F.broadcast(have), "variable", "left_semi").select("sensor").distinct()

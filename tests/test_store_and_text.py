@@ -122,3 +122,16 @@ def test_names(spark):
     assert [r[0] for r in rows.select(text.platform_of(F.col("n"))).collect()] == ["sd1030_tpos_2023", "42"]
     assert str(rows.select(text.name_date(F.lit("D20230530-T0102.raw"))).first()[0]) == "2023-05-30"
     assert rows.select(text.lenient_number(F.lit("1,234.5dB"))).first()[0] == 1234.5
+
+
+def test_providers(spark):
+    from soundings.sources import providers
+
+    catalogue = spark.createDataFrame([("ctd", "TEMP"), ("gps", "lat"), ("adcp", "u")], "sensor string, variable string")
+    assert {r[0] for r in providers.sensors_present(["TEMP", "lat", "x"], catalogue).collect()} == {"ctd", "gps"}
+    assert text.categories(["lat", "x"]) == {"lat": "nav", "x": "other"}
+    providers.register(providers.Provider("mine", ("a", "b"), {"a": "time"}))
+    heads = spark.createDataFrame([("f", ["a", "b"]), ("g", ["q"])], "file string, columns array<string>")
+    assert {tuple(r)[:2] for r in providers.recognise(heads).collect()} == {("f", "mine"), ("g", "generic")}
+    own = providers.enrich(spark.createDataFrame([("2024-01-01T00:00:00Z", 1)], "a string, b int"), "mine")
+    assert str(own.first()["time"]) == "2024-01-01 00:00:00"
