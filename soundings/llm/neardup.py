@@ -9,6 +9,11 @@ sets are found by the pairs (k = 2) among those, large sets by single shingles (
 the size of least estimated cost. Lists of candidates that are short give all their pairs. Long ones
 give each member's pair with the list's first; what those links do not connect is then compared by way
 of the metric: Jaccard distance obeys the triangle inequality, so centres far apart settle all their members.
+
+A pair is a candidate only where enough of both sets stands behind the place they share: at its first common
+shingle, the rest of each set from there on holds the whole overlap. Candidates are then held against bitmaps
+of four to eight bits for each shingle. A shingle whose bit the other set lacks is not shared, which bounds the overlap
+from above and never drops a similar pair; whole sets are read for the rest only.
 """
 
 from __future__ import annotations
@@ -42,8 +47,49 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[pa.RecordBatch, n
         yield part, values, at
 
 
+def _class_of(values: np.ndarray) -> int:
+    return int(mix(np.array([mix(values).sum()]) + np.uint64(len(values)))[0])
+
+
+def _bitmap(values: np.ndarray) -> bytes:
+    """A bit for each hash value modulo the size, the power of two from four bits for each value on."""
+    size = max(64, 1 << int(4 * len(values) - 1).bit_length()) if len(values) else 64
+    marks = np.zeros(size, bool)
+    marks[(values & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(marks, bitorder="little").tobytes()
+
+
+def _fold(bits: np.ndarray, size: int) -> np.ndarray:
+    while len(bits) > size:
+        bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
+    return bits
+
+
+def _most_shared(x: pa.BinaryScalar, y: pa.BinaryScalar, n: int, m: int) -> int:
+    p, q = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
+    size = min(len(p), len(q))
+    p, q = _fold(p, size), _fold(q, size)
+    return min(n - int(np.bitwise_count(p & ~q).sum()), m - int(np.bitwise_count(q & ~p).sum()))
+
+
+def _possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a``, ``b`` whose bitmaps allow the similarity. ``maps``: ``c``, ``n``, ``bits``."""
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, keep = batch.column("xb"), batch.column("yb"), []
+            for i, (n, m) in enumerate(zip(batch.column("n").to_pylist(), batch.column("m").to_pylist(), strict=True)):
+                most = _most_shared(x[i], y[i], n, m)
+                keep.append(100 * most >= percent * (n + m - most))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+
+    left, right = maps.toDF("a", "n", "xb"), maps.toDF("b", "m", "yb")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "xb", "yb").mapInArrow(test, "a long, b long")
+
+
 def profiles(docs: DataFrame, width: int = 5, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``_k`` (key of the row), ``doc_id``, ``n`` (set size), ``c`` (class: 64-bit hash of the set; 0 if empty) for every row."""
+    """``_k`` (key of the row), ``doc_id``, ``n`` (set size), ``c`` (class: 64-bit hash of the set; 0 if empty), ``bits`` (its bitmap) for every row."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -53,10 +99,11 @@ def profiles(docs: DataFrame, width: int = 5, text: str = "text", doc_id: str =
                 some = np.flatnonzero(n > 0)
                 if len(some):
                     c[some] = mix(np.add.reduceat(mix(values), at[:-1][some]) + n[some].astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([part.column("_k"), part.column("doc_id"), pa.array(n), pa.array(c.view(np.int64))], names=["_k", "doc_id", "n", "c"])
+                bits = [_bitmap(values[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("_k"), part.column("doc_id"), pa.array(n), pa.array(c.view(np.int64)), pa.array(bits, pa.binary())], names=["_k", "doc_id", "n", "c", "bits"])
 
     own = docs.select(row_key(doc_id, text).alias("_k"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return own.mapInArrow(profile, "_k long, doc_id long, n long, c long")
+    return own.mapInArrow(profile, "_k long, doc_id long, n long, c long, bits binary")
 
 
 def _bucket_counts(docs: DataFrame, width: int, text: str) -> np.ndarray:
@@ -95,7 +142,7 @@ def size_boundary(sizes: dict[int, int], percent: int, scan_cost: float = SCAN_C
 
 
 def _signatures(docs: DataFrame, counts: np.ndarray, boundary: int, width: int, percent: int, text: str) -> DataFrame:
-    """``sig``, ``salt``, ``c``, ``n`` and ``single``: a row for every subset or prefix shingle of every class (copies in one task once).
+    """``sig``, ``salt``, ``c``, ``n``, ``rest`` (shingles from the place on) and ``single``: a row for every subset or prefix shingle of every class (copies in one task once).
 
     Where the bucket of a signature is so full that its list may be long, the list is dealt out by class over ``salt``."""
     shared = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, (1 << 24) - 1).astype(np.int32))
@@ -106,13 +153,13 @@ def _signatures(docs: DataFrame, counts: np.ndarray, boundary: int, width: int,
         table, seen, shift = shared.value, set(), np.uint64(64 - BUCKET_BITS)
         for whole in batches:
             for _, values, at in _sets(whole, width):
-                sig, cls, size, single, full = [], [], [], [], []
+                sig, cls, size, single, full, rest = [], [], [], [], [], []
                 for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                     n = b - a
                     if n < 3:
                         continue  # two of two or one of one: such sets are similar only if equal
                     s = values[a:b]
-                    c = int(mix(np.array([mix(s).sum()]) + np.uint64(n))[0])
+                    c = _class_of(s)
                     if c in seen:
                         continue
                     seen.add(c)
@@ -124,11 +171,13 @@ def _signatures(docs: DataFrame, counts: np.ndarray, boundary: int, width: int,
                         i, j = np.triu_indices(len(s), 1)
                         sig.append(mix(mix(s[i]) + s[j]))
                         full.append(np.minimum(often[i], often[j]))
+                        rest.append(n - j + 1)
                         single.append(np.zeros(len(i), bool))
                         rows += len(i)
                     if n >= least_single:
                         sig.append(s[: prefix - 1])
                         full.append(often[: prefix - 1])
+                        rest.append(n - np.arange(len(sig[-1])))
                         single.append(np.ones(len(sig[-1]), bool))
                         rows += len(sig[-1])
                     cls.append(np.full(rows, c, np.uint64))
@@ -136,27 +185,29 @@ def _signatures(docs: DataFrame, counts: np.ndarray, boundary: int, width: int,
                 if sig:
                     cls, full = np.concatenate(cls), np.concatenate(full)
                     salt = np.where(full <= room, 0, 1 + (mix(cls) % (full // room + 1).astype(np.uint64)).astype(np.int32)).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(salt), pa.array(cls.view(np.int64)), pa.array(np.concatenate(size)), pa.array(np.concatenate(single))], names=["sig", "salt", "c", "n", "single"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(salt), pa.array(cls.view(np.int64)), pa.array(np.concatenate(size)), pa.array(np.concatenate(rest).astype(np.int32)), pa.array(np.concatenate(single))], names=["sig", "salt", "c", "n", "rest", "single"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(sign, "sig long, salt int, c long, n int, single boolean")
+    return docs.select(F.col(text).alias("text")).mapInArrow(sign, "sig long, salt int, c long, n int, rest int, single boolean")
 
 
 def _scan_lists(rows: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """Run through sorted lists: pairs (``kind`` 0: a, b) and the members of long or salted lists (``kind`` 1: sig, b).
+    """Run through sorted lists: pairs (``kind`` 0: a, b) and the members of long or salted lists (``kind`` 1: sig, b, n, rest).
 
     Rows stream by; only the run of one short list is held."""
     # ``single`` lists join small with large sets and large with each other; two small sets meet in the subsets.
     own = rows.repartition("sig", "salt", "single").sortWithinPartitions("sig", "single", "salt", "n", "c")
 
-    def table(kind: int, sig, a, b):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(b), kind, np.int8)), pa.array(sig), pa.array(a), pa.array(b)], names=["kind", "sig", "a", "b"])
+    names = ["kind", "sig", "a", "b", "n", "rest"]
 
-    def pairs(sig, c, n, x, y):
-        ok = (np.minimum(n[x], n[y]) * 100 >= percent * np.maximum(n[x], n[y])) & (c[x] != c[y])
+    def pairs(sig, c, n, rest, x, y):
+        """Pairs that sizes and the rests behind the shared place allow."""
+        need = -(-percent * (n[x] + n[y]) // (100 + percent))
+        ok = (np.minimum(n[x], n[y]) * 100 >= percent * np.maximum(n[x], n[y])) & (need <= np.minimum(rest[x], rest[y])) & (c[x] != c[y])
         x, y = x[ok], y[ok]
-        return table(0, sig[x], np.minimum(c[x], c[y]), np.maximum(c[x], c[y]))
+        none = pa.nulls(len(x), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(x), np.int8)), pa.array(sig[x]), pa.array(np.minimum(c[x], c[y])), pa.array(np.maximum(c[x], c[y])), none, none], names=names)
 
-    def emit(keys, c, n, going_on: bool):
+    def emit(keys, c, n, rest, going_on: bool):
         """Whole runs. ``going_on``: the first is the rest of a long one."""
         start = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1))))
         length = np.diff(np.append(start, len(keys)))
@@ -168,33 +219,35 @@ def _scan_lists(rows: DataFrame, boundary: int, percent: int) -> DataFrame:
                 x, y = at + i, at + j
                 use = (keys[x, 2] == 0) | (n[y] > boundary)
                 if use.any():
-                    yield pairs(keys[:, 0], c, n, x[use], y[use])
+                    yield pairs(keys[:, 0], c, n, rest, x[use], y[use])
         if long.any():
             member, head = spread(length[long], start[long]), np.repeat(start[long], length[long])
-            yield pairs(keys[:, 0], c, n, head, member)
-            yield table(1, keys[member, 0], c[head], c[member])
+            yield pairs(keys[:, 0], c, n, rest, head, member)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(member), np.int8)), pa.array(keys[member, 0]), pa.array(c[head]), pa.array(c[member]), pa.array(n[member]), pa.array(rest[member])], names=names)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, c, n, going_on = np.zeros((0, 3), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), False
+        keys, going_on = np.zeros((0, 3), np.int64), False
+        c, n, rest = (np.zeros(0, np.int64) for _ in range(3))
         for batch in batches:
-            fields = [batch.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("sig", "salt", "single", "c", "n")]
-            keys, c, n = np.concatenate((keys, np.stack(fields[:3], axis=1))), np.concatenate((c, fields[3])), np.concatenate((n, fields[4]))
+            fields = [batch.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("sig", "salt", "single", "c", "n", "rest")]
+            keys = np.concatenate((keys, np.stack(fields[:3], axis=1)))
+            c, n, rest = (np.concatenate(x) for x in zip((c, n, rest), fields[3:], strict=True))
             if not len(c):
                 continue
             # A class may stand several times in a list, once for each task that met it.
             fresh = np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1) | (c[1:] != c[:-1])))
-            keys, c, n = keys[fresh], c[fresh], n[fresh]
+            keys, c, n, rest = keys[fresh], c[fresh], n[fresh], rest[fresh]
             cut = int(np.argmax((keys == keys[-1]).all(axis=1)))  # the last run may go on in the next batch
             if cut:
-                yield from emit(keys[:cut], c[:cut], n[:cut], going_on)
-                keys, c, n, going_on = keys[cut:], c[cut:], n[cut:], False
+                yield from emit(keys[:cut], c[:cut], n[:cut], rest[:cut], going_on)
+                keys, c, n, rest, going_on = keys[cut:], c[cut:], n[cut:], rest[cut:], False
             if len(c) > 100_000:  # a very long list: its members pass, its head stays
-                yield from emit(keys, c, n, going_on)
-                keys, c, n, going_on = keys[:1], c[:1], n[:1], True
+                yield from emit(keys, c, n, rest, going_on)
+                keys, c, n, rest, going_on = keys[:1], c[:1], n[:1], rest[:1], True
         if len(c):
-            yield from emit(keys, c, n, going_on)
+            yield from emit(keys, c, n, rest, going_on)
 
-    return own.mapInArrow(scan, "kind byte, sig long, a long, b long")
+    return own.mapInArrow(scan, "kind byte, sig long, a long, b long, n long, rest long")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -234,18 +287,42 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
             return label
 
 
-def _set_table(docs: DataFrame, keys: DataFrame, width: int, text: str, doc_id: str) -> DataFrame:
-    """Sorted shingle hashes of the classes in ``keys`` (``_k`` of one row of each)."""
+_TABLE_BITS = 24
+
+
+def _membership(keys: DataFrame) -> np.ndarray:
+    """A bit table of fixed size (2 MB) with two bits for each class in ``keys``; lets through all of them and few others."""
+    mask = F.lit((1 << _TABLE_BITS) - 1)
+    at = keys.select(F.explode(F.array(F.col("c").bitwiseAND(mask), F.shiftrightunsigned("c", _TABLE_BITS).bitwiseAND(mask))).alias("x"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("x").bitwiseAND(F.lit(31)).cast("int"))
+    words = at.groupBy(F.shiftright("x", 5).alias("w")).agg(F.bit_or(bit).alias("v")).toPandas()
+    table = np.zeros(1 << (_TABLE_BITS - 5), np.uint32)
+    table[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64).astype(np.uint32)
+    return table
+
+
+def _set_table(docs: DataFrame, keys: DataFrame, width: int, text: str) -> DataFrame:
+    """``c``, ``s``: sorted shingle hashes of the classes in ``keys``. Texts are hashed where they lie; a bit table of fixed
+    size stops most other sets there, and a join the rest."""
+    shared = docs.sparkSession.sparkContext.broadcast(_membership(keys))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, done, mask = shared.value, set(), (1 << _TABLE_BITS) - 1
         for whole in batches:
-            for part, values, at in _sets(whole, width):
-                data = values.tobytes()
-                s = [data[8 * a : 8 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("c"), pa.array(s, pa.binary())], names=["c", "s"])
+            for _, values, at in _sets(whole, width):
+                rows = []
+                for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    if a == b:
+                        continue
+                    c = _class_of(values[a:b])
+                    x, y = c & mask, (c >> _TABLE_BITS) & mask
+                    if table[x >> 5] >> np.uint32(x & 31) & 1 and table[y >> 5] >> np.uint32(y & 31) & 1 and c not in done:
+                        rows.append((c, values[a:b].tobytes()))
+                        done.add(c)
+                yield pa.RecordBatch.from_arrays([pa.array(np.array([c for c, _ in rows], np.uint64).view(np.int64)), pa.array([s for _, s in rows], pa.binary())], names=["c", "s"])
 
-    own = docs.select(row_key(doc_id, text).alias("_k"), F.col(text).alias("text")).join(keys, "_k")
-    return own.select("c", "text").mapInArrow(collect, "c long, s binary").dropDuplicates(["c"])
+    own = docs.select(F.col(text).alias("text")).mapInArrow(collect, "c long, s binary")
+    return own.join(keys, "c", "left_semi").dropDuplicates(["c"])
 
 
 def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text: str = "text", doc_id: str = "doc_id", scan_cost: float = SCAN_COST) -> DataFrame:
@@ -256,23 +333,30 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text:
     words have an empty set and are linked with nothing. Null ids never give a component its id while
     another is there. Repeated rows are each returned. Sets are told apart by 64-bit hashes."""
     own = staged(profiles(docs, width, text, doc_id), "profiles")
-    classes = staged(own.where("n > 0").groupBy("c").agg(F.min("_k").alias("_k"), F.min("doc_id").alias("least"), F.first("n").alias("n")), "classes")
+    classes = staged(own.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
     sizes = {r[0]: r[1] for r in classes.groupBy("n").count().collect()}  # as many rows as there are set sizes
     boundary = size_boundary(sizes, percent, scan_cost)
     counts = _bucket_counts(docs, width, text)
     found = staged(_scan_lists(_signatures(docs, counts, boundary, width, percent, text), boundary, percent), "lists")
-    pairs = staged(found.where("kind = 0").select("a", "b").distinct(), "pairs")
-    long = found.where("kind = 1").select("sig", F.col("b").alias("c")).distinct()
-    nodes = staged(pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).unionByName(long.select("c")).distinct(), "nodes")
-    sets = staged(_set_table(docs, classes.join(nodes, "c").select("_k", "c"), width, text, doc_id), "sets")
+    maps = classes.select("c", "n", "bits")
+    pairs = staged(_possible(staged(found.where("kind = 0").select("a", "b").distinct(), "pairs"), maps, percent), "possible")
+    long = staged(found.where("kind = 1").select("sig", F.col("b").alias("c"), "n", "rest").distinct(), "long")
+    ends = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
+    nodes = staged(ends.unionByName(long.select("c")).distinct(), "nodes")
+    sets = staged(_set_table(docs, staged(ends, "ends"), width, text), "sets")
     close = (100 * F.col("inter")) >= percent * F.col("total")
-    checked = staged(_similar(pairs, sets, percent), "checked")
-    links = checked.where(close)
-    label = components(links, nodes)
-    more = _across(long, checked, label, sets, percent)
+    checked = staged(_similar(pairs, sets, percent), "checked").where(close)
+    label = components(checked, nodes)
+
+    def similar(more: DataFrame) -> DataFrame:
+        """Pairs that were not asked before: bitmaps first, then whole sets."""
+        more = staged(_possible(staged(more, "asked"), maps, percent), "possible")
+        need = more.select(F.col("a").alias("c")).unionByName(more.select(F.col("b").alias("c"))).distinct()
+        return staged(_similar(more, staged(_set_table(docs, staged(need, "need"), width, text), "sets"), percent), "compared")
+
+    more = _across(long, checked, label, maps, percent, similar)
     if more is not None:
-        links = links.select("a", "b").unionByName(more)
-        label = components(links, nodes)
+        label = components(checked.select("a", "b").unionByName(more), nodes)
     # Names: the least document id of the classes of a component.
     named = classes.join(label, "c", "left").select("c", F.coalesce("comp", "c").alias("comp"), "least")
     names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
@@ -281,32 +365,45 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text:
     return got.unionByName(own.where("n = 0").select("_k", "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
-def _across(long: DataFrame, checked: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+def _bitmap_distance(pairs: DataFrame, maps: DataFrame) -> DataFrame:
+    """``a``, ``b``, ``d0``: the least Jaccard distance that the bitmaps of two classes allow."""
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, d = batch.column("xb"), batch.column("yb"), []
+            for i, (n, m) in enumerate(zip(batch.column("n").to_pylist(), batch.column("m").to_pylist(), strict=True)):
+                most = _most_shared(x[i], y[i], n, m)
+                d.append(1 - most / (n + m - most))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(d, pa.float64())], names=["a", "b", "d0"])
+
+    left, right = maps.toDF("a", "n", "xb"), maps.toDF("b", "m", "yb")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "xb", "yb").mapInArrow(bound, "a long, b long, d0 double")
+
+
+def _across(long: DataFrame, links: DataFrame, label: DataFrame, maps: DataFrame, percent: int, similar) -> DataFrame | None:
     """Links between components that meet in a long list, which their lists' first members did not show; None if there can be none."""
-    tagged = long.join(label, "c")
-    open_ = tagged.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
-    open_ = staged(open_, "open")
+    tagged = staged(long.join(label, "c"), "tagged")
+    open_ = staged(tagged.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig"), "open")
     if open_.isEmpty():
         return None
-    # Every member's centre: its most similar partner seen so far, or itself.
-    near = checked.where(100 * F.col("inter") >= percent * F.col("total"))
+    # Every member's centre: of its similar partners the one with most links of its own, or itself.
     d = 1 - F.col("inter") / F.col("total")
-    both = near.select(F.col("a").alias("c"), F.col("b").alias("r"), d.alias("d")).unionByName(near.select(F.col("b").alias("c"), F.col("a").alias("r"), d.alias("d")))
+    both = staged(links.select(F.col("a").alias("c"), F.col("b").alias("r"), d.alias("d")).unionByName(links.select(F.col("b").alias("c"), F.col("a").alias("r"), d.alias("d"))), "both")
     degree = staged(both.groupBy(F.col("c").alias("r")).count(), "degree")
     best = both.join(degree, "r").groupBy("c").agg(F.max(F.struct("count", -F.col("d"), "r", "d")).alias("m"))
     members = staged(tagged.join(open_, "sig"), "members")
     star = members.select("c", "comp").distinct().join(best, "c", "left").join(degree.select(F.col("r").alias("c"), F.col("count").alias("own")), "c", "left")
     self_ = F.col("m").isNull() | (F.coalesce("own", F.lit(0)) >= F.col("m.count"))
     star = staged(star.select("c", "comp", F.when(self_, F.col("c")).otherwise(F.col("m.r")).alias("r"), F.when(self_, 0.0).otherwise(F.col("m.d")).alias("d")), "star")
-    heads = staged(members.select("sig", "c").join(star, "c").select("sig", "r", "comp").distinct(), "heads")
-    one, two = heads.toDF("sig", "r1", "comp1"), heads.toDF("sig", "r2", "comp2")
-    meet = one.join(two, "sig").where("comp1 < comp2").select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct()
-    far = staged(_similar(meet.where("a <> b"), sets, percent).withColumn("d0", 1 - F.col("inter") / F.col("total")), "far")
-    reach = star.groupBy("r").agg(F.max("d").alias("radius"))
+    heads = staged(members.select("sig", "c", "n", "rest").join(star, "c").groupBy("sig", "r", "comp").agg(F.min("n").alias("n"), F.max("rest").alias("rest")), "heads")
+    one, two = heads.toDF("sig", "r1", "comp1", "n1", "rest1"), heads.toDF("sig", "r2", "comp2", "n2", "rest2")
+    room = percent * (F.col("n1") + F.col("n2")) <= (100 + percent) * F.least("rest1", "rest2")
+    meet = one.join(two, "sig").where((F.col("comp1") < F.col("comp2")) & room).select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct()
+    near = _bitmap_distance(staged(meet, "meet"), maps)
+    reach = staged(star.groupBy("r").agg(F.max("d").alias("radius")), "reach")
     bound = 1 - percent / 100 + 1e-9
-    far = far.join(reach.select(F.col("r").alias("a"), F.col("radius").alias("ra")), "a").join(reach.select(F.col("r").alias("b"), F.col("radius").alias("rb")), "b")
-    far = far.where(F.col("d0") <= bound + F.col("ra") + F.col("rb")).select("a", "b", "d0")
-    x, y = star.select(F.col("c").alias("x"), F.col("r").alias("a"), F.col("d").alias("dx"), F.col("comp").alias("cx")), star.select(F.col("c").alias("y"), F.col("r").alias("b"), F.col("d").alias("dy"), F.col("comp").alias("cy"))
-    left = staged(far, "near").join(x, "a").join(y, "b").where((F.col("d0") <= bound + F.col("dx") + F.col("dy")) & (F.col("cx") != F.col("cy")))
-    left = left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return _similar(left, sets, percent).where(100 * F.col("inter") >= percent * F.col("total")).select("a", "b")
+    near = near.join(reach.toDF("a", "ra"), "a").join(reach.toDF("b", "rb"), "b").where(F.col("d0") <= bound + F.col("ra") + F.col("rb")).select("a", "b", "d0", "rb")
+    x, y = star.toDF("x", "cx", "a", "dx"), star.toDF("y", "cy", "b", "dy")
+    left = staged(near, "near").join(x, "a").where(F.col("d0") <= bound + F.col("dx") + F.col("rb"))
+    left = left.join(y, "b").where((F.col("d0") <= bound + F.col("dx") + F.col("dy")) & (F.col("cx") != F.col("cy")))
+    return similar(left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()).where(100 * F.col("inter") >= percent * F.col("total")).select("a", "b")
