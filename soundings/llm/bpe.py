@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from .words import Words, slices, split_chunks, split_pieces, spread
 
-CACHE_SIZE = 400_000
+CACHE_SIZE = 250_000
 
 
 #: The file's own split pattern for ASCII, with letters up to U+024F counted in; texts beyond that go through the library's splitter.
