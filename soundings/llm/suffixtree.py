@@ -1,9 +1,14 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-Contexts are the words before a token, up to ``DEPTH`` of them, the beginning of the text counted as one. The tree keeps
-a context if its next-word distribution diverges from that of the context one word shorter by more than chance
-gives. Distributions are smoothed with the shorter context's, down to add-one unigrams; a token is scored in
-the longest kept context before it.
+Contexts are the words before a token, the beginning of the text counted as one. The tree keeps a context if its
+next-word distribution diverges from that of the context one word shorter by more than chance gives. Distributions
+are smoothed with the shorter context's, down to add-one unigrams; a token is scored in the longest kept context
+before it.
+
+Levels are counted one after the other: a run of words is the context of one level and a context with its next word
+of the level before, so that each level's counts say which contexts the next one has. It goes on while contexts pass
+the test. The tree is a table and scores add up: what a kept context takes from all words (``rest``) and what a word
+in its list differs from that are values of keys, so a text's score is one sum over a join.
 """
 
 from __future__ import annotations
@@ -13,20 +18,21 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import staged
 from .words import Words, mix, slices, split_words
 
-DEPTH = 2
-#: A context must hold this share of all training tokens: at most its inverse (10,000) of each length can be in the tree.
-CONTEXT_SHARE = 1e-4
-#: A word in a context's own list must hold this share there, and every task knows words of this share: at most its inverse (4 million) of each.
-WORD_SHARE = 2.5e-7
+#: Occurrences from which a context is tested, and from which a word stands in a context's list, at every size.
+CONTEXT_LEAST, PAIR_LEAST = 50, 3
+#: Every task holds the keys of this share of the training tokens: at most its inverse (2 million) words, and contexts and pairs of each level. The join has the others.
+HELD_SHARE = 5e-7
 BEGIN, END = np.uint64(0x5BE6A1F0C3D2E487), np.uint64(0xE4D1C7B2A3958677)
-_NONE = np.zeros(0, np.uint64)
+#: Tells a context's own key from that of the pair it is one level below.
+_CONTEXT = np.uint64(0x3C79AC492BA7B653)
+_BITS = 25
 
 
 def _tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -42,23 +48,54 @@ def _tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return symbols, np.repeat(np.arange(words.n_docs), n), np.arange(len(symbols)) - np.repeat(begin, n)
 
 
-def _longer(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    """The hash of ``context`` with one more word before it."""
-    return mix(context * np.uint64(0x9FB21C651E98DF25) + symbol)
-
-
 def _pair(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return mix(mix(context) + symbol)
 
 
-def _contexts(symbols: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each depth: which symbols have that many before them (the beginning is one), and the contexts' hashes."""
-    context, own = np.zeros(len(symbols), np.uint64), np.arange(len(symbols))
-    for depth in range(1, DEPTH + 1):
-        own = own[place[own] >= depth - 1]
-        before = np.where(place[own] == depth - 1, BEGIN, symbols[np.maximum(own - depth, 0)])
-        context[own] = _longer(context[own], before)
-        yield depth, own, context[own]
+def _levels(symbols: np.ndarray, place: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each level: the symbols with so many before them (the beginning is one); of these the contexts, the keys of context and symbol, and the keys one level below."""
+    key = symbols
+    for level in range(1, depth + 1):
+        context = np.empty_like(key)
+        context[:1], context[1:] = BEGIN, key[:-1]
+        if level == 1:
+            context[place == 0] = BEGIN
+        below, key = key, _pair(context, symbols)
+        own = np.flatnonzero(place >= level - 1)
+        yield level, own, context[own], key[own], below[own]
+
+
+def _signed(x: np.uint64) -> int:
+    return int(np.array([x]).view(np.int64)[0])
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """A bit table of fixed size (4 MB) with two bits for each ``key``; lets through all of them, and the fewer others the emptier it is."""
+    mask, size = F.lit((1 << _BITS) - 1), 1 << 13
+    at = keys.select(F.explode(F.array(F.col("key").bitwiseAND(mask), F.shiftrightunsigned("key", _BITS).bitwiseAND(mask))).alias("x"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("x").bitwiseAND(F.lit(31)).cast("int"))
+    words = at.groupBy(F.shiftright("x", 5).alias("w")).agg(F.bit_or(bit).alias("v"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part, w, v = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("part", "w", "v"))
+            for k in np.unique(part):
+                own, bits = part == k, np.zeros(size, np.uint32)
+                bits[w[own] % size] = v[own].astype(np.uint32)
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([bits.tobytes()], pa.binary())], names=["part", "bits"])
+
+    parts = words.withColumn("part", F.floor(F.col("w") / size)).repartition("part").sortWithinPartitions("part").select("part", "w", "v").mapInArrow(pack, "part long, bits binary")
+    table = np.zeros(1 << (_BITS - 5), np.uint32)
+    for part, bits in parts.toPandas().itertuples(index=False):
+        table[part * size : (part + 1) * size] |= np.frombuffer(bits, np.uint32)
+    return table
+
+
+def _passes(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    mask, out = np.uint64((1 << _BITS) - 1), np.ones(len(keys), bool)
+    for x in (keys & mask, (keys >> np.uint64(_BITS)) & mask):
+        out &= (table[(x >> np.uint64(5)).astype(np.int64)] >> (x & np.uint64(31)).astype(np.uint32) & np.uint32(1)).astype(bool)
+    return out
 
 
 def _find(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,33 +131,42 @@ def vocabulary(docs: DataFrame, text: str = "text", learn: str = "learn") -> Dat
     return own.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def next_counts(docs: DataFrame, depth: int, contexts: np.ndarray, symbols: np.ndarray, text: str = "text", learn: str = "learn") -> DataFrame:
-    """``context``, ``symbol``, ``n``: how often each of the given words follows each of the given contexts of one length."""
-    shared = docs.sparkSession.sparkContext.broadcast((contexts, symbols))
+def next_counts(docs: DataFrame, level: int, shared: Broadcast, text: str = "text", learn: str = "learn") -> DataFrame:
+    """``key``, ``context``, ``below``, ``n``: how often each word follows each context of one level. ``shared``: two filters.
 
+    Rows that a filter of the level's contexts, or one of the pairs one level below, does not let through are not
+    made: a pair is not more frequent than the one a word shorter. What they let through too much is for joins to drop."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        contexts, wanted = shared.value
+        contexts, shorter = shared.value
+        held, rows = [], 0
+
+        def summed():
+            key, context, below = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, first, n = np.unique(key, return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([*[pa.array(x[first].view(np.int64)) for x in (key, context, below)], pa.array(n)], names=["key", "context", "below", "n"])
+
         for whole in batches:
-            held, rows = [], 0
             for batch in slices(whole, "text"):
-                seen, _, place = _tokens(split_words(batch.column("text")))
-                for d, own, context in _contexts(seen, place):
-                    if d == depth:
-                        i, a = _find(context, contexts)
-                        j, b = _find(seen[own], wanted)
-                        both = a & b
-                        held.append((i[both].astype(np.int64) << 32) | j[both])
-                        rows += len(held[-1])
-            code, n = np.unique(np.concatenate(held or [np.zeros(0, np.int64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(contexts[code >> 32].view(np.int64)), pa.array(wanted[code & 0xFFFFFFFF].view(np.int64)), pa.array(n)], names=["context", "symbol", "n"])
+                symbols, _, place = _tokens(split_words(batch.column("text")))
+                for d, _, context, key, below in _levels(symbols, place, level):
+                    if d == level:
+                        use = np.flatnonzero(_passes(context, contexts))
+                        use = use[_passes(below[use], shorter)]
+                        held.append((key[use], context[use], below[use]))
+                        rows += len(use)
+                if rows > 2_000_000:
+                    yield summed()
+                    held, rows = [], 0
+        if held:
+            yield summed()
 
     own = docs.where(F.col(learn)).select(F.col(text).alias("text"))
-    return own.mapInArrow(count, "context long, symbol long, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+    return own.mapInArrow(count, "key long, context long, below long, n long").groupBy("key", "context", "below").agg(F.sum("n").alias("n"))
 
 
 @dataclass
 class SuffixTree:
-    """Bounded tables, sorted by hash: frequent words; for each depth the kept contexts and their lists."""
+    """``grown`` for a level that fits in memory; tests hold the tables against it."""
 
     words: np.ndarray
     counts: np.ndarray
@@ -138,24 +184,6 @@ class SuffixTree:
         out[known] = np.log10(self.counts[at[known]] + 1.0) - self.floor
         return out
 
-    def adjust(self, symbols: np.ndarray, place: np.ndarray, unigram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """What the contexts add to each token's score, and whether the unigram part is to be added too."""
-        own = [(o, c) for _, o, c in _contexts(symbols, place)]
-        score, open_ = np.zeros(len(symbols)), np.ones(len(symbols), bool)
-        known = ~np.isnan(unigram)
-        for d in range(len(self.contexts) - 1, -1, -1):
-            o, c = own[d]
-            live = open_[o]
-            o, c = o[live], c[live]
-            at, kept = _find(c, self.contexts[d])
-            o, c, at = o[kept], c[kept], at[kept]
-            i, listed = _find(_pair(c, symbols[o]), self.pairs[d])
-            listed &= known[o]
-            score[o[listed]] += self.scores[d][i[listed]]
-            open_[o[listed]] = False
-            score[o[~listed]] += self.rest[d][at[~listed]]
-        return score, open_
-
     def grow(self, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, total: np.ndarray, below: np.ndarray) -> None:
         """Test and add contexts of the next depth. ``total``: the context's count; ``below``: the word's probability one word shorter."""
         names, place = np.unique(context, return_inverse=True)
@@ -178,81 +206,104 @@ class SuffixTree:
         self.scores.append(np.log10(p[own])[by])
 
 
-def learn_tree(docs: DataFrame, vocab: DataFrame, text: str = "text", learn: str = "learn", context_share: float = CONTEXT_SHARE, word_share: float = WORD_SHARE) -> SuffixTree:
-    """Counts cover all rows to learn from; shares bound what is gathered, at every size alike."""
-    ends = docs.where(F.col(learn)).count()
-    words, kinds = vocab.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    total = words + ends
-    least = max(2, word_share * total)
-    top = vocab.where(F.col("n") >= least).toPandas()
-    h, n = top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
-    if ends:
-        h, n = np.append(h, END), np.append(n, ends)
-    by = np.argsort(h)
-    tree = SuffixTree(h[by], n[by], float(np.log10(total + kinds + (ends > 0) + 1)), ends)
-    # One word back: the words of enough share, and the beginning.
-    often = (tree.counts >= max(2, context_share * total)) & (tree.words != END)
-    before, count = np.append(tree.words[often], BEGIN), np.append(tree.counts[often], ends)
-    names = _longer(np.zeros(len(before), np.uint64), before)
-    shorter_of: np.ndarray | None = None
-    for depth in range(1, DEPTH + 1):
-        by = np.argsort(names)
-        names, before, count = names[by], before[by], count[by]
-        shorter_of = shorter_of[by] if shorter_of is not None else None
-        if not len(names) or not ends:
+def grown(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Test the contexts of a level. ``counts``: ``key``, ``context``, ``n``, ``whole`` (the context's count) and ``blp`` (log10 probability one word shorter).
+
+    Returns the kept contexts (``context``, ``whole``, ``kinds``, ``rest``), and all pairs with ``lp``, their log10 probability, and ``value``,
+    what it differs from that by the shorter context (NULL where the context is not kept)."""
+    below, n, whole = F.pow(F.lit(10.0), "blp"), F.col("n"), F.col("whole")
+    sums = counts.groupBy("context").agg(F.max("whole").alias("whole"), F.count("*").alias("kinds"), F.sum("n").alias("listed"), F.sum(below).alias("shorter"), F.sum(n * F.log(n / whole / below)).alias("gain"))
+    other, kinds = F.greatest(whole - F.col("listed"), F.lit(0)), F.col("kinds")
+    other_below = F.greatest(1 - F.col("shorter"), F.lit(1e-9))
+    gain = F.col("gain") + F.when(other > 0, other * F.log(other / whole / other_below)).otherwise(0.0)
+    left = F.greatest(1 - (F.col("listed") + kinds * F.col("shorter")) / (whole + kinds), F.lit(1e-9))
+    kept = staged(sums.where(2 * gain > kinds + 3 * F.sqrt(2 * kinds)).select("context", "whole", "kinds", F.log10(left / other_below).alias("rest")), "kept")
+    both = counts.join(kept.select("context", "kinds", "rest"), "context", "left")
+    lp = F.when(F.col("rest").isNotNull(), F.log10((n + kinds * below) / (whole + kinds))).otherwise(F.col("blp"))
+    return kept, staged(both.select("key", "n", lp.alias("lp"), (lp - F.col("blp") - F.col("rest")).alias("value")), "pairs")
+
+
+def learn_tree(docs: DataFrame, vocab: DataFrame, ends: int, floor: float, text: str = "text", learn: str = "learn", context_least: int = CONTEXT_LEAST, pair_least: int = PAIR_LEAST) -> tuple[DataFrame, int]:
+    """``key``, ``value``, ``n``, ``level`` (0: words) and ``listed`` (or a context), and the number of levels; counts cover all rows to learn from."""
+    spark = docs.sparkSession
+    row = lambda h: spark.createDataFrame([(_signed(h), ends)] if ends else [], "key long, n long")
+    words = vocab.select(F.col("h").alias("key"), "n").unionByName(row(END))
+    tree = words.select("key", F.log10(F.col("n") + 1.0).alias("value"), "n", F.lit(0).alias("level"), F.lit(True).alias("listed"))
+    contexts = vocab.select(F.col("h").alias("key"), "n").unionByName(row(BEGIN)).where(F.col("n") >= context_least)
+    pairs = words.where(F.col("n") >= pair_least).select("key", "n", (F.log10(F.col("n") + 1.0) - floor).alias("lp"))
+    level = 0
+    while not contexts.isEmpty():
+        shared = spark.sparkContext.broadcast((_filter(contexts), _filter(pairs)))
+        rows = staged(next_counts(docs, level + 1, shared, text, learn).where(F.col("n") >= pair_least), "counts")
+        shared.destroy()
+        known = rows.join(contexts.select(F.col("key").alias("context"), F.col("n").alias("whole")), "context")
+        known = staged(known.join(pairs.select(F.col("key").alias("below"), F.col("lp").alias("blp")), "below").drop("below"), "known")
+        kept, pairs = grown(known)
+        if kept.isEmpty():
             break
-        rows = next_counts(docs, depth, names, tree.words, text, learn).where(F.col("n") >= least).toPandas()
-        context, symbol = (rows[k].to_numpy(np.int64).view(np.uint64) for k in ("context", "symbol"))
-        n = rows["n"].to_numpy(float)
-        at, _ = _find(context, names)
-        below = 10 ** tree.unigram(symbol)
-        if shorter_of is not None:  # the word in the context one shorter: in its list, or by the unigram's rest
-            short = shorter_of[at]
-            i, kept = _find(short, tree.contexts[0])
-            j, listed = _find(_pair(short, symbol), tree.pairs[0])
-            below = np.where(kept & listed, 10 ** (tree.scores[0][j] if len(tree.scores[0]) else 0.0), np.where(kept, below * 10 ** (tree.rest[0][i] if len(tree.rest[0]) else 0.0), below))
-        tree.grow(context, symbol, n, count[at].astype(float), below)
-        if depth < DEPTH:
-            # Contexts one longer are pairs of a known context's word and a word of enough share after it.
-            long = np.flatnonzero((n >= max(2, context_share * total)) & (symbol != END))
-            shorter_of = _longer(np.zeros(len(long), np.uint64), symbol[long])
-            before, count = before[at[long]], n[long].astype(np.int64)
-            names = _longer(shorter_of, before)
-    return tree
-
-
-def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", learn: str = "learn", context_share: float = CONTEXT_SHARE, word_share: float = WORD_SHARE) -> DataFrame:
+        level += 1
+        own = kept.select(F.col("context").bitwiseXOR(F.lit(_signed(_CONTEXT))).alias("key"), F.col("rest").alias("value"), F.col("whole").alias("n"), F.lit(level).alias("level"), F.lit(False).alias("listed"))
+        tree = tree.unionByName(own).unionByName(pairs.where("value is not null").select("key", "value", "n", F.lit(level).alias("level"), F.lit(True).alias("listed")))
+        contexts = pairs.where(F.col("n") >= context_least)
+    return tree, level
+
+
+def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", learn: str = "learn", context_least: int = CONTEXT_LEAST, pair_least: int = PAIR_LEAST, held_share: float = HELD_SHARE) -> DataFrame:
     """Score every whole text; the model and the counts come from the rows where ``learn`` is true.
 
     Returns ``doc_id``, ``learn``, ``n_tokens`` (words and the end), ``n_known``, ``train_tokens``, ``base_score`` (add-one unigrams) and
     ``score`` (log10 probability under the tree). Null texts count as empty: the end alone. Repeated rows are each
-    returned and each counted. Without rows to learn from, all tokens are unknown. Words of little share are
-    looked up in the full counts by a join."""
+    returned and each counted. Without rows to learn from, all tokens are unknown. Keys of little share are
+    looked up in the whole tree by a join."""
     spark = docs.sparkSession
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.col(learn), F.lit(False)).alias("learn"))
     vocab = staged(vocabulary(own), "vocabulary")
-    model = learn_tree(own, vocab, context_share=context_share, word_share=word_share)
-    shared = spark.sparkContext.broadcast(model)
+    ends = own.where(F.col("learn")).count()
+    words, kinds = vocab.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    total = words + ends
+    floor = float(np.log10(total + kinds + (ends > 0) + 1))
+    tree, depth = learn_tree(own, vocab, ends, floor, context_least=context_least, pair_least=pair_least)
+    often = F.col("n") >= held_share * total
+    rare = tree.where(~often)
+    top = tree.where(often).select("key", "value", "level", "listed").toPandas()
+    top = top.assign(key=top["key"].to_numpy(np.int64).view(np.uint64)).sort_values("key")
+    held = {k: (g["key"].to_numpy(np.uint64), g["value"].to_numpy(float)) for k, g in top.groupby(["level", "listed"])}
+    shared = spark.sparkContext.broadcast((held, _filter(rare)))
+    none_held = (np.zeros(0, np.uint64), np.zeros(0))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
+        held, rare = shared.value
         row = TaskContext.get().partitionId() << 40
         names = ["r", "doc_id", "learn", "n_tokens", "known", "base", "score", "h", "tf"]
         for whole in batches:
             for batch in slices(whole, "text"):
                 words = split_words(batch.column("text"))
                 symbols, doc, place = _tokens(words)
-                n = words.n_docs
-                unigram = tree.unigram(symbols)
-                known = ~np.isnan(unigram)
-                extra, plain = tree.adjust(symbols, place, unigram)
-                base = np.bincount(doc[known], weights=unigram[known], minlength=n)
-                full = np.bincount(doc, weights=extra, minlength=n) + np.bincount(doc[known & plain], weights=unigram[known & plain], minlength=n)
+                n, asked = words.n_docs, []
+
+                def add(to, at, keys, name):
+                    """Add the values of the keys held; note those to be asked for. True for either."""
+                    table, values = held.get(name, none_held)
+                    i, found = _find(keys, table)
+                    to[at[found]] += values[i[found]]
+                    rest = np.flatnonzero(~found)
+                    rest = rest[_passes(keys[rest], rare)]
+                    asked.append((doc[at[rest]], keys[rest]))
+                    live = found.copy()
+                    live[rest] = True
+                    return found, live
+
+                base, extra = np.full(len(symbols), -floor), np.zeros(len(symbols))
+                known, _ = add(base, np.arange(len(symbols)), symbols, (0, True))
+                for level, at, context, key, _ in _levels(symbols, place, depth):
+                    _, live = add(extra, at, context ^ _CONTEXT, (level, False))
+                    add(extra, at[live], key[live], (level, True))
+                base, extra = np.bincount(doc, weights=base, minlength=n), np.bincount(doc, weights=extra, minlength=n)
                 none, ids = pa.nulls(n, pa.int64()), row + np.arange(n)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column("doc_id"), batch.column("learn"), pa.array(words.counts.astype(np.int64) + 1), pa.array(np.bincount(doc[known], minlength=n)), pa.array(base.astype(float)), pa.array(full.astype(float)), none, none], names=names)
-                rest = np.flatnonzero(~known)
-                by = np.lexsort((symbols[rest], doc[rest]))
-                d, x = doc[rest][by], symbols[rest][by]
+                yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column("doc_id"), batch.column("learn"), pa.array(words.counts.astype(np.int64) + 1), pa.array(np.bincount(doc[known], minlength=n)), pa.array(base), pa.array(base + extra), none, none], names=names)
+                d, x = (np.concatenate(k) for k in zip(*asked, strict=True))
+                by = np.lexsort((x, d))
+                d, x = d[by], x[by]
                 first = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (x[1:] != x[:-1])))) if len(d) else np.zeros(0, np.int64)
                 m = len(first)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[d[first]]), pa.nulls(m, batch.column("doc_id").type), pa.nulls(m, pa.bool_()), *[pa.nulls(m, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())], pa.array(x[first].view(np.int64)), pa.array(np.diff(np.append(first, len(d))))], names=names)
@@ -260,11 +311,10 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
 
     kind = own.schema["doc_id"].dataType.simpleString()
     parts = staged(own.mapInArrow(read, f"r long, doc_id {kind}, learn boolean, n_tokens long, known long, base double, score double, h long, tf long"), "parts")
-    rare = parts.where("h is not null").select("r", "h", "tf").join(vocab, "h", "left")
-    part = F.col("tf") * (F.log10(F.coalesce("n", F.lit(0)) + 1.0) - model.floor)
-    rare = rare.select("r", F.when(F.col("n") > 0, F.col("tf")).otherwise(0).alias("known"), part.alias("base"))
+    found = parts.where("h is not null").select("r", F.col("h").alias("key"), "tf").join(rare.select("key", "value", (F.col("level") == 0).alias("word")), "key")
+    part = F.col("tf") * F.col("value")
+    found = found.select("r", F.when(F.col("word"), F.col("tf")).otherwise(0).alias("known"), F.when(F.col("word"), part).otherwise(0.0).alias("base"), part.alias("score"))
     whole = parts.where("h is null").select("r", "doc_id", "learn", "n_tokens", "known", "base", "score")
-    both = whole.unionByName(rare.selectExpr("r", f"cast(null as {kind}) as doc_id", "cast(null as boolean) as learn", "0L as n_tokens", "known", "base", "base as score"))
+    both = whole.unionByName(found.selectExpr("r", f"cast(null as {kind}) as doc_id", "cast(null as boolean) as learn", "0L as n_tokens", "known", "base", "score"))
     out = both.groupBy("r").agg(F.max("doc_id").alias("doc_id"), F.max("learn").alias("learn"), *[F.sum(c).alias(c) for c in ("n_tokens", "known", "base", "score")])
-    total = vocab.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] + model.ends
     return out.select("doc_id", "learn", "n_tokens", F.col("known").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")

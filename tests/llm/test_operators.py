@@ -286,6 +286,61 @@ def test_tree_distributions_add_up_to_one():
     assert abs(listed + 10 ** tree.rest[0][0] * (1 - below.sum()) - 1) < 1e-9
 
 
+def _tree_scores(docs, context_least, pair_least):
+    """Brute force: all contexts of any length, level by level while one is kept."""
+    texts = [(learn, ["<", *WORD.findall(t.translate(LOWER)), ">"]) for t, learn in docs]
+    uni = defaultdict(int)
+    for learn, w in texts:
+        for x in w[1:] if learn else []:
+            uni[x] += 1
+    floor, trees = sum(uni.values()) + len(uni) + 1, []
+
+    def chain(context, x, level):
+        if not level:
+            return (uni[x] + 1) / floor
+        rest, listed = trees[level - 1].get(context[-level:], (None, {})) if len(context) >= level else (None, {})
+        return listed[x] if x in listed else (1 if rest is None else rest) * chain(context, x, level - 1)
+
+    while True:
+        level = len(trees) + 1
+        n = defaultdict(lambda: defaultdict(int))
+        for learn, w in texts:
+            for i in range(level, len(w)) if learn else []:
+                n[tuple(w[i - level : i])][w[i]] += 1
+        kept = {}
+        for c, follow in n.items():
+            whole = sum(follow.values())
+            own = {x: k for x, k in follow.items() if k >= pair_least}
+            if whole >= context_least and own:
+                below = {x: chain(c, x, level - 1) for x in own}
+                gain = sum(k * np.log(k / whole / below[x]) for x, k in own.items())
+                other, other_below = whole - sum(own.values()), max(1 - sum(below.values()), 1e-9)
+                gain += other * np.log(other / whole / other_below) if other else 0
+                if 2 * gain > len(own) + 3 * np.sqrt(2 * len(own)):
+                    p = {x: (k + len(own) * below[x]) / (whole + len(own)) for x, k in own.items()}
+                    kept[c] = (max(1 - sum(p.values()), 1e-9) / other_below, p)
+        if not kept:
+            return level - 1, [sum(np.log10(chain(tuple(w[:i]), w[i], level - 1)) for i in range(1, len(w))) for _, w in texts]
+        trees.append(kept)
+
+
+@pytest.mark.parametrize("held_share", [0.0, 0.01, 1.0])
+def test_tree_scores_equal_brute_force_at_any_depth(spark, held_share):
+    """A word that only the fourth before it tells needs four levels; keys held by tasks and keys of the join give the same."""
+    rng = np.random.default_rng(8)
+    docs = []
+    for i in range(80):
+        w = [str(x) for x in rng.choice(list("abc"), 4)]
+        while len(w) < 60:
+            w.append(w[-4] if rng.random() < 0.9 else str(rng.choice(list("abcde"))))
+        docs.append((" ".join(w), i % 5 > 0))
+    levels, want = _tree_scores(docs, 20, 3)
+    assert levels >= 4
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(docs)], "doc_id long, text string, learn boolean")
+    got = {r["doc_id"]: r["score"] for r in suffixtree.score_texts(df, context_least=20, pair_least=3, held_share=held_share).collect()}
+    assert np.allclose([got[i] for i in range(len(docs))], want, rtol=0, atol=1e-6)
+
+
 # 7 Near duplicates
 
 
