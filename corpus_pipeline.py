@@ -29,11 +29,22 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents, the one with the least id stays, and of equal rows one."""
-    found = jaccard_components(docs)
-    stay = found.where((F.col("doc_id") == F.col("component_id")) | F.col("component_id").isNull()).select("_k").distinct()
+    """Of each group of similar documents one row stays: of the least id (null ids last), then of the least hash of the text, then of equal rows one.
+
+    Rows without words are in no group and stay."""
+    found = staged(jaccard_components(docs), "found")
+    keys = found.where("component is not null").groupBy("component", "_k").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows"))
+    least = keys.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_k", "rows")).alias("least"))
+    alone = found.where("component is null").select("_k", F.lit(1).cast("long").alias("rows")).distinct()
+    stay = staged(least.select("least._k", "least.rows").unionByName(alone), "stay")
     own = docs.select(F.struct("*").alias("row")).withColumn("_k", row_key("row.doc_id", "row.text"))
-    return own.join(staged(stay, "stay"), "_k", "left_semi").select("row.*")
+    out = own.join(stay.where("rows = 1").select("_k"), "_k", "left_semi").select("row.*")
+    repeated = stay.where("rows > 1").select("_k")
+    if repeated.isEmpty():
+        return out
+    tie = F.xxhash64(*[F.col(f"row.`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    copies = staged(own.join(repeated, "_k", "left_semi").withColumn("_tie", tie), "copies")
+    return out.unionByName(copies.groupBy("_k").agg(F.min_by("row", "_tie").alias("row")).select("row.*"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

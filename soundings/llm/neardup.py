@@ -328,8 +328,8 @@ def _set_table(docs: DataFrame, keys: DataFrame, width: int, text: str) -> DataF
 def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text: str = "text", doc_id: str = "doc_id", scan_cost: float = SCAN_COST) -> DataFrame:
     """Connected components of documents whose shingle sets have 100 * intersection >= ``percent`` * union.
 
-    Returns ``_k`` (``row_key(doc_id, text)``), ``doc_id``, ``n_shingles`` and ``component_id`` (the least ``doc_id`` of the
-    component) for every row. Fewer words than ``width``: the whole sequence is one shingle. Null texts and texts without
+    Returns ``_k`` (``row_key(doc_id, text)``), ``doc_id``, ``n_shingles``, ``component_id`` (the least ``doc_id`` of the
+    component) and ``component`` (its hash, NULL for empty sets) for every row. Fewer words than ``width``: the whole sequence is one shingle. Null texts and texts without
     words have an empty set and are linked with nothing. Null ids never give a component its id while
     another is there. Repeated rows are each returned. Sets are told apart by 64-bit hashes."""
     own = staged(profiles(docs, width, text, doc_id), "profiles")
@@ -360,9 +360,9 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text:
     # Names: the least document id of the classes of a component.
     named = classes.join(label, "c", "left").select("c", F.coalesce("comp", "c").alias("comp"), "least")
     names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    final = staged(named.select("c", "comp").join(names, "comp").select("c", "component_id"), "components")
-    got = own.where("n > 0").join(final, "c").select("_k", "doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return got.unionByName(own.where("n = 0").select("_k", "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    final = staged(named.select("c", "comp").join(names, "comp").select("c", "component_id", F.col("comp").alias("component")), "components")
+    got = own.where("n > 0").join(final, "c").select("_k", "doc_id", F.col("n").alias("n_shingles"), "component_id", "component")
+    return got.unionByName(own.where("n = 0").select("_k", "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("component")))
 
 
 def _bitmap_distance(pairs: DataFrame, maps: DataFrame) -> DataFrame:

@@ -539,3 +539,20 @@ def test_pipeline_stages(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == df.columns
+
+
+def test_one_row_of_each_group_stays(spark, odd, empty):
+    """Repeated rows, a repeated id with similar texts, groups of null ids only, and rows without words."""
+    import corpus_pipeline
+
+    left = rows(corpus_pipeline.near_duplicates(spark, odd, ""))
+    assert left == sorted(set(ODD[:6]) | set(ODD[7:]), key=str) and len(left) == len(ODD) - 1
+    a, b, c = ([f"{k}{i}" for i in range(80)] for k in "abc")
+    texts = [" ".join(x) for w in (a, b, c) for x in (w, [*w[:-1], "z"])]
+    docs = [(7, texts[0]), (7, texts[1]), (7, texts[0]), (None, texts[0]), (None, texts[2]), (None, texts[3]), (None, texts[2]), (9, texts[4]), (8, texts[5]), (None, texts[4]), (1, ""), (1, ""), (2, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], SCHEMA)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, df, "").collect()]
+    assert len(got) == 6 and sorted(x for x in got if not x[1]) == [(1, ""), (1, ""), (2, None)]
+    (x, s), (y, t), (z, u) = sorted((x for x in got if x[1]), key=lambda r: r[1])
+    assert (x, y, z) == (7, None, 8) and s in texts[:2] and t in texts[2:4] and u == texts[5]
+    assert corpus_pipeline.near_duplicates(spark, empty, "").isEmpty()
