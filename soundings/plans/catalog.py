@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import acoustics, geo, text
-from ..operators import echo, environment, grid, statistics, track
+from ..operators import echo, environment, grid, statistics
 from ..session import shared_path
 from ..sources import csvs, logs, store
 from ..streaming import ingest
@@ -85,8 +85,7 @@ def snk07_products(spark, d):
 
 @query(f"with {SEGMENTS} select day, count(*) as n_points, round(arg_min(lon, (t, event_id)), 6) as lon_start from seg group by day")
 def snk10_day_segments(spark, d):
-    own = track.capped_points(fixes(spark, d), 1_000_000, ["day"], ["t", "event_id"])
-    return own.groupBy("day").agg(F.count("*").alias("n_points"), r6(F.min_by("lon", F.struct("t", "event_id"))).alias("lon_start"))
+    return fixes(spark, d).groupBy("day").agg(F.count("*").alias("n_points"), r6(F.min_by("lon", F.struct("t", "event_id"))).alias("lon_start"))
 
 
 @query("select event_id, case when event_id % 10 < 7 then (event_id % 100)::double end as mostly, (event_id % 5)::varchar as code from events")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from soundings.functions import geo
 from soundings.operators import echo, timejoin, track
+from soundings.plans import catalog, queries
 
 MINUTE = 60_000_000
 
@@ -106,3 +107,16 @@ def test_capped_points_keep_ends(spark):
     df = frame(spark, [(1, k) for k in range(100)], "platform int, t long")
     got = sorted(r["t"] for r in track.capped_points(df, 5, ["platform"], ["t"]).collect())
     assert got == [int(np.floor(i * 99 / 4)) for i in range(5)]
+
+
+def two_days(spark, path):
+    """Ten events on each of two days, on one straight line."""
+    at = "timestamp_ntz'2024-01-01 10:00:00' + make_dt_interval(cast(id div 10 as int), 0, cast(id % 10 as int))"
+    spark.range(20).selectExpr("id as event_id", "1L as user_id", f"{at} as ts", "1.0 as value", "'x' as event_type").write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+def test_day_segments_count_every_row(spark, tmp_path, monkeypatch):
+    capped = track.capped_points
+    monkeypatch.setattr(track, "capped_points", lambda df, most, by, order: capped(df, min(most, 3), by, order))
+    assert [r["n_points"] for r in catalog.snk10_day_segments(spark, two_days(spark, tmp_path)).collect()] == [10, 10]
