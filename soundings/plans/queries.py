@@ -82,7 +82,7 @@ def win05_smoothing(spark, d):
 
 @query()
 def win19_simplified(spark, d):
-    return track.simplify(fixes(spark, d), 5.0, 10.0, by=["platform"])
+    return track.simplify(fixes(spark, d), 5.0, 10.0).select("platform", "event_id")
 
 
 @query(f"""with {TRACK}, b as (select *, (t - min(t) over (partition by platform)) // 86400000000 as bucket from track),

@@ -120,3 +120,8 @@ def test_day_segments_count_every_row(spark, tmp_path, monkeypatch):
     capped = track.capped_points
     monkeypatch.setattr(track, "capped_points", lambda df, most, by, order: capped(df, min(most, 3), by, order))
     assert [r["n_points"] for r in catalog.snk10_day_segments(spark, two_days(spark, tmp_path)).collect()] == [10, 10]
+
+
+def test_simplified_query_takes_a_track_day_as_the_group(spark, tmp_path):
+    out = queries.win19_simplified(spark, two_days(spark, tmp_path))
+    assert out.columns == ["platform", "event_id"] and sorted(r["event_id"] for r in out.collect()) == [0, 9, 10, 19]
