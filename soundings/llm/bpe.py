@@ -198,7 +198,7 @@ class TextEncoder:
 
     def __init__(self, path: str) -> None:
         self.words = WordEncoder.of(path)
-        self.cache: dict[int, tuple[int, ...]] = {}
+        self.cache: dict[bytes, tuple[int, ...]] = {}
 
     @classmethod
     def of(cls, path: str) -> TextEncoder:
@@ -215,11 +215,10 @@ class TextEncoder:
     def distinct(self, texts: pa.Array):
         """The chunks of the texts, the ids of each distinct chunk, and each chunk's place among those."""
         chunks = self._split(texts)
-        hashes, strings, place = chunks.distinct()
-        keys = hashes.tolist()
+        _, keys, place = chunks.distinct()
         found = [self.cache.get(k) for k in keys]
         new = [i for i, x in enumerate(found) if x is None]
-        for i, ids in zip(new, self.words.encode_chunks([strings[i].decode() for i in new]), strict=True):
+        for i, ids in zip(new, self.words.encode_chunks([keys[i].decode() for i in new]), strict=True):
             found[i] = ids
             if len(self.cache) < CACHE_SIZE:
                 self.cache[keys[i]] = ids

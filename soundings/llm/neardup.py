@@ -7,8 +7,9 @@ in the corpus (a table of fixed size), rarest first, so that passages which many
 With overlap at least ``alpha`` needed, two sets share ``k`` of the first ``n - alpha + k`` shingles of each. Small
 sets are found by the pairs (k = 2) among those, large sets by single shingles (k = 1); the boundary is
 the size of least estimated cost. Lists of candidates that are short give all their pairs. Long ones
-give each member's pair with the list's first; what those links do not connect is then compared by way
-of the metric: Jaccard distance obeys the triangle inequality, so centres far apart settle all their members.
+give each member's pair with a head, another one for each list. Lists whose members are then still in several components
+are put together by their least member into bundles. The sets of a bundle are held against each other in blocks of bounded size, as bits over
+the shingles of two blocks, and only what joins components leaves the task.
 
 A pair is a candidate only where enough of both sets stands behind the place they share: at its first common
 shingle, the rest of each set from there on holds the whole overlap. Candidates are then held against bitmaps
@@ -30,6 +31,10 @@ from .shared import row_key, staged
 from .words import mix, shingle_sets, slices, split_words, spread
 
 BUCKET_BITS = 18
+#: Classes that a task remembers in order not to give them twice; what it gives twice is dropped later.
+SEEN = 1 << 18
+#: Shingles in a block of sets, for bundles of up to eight blocks and for larger ones.
+BLOCK, LARGE_BLOCK = 1 << 16, 1 << 22
 #: Lists up to this length give all pairs of members.
 SHORT_LIST = 8
 #: Estimated list entries met for each posting of a single shingle, against one for each subset enumerated.
@@ -59,17 +64,22 @@ def _bitmap(values: np.ndarray) -> bytes:
     return np.packbits(marks, bitorder="little").tobytes()
 
 
-def _fold(bits: np.ndarray, size: int) -> np.ndarray:
-    while len(bits) > size:
-        bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
-    return bits
-
-
-def _most_shared(x: pa.BinaryScalar, y: pa.BinaryScalar, n: int, m: int) -> int:
-    p, q = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
-    size = min(len(p), len(q))
-    p, q = _fold(p, size), _fold(q, size)
-    return min(n - int(np.bitwise_count(p & ~q).sum()), m - int(np.bitwise_count(q & ~p).sum()))
+def _most_shared(x: pa.Array, y: pa.Array, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Upper bounds of the overlaps of pairs of sets from their bitmaps; the wider one of two is folded to the other's size."""
+    out = np.minimum(n, m)
+    (a, p), (b, q) = ((np.frombuffer(z.buffers()[1], np.int32, len(z) + 1, 4 * z.offset), np.frombuffer(z.buffers()[2], np.uint8)) for z in (x, y))
+    sizes = np.stack((np.diff(a), np.diff(b)), axis=1)
+    for one, two in np.unique(sizes, axis=0).tolist():
+        own = np.flatnonzero((sizes[:, 0] == one) & (sizes[:, 1] == two))
+        step = max(1, (4 << 20) // max(one, two))
+        for at in range(0, len(own), step):
+            k = own[at : at + step]
+            left, right = p[a[k][:, None] + np.arange(one)], q[b[k][:, None] + np.arange(two)]
+            size = min(one, two)
+            left, right = (np.bitwise_or.reduce(z.reshape(len(k), -1, size), axis=1).view(np.uint64) for z in (left, right))
+            more = np.bitwise_count(left & ~right).sum(axis=1), np.bitwise_count(right & ~left).sum(axis=1)
+            out[k] = np.minimum(n[k] - more[0].astype(np.int64), m[k] - more[1].astype(np.int64))
+    return out
 
 
 def _possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
@@ -77,11 +87,9 @@ def _possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y, keep = batch.column("xb"), batch.column("yb"), []
-            for i, (n, m) in enumerate(zip(batch.column("n").to_pylist(), batch.column("m").to_pylist(), strict=True)):
-                most = _most_shared(x[i], y[i], n, m)
-                keep.append(100 * most >= percent * (n + m - most))
-            mask = pa.array(keep, pa.bool_())
+            n, m = (np.asarray(batch.column(k)) for k in ("n", "m"))
+            most = _most_shared(batch.column("xb"), batch.column("yb"), n, m)
+            mask = pa.array(100 * most >= percent * (n + m - most))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
     left, right = maps.toDF("a", "n", "xb"), maps.toDF("b", "m", "yb")
@@ -162,7 +170,8 @@ def _signatures(docs: DataFrame, counts: np.ndarray, boundary: int, width: int,
                     c = _class_of(s)
                     if c in seen:
                         continue
-                    seen.add(c)
+                    if len(seen) < SEEN:
+                        seen.add(c)
                     often = table[(s >> shift).astype(np.int64)]
                     prefix = n - _least(n, percent) + 2
                     order = np.argsort(often, kind="stable")[:prefix]
@@ -184,20 +193,22 @@ def _signatures(docs: DataFrame, counts: np.ndarray, boundary: int, width: int,
                     size.append(np.full(rows, n, np.int32))
                 if sig:
                     cls, full = np.concatenate(cls), np.concatenate(full)
-                    salt = np.where(full <= room, 0, 1 + (mix(cls) % (full // room + 1).astype(np.uint64)).astype(np.int32)).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(salt), pa.array(cls.view(np.int64)), pa.array(np.concatenate(size)), pa.array(np.concatenate(rest).astype(np.int32)), pa.array(np.concatenate(single))], names=["sig", "salt", "c", "n", "rest", "single"])
+                    sig = np.concatenate(sig)
+                    salt = np.where(full <= room, 0, 1 + (mix(cls ^ mix(sig)) % (full // room + 1).astype(np.uint64)).astype(np.int32)).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(salt), pa.array(cls.view(np.int64)), pa.array(np.concatenate(size)), pa.array(np.concatenate(rest).astype(np.int32)), pa.array(np.concatenate(single))], names=["sig", "salt", "c", "n", "rest", "single"])
 
     return docs.select(F.col(text).alias("text")).mapInArrow(sign, "sig long, salt int, c long, n int, rest int, single boolean")
 
 
 def _scan_lists(rows: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """Run through sorted lists: pairs (``kind`` 0: a, b) and the members of long or salted lists (``kind`` 1: sig, b, n, rest).
+    """Run through sorted lists: pairs (``kind`` 0: a, b) and the members of long or salted lists (``kind`` 1: sig, b, n).
 
     Rows stream by; only the run of one short list is held."""
     # ``single`` lists join small with large sets and large with each other; two small sets meet in the subsets.
-    own = rows.repartition("sig", "salt", "single").sortWithinPartitions("sig", "single", "salt", "n", "c")
+    # Members stand in another random order in every list, so each is held against another head in each.
+    own = rows.repartition("sig", "salt", "single").sortWithinPartitions("sig", "single", "salt", F.xxhash64("sig", "c"), "c")
 
-    names = ["kind", "sig", "a", "b", "n", "rest"]
+    names = ["kind", "sig", "a", "b", "n"]
 
     def pairs(sig, c, n, rest, x, y):
         """Pairs that sizes and the rests behind the shared place allow."""
@@ -205,7 +216,7 @@ def _scan_lists(rows: DataFrame, boundary: int, percent: int) -> DataFrame:
         ok = (np.minimum(n[x], n[y]) * 100 >= percent * np.maximum(n[x], n[y])) & (need <= np.minimum(rest[x], rest[y])) & (c[x] != c[y])
         x, y = x[ok], y[ok]
         none = pa.nulls(len(x), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(x), np.int8)), pa.array(sig[x]), pa.array(np.minimum(c[x], c[y])), pa.array(np.maximum(c[x], c[y])), none, none], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(x), np.int8)), pa.array(sig[x]), pa.array(np.minimum(c[x], c[y])), pa.array(np.maximum(c[x], c[y])), none], names=names)
 
     def emit(keys, c, n, rest, going_on: bool):
         """Whole runs. ``going_on``: the first is the rest of a long one."""
@@ -217,13 +228,13 @@ def _scan_lists(rows: DataFrame, boundary: int, percent: int) -> DataFrame:
             at = start[(length == k) & ~long]
             for i, j in combinations(range(k), 2):
                 x, y = at + i, at + j
-                use = (keys[x, 2] == 0) | (n[y] > boundary)
+                use = (keys[x, 2] == 0) | (np.maximum(n[x], n[y]) > boundary)
                 if use.any():
                     yield pairs(keys[:, 0], c, n, rest, x[use], y[use])
         if long.any():
             member, head = spread(length[long], start[long]), np.repeat(start[long], length[long])
             yield pairs(keys[:, 0], c, n, rest, head, member)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(member), np.int8)), pa.array(keys[member, 0]), pa.array(c[head]), pa.array(c[member]), pa.array(n[member]), pa.array(rest[member])], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(member), np.int8)), pa.array(keys[member, 0]), pa.array(c[head]), pa.array(c[member]), pa.array(n[member])], names=names)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, going_on = np.zeros((0, 3), np.int64), False
@@ -247,7 +258,7 @@ def _scan_lists(rows: DataFrame, boundary: int, percent: int) -> DataFrame:
         if len(c):
             yield from emit(keys, c, n, rest, going_on)
 
-    return own.mapInArrow(scan, "kind byte, sig long, a long, b long, n long, rest long")
+    return own.mapInArrow(scan, "kind byte, sig long, a long, b long, n long")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -318,7 +329,8 @@ def _set_table(docs: DataFrame, keys: DataFrame, width: int, text: str) -> DataF
                     x, y = c & mask, (c >> _TABLE_BITS) & mask
                     if table[x >> 5] >> np.uint32(x & 31) & 1 and table[y >> 5] >> np.uint32(y & 31) & 1 and c not in done:
                         rows.append((c, values[a:b].tobytes()))
-                        done.add(c)
+                        if len(done) < SEEN:
+                            done.add(c)
                 yield pa.RecordBatch.from_arrays([pa.array(np.array([c for c, _ in rows], np.uint64).view(np.int64)), pa.array([s for _, s in rows], pa.binary())], names=["c", "s"])
 
     own = docs.select(F.col(text).alias("text")).mapInArrow(collect, "c long, s binary")
@@ -340,23 +352,19 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text:
     found = staged(_scan_lists(_signatures(docs, counts, boundary, width, percent, text), boundary, percent), "lists")
     maps = classes.select("c", "n", "bits")
     pairs = staged(_possible(staged(found.where("kind = 0").select("a", "b").distinct(), "pairs"), maps, percent), "possible")
-    long = staged(found.where("kind = 1").select("sig", F.col("b").alias("c"), "n", "rest").distinct(), "long")
+    long = staged(found.where("kind = 1").select("sig", F.col("b").alias("c"), "n").distinct(), "long")
     ends = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
     nodes = staged(ends.unionByName(long.select("c")).distinct(), "nodes")
     sets = staged(_set_table(docs, staged(ends, "ends"), width, text), "sets")
-    close = (100 * F.col("inter")) >= percent * F.col("total")
-    checked = staged(_similar(pairs, sets, percent), "checked").where(close)
-    label = components(checked, nodes)
-
-    def similar(more: DataFrame) -> DataFrame:
-        """Pairs that were not asked before: bitmaps first, then whole sets."""
-        more = staged(_possible(staged(more, "asked"), maps, percent), "possible")
-        need = more.select(F.col("a").alias("c")).unionByName(more.select(F.col("b").alias("c"))).distinct()
-        return staged(_similar(more, staged(_set_table(docs, staged(need, "need"), width, text), "sets"), percent), "compared")
-
-    more = _across(long, checked, label, maps, percent, similar)
-    if more is not None:
-        label = components(checked.select("a", "b").unionByName(more), nodes)
+    links = _similar(pairs, sets, percent).where(100 * F.col("inter") >= percent * F.col("total")).select("a", "b")
+    label = components(staged(links, "links"), nodes)
+    members = _open_members(long, label)
+    if members is not None:
+        # Links found now join components, so components are the nodes.
+        sets = staged(_set_table(docs, staged(members.select("c").distinct(), "need"), width, text), "sets")
+        more = staged(_joined(members, sets, percent), "joined")
+        again = components(more, more.select(F.col("a").alias("c")).unionByName(more.select(F.col("b").alias("c"))).distinct())
+        label = label.join(again.toDF("comp", "far"), "comp", "left").select("c", F.coalesce("far", "comp").alias("comp"))
     # Names: the least document id of the classes of a component.
     named = classes.join(label, "c", "left").select("c", F.coalesce("comp", "c").alias("comp"), "least")
     names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
@@ -365,45 +373,76 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text:
     return got.unionByName(own.where("n = 0").select("_k", "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("component")))
 
 
-def _bitmap_distance(pairs: DataFrame, maps: DataFrame) -> DataFrame:
-    """``a``, ``b``, ``d0``: the least Jaccard distance that the bitmaps of two classes allow."""
+def _open_members(long: DataFrame, label: DataFrame) -> DataFrame | None:
+    """``bundle``, ``blocks`` (how many it is dealt over), ``c``, ``comp``: members of long lists in which several components meet; None without any.
 
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y, d = batch.column("xb"), batch.column("yb"), []
-            for i, (n, m) in enumerate(zip(batch.column("n").to_pylist(), batch.column("m").to_pylist(), strict=True)):
-                most = _most_shared(x[i], y[i], n, m)
-                d.append(1 - most / (n + m - most))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(d, pa.float64())], names=["a", "b", "d0"])
-
-    left, right = maps.toDF("a", "n", "xb"), maps.toDF("b", "m", "yb")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "xb", "yb").mapInArrow(bound, "a long, b long, d0 double")
-
-
-def _across(long: DataFrame, links: DataFrame, label: DataFrame, maps: DataFrame, percent: int, similar) -> DataFrame | None:
-    """Links between components that meet in a long list, which their lists' first members did not show; None if there can be none."""
+    Lists with the same least member (by a hash) are one bundle: the many lists of a group of copies mostly share it."""
     tagged = staged(long.join(label, "c"), "tagged")
-    open_ = staged(tagged.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig"), "open")
+    least = F.min(F.struct(F.xxhash64("c"), "c"))["c"]
+    open_ = staged(tagged.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), least.alias("bundle")).where("lo <> hi").select("sig", "bundle"), "open")
     if open_.isEmpty():
         return None
-    # Every member's centre: of its similar partners the one with most links of its own, or itself.
-    d = 1 - F.col("inter") / F.col("total")
-    both = staged(links.select(F.col("a").alias("c"), F.col("b").alias("r"), d.alias("d")).unionByName(links.select(F.col("b").alias("c"), F.col("a").alias("r"), d.alias("d"))), "both")
-    degree = staged(both.groupBy(F.col("c").alias("r")).count(), "degree")
-    best = both.join(degree, "r").groupBy("c").agg(F.max(F.struct("count", -F.col("d"), "r", "d")).alias("m"))
-    members = staged(tagged.join(open_, "sig"), "members")
-    star = members.select("c", "comp").distinct().join(best, "c", "left").join(degree.select(F.col("r").alias("c"), F.col("count").alias("own")), "c", "left")
-    self_ = F.col("m").isNull() | (F.coalesce("own", F.lit(0)) >= F.col("m.count"))
-    star = staged(star.select("c", "comp", F.when(self_, F.col("c")).otherwise(F.col("m.r")).alias("r"), F.when(self_, 0.0).otherwise(F.col("m.d")).alias("d")), "star")
-    heads = staged(members.select("sig", "c", "n", "rest").join(star, "c").groupBy("sig", "r", "comp").agg(F.min("n").alias("n"), F.max("rest").alias("rest")), "heads")
-    one, two = heads.toDF("sig", "r1", "comp1", "n1", "rest1"), heads.toDF("sig", "r2", "comp2", "n2", "rest2")
-    room = percent * (F.col("n1") + F.col("n2")) <= (100 + percent) * F.least("rest1", "rest2")
-    meet = one.join(two, "sig").where((F.col("comp1") < F.col("comp2")) & room).select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct()
-    near = _bitmap_distance(staged(meet, "meet"), maps)
-    reach = staged(star.groupBy("r").agg(F.max("d").alias("radius")), "reach")
-    bound = 1 - percent / 100 + 1e-9
-    near = near.join(reach.toDF("a", "ra"), "a").join(reach.toDF("b", "rb"), "b").where(F.col("d0") <= bound + F.col("ra") + F.col("rb")).select("a", "b", "d0", "rb")
-    x, y = star.toDF("x", "cx", "a", "dx"), star.toDF("y", "cy", "b", "dy")
-    left = staged(near, "near").join(x, "a").where(F.col("d0") <= bound + F.col("dx") + F.col("rb"))
-    left = left.join(y, "b").where((F.col("d0") <= bound + F.col("dx") + F.col("dy")) & (F.col("cx") != F.col("cy")))
-    return similar(left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()).where(100 * F.col("inter") >= percent * F.col("total")).select("a", "b")
+    members = staged(tagged.join(open_, "sig").groupBy("bundle", "c").agg(F.first("comp").alias("comp"), F.first("n").alias("n")), "members")
+    total, many = F.sum("n"), F.count("*")
+    blocks = F.when(total <= 8 * BLOCK, F.ceil(total / BLOCK)).otherwise(8 + F.floor(total / LARGE_BLOCK))
+    return members.join(members.groupBy("bundle").agg(F.least(blocks, many).cast("int").alias("blocks")), "bundle").select("bundle", "blocks", "c", "comp")
+
+
+def _tiles(sizes: np.ndarray) -> list[np.ndarray]:
+    """Runs of at most 512 sets that have ``BLOCK`` shingles together, or a set alone that has more."""
+    ends, out, first = np.cumsum(sizes), [], 0
+    while first < len(sizes):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + BLOCK, side="right")))
+        last = min(last, first + 512)
+        out.append(np.arange(first, last))
+        first = last
+    return out
+
+
+def _shared(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``x`` with the sets ``y``: sets become bits over the shingles that stand in several of them."""
+    both = np.concatenate((x, y))
+    size = np.array([len(sets[k]) for k in both])
+    value, place, seen = np.unique(np.concatenate([sets[k] for k in both]), return_inverse=True, return_counts=True)
+    column = np.cumsum(seen > 1) - 1
+    use = seen[place] > 1
+    width = max(64, -(-int(column[-1] + 1) // 64) * 64)
+    bits = np.zeros((len(both), width), bool)
+    bits[np.repeat(np.arange(len(both)), size)[use], column[place[use]]] = True
+    packed = np.packbits(bits, axis=1).view(np.uint64)
+    left, right = packed[: len(x)], packed[len(x) :]
+    return np.stack([np.bitwise_count(right & row).sum(axis=1, dtype=np.int64) for row in left])
+
+
+def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a``, ``b`` between components: every two blocks of a bundle meet in one task, which gives no more links than it has members."""
+
+    def meet(part: pa.Table) -> pa.Table:
+        block, comp = part.column("block").to_numpy(), part.column("comp").to_numpy()
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for chunk in part.column("s").chunks for s in chunk]
+        n = np.array([len(s) for s in sets])
+        one, two = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        alone = part.column("i")[0].as_py() == part.column("j")[0].as_py()
+        if not alone and block.min() == block.max():
+            two = two[:0]
+        names, where = np.unique(comp, return_inverse=True)
+        label = np.arange(len(names))
+        left, right = _tiles(n[one]), _tiles(n[two])
+        for p, x in enumerate(left):
+            for y in right[p if alone else 0 :]:
+                x_, y_ = one[x], two[y]
+                if len(np.unique(label[where[np.concatenate((x_, y_))]])) == 1:
+                    continue
+                inter = _shared(sets, x_, y_)
+                close = 100 * inter >= percent * (n[x_][:, None] + n[y_] - inter)
+                for i, j in zip(*np.nonzero(close & (where[x_][:, None] != where[y_])), strict=True):
+                    s, t = label[where[x_[i]]], label[where[y_[j]]]
+                    if s != t:
+                        label[label == max(s, t)] = min(s, t)
+        moved = np.flatnonzero(label != np.arange(len(names)))
+        return pa.table({"a": pa.array(names[label[moved]], pa.int64()), "b": pa.array(names[moved], pa.int64())})
+
+    own = members.join(sets, "c").withColumn("block", F.pmod(F.xxhash64("c", "bundle"), F.col("blocks")).cast("int"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.select("bundle", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "comp", "s")
+    return own.groupBy("bundle", "i", "j").applyInArrow(meet, "a long, b long")

@@ -29,7 +29,7 @@ class ChunkEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.cache: dict[int, bytes] = {}
+        self.cache: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> ChunkEncoder:
@@ -41,12 +41,11 @@ class ChunkEncoder:
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each text has."""
         chunks = split_chunks(texts)
-        hashes, strings, place = chunks.distinct()
-        keys = hashes.tolist()
+        _, keys, place = chunks.distinct()
         found = [self.cache.get(k) for k in keys]
         new = [i for i, x in enumerate(found) if x is None]
         if new:
-            for i, e in zip(new, self.library.encode_batch_fast([strings[i].decode() for i in new], add_special_tokens=False), strict=True):
+            for i, e in zip(new, self.library.encode_batch_fast([keys[i].decode() for i in new], add_special_tokens=False), strict=True):
                 found[i] = np.array(e.ids, np.uint32).tobytes()
                 if len(self.cache) < CACHE_SIZE:
                     self.cache[keys[i]] = found[i]

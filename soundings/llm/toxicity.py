@@ -26,7 +26,9 @@ GRAMS = (4, 5)
 
 def _distinct(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Each word's place among the distinct ones; their word buckets; their character n-grams as (bucket, owner)."""
-    h, first, place = np.unique(words.hashes(), return_index=True, return_inverse=True)
+    h = words.hashes()
+    _, first, place = np.unique(h, return_index=True, return_inverse=True)
+    h = h[first]
     start, size = words.start[first], words.end[first] - words.start[first]
     # Blank-enclosed copies of the distinct words, end to end.
     to = np.cumsum(size + 2) - (size + 2)

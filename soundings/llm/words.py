@@ -23,7 +23,6 @@ LOWER[0x41:0x5B] += 32
 
 _ODD = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93
-_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,17 +34,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        steps = np.full(max(n, 1 << 16), base, np.uint64)
-        steps[0] = 1
-        have = _powers[base] = np.multiply.accumulate(steps)
-    return have[:n]
+#: Masks that keep the first k bytes of a block of eight.
+_HEAD = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 
 @dataclass
@@ -63,19 +53,49 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.bounds)
 
+    def _blocks(self, which: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Blocks of eight bytes of the words (all, or those numbered in ``which``) end to end, the last of each filled up with zeros; how many each has, and its first."""
+        start, end = (self.start, self.end) if which is None else (self.start[which], self.end[which])
+        size = end - start
+        many = (size + 7) >> 3
+        first = np.cumsum(many) - many
+        padded = np.concatenate((self.data, np.zeros(8, np.uint8)))
+        eight = np.ndarray((len(self.data) + 1,), np.uint64, padded, strides=(1,))
+        values = eight[start]
+        if len(many) == int(many.sum()):
+            return values & _HEAD[size], many, first
+        step = np.arange(int(many.sum())) - np.repeat(first, many)
+        values = eight[np.repeat(start, many) + 8 * step]
+        return values & _HEAD[np.minimum(np.repeat(size, many) - 8 * step, 8)], many, first
+
     def hashes(self) -> np.ndarray:
-        """Equal words have equal hashes in every batch and task."""
-        n = len(self.data)
-        run = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[self.data] * _power(_BASE, n), out=run[1:])
-        h = (run[self.end] - run[self.start]) * _power(_INVERSE, n + 1)[self.start]
+        """64-bit hashes; equal words have equal ones in every batch and task. Each block of eight bytes is mixed with its place
+        in the word before blocks are added up, so no structure of a word carries over to its hash."""
+        values, many, first = self._blocks()
+        if len(values) == len(many):
+            h = mix(values + np.uint64(_BASE))
+        else:
+            step = (np.arange(len(values)) - np.repeat(first, many)).astype(np.uint64)
+            h = np.add.reduceat(mix(values + mix(step * np.uint64(_ODD)) * np.uint64(3) + np.uint64(_BASE)), first)
         return mix(h + (self.end - self.start).astype(np.uint64) * np.uint64(_ODD))
 
     def distinct(self) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-        """Hashes and bytes of the distinct words, and for each word its place among them."""
-        h, first, place = np.unique(self.hashes(), return_index=True, return_inverse=True)
+        """First place and bytes of each distinct word, and for each word its number among them. Words are told apart by their bytes:
+        those that share a hash are held against each other, and where two differ all are sorted out one by one."""
+        _, first, place = np.unique(self.hashes(), return_index=True, return_inverse=True)
         data = self.data.tobytes()
-        return h, [data[a:b] for a, b in zip(self.start[first].tolist(), self.end[first].tolist(), strict=True)], place
+        size = self.end - self.start
+        same = bool((size == size[first][place]).all())
+        if same and len(size):
+            own, many, _ = self._blocks()
+            heads, of, begin = self._blocks(first)
+            same = bool((own == heads[spread(of[place], begin[place])]).all())
+        if not same:
+            known: dict[bytes, int] = {}
+            words = [data[a:b] for a, b in zip(self.start.tolist(), self.end.tolist(), strict=True)]
+            place = np.array([known.setdefault(w, len(known)) for w in words], np.int64)
+            first = np.unique(place, return_index=True)[1]
+        return first, [data[a:b] for a, b in zip(self.start[first].tolist(), self.end[first].tolist(), strict=True)], place
 
     def text(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]].tobytes()

@@ -393,6 +393,57 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, seed, short, boun
     assert rows(neardup.jaccard_components(df).select("doc_id", "n_shingles", "component_id")) == _components(docs)
 
 
+@pytest.mark.parametrize(("block", "percent_own"), [(1 << 16, 14), (600, 14), (600, 30), (1 << 16, 8)])
+def test_near_duplicates_of_one_wide_group(spark, monkeypatch, block, percent_own):
+    """Copies that lie about the threshold from one another, and texts of which most is one shared passage: many components in the same long lists."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rng = np.random.default_rng(percent_own)
+    base, docs = [f"b{i}" for i in range(70)], []
+    for _ in range(60):
+        w = list(base)
+        for at in rng.choice(70, int(rng.integers(0, 4)), replace=False):
+            w[at] = f"x{rng.integers(0, 1000)}"
+        docs.append(" ".join(w))
+    passage = [f"p{i}" for i in range(100)]
+    for i in range(60):
+        own = [f"d{i}w{k}" for k in range(int(rng.integers(0, percent_own)))]
+        docs.append(" ".join(passage + own if i % 2 else own + passage))
+    docs = [(i, t) for i, t in enumerate(docs)]
+    got = rows(neardup.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id"))
+    assert got == _components(docs)
+    assert len({r[2] for r in got}) > 2
+
+
+def test_equal_polynomials_are_told_apart(spark):
+    """The Thue-Morse word of 1,024 letters and its complement collide under any polynomial modulo 2^64."""
+    from tokenizers import Tokenizer
+
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    h = words.split_words(pa.array([word, other, f"x {word}"])).hashes()
+    assert h[0] != h[1] and h[0] == h[3]
+    docs = spark.createDataFrame([(1, word), (2, other), (3, word)], "doc_id long, text string")
+    assert rows(neardup.jaccard_components(docs).select("doc_id", "component_id")) == [(1, 1), (2, 2), (3, 1)]
+    bench = spark.createDataFrame([("i", word)], "item_id string, text string")
+    assert rows(decontam.decontaminate(docs, bench).select("row.doc_id", "n_hit")) == [(1, 1), (2, 0), (3, 1)]
+    scored = suffixtree.score_texts(docs.withColumn("learn", F.col("doc_id") != 2)).select("doc_id", "n_known")
+    assert rows(scored) == [(1, 2), (2, 1), (3, 2)]
+    for texts in ([word, other], [other, word]):
+        byte_ids, word_ids = ([Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts] for path in (BYTE_BPE, WORD_BPE))
+        assert tokens.ChunkEncoder(BYTE_BPE).ids(pa.array(texts))[0].tolist() == sum(byte_ids, [])
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+        assert rows(bpe.bpe_encode(df, WORD_BPE)) == list(enumerate(word_ids))
+
+
+def test_words_that_share_a_hash_are_told_apart_by_bytes(monkeypatch):
+    monkeypatch.setattr(words.Words, "hashes", lambda self: (self.end - self.start).astype(np.uint64))
+    own = words.split_words(pa.array(["ab cd ab abcdefghij abcdefghik", "abcdefghij zz"]))
+    first, strings, place = own.distinct()
+    assert [strings[k] for k in place] == [own.text(i) for i in range(len(own.start))] and len(set(strings)) == len(strings) == len(first)
+
+
 def test_near_duplicates_odd_rows(spark, odd, empty, clashing):
     want = _components([(r[0], r[1]) for r in ODD])
     for docs in (odd, clashing):
@@ -407,8 +458,9 @@ def test_bitmaps_never_hide_a_similar_pair():
         b = np.unique(np.concatenate((a[: int(rng.integers(0, len(a) + 1))], rng.integers(0, 1 << 62, int(rng.integers(0, 80)), dtype=np.uint64))))
         a = np.unique(a)
         if len(b):
-            most = neardup._most_shared(pa.scalar(neardup._bitmap(a), pa.binary()), pa.scalar(neardup._bitmap(b), pa.binary()), len(a), len(b))
-            assert most >= len(np.intersect1d(a, b))
+            one, two = (pa.array([b"skipped", neardup._bitmap(x)], pa.binary()).slice(1) for x in (a, b))
+            most = neardup._most_shared(one, two, np.array([len(a)]), np.array([len(b)]))
+            assert len(most) == 1 and most[0] >= len(np.intersect1d(a, b))
 
 
 # 8 Language identification
