@@ -17,15 +17,11 @@ def _lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     return one.select("_o", "_k", "ln", F.xxhash64("line").alias("h"), F.size(F.filter(F.split(plain, " "), lambda w: w != "")).alias("nw")).where("nw > 0")
 
 
-def repeated_spans(docs: DataFrame, min_words: int = 50, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Line ranges (``_k``, ``first``, ``last``) that repeat an earlier position, with the earlier document in ``source``.
+def windows(docs: DataFrame, min_words: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """For every line with a word, the shortest run of lines from it on (``a``) and up to it (``b``) with ``min_words`` words; NULL where the text has no such run.
 
-    Winnowing: for every line, the window is the shortest run of lines from it (and, for the other
-    side, up to it) with ``min_words`` words. The line with the least hash in a window is its fingerprint.
-    A repeated run of at least ``min_words`` words holds such a window whole, so both copies select the
-    same fingerprint there: the guarantee of winnowing. Positions are joined on the fingerprint and the
-    hash of the window's lines, which settles the match line by line, and the windows that begin and
-    end at each line carry a match to both its ends."""
+    A struct has ``content`` (hash of the run's line hashes), ``first`` and ``last``; ``a`` has the run's least line hash ``fp`` and its place ``at``, and ``b``
+    the ``fp`` of the run that begins where it begins. ``picked``: this line's window picks another place than the last one's."""
     lines = _lines(docs, text, doc_id)
     by = Window.partitionBy("_k")
     # Repeated rows share a key; they are one document here. All steps up to the windows use this one shuffle.
@@ -33,19 +29,33 @@ def repeated_spans(docs: DataFrame, min_words: int = 50, text: str = "text", doc
     lines = lines.withColumn("e", F.sum("nw").over(by.orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)))
     lines = lines.withColumn("s", F.col("e") - F.col("nw"))
     ahead = by.orderBy("s").rangeBetween(0, min_words - 1)
+    least = F.min(F.struct("h", "ln")).over(ahead)
+    run = F.struct(F.xxhash64(F.collect_list("h").over(ahead), F.lit(0)).alias("content"), F.col("ln").alias("first"), F.max("ln").over(ahead).alias("last"), least["h"].alias("fp"), least["ln"].alias("at"))
+    lines = lines.withColumn("a", F.when(F.max("e").over(ahead) - F.col("s") >= min_words, run))
     back = by.orderBy("e").rangeBetween(-(min_words - 1), 0)
-    sides = lines.select(
-        "_o", "_k", "ln",
-        F.struct(F.collect_list("h").over(ahead).alias("hs"), F.min("h").over(ahead).alias("fp"), F.max("ln").over(ahead).alias("to"), (F.max("e").over(ahead) - F.col("s")).alias("n")).alias("a"),
-        F.struct(F.collect_list("h").over(back).alias("hs"), F.min("h").over(back).alias("fp"), F.min("ln").over(back).alias("to"), (F.col("e") - F.min("s").over(back)).alias("n")).alias("b"),
-    )
-    whole = sides.select("_o", "_k", "ln", F.explode(F.array(F.struct(F.lit(0).alias("side"), "a.*"), F.struct(F.lit(1).alias("side"), "b.*"))).alias("w"))
-    whole = whole.where(F.col("w.n") >= min_words)
-    prints = whole.select("_o", "_k", F.col("w.fp").alias("fp"), F.xxhash64("w.hs", "w.side").alias("content"), F.least("ln", "w.to").alias("first"), F.greatest("ln", "w.to").alias("last"))
-    prints = staged(prints, "prints")
-    earliest = prints.groupBy("fp", "content").agg(F.min(F.struct("_o", "_k", "first")).alias("src"), F.count("*").alias("n")).where("n > 1").drop("n")
-    earliest = staged(earliest, "earliest")
-    joined = prints.join(earliest, ["fp", "content"])
+    run = F.struct(F.xxhash64(F.collect_list("h").over(back), F.lit(1)).alias("content"), F.min("ln").over(back).alias("first"), F.col("ln").alias("last"), F.first("a.fp").over(back).alias("fp"))
+    lines = lines.withColumn("b", F.when(F.col("e") - F.min("s").over(back) >= min_words, run))
+    last = F.lag("a.at").over(by.orderBy("e"))
+    return lines.select("_o", "_k", "a", "b", (F.col("a.at").isNotNull() & ~F.col("a.at").eqNullSafe(last)).alias("picked"))
+
+
+def repeated_spans(docs: DataFrame, min_words: int = 50, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Line ranges (``_k``, ``first``, ``last``) that repeat an earlier position, with the earlier document in ``source``.
+
+    Winnowing: a window is a run of lines with ``min_words`` words, and the line with the least hash in it is its fingerprint. Neighbouring windows
+    mostly pick the same place, so fingerprints are fewer than lines. A repeated run of at least ``min_words`` words holds a whole window, so both
+    its copies pick the same fingerprint there: the guarantee. Fingerprints that stand at one place only are left; places of the others are joined.
+    Around those, matches are extended to both sides: a line goes with the match if the window that begins at it, or the one that ends at it, is
+    equal line by line (by the hash of its lines) to one at an earlier position. Windows are grouped, not paired, so a line that stands in
+    very many documents costs no more than its places."""
+    own = staged(windows(docs, min_words, text, doc_id), "windows")
+    picked = own.where("picked").select(F.col("a.fp").alias("fp"), F.struct("_k", "a.at").alias("at"))
+    often = staged(picked.groupBy("fp").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).where("lo <> hi").select("fp"), "fingerprints")
+    sides = F.explode(F.array("a", F.struct("b.content", "b.first", "b.last", "b.fp", F.lit(None).cast("int").alias("at"))))
+    met = own.select("_o", "_k", sides.alias("w")).where("w.fp is not null").select("_o", "_k", "w.content", "w.first", "w.last", "w.fp")
+    met = staged(met.join(often, "fp", "left_semi"), "met")
+    earliest = met.groupBy("fp", "content").agg(F.min(F.struct("_o", "_k", "first")).alias("src"), F.count("*").alias("n")).where("n > 1").drop("n")
+    joined = met.join(staged(earliest, "earliest"), ["fp", "content"])
     later = (F.col("src._k") != F.col("_k")) | (F.col("src.first") != F.col("first"))
     return joined.where(later).select("_k", "first", "last", F.col("src._o").alias("source"))
 

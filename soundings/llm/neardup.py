@@ -8,7 +8,7 @@ With overlap at least ``alpha`` needed, two sets share ``k`` of the first ``n -
 sets are found by the pairs (k = 2) among those, large sets by single shingles (k = 1); the boundary is
 the size of least estimated cost. Lists of candidates that are short give all their pairs. Long ones
 give each member's pair with a head, another one for each list. Lists whose members are then still in several components
-are put together by their least member into bundles. The sets of a bundle are held against each other in blocks of bounded size, as bits over
+are put together into bundles. The sets of a bundle are held against each other in blocks of bounded size, as bits over
 the shingles of two blocks, and only what joins components leaves the task.
 
 A pair is a candidate only where enough of both sets stands behind the place they share: at its first common
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import row_key, staged
+from .shared import bit_table, passes, row_key, staged
 from .words import mix, shingle_sets, slices, split_words, spread
 
 BUCKET_BITS = 18
@@ -52,8 +52,13 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[pa.RecordBatch, n
         yield part, values, at
 
 
-def _class_of(values: np.ndarray) -> int:
-    return int(mix(np.array([mix(values).sum()]) + np.uint64(len(values)))[0])
+def _classes(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each set; 0 for empty ones."""
+    n = np.diff(at)
+    c, some = np.zeros(len(n), np.uint64), np.flatnonzero(n > 0)
+    if len(some):
+        c[some] = mix(np.add.reduceat(mix(values), at[:-1][some]) + n[some].astype(np.uint64))
+    return c
 
 
 def _bitmap(values: np.ndarray) -> bytes:
@@ -102,11 +107,7 @@ def profiles(docs: DataFrame, width: int = 5, text: str = "text", doc_id: str =
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for part, values, at in _sets(whole, width):
-                n = np.diff(at)
-                c = np.zeros(len(n), np.uint64)
-                some = np.flatnonzero(n > 0)
-                if len(some):
-                    c[some] = mix(np.add.reduceat(mix(values), at[:-1][some]) + n[some].astype(np.uint64))
+                n, c = np.diff(at), _classes(values, at)
                 bits = [_bitmap(values[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("_k"), part.column("doc_id"), pa.array(n), pa.array(c.view(np.int64)), pa.array(bits, pa.binary())], names=["_k", "doc_id", "n", "c", "bits"])
 
@@ -162,12 +163,11 @@ def _signatures(docs: DataFrame, counts: np.ndarray, boundary: int, width: int,
         for whole in batches:
             for _, values, at in _sets(whole, width):
                 sig, cls, size, single, full, rest = [], [], [], [], [], []
-                for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                for a, b, c in zip(at[:-1].tolist(), at[1:].tolist(), _classes(values, at).tolist(), strict=True):
                     n = b - a
                     if n < 3:
                         continue  # two of two or one of one: such sets are similar only if equal
                     s = values[a:b]
-                    c = _class_of(s)
                     if c in seen:
                         continue
                     if len(seen) < SEEN:
@@ -201,14 +201,14 @@ def _signatures(docs: DataFrame, counts: np.ndarray, boundary: int, width: int,
 
 
 def _scan_lists(rows: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """Run through sorted lists: pairs (``kind`` 0: a, b) and the members of long or salted lists (``kind`` 1: sig, b, n).
+    """Run through sorted lists: pairs (``kind`` 0: a, b) and the members of long or salted lists (``kind`` 1: sig, b, n, rest).
 
     Rows stream by; only the run of one short list is held."""
     # ``single`` lists join small with large sets and large with each other; two small sets meet in the subsets.
     # Members stand in another random order in every list, so each is held against another head in each.
     own = rows.repartition("sig", "salt", "single").sortWithinPartitions("sig", "single", "salt", F.xxhash64("sig", "c"), "c")
 
-    names = ["kind", "sig", "a", "b", "n"]
+    names = ["kind", "sig", "a", "b", "n", "rest"]
 
     def pairs(sig, c, n, rest, x, y):
         """Pairs that sizes and the rests behind the shared place allow."""
@@ -216,7 +216,7 @@ def _scan_lists(rows: DataFrame, boundary: int, percent: int) -> DataFrame:
         ok = (np.minimum(n[x], n[y]) * 100 >= percent * np.maximum(n[x], n[y])) & (need <= np.minimum(rest[x], rest[y])) & (c[x] != c[y])
         x, y = x[ok], y[ok]
         none = pa.nulls(len(x), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(x), np.int8)), pa.array(sig[x]), pa.array(np.minimum(c[x], c[y])), pa.array(np.maximum(c[x], c[y])), none], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(x), np.int8)), pa.array(sig[x]), pa.array(np.minimum(c[x], c[y])), pa.array(np.maximum(c[x], c[y])), none, none], names=names)
 
     def emit(keys, c, n, rest, going_on: bool):
         """Whole runs. ``going_on``: the first is the rest of a long one."""
@@ -234,7 +234,7 @@ def _scan_lists(rows: DataFrame, boundary: int, percent: int) -> DataFrame:
         if long.any():
             member, head = spread(length[long], start[long]), np.repeat(start[long], length[long])
             yield pairs(keys[:, 0], c, n, rest, head, member)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(member), np.int8)), pa.array(keys[member, 0]), pa.array(c[head]), pa.array(c[member]), pa.array(n[member])], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(member), np.int8)), pa.array(keys[member, 0]), pa.array(c[head]), pa.array(c[member]), pa.array(n[member]), pa.array(rest[member])], names=names)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, going_on = np.zeros((0, 3), np.int64), False
@@ -258,7 +258,7 @@ def _scan_lists(rows: DataFrame, boundary: int, percent: int) -> DataFrame:
         if len(c):
             yield from emit(keys, c, n, rest, going_on)
 
-    return own.mapInArrow(scan, "kind byte, sig long, a long, b long, n long")
+    return own.mapInArrow(scan, "kind byte, sig long, a long, b long, n long, rest long")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -298,40 +298,21 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
             return label
 
 
-_TABLE_BITS = 24
-
-
-def _membership(keys: DataFrame) -> np.ndarray:
-    """A bit table of fixed size (2 MB) with two bits for each class in ``keys``; lets through all of them and few others."""
-    mask = F.lit((1 << _TABLE_BITS) - 1)
-    at = keys.select(F.explode(F.array(F.col("c").bitwiseAND(mask), F.shiftrightunsigned("c", _TABLE_BITS).bitwiseAND(mask))).alias("x"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("x").bitwiseAND(F.lit(31)).cast("int"))
-    words = at.groupBy(F.shiftright("x", 5).alias("w")).agg(F.bit_or(bit).alias("v")).toPandas()
-    table = np.zeros(1 << (_TABLE_BITS - 5), np.uint32)
-    table[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64).astype(np.uint32)
-    return table
-
-
 def _set_table(docs: DataFrame, keys: DataFrame, width: int, text: str) -> DataFrame:
     """``c``, ``s``: sorted shingle hashes of the classes in ``keys``. Texts are hashed where they lie; a bit table of fixed
     size stops most other sets there, and a join the rest."""
-    shared = docs.sparkSession.sparkContext.broadcast(_membership(keys))
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(keys, "c"))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, done, mask = shared.value, set(), (1 << _TABLE_BITS) - 1
+        done = set()
         for whole in batches:
             for _, values, at in _sets(whole, width):
-                rows = []
-                for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                    if a == b:
-                        continue
-                    c = _class_of(values[a:b])
-                    x, y = c & mask, (c >> _TABLE_BITS) & mask
-                    if table[x >> 5] >> np.uint32(x & 31) & 1 and table[y >> 5] >> np.uint32(y & 31) & 1 and c not in done:
-                        rows.append((c, values[a:b].tobytes()))
-                        if len(done) < SEEN:
-                            done.add(c)
-                yield pa.RecordBatch.from_arrays([pa.array(np.array([c for c, _ in rows], np.uint64).view(np.int64)), pa.array([s for _, s in rows], pa.binary())], names=["c", "s"])
+                c = _classes(values, at)
+                use = np.flatnonzero(np.diff(at) > 0)
+                use = [i for i in use[passes(c[use], shared.value)].tolist() if c[i] not in done]
+                if len(done) < SEEN:
+                    done.update(c[use].tolist())
+                yield pa.RecordBatch.from_arrays([pa.array(c[use].view(np.int64)), pa.array([values[at[i] : at[i + 1]].tobytes() for i in use], pa.binary())], names=["c", "s"])
 
     own = docs.select(F.col(text).alias("text")).mapInArrow(collect, "c long, s binary")
     return own.join(keys, "c", "left_semi").dropDuplicates(["c"])
@@ -352,13 +333,13 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text:
     found = staged(_scan_lists(_signatures(docs, counts, boundary, width, percent, text), boundary, percent), "lists")
     maps = classes.select("c", "n", "bits")
     pairs = staged(_possible(staged(found.where("kind = 0").select("a", "b").distinct(), "pairs"), maps, percent), "possible")
-    long = staged(found.where("kind = 1").select("sig", F.col("b").alias("c"), "n").distinct(), "long")
+    long = staged(found.where("kind = 1").select("sig", F.col("b").alias("c"), "n", "rest").distinct(), "long")
     ends = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
     nodes = staged(ends.unionByName(long.select("c")).distinct(), "nodes")
     sets = staged(_set_table(docs, staged(ends, "ends"), width, text), "sets")
     links = _similar(pairs, sets, percent).where(100 * F.col("inter") >= percent * F.col("total")).select("a", "b")
     label = components(staged(links, "links"), nodes)
-    members = _open_members(long, label)
+    members = _open_members(long, label, percent)
     if members is not None:
         # Links found now join components, so components are the nodes.
         sets = staged(_set_table(docs, staged(members.select("c").distinct(), "need"), width, text), "sets")
@@ -373,16 +354,23 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text:
     return got.unionByName(own.where("n = 0").select("_k", "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("component")))
 
 
-def _open_members(long: DataFrame, label: DataFrame) -> DataFrame | None:
+def _open_members(long: DataFrame, label: DataFrame, percent: int) -> DataFrame | None:
     """``bundle``, ``blocks`` (how many it is dealt over), ``c``, ``comp``: members of long lists in which several components meet; None without any.
 
-    Lists with the same least member (by a hash) are one bundle: the many lists of a group of copies mostly share it."""
+    Members that sizes and rests allow no partner in the list are left out of it. A list's bundle is the least hash among its members, and then among
+    the lists that its members stand in: the many lists of a group of copies become one bundle."""
     tagged = staged(long.join(label, "c"), "tagged")
-    least = F.min(F.struct(F.xxhash64("c"), "c"))["c"]
-    open_ = staged(tagged.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), least.alias("bundle")).where("lo <> hi").select("sig", "bundle"), "open")
+    several = (F.min("comp") < F.max("comp")).alias("several")
+    lists = tagged.groupBy("sig").agg(several, F.min("n").alias("least"), F.max("rest").alias("most")).where("several").drop("several")
+    room = percent * (F.col("n") + F.col("least")) <= (100 + percent) * F.least("rest", "most")
+    live = staged(tagged.join(staged(lists, "lists"), "sig").where(room).select("sig", "c", "comp", "n"), "live")
+    open_ = staged(live.groupBy("sig").agg(several, F.min(F.xxhash64("c")).alias("bundle")).where("several").drop("several"), "open")
     if open_.isEmpty():
         return None
-    members = staged(tagged.join(open_, "sig").groupBy("bundle", "c").agg(F.first("comp").alias("comp"), F.first("n").alias("n")), "members")
+    own = staged(live.join(open_, "sig"), "listed")
+    near = staged(own.groupBy("c").agg(F.min("bundle").alias("near")), "near")
+    wide = staged(own.join(near, "c").groupBy("sig").agg(F.min("near").alias("wide")), "wide")
+    members = staged(own.join(wide, "sig").groupBy(F.col("wide").alias("bundle"), "c").agg(F.first("comp").alias("comp"), F.first("n").alias("n")), "members")
     total, many = F.sum("n"), F.count("*")
     blocks = F.when(total <= 8 * BLOCK, F.ceil(total / BLOCK)).otherwise(8 + F.floor(total / LARGE_BLOCK))
     return members.join(members.groupBy("bundle").agg(F.least(blocks, many).cast("int").alias("blocks")), "bundle").select("bundle", "blocks", "c", "comp")

@@ -16,11 +16,11 @@ from .sampling import fold
 from .shared import new_path, table
 from .suffixtree import score_texts
 from .tokens import id_digests, read_token_ids, write_token_ids
-from .urls import UrlRule, host_of, url_filter
+from .urls import UrlRule, canonical, host_of, path_of, url_filter
 
-# The rules every page is judged by, and host labels whose pages make up the list of blocked URLs.
+# The rules every page is judged by. No table lists URLs, so a sixteenth of the canonical URLs makes up the list: those whose MD5 begins with this digit.
 URL_RULES = (UrlRule("block", "net"), UrlRule("allow", "example.net", "/en/"), UrlRule("block", "example.com", "/de/"), UrlRule("allow", "org", "/fr/"))
-LISTED_LABELS = ("ads-track", "spam-farm", "casino-win", "adult-x", "cheap-pills", "free-bets")
+LISTED_DIGIT = "7"
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.where(host_of(F.col("url")).rlike(rf"(^|\.)({'|'.join(LISTED_LABELS)})\.")).select("url")
+    url = F.col("url")
+    listed = pages.where(F.md5(canonical(host_of(url), path_of(url))).startswith(LISTED_DIGIT)).select("url")
     return url_filter(pages, listed, URL_RULES).select("row.page_id", "host", "path", "rule", "verdict")
 
 

@@ -5,15 +5,20 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only where it is unset (tests)."""
+    """The folder named by ``spark.checkpoint.dir``; one of our own only where it is unset in local mode (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         os.makedirs("/tmp/checkpoints", exist_ok=True)
         found = "file://" + tempfile.mkdtemp(prefix="soundings-", dir="/tmp/checkpoints")
         spark.conf.set("spark.checkpoint.dir", found)
@@ -39,3 +44,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def row_key(*cols: str):
     """A key for rows whose id may be null or repeated: rows equal in ``cols`` share it."""
     return F.xxhash64(*[F.col(c) for c in cols], *[F.col(c).isNull() for c in cols])
+
+
+def bit_table(keys: DataFrame, key: str, bits: int = 25) -> np.ndarray:
+    """A bit table of fixed size (4 MB) with two bits for each ``key``, for tasks to hold; it lets all keys through, and the fewer others the emptier it is.
+    It only saves rows: what it lets through is for joins to settle."""
+    mask, size = F.lit((1 << bits) - 1), 1 << 13
+    at = keys.select(F.explode(F.array(F.col(key).bitwiseAND(mask), F.shiftrightunsigned(key, bits).bitwiseAND(mask))).alias("x"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("x").bitwiseAND(F.lit(31)).cast("int"))
+    words = at.groupBy(F.shiftright("x", 5).alias("w")).agg(F.bit_or(bit).alias("v"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part, w, v = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("part", "w", "v"))
+            for k in np.unique(part):
+                own, marks = part == k, np.zeros(size, np.uint32)
+                marks[w[own] % size] = v[own].astype(np.uint32)
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([marks.tobytes()], pa.binary())], names=["part", "bits"])
+
+    parts = words.withColumn("part", F.floor(F.col("w") / size)).repartition("part").sortWithinPartitions("part").select("part", "w", "v").mapInArrow(pack, "part long, bits binary")
+    table = np.zeros(1 << (bits - 5), np.uint32)
+    for part, marks in parts.toPandas().itertuples(index=False):
+        table[part * size : (part + 1) * size] |= np.frombuffer(marks, np.uint32)
+    return table
+
+
+def passes(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which of the uint64 ``keys`` the bit table lets through."""
+    bits = (len(table) * 32).bit_length() - 1
+    mask, out = np.uint64((1 << bits) - 1), np.ones(len(keys), bool)
+    for x in (keys & mask, (keys >> np.uint64(bits)) & mask):
+        out &= (table[(x >> np.uint64(5)).astype(np.int64)] >> (x & np.uint64(31)).astype(np.uint32) & np.uint32(1)).astype(bool)
+    return out

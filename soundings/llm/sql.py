@@ -1,6 +1,6 @@
 """DuckDB SQL for the operators that SQL can express over whole tables."""
 
-from .queries import LISTED_LABELS
+from .queries import LISTED_DIGIT
 from .quality import STOP_WORDS
 
 _BLANK = r"[\x20\x09-\x0D]"
@@ -33,7 +33,7 @@ OP5 = rf"""
 with p as (select page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
                   regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) as path from pages),
 k as (select *, regexp_replace(host, '^www\.', '') || regexp_replace(path, '(?:\.html?|/+)$', '') as key from p),
-listed as (select distinct key from k where regexp_matches(host, '(^|\.)({"|".join(LISTED_LABELS)})\.') and key <> ''),
+listed as (select distinct key from k where md5(key)[1] = '{LISTED_DIGIT}' and key <> ''),
 r as (select *, case when (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/en/') then 'example.net/en/'
                      when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/de/') then 'example.com/de/'
                      when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/fr/') then 'org/fr/'

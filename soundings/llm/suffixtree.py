@@ -1,14 +1,15 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-Contexts are the words before a token, the beginning of the text counted as one. The tree keeps a context if its
-next-word distribution diverges from that of the context one word shorter by more than chance gives. Distributions
-are smoothed with the shorter context's, down to add-one unigrams; a token is scored in the longest kept context
-before it.
+Contexts are the words before a token, the beginning of the text counted as one. The tree grows from the root: a context is
+tested when it is frequent and both runs one word shorter, its suffix and its beginning, are in the tree; it enters if its
+next-word distribution diverges from its suffix's by more than chance gives. So every suffix of a context is in the tree.
+Distributions are smoothed with the shorter context's, down to add-one unigrams; a token is scored in the longest context
+of the tree before it.
 
 Levels are counted one after the other: a run of words is the context of one level and a context with its next word
 of the level before, so that each level's counts say which contexts the next one has. It goes on while contexts pass
-the test. The tree is a table and scores add up: what a kept context takes from all words (``rest``) and what a word
-in its list differs from that are values of keys, so a text's score is one sum over a join.
+the test; there is no limit of length. The tree is a table and scores add up: what a context takes from all words (``rest``)
+and what a word in its list differs from that are values of keys, so a text's score is one sum over a join.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import staged
+from .shared import bit_table, passes, staged
 from .words import Words, mix, slices, split_words
 
 #: Occurrences from which a context is tested, and from which a word stands in a context's list, at every size.
@@ -32,7 +33,6 @@ HELD_SHARE = 5e-7
 BEGIN, END = np.uint64(0x5BE6A1F0C3D2E487), np.uint64(0xE4D1C7B2A3958677)
 #: Tells a context's own key from that of the pair it is one level below.
 _CONTEXT = np.uint64(0x3C79AC492BA7B653)
-_BITS = 25
 
 
 def _tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,35 +69,6 @@ def _signed(x: np.uint64) -> int:
     return int(np.array([x]).view(np.int64)[0])
 
 
-def _filter(keys: DataFrame) -> np.ndarray:
-    """A bit table of fixed size (4 MB) with two bits for each ``key``; lets through all of them, and the fewer others the emptier it is."""
-    mask, size = F.lit((1 << _BITS) - 1), 1 << 13
-    at = keys.select(F.explode(F.array(F.col("key").bitwiseAND(mask), F.shiftrightunsigned("key", _BITS).bitwiseAND(mask))).alias("x"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("x").bitwiseAND(F.lit(31)).cast("int"))
-    words = at.groupBy(F.shiftright("x", 5).alias("w")).agg(F.bit_or(bit).alias("v"))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part, w, v = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("part", "w", "v"))
-            for k in np.unique(part):
-                own, bits = part == k, np.zeros(size, np.uint32)
-                bits[w[own] % size] = v[own].astype(np.uint32)
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([bits.tobytes()], pa.binary())], names=["part", "bits"])
-
-    parts = words.withColumn("part", F.floor(F.col("w") / size)).repartition("part").sortWithinPartitions("part").select("part", "w", "v").mapInArrow(pack, "part long, bits binary")
-    table = np.zeros(1 << (_BITS - 5), np.uint32)
-    for part, bits in parts.toPandas().itertuples(index=False):
-        table[part * size : (part + 1) * size] |= np.frombuffer(bits, np.uint32)
-    return table
-
-
-def _passes(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
-    mask, out = np.uint64((1 << _BITS) - 1), np.ones(len(keys), bool)
-    for x in (keys & mask, (keys >> np.uint64(_BITS)) & mask):
-        out &= (table[(x >> np.uint64(5)).astype(np.int64)] >> (x & np.uint64(31)).astype(np.uint32) & np.uint32(1)).astype(bool)
-    return out
-
-
 def _find(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place of each value in a sorted table, and whether it is there."""
     if not len(table):
@@ -150,8 +121,8 @@ def next_counts(docs: DataFrame, level: int, shared: Broadcast, text: str = "tex
                 symbols, _, place = _tokens(split_words(batch.column("text")))
                 for d, _, context, key, below in _levels(symbols, place, level):
                     if d == level:
-                        use = np.flatnonzero(_passes(context, contexts))
-                        use = use[_passes(below[use], shorter)]
+                        use = np.flatnonzero(passes(context, contexts))
+                        use = use[passes(below[use], shorter)]
                         held.append((key[use], context[use], below[use]))
                         rows += len(use)
                 if rows > 2_000_000:
@@ -209,8 +180,8 @@ class SuffixTree:
 def grown(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Test the contexts of a level. ``counts``: ``key``, ``context``, ``n``, ``whole`` (the context's count) and ``blp`` (log10 probability one word shorter).
 
-    Returns the kept contexts (``context``, ``whole``, ``kinds``, ``rest``), and all pairs with ``lp``, their log10 probability, and ``value``,
-    what it differs from that by the shorter context (NULL where the context is not kept)."""
+    Returns the contexts that enter (``context``, ``whole``, ``kinds``, ``rest``), and their pairs with ``lp``, the log10 probability, and ``value``,
+    what it differs from that by the shorter context and ``rest``."""
     below, n, whole = F.pow(F.lit(10.0), "blp"), F.col("n"), F.col("whole")
     sums = counts.groupBy("context").agg(F.max("whole").alias("whole"), F.count("*").alias("kinds"), F.sum("n").alias("listed"), F.sum(below).alias("shorter"), F.sum(n * F.log(n / whole / below)).alias("gain"))
     other, kinds = F.greatest(whole - F.col("listed"), F.lit(0)), F.col("kinds")
@@ -218,8 +189,8 @@ def grown(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     gain = F.col("gain") + F.when(other > 0, other * F.log(other / whole / other_below)).otherwise(0.0)
     left = F.greatest(1 - (F.col("listed") + kinds * F.col("shorter")) / (whole + kinds), F.lit(1e-9))
     kept = staged(sums.where(2 * gain > kinds + 3 * F.sqrt(2 * kinds)).select("context", "whole", "kinds", F.log10(left / other_below).alias("rest")), "kept")
-    both = counts.join(kept.select("context", "kinds", "rest"), "context", "left")
-    lp = F.when(F.col("rest").isNotNull(), F.log10((n + kinds * below) / (whole + kinds))).otherwise(F.col("blp"))
+    lp = F.log10((n + kinds * below) / (whole + kinds))
+    both = counts.join(kept.select("context", "kinds", "rest"), "context")
     return kept, staged(both.select("key", "n", lp.alias("lp"), (lp - F.col("blp") - F.col("rest")).alias("value")), "pairs")
 
 
@@ -233,7 +204,7 @@ def learn_tree(docs: DataFrame, vocab: DataFrame, ends: int, floor: float, text:
     pairs = words.where(F.col("n") >= pair_least).select("key", "n", (F.log10(F.col("n") + 1.0) - floor).alias("lp"))
     level = 0
     while not contexts.isEmpty():
-        shared = spark.sparkContext.broadcast((_filter(contexts), _filter(pairs)))
+        shared = spark.sparkContext.broadcast((bit_table(contexts, "key"), bit_table(pairs, "key")))
         rows = staged(next_counts(docs, level + 1, shared, text, learn).where(F.col("n") >= pair_least), "counts")
         shared.destroy()
         known = rows.join(contexts.select(F.col("key").alias("context"), F.col("n").alias("whole")), "context")
@@ -243,7 +214,7 @@ def learn_tree(docs: DataFrame, vocab: DataFrame, ends: int, floor: float, text:
             break
         level += 1
         own = kept.select(F.col("context").bitwiseXOR(F.lit(_signed(_CONTEXT))).alias("key"), F.col("rest").alias("value"), F.col("whole").alias("n"), F.lit(level).alias("level"), F.lit(False).alias("listed"))
-        tree = tree.unionByName(own).unionByName(pairs.where("value is not null").select("key", "value", "n", F.lit(level).alias("level"), F.lit(True).alias("listed")))
+        tree = tree.unionByName(own).unionByName(pairs.select("key", "value", "n", F.lit(level).alias("level"), F.lit(True).alias("listed")))
         contexts = pairs.where(F.col("n") >= context_least)
     return tree, level
 
@@ -253,8 +224,8 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
 
     Returns ``doc_id``, ``learn``, ``n_tokens`` (words and the end), ``n_known``, ``train_tokens``, ``base_score`` (add-one unigrams) and
     ``score`` (log10 probability under the tree). Null texts count as empty: the end alone. Repeated rows are each
-    returned and each counted. Without rows to learn from, all tokens are unknown. Keys of little share are
-    looked up in the whole tree by a join."""
+    returned and each counted; very long texts are read whole, a run of their own each. Without rows to learn from, all tokens are unknown.
+    Keys of little share are looked up in the whole tree by a join. With ``pair_least`` = 1 no count is left out of any list."""
     spark = docs.sparkSession
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.col(learn), F.lit(False)).alias("learn"))
     vocab = staged(vocabulary(own), "vocabulary")
@@ -268,7 +239,7 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
     top = tree.where(often).select("key", "value", "level", "listed").toPandas()
     top = top.assign(key=top["key"].to_numpy(np.int64).view(np.uint64)).sort_values("key")
     held = {k: (g["key"].to_numpy(np.uint64), g["value"].to_numpy(float)) for k, g in top.groupby(["level", "listed"])}
-    shared = spark.sparkContext.broadcast((held, _filter(rare)))
+    shared = spark.sparkContext.broadcast((held, bit_table(rare, "key")))
     none_held = (np.zeros(0, np.uint64), np.zeros(0))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,17 +258,22 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
                     i, found = _find(keys, table)
                     to[at[found]] += values[i[found]]
                     rest = np.flatnonzero(~found)
-                    rest = rest[_passes(keys[rest], rare)]
+                    rest = rest[passes(keys[rest], rare)]
                     asked.append((doc[at[rest]], keys[rest]))
-                    live = found.copy()
-                    live[rest] = True
-                    return found, live
+                    some = found.copy()
+                    some[rest] = True
+                    return found, some
 
                 base, extra = np.full(len(symbols), -floor), np.zeros(len(symbols))
                 known, _ = add(base, np.arange(len(symbols)), symbols, (0, True))
+                live = np.ones(len(symbols), bool)
                 for level, at, context, key, _ in _levels(symbols, place, depth):
-                    _, live = add(extra, at, context ^ _CONTEXT, (level, False))
-                    add(extra, at[live], key[live], (level, True))
+                    own = np.flatnonzero(live[at])  # only what follows a shorter context can follow a longer one
+                    at, context, key = at[own], context[own], key[own]
+                    _, here = add(extra, at, context ^ _CONTEXT, (level, False))
+                    add(extra, at[here], key[here], (level, True))
+                    live[:] = False
+                    live[at[here]] = True
                 base, extra = np.bincount(doc, weights=base, minlength=n), np.bincount(doc, weights=extra, minlength=n)
                 none, ids = pa.nulls(n, pa.int64()), row + np.arange(n)
                 yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column("doc_id"), batch.column("learn"), pa.array(words.counts.astype(np.int64) + 1), pa.array(np.bincount(doc[known], minlength=n)), pa.array(base), pa.array(base + extra), none, none], names=names)

@@ -1,7 +1,8 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over word and character inputs, trained in numpy.
 
-A text is scored in overlapping windows of words, all of them; its score is that of its worst window. Texts carry one
-label each, so training picks each text's worst window under the current network and learns from those.
+A text is scored in overlapping windows of 24 words, one from every twelfth word on, so that every passage of up to twelve words stands whole in one;
+its score is that of its worst window. Texts carry one label each, so training picks each text's worst window under the current network and
+learns from those; embeddings of words and of character n-grams learn with the gates.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql.types import DoubleType, StructType
 from .sampling import per_class
 from .words import Words, mix, slices, split_words, spread
 
-WINDOW, STRIDE = 24, 16
+WINDOW, STRIDE = 24, 12
 HIDDEN, PART = 8, 4
 BITS = 18
 GRAMS = (4, 5)
@@ -153,7 +154,7 @@ def _log_odds(bucket: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> np.ndar
 
 
 def train(texts: list[str], labels: list[int], prior: float, rounds: int = 3, epochs: int = 4, batch: int = 128, rate: float = 0.03, seed: int = 11) -> GatedNetwork:
-    """Fit on whole texts. The first coordinate of each embedding starts at its log odds; all weights then learn by gradients.
+    """Fit on whole texts. The first coordinate of each embedding starts at its log odds; all weights, the embeddings too, then learn by gradients.
 
     Every round takes each toxic text's worst window and, of each clean one, its worst and a random window. A fifth of the
     texts calibrates: a logistic of the worst logit, weighted to the share ``prior`` of toxic texts."""
@@ -194,6 +195,7 @@ def train(texts: list[str], labels: list[int], prior: float, rounds: int = 3, ep
         table[:, 1:] = rng.normal(0, 0.02, (size, PART - 1))
     params = [p for layer in net.layers for p in layer] + [net.look, net.out]
     speed = [np.full(p.shape, 1e-3, np.float32) for p in params]
+    pace = [np.full((size, 1), 1e-3, np.float32) for _ in range(2)]
     for _ in range(rounds):
         chosen = []
         for a, b, words in parts:
@@ -205,16 +207,23 @@ def train(texts: list[str], labels: list[int], prior: float, rounds: int = 3, ep
             other = rng.permutation(len(row))[: len(worst)]
             other = other[~toxic[row[other] + a]]
             place, word, bucket, owner = _distinct(words)
-            x = net.inputs(word, bucket, owner)
+            bucket, many = bucket[np.argsort(owner, kind="stable")].astype(np.int32), np.bincount(owner, minlength=len(word))
+            first = np.cumsum(many) - many
             for w in np.concatenate((worst, other)):
                 if not back[row[w] + a]:
                     n = min(WINDOW, words.bounds[row[w] + 1] - begin[w])
-                    chosen.append((x[place[begin[w] : begin[w] + n]], float(toxic[row[w] + a])))
+                    own = place[begin[w] : begin[w] + n]
+                    chosen.append((word[own].astype(np.int32), bucket[spread(many[own], first[own])], many[own], float(toxic[row[w] + a])))
         for _ in range(epochs):
             order = rng.permutation(len(chosen))
             for i in range(0, len(order), batch):
                 own = [chosen[k] for k in order[i : i + batch]]
-                _step(net, params, speed, own, rate)
+                word, bucket, many = (np.concatenate([c[k] for c in own]) for k in range(3))
+                x = net.inputs(word, bucket, np.repeat(np.arange(len(word)), many))
+                ends = np.cumsum([len(c[0]) for c in own])
+                d = _step(net, params, speed, [(x[e - len(c[0]) : e], c[3]) for c, e in zip(own, ends, strict=True)], rate)
+                _learn(net.word, pace[0], word, d[:, :PART], rate)
+                _learn(net.char, pace[1], bucket, np.repeat(d[:, PART:], many, axis=0), rate)
     worst, gold = [], []
     for a, b, words in parts:
         logit, row, _ = net.logits(words)
@@ -236,8 +245,10 @@ def train(texts: list[str], labels: list[int], prior: float, rounds: int = 3, ep
     return net
 
 
-def _step(net: GatedNetwork, params: list[np.ndarray], speed: list[np.ndarray], rows: list[tuple[np.ndarray, float]], rate: float) -> None:
-    """One adaptive gradient step on the logistic loss of a batch of windows, through time in both directions."""
+def _step(net: GatedNetwork, params: list[np.ndarray], speed: list[np.ndarray], rows: list[tuple[np.ndarray, float]], rate: float) -> np.ndarray:
+    """One adaptive gradient step on the logistic loss of a batch of windows, through time in both directions.
+
+    Returns the gradients of the inputs, those of all windows end to end."""
     n = len(rows)
     x = np.zeros((n * WINDOW + 1, 2 * PART), np.float32)
     mask = np.zeros((n, WINDOW), bool)
@@ -258,6 +269,7 @@ def _step(net: GatedNetwork, params: list[np.ndarray], speed: list[np.ndarray],
     d_score = a * (d_a - (a * d_a).sum(axis=0))
     g_look += np.einsum("tn,tnh->h", d_score, states)
     d_states += d_score[:, :, None] * net.look
+    d_input = np.zeros_like(x)
     carry = [np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)]
     for side, t, h, z, r, c, qc, m in reversed(kept):
         gw, gu, gb = grads[3 * side : 3 * side + 3]
@@ -271,11 +283,21 @@ def _step(net: GatedNetwork, params: list[np.ndarray], speed: list[np.ndarray],
         dq = np.concatenate((dz, dr, dc * r), axis=1)
         gw += x[index[:, t]].T @ dp
         gb += dp.sum(axis=0)
+        d_input[index[:, t]] += dp @ net.layers[side][0].T
         gu += h.T @ dq
         carry[side] = np.where(m, dn * z, dh) + dq @ u.T
     for p, g, s in zip(params, grads, speed, strict=True):
         s += g * g
         p -= rate * g / np.sqrt(s)
+    return d_input[index[mask]]
+
+
+def _learn(table: np.ndarray, pace: np.ndarray, at: np.ndarray, grad: np.ndarray, rate: float) -> None:
+    """One adaptive step of the rows of an embedding table that a batch has used."""
+    rows, place = np.unique(at, return_inverse=True)
+    g = np.stack([np.bincount(place, weights=grad[:, k], minlength=len(rows)) for k in range(grad.shape[1])], axis=1).astype(np.float32)
+    pace[rows] += (g * g).mean(axis=1, keepdims=True)
+    table[rows] -= rate * g / np.sqrt(pace[rows])
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", per_label: int = 1500, key: str = "doc_id") -> GatedNetwork | None:
@@ -296,7 +318,7 @@ def score(docs: DataFrame, net: GatedNetwork | None, text: str = "text") -> Data
     """``row`` (the input's columns) and ``score`` of every whole text. One map over rows, no shuffle.
 
     Texts without words, null ones too, get the share of toxic texts among those learned from; without a network all get 0.
-    Repeated rows each get their score."""
+    Very long texts are scored whole, window after window. Repeated rows each get their score; equal texts get equal ones."""
     own = docs.select(F.struct("*").alias("row"))
     if net is None:
         return own.select("row", F.lit(0.0).alias("score"))

@@ -12,6 +12,8 @@ from .shared import staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS_PER_BLOCK = 8
+#: Keys for each block of 512 bits, and the least and most blocks: the largest filter has 64 MB.
+KEYS_PER_BLOCK, LEAST_BLOCKS, MOST_BLOCKS = 32, 1 << 6, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -56,21 +58,28 @@ def _place(key: Column, blocks: int) -> list[Column]:
     return [F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block"), *masks]
 
 
+def blocks_for(n: int) -> int:
+    """Blocks for ``n`` keys: a power of two with at most 32 keys a block, where ``MOST_BLOCKS`` allows. A fuller filter lets more rows through to the exact join."""
+    return min(MOST_BLOCKS, max(LEAST_BLOCKS, 1 << (-(-n // KEYS_PER_BLOCK) - 1).bit_length() if n else 0))
+
+
 def build_filter(keys: DataFrame, key: str = "key", blocks: int = 1 << 16) -> DataFrame:
     """At most ``blocks`` rows of 512 bits, whatever the list holds: bounded, so it may be broadcast."""
     placed = keys.where(F.col(key).isNotNull()).select(*_place(F.col(key), blocks))
     return placed.groupBy("_block").agg(*[F.bit_or(f"_m{j}").alias(f"_w{j}") for j in range(WORDS_PER_BLOCK)])
 
 
-def url_filter(pages: DataFrame, listed: DataFrame, rules: Sequence[UrlRule], url: str = "url", blocks: int = 1 << 16) -> DataFrame:
+def url_filter(pages: DataFrame, listed: DataFrame, rules: Sequence[UrlRule], url: str = "url", blocks: int | None = None) -> DataFrame:
     """Judge every row of ``pages``: columns ``row`` (the input's columns), ``host``, ``path``, ``rule``, ``verdict``.
 
     ``listed`` has a column ``url`` of URLs to block. The rule's verdict wins; else ``block`` for a
     listed canonical URL and ``allow`` for the rest. Possible hits of the Bloom filter go to an exact
     hash join, all other rows are never shuffled. Null urls and urls without ``://`` have an empty host
-    and path, fit no rule and are never listed. Repeated rows and repeated list entries make no difference."""
+    and path, fit no rule and are never listed; very long ones are read whole. Repeated rows are each judged; repeated list entries, and several of one
+    canonical form, count once. The filter has ``blocks`` blocks, or as many as the size of the list asks for."""
     names = listed.select(canonical(host_of(F.col("url")), path_of(F.col("url"))).alias("key")).where("key <> ''").distinct()
     names = staged(names, "listed")  # an unpartitioned scan, so that AQE can split a hot key's join
+    blocks = blocks or blocks_for(names.count())
     bits = F.broadcast(build_filter(names, blocks=blocks))
     own = pages.select(F.struct("*").alias("row")).select("row", host_of(F.col(f"row.`{url}`")).alias("host"), path_of(F.col(f"row.`{url}`")).alias("path"))
     own = own.withColumn("_r", rule_of(F.col("host"), F.col("path"), rules)).withColumn("_key", canonical(F.col("host"), F.col("path")))

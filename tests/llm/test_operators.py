@@ -94,7 +94,17 @@ def test_toxicity_gradients_are_right():
     speed = [np.zeros_like(p) for p in params]
     toxicity._step(net, params, [np.full_like(s, 1e12) for s in speed], batch, 0.0)
     captured = [np.zeros_like(p) for p in params]
-    toxicity._step(net, params, captured, batch, 0.0)  # speeds now hold squared gradients
+    d_input = toxicity._step(net, params, captured, batch, 0.0)  # speeds now hold squared gradients
+    assert d_input.shape == (7 + toxicity.WINDOW, d)
+    for at in ((2, 1), (9, 5)):
+        window, step = batch[0][0] if at[0] < 7 else batch[1][0], (at[0] if at[0] < 7 else at[0] - 7, at[1])
+        old = window[step]
+        window[step] = old + 1e-2
+        up = loss()
+        window[step] = old - 1e-2
+        down = loss()
+        window[step] = old
+        assert abs((up - down) / 2e-2 - float(d_input[at])) < 0.05 * abs(float(d_input[at])) + 1e-3
     for p, b, g2 in zip(params, before, captured, strict=True):
         i = np.unravel_index(int(np.argmax(g2)), p.shape)
         p[i] = b[i] + 1e-2
@@ -105,6 +115,14 @@ def test_toxicity_gradients_are_right():
         assert abs(abs(up - down) / 2e-2 - float(g2[i]) ** 0.5) < 0.05 * float(g2[i]) ** 0.5 + 1e-3
 
 
+def test_toxicity_embeddings_learn():
+    learn = _toxic_texts(200, 1)
+    short, long = (toxicity.train([t for t, _ in learn], [y for _, y in learn], 1 / 3, rounds=1, epochs=k) for k in (1, 6))
+    for one, two in ((short.word, long.word), (short.char, long.char)):
+        moved = np.abs(one - two).max(axis=1)
+        assert (moved > 1e-3).sum() > 100 and (moved == 0).any()
+
+
 def test_toxicity_odd_rows(spark, odd, empty, clashing):
     labels = spark.createDataFrame([(4, 1), (5, 0), (7, 1), (1, 0), (None, 1), (9, None)], "doc_id long, toxic int")
     net = toxicity.fit(odd, labels)
@@ -228,6 +246,20 @@ def test_url_filter_verdicts(spark):
     ], key=str)
     assert urls.url_filter(df.limit(0), listed, rules).isEmpty()
     assert urls.url_filter(df, listed.limit(0), rules).where("verdict = 'block'").count() == 1
+    # A very long url, and list entries of one canonical form.
+    far = "http://long.org/" + "a/" * 100_000
+    more = spark.createDataFrame([(1, far), (2, far + "b")], "page_id long, url string")
+    same = spark.createDataFrame([(far,), ("https://www." + far[7:] + "/",), (far,)], "url string")
+    assert rows(urls.url_filter(more, same, rules).select("row.page_id", "verdict")) == [(1, "block"), (2, "allow")]
+    # One block lets very many through; the exact join takes them back.
+    many = spark.range(3000).selectExpr("id as page_id", "concat('http://h.org/', id) as url")
+    out = urls.url_filter(many, many.where("page_id % 3 = 0").select("url"), rules, blocks=1)
+    assert out.where("(verdict = 'block') <> (row.page_id % 3 = 0)").isEmpty()
+
+
+@pytest.mark.parametrize(("n", "blocks"), [(0, 64), (2_000, 64), (2_049, 128), (10_000_000, 1 << 19), (10**9, 1 << 20)])
+def test_filter_grows_with_its_list(n, blocks):
+    assert urls.blocks_for(n) == blocks
 
 
 def test_bloom_filter_lets_all_listed_through(spark):
@@ -287,7 +319,7 @@ def test_tree_distributions_add_up_to_one():
 
 
 def _tree_scores(docs, context_least, pair_least):
-    """Brute force: all contexts of any length, level by level while one is kept."""
+    """Brute force: contexts of any length whose suffix and beginning are in the tree, level by level while one enters."""
     texts = [(learn, ["<", *WORD.findall(t.translate(LOWER)), ">"]) for t, learn in docs]
     uni = defaultdict(int)
     for learn, w in texts:
@@ -311,7 +343,8 @@ def _tree_scores(docs, context_least, pair_least):
         for c, follow in n.items():
             whole = sum(follow.values())
             own = {x: k for x, k in follow.items() if k >= pair_least}
-            if whole >= context_least and own:
+            grows = level == 1 or (c[1:] in trees[-1] and c[:-1] in trees[-1] and c[-1] in trees[-1][c[:-1]][1])
+            if grows and whole >= context_least and own:
                 below = {x: chain(c, x, level - 1) for x in own}
                 gain = sum(k * np.log(k / whole / below[x]) for x, k in own.items())
                 other, other_below = whole - sum(own.values()), max(1 - sum(below.values()), 1e-9)
@@ -324,8 +357,8 @@ def _tree_scores(docs, context_least, pair_least):
         trees.append(kept)
 
 
-@pytest.mark.parametrize("held_share", [0.0, 0.01, 1.0])
-def test_tree_scores_equal_brute_force_at_any_depth(spark, held_share):
+@pytest.mark.parametrize(("held_share", "pair_least"), [(0.0, 3), (0.01, 1), (1.0, 3)])
+def test_tree_scores_equal_brute_force_at_any_depth(spark, held_share, pair_least):
     """A word that only the fourth before it tells needs four levels; keys held by tasks and keys of the join give the same."""
     rng = np.random.default_rng(8)
     docs = []
@@ -334,10 +367,10 @@ def test_tree_scores_equal_brute_force_at_any_depth(spark, held_share):
         while len(w) < 60:
             w.append(w[-4] if rng.random() < 0.9 else str(rng.choice(list("abcde"))))
         docs.append((" ".join(w), i % 5 > 0))
-    levels, want = _tree_scores(docs, 20, 3)
+    levels, want = _tree_scores(docs, 20, pair_least)
     assert levels >= 4
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(docs)], "doc_id long, text string, learn boolean")
-    got = {r["doc_id"]: r["score"] for r in suffixtree.score_texts(df, context_least=20, pair_least=3, held_share=held_share).collect()}
+    got = {r["doc_id"]: r["score"] for r in suffixtree.score_texts(df, context_least=20, pair_least=pair_least, held_share=held_share).collect()}
     assert np.allclose([got[i] for i in range(len(docs))], want, rtol=0, atol=1e-6)
 
 
@@ -528,12 +561,50 @@ def test_decontamination_odd_rows(spark, odd, empty, clashing):
     assert decontam.decontaminate(odd, bench.limit(0)).where("n_hit > 0").isEmpty()
 
 
-def test_proximity_allows_words_between(spark):
-    docs = spark.createDataFrame([(1, "alpha x beta gamma"), (2, "gamma beta alpha"), (3, "alpha y y y y beta gamma")], "doc_id long, text string")
-    wins = decontam.windows_of(spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string"))
-    keyed = docs.select("doc_id", decontam.row_key("doc_id", "text").alias("_k"))
-    near = lambda slop: {r["doc_id"] for r in decontam.proximity(docs, wins, slop).join(keyed, "_k").collect()}
-    assert near(0) <= near(1) <= near(4) and near(4) == {1, 2, 3} and 2 not in near(0)
+def test_proximity_equals_brute_force(spark, monkeypatch):
+    """All words of a window, each as often as there, in any order among ``slop`` more consecutive words."""
+    rng = np.random.default_rng(6)
+    word = lambda: f"w{rng.zipf(1.2) % 60}"
+    items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate((3, 5, 10, 14))]
+    docs = []
+    for i in range(30):
+        w = items[i % 4][1].split()[:10]
+        for _ in range(int(rng.integers(0, 7))):
+            w.insert(int(rng.integers(0, len(w) + 1)), word())
+        w = [w[k] for k in rng.permutation(len(w))] if i % 3 == 0 else w
+        docs.append((i, " ".join([word() for _ in range(15)] + w + [word() for _ in range(15)])))
+    docs += [(90, items[2][1].split()[0] + " " + items[2][1].split()[1]), (91, None)]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+
+    def near(text, slop):
+        w, out = (text or "").split(), set()
+        for i, t in items:
+            t = t.split()
+            for k in range(max(1, len(t) - 9)):
+                own = t[k : k + 10]
+                for a in range(len(w)):
+                    part = w[a : a + len(own) + slop]
+                    if all(part.count(x) >= own.count(x) for x in own):
+                        out.add(str(i))
+        return sorted(out)
+
+    monkeypatch.setattr(decontam, "BLOCK", 16)
+    for slop in (0, 4):
+        got = {r["doc_id"]: r["near_items"] for r in decontam.decontaminate(df, bench, slop=slop).select("row.doc_id", "near_items").collect()}
+        assert got == {i: near(t, slop) for i, t in docs}
+
+
+def test_decontamination_of_a_long_text_in_blocks(spark):
+    """A short item on every place of a very long text, a phrase across a border of blocks, and items with equal windows."""
+    filler = [f"f{i}" for i in range(decontam.BLOCK - 5)]
+    phrase = [f"p{i}" for i in range(10)]
+    docs = [(1, "hot " * 50_000), (2, " ".join(filler + phrase + filler)), (2, " ".join(filler + phrase + filler)), (3, " ".join(filler + phrase[1:] + filler))]
+    items = [("a", "hot"), ("b", " ".join(phrase)), ("c", " ".join(phrase)), ("b", None)]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")
+    got = rows(decontam.decontaminate(df, bench).select("row.doc_id", "n_hit", F.array_join("items", ","), F.size("spans")))
+    n = decontam.BLOCK - 5
+    assert got == [(1, 50_000, "a", 1), (2, 10, "b,c", 1), (2, 10, "b,c", 1), (3, 0, "", 0)]
+    assert decontam.decontaminate(df, bench).where("row.doc_id = 2").first()["spans"] == [[n, n + 10]]
 
 
 # 10 BPE
