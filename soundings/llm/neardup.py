@@ -24,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import bit_table, passes, row_key, staged
@@ -33,8 +33,9 @@ from .words import mix, shingle_sets, slices, split_words, spread
 BUCKET_BITS = 18
 #: Classes that a task remembers in order not to give them twice; what it gives twice is dropped later.
 SEEN = 1 << 18
-#: Shingles in a block of sets, for bundles of up to eight blocks and for larger ones.
+#: Shingles in a block of sets, for bundles of up to eight blocks and for larger ones; and sets in a block of bitmaps.
 BLOCK, LARGE_BLOCK = 1 << 16, 1 << 22
+FEW, MANY = 256, 1 << 12
 #: Lists up to this length give all pairs of members.
 SHORT_LIST = 8
 #: Estimated list entries met for each posting of a single shingle, against one for each subset enumerated.
@@ -341,7 +342,8 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text:
     label = components(staged(links, "links"), nodes)
     members = _open_members(long, label, percent)
     if members is not None:
-        # Links found now join components, so components are the nodes.
+        # Bitmaps first, and whole sets of the members that they leave a partner. Links found now join components, so components are the nodes.
+        members = staged(_with_partner(members, maps, percent), "partnered")
         sets = staged(_set_table(docs, staged(members.select("c").distinct(), "need"), width, text), "sets")
         more = staged(_joined(members, sets, percent), "joined")
         again = components(more, more.select(F.col("a").alias("c")).unionByName(more.select(F.col("b").alias("c"))).distinct())
@@ -355,7 +357,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text:
 
 
 def _open_members(long: DataFrame, label: DataFrame, percent: int) -> DataFrame | None:
-    """``bundle``, ``blocks`` (how many it is dealt over), ``c``, ``comp``: members of long lists in which several components meet; None without any.
+    """``bundle``, ``c``, ``comp``, ``n``: members of long lists in which several components meet; None without any.
 
     Members that sizes and rests allow no partner in the list are left out of it. A list's bundle is the least hash among its members, and then among
     the lists that its members stand in: the many lists of a group of copies become one bundle."""
@@ -370,10 +372,66 @@ def _open_members(long: DataFrame, label: DataFrame, percent: int) -> DataFrame
     own = staged(live.join(open_, "sig"), "listed")
     near = staged(own.groupBy("c").agg(F.min("bundle").alias("near")), "near")
     wide = staged(own.join(near, "c").groupBy("sig").agg(F.min("near").alias("wide")), "wide")
-    members = staged(own.join(wide, "sig").groupBy(F.col("wide").alias("bundle"), "c").agg(F.first("comp").alias("comp"), F.first("n").alias("n")), "members")
-    total, many = F.sum("n"), F.count("*")
-    blocks = F.when(total <= 8 * BLOCK, F.ceil(total / BLOCK)).otherwise(8 + F.floor(total / LARGE_BLOCK))
-    return members.join(members.groupBy("bundle").agg(F.least(blocks, many).cast("int").alias("blocks")), "bundle").select("bundle", "blocks", "c", "comp")
+    return staged(own.join(wide, "sig").groupBy(F.col("wide").alias("bundle"), "c").agg(F.first("comp").alias("comp"), F.first("n").alias("n")), "members")
+
+
+def _dealt(members: DataFrame, amount: Column, least: int, most: int) -> DataFrame:
+    """``members`` with their ``block`` in the bundle, once for every two blocks ``i`` and ``j`` that meet. A bundle has as many blocks as its ``amount``
+    asks for, ``least`` a block for up to eight of them and ``most`` for more, and no more than it has members."""
+    count = F.when(amount <= 8 * least, F.ceil(amount / least)).otherwise(8 + F.floor(amount / most))
+    own = members.join(members.groupBy("bundle").agg(F.least(count, F.count("*")).cast("int").alias("blocks")), "bundle")
+    own = own.withColumn("block", F.pmod(F.xxhash64("c", "bundle"), F.col("blocks")).cast("int"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return own.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "other")
+
+
+def _sides(part: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
+    """The rows of the first and of the second block, and whether both are the same."""
+    block, i, j = part.column("block").to_numpy(), part.column("i")[0].as_py(), part.column("j")[0].as_py()
+    return np.flatnonzero(block == i), np.flatnonzero(block == j), i == j
+
+
+def _runs(rows: np.ndarray, width: int) -> list[np.ndarray]:
+    """``rows`` in runs whose bitmaps of ``width`` bytes have 16 MB together."""
+    step = max(1, (16 << 20) // width)
+    return [rows[k : k + step] for k in range(0, len(rows), step)]
+
+
+def _with_partner(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The ``members`` whose bitmap allows the similarity with that of a member of another component of the bundle."""
+
+    def meet(part: pa.Table) -> pa.Table:
+        n, comp, c = (part.column(k).to_numpy() for k in ("n", "comp", "c"))
+        bits = [np.frombuffer(x.as_buffer(), np.uint8) for chunk in part.column("bits").chunks for x in chunk]
+        width = np.array([len(x) for x in bits])
+        one, two, _ = _sides(part)
+        hit = np.zeros(len(n), bool)
+        for a in np.unique(width[one]).tolist() if len(one) else []:
+            for b in np.unique(width[two]).tolist() if len(two) else []:
+                size = min(a, b)
+
+                def folded(rows, size=size):
+                    return np.bitwise_or.reduce(np.stack([bits[k] for k in rows]).reshape(len(rows), -1, size), axis=1).view(np.uint64)
+
+                for x in _runs(one[width[one] == a], a):
+                    left = folded(x)
+                    for y in _runs(two[width[two] == b], b):
+                        right = folded(y)
+                        for k, row in zip(x.tolist(), left, strict=True):
+                            other = np.flatnonzero(comp[y] != comp[k])
+                            if len(other):
+                                more = np.bitwise_count(row & ~right[other]).sum(axis=1, dtype=np.int64), np.bitwise_count(right[other] & ~row).sum(axis=1, dtype=np.int64)
+                                m = n[y[other]]
+                                most = np.minimum(n[k] - more[0], m - more[1])
+                                close = 100 * most >= percent * (n[k] + m - most)
+                                hit[y[other[close]]] = True
+                                hit[k] |= close.any()
+        got = np.flatnonzero(hit)
+        bundle = part.column("bundle").to_numpy()
+        return pa.table({"bundle": pa.array(bundle[got]), "c": pa.array(c[got]), "comp": pa.array(comp[got]), "n": pa.array(n[got])})
+
+    own = _dealt(members.join(maps.select("c", "bits"), "c"), F.count("*"), FEW, MANY)
+    return own.groupBy("bundle", "i", "j").applyInArrow(meet, "bundle long, c long, comp long, n long").distinct()
 
 
 def _tiles(sizes: np.ndarray) -> list[np.ndarray]:
@@ -406,13 +464,10 @@ def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``a``, ``b`` between components: every two blocks of a bundle meet in one task, which gives no more links than it has members."""
 
     def meet(part: pa.Table) -> pa.Table:
-        block, comp = part.column("block").to_numpy(), part.column("comp").to_numpy()
+        comp = part.column("comp").to_numpy()
         sets = [np.frombuffer(s.as_buffer(), np.uint64) for chunk in part.column("s").chunks for s in chunk]
         n = np.array([len(s) for s in sets])
-        one, two = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
-        alone = part.column("i")[0].as_py() == part.column("j")[0].as_py()
-        if not alone and block.min() == block.max():
-            two = two[:0]
+        one, two, alone = _sides(part)
         names, where = np.unique(comp, return_inverse=True)
         label = np.arange(len(names))
         left, right = _tiles(n[one]), _tiles(n[two])
@@ -430,7 +485,5 @@ def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         moved = np.flatnonzero(label != np.arange(len(names)))
         return pa.table({"a": pa.array(names[label[moved]], pa.int64()), "b": pa.array(names[moved], pa.int64())})
 
-    own = members.join(sets, "c").withColumn("block", F.pmod(F.xxhash64("c", "bundle"), F.col("blocks")).cast("int"))
-    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    own = own.select("bundle", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "comp", "s")
+    own = _dealt(members.join(sets, "c"), F.sum("n"), BLOCK, LARGE_BLOCK).select("bundle", "i", "j", "block", "comp", "s")
     return own.groupBy("bundle", "i", "j").applyInArrow(meet, "a long, b long")

@@ -46,13 +46,18 @@ def row_key(*cols: str):
     return F.xxhash64(*[F.col(c) for c in cols], *[F.col(c).isNull() for c in cols])
 
 
-def bit_table(keys: DataFrame, key: str, bits: int = 25) -> np.ndarray:
-    """A bit table of fixed size (4 MB) with two bits for each ``key``, for tasks to hold; it lets all keys through, and the fewer others the emptier it is.
-    It only saves rows: what it lets through is for joins to settle."""
-    mask, size = F.lit((1 << bits) - 1), 1 << 13
-    at = keys.select(F.explode(F.array(F.col(key).bitwiseAND(mask), F.shiftrightunsigned(key, bits).bitwiseAND(mask))).alias("x"))
+def bit_tables(*keys: DataFrame, bits: int = 25) -> list[np.ndarray]:
+    """For each frame with a column ``key`` a bit table of fixed size (4 MB) with two bits for each key, for tasks to hold; all are made by one job.
+
+    A table lets all its keys through, and the fewer others the emptier it is. It only saves rows: what it lets through is for joins to settle."""
+    mask, size, each = F.lit((1 << bits) - 1), 1 << 13, 1 << (bits - 5)
+    rows = None
+    for i, own in enumerate(keys):
+        own = own.select(F.col("key"), F.lit(i << bits).cast("long").alias("base"))
+        rows = own if rows is None else rows.unionByName(own)
+    at = rows.select("base", F.explode(F.array(F.col("key").bitwiseAND(mask), F.shiftrightunsigned("key", bits).bitwiseAND(mask))).alias("x"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("x").bitwiseAND(F.lit(31)).cast("int"))
-    words = at.groupBy(F.shiftright("x", 5).alias("w")).agg(F.bit_or(bit).alias("v"))
+    words = at.groupBy(F.shiftright(F.col("base") + F.col("x"), 5).alias("w")).agg(F.bit_or(bit).alias("v"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,10 +68,14 @@ def bit_table(keys: DataFrame, key: str, bits: int = 25) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([marks.tobytes()], pa.binary())], names=["part", "bits"])
 
     parts = words.withColumn("part", F.floor(F.col("w") / size)).repartition("part").sortWithinPartitions("part").select("part", "w", "v").mapInArrow(pack, "part long, bits binary")
-    table = np.zeros(1 << (bits - 5), np.uint32)
+    table = np.zeros(each * len(keys), np.uint32)
     for part, marks in parts.toPandas().itertuples(index=False):
         table[part * size : (part + 1) * size] |= np.frombuffer(marks, np.uint32)
-    return table
+    return [table[i * each : (i + 1) * each] for i in range(len(keys))]
+
+
+def bit_table(keys: DataFrame, key: str) -> np.ndarray:
+    return bit_tables(keys.select(F.col(key).alias("key")))[0]
 
 
 def passes(keys: np.ndarray, table: np.ndarray) -> np.ndarray:

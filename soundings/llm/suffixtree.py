@@ -23,7 +23,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bit_table, passes, staged
+from .shared import bit_table, bit_tables, passes, staged
 from .words import Words, mix, slices, split_words
 
 #: Occurrences from which a context is tested, and from which a word stands in a context's list, at every size.
@@ -103,7 +103,7 @@ def vocabulary(docs: DataFrame, text: str = "text", learn: str = "learn") -> Dat
 
 
 def next_counts(docs: DataFrame, level: int, shared: Broadcast, text: str = "text", learn: str = "learn") -> DataFrame:
-    """``key``, ``context``, ``below``, ``n``: how often each word follows each context of one level. ``shared``: two filters.
+    """``context``, ``symbol``, ``n``: how often each word follows each context of one level. ``shared``: two filters.
 
     Rows that a filter of the level's contexts, or one of the pairs one level below, does not let through are not
     made: a pair is not more frequent than the one a word shorter. What they let through too much is for joins to drop."""
@@ -112,18 +112,18 @@ def next_counts(docs: DataFrame, level: int, shared: Broadcast, text: str = "tex
         held, rows = [], 0
 
         def summed():
-            key, context, below = (np.concatenate(x) for x in zip(*held, strict=True))
+            key, context, symbol = (np.concatenate(x) for x in zip(*held, strict=True))
             _, first, n = np.unique(key, return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([*[pa.array(x[first].view(np.int64)) for x in (key, context, below)], pa.array(n)], names=["key", "context", "below", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(context[first].view(np.int64)), pa.array(symbol[first].view(np.int64)), pa.array(n)], names=["context", "symbol", "n"])
 
         for whole in batches:
             for batch in slices(whole, "text"):
                 symbols, _, place = _tokens(split_words(batch.column("text")))
-                for d, _, context, key, below in _levels(symbols, place, level):
+                for d, at, context, key, below in _levels(symbols, place, level):
                     if d == level:
                         use = np.flatnonzero(passes(context, contexts))
                         use = use[passes(below[use], shorter)]
-                        held.append((key[use], context[use], below[use]))
+                        held.append((key[use], context[use], symbols[at[use]]))
                         rows += len(use)
                 if rows > 2_000_000:
                     yield summed()
@@ -132,7 +132,20 @@ def next_counts(docs: DataFrame, level: int, shared: Broadcast, text: str = "tex
             yield summed()
 
     own = docs.where(F.col(learn)).select(F.col(text).alias("text"))
-    return own.mapInArrow(count, "key long, context long, below long, n long").groupBy("key", "context", "below").agg(F.sum("n").alias("n"))
+    return own.mapInArrow(count, "context long, symbol long, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+
+
+def _keyed(rows: DataFrame, level: int) -> DataFrame:
+    """``key`` of each context and symbol, and ``below``, the key of the pair with the context's suffix (``short``), beside ``context``, ``n`` and ``whole``."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, symbol, short = (batch.column(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in ("context", "symbol", "short"))
+            below = symbol if level == 1 else _pair(short, symbol)
+            keys = [pa.array(k.view(np.int64)) for k in (_pair(context, symbol), below)]
+            yield pa.RecordBatch.from_arrays([*keys, batch.column("context"), batch.column("n"), batch.column("whole")], names=["key", "below", "context", "n", "whole"])
+
+    return rows.select("context", "symbol", "short", "n", "whole").mapInArrow(make, "key long, below long, context long, n long, whole long")
 
 
 @dataclass
@@ -177,21 +190,21 @@ class SuffixTree:
         self.scores.append(np.log10(p[own])[by])
 
 
-def grown(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Test the contexts of a level. ``counts``: ``key``, ``context``, ``n``, ``whole`` (the context's count) and ``blp`` (log10 probability one word shorter).
+def grown(counts: DataFrame) -> DataFrame:
+    """Test the contexts of a level. ``counts``: ``key``, ``below``, ``context``, ``n``, ``whole`` (the context's count) and ``blp`` (log10 probability one word shorter).
 
-    Returns the contexts that enter (``context``, ``whole``, ``kinds``, ``rest``), and their pairs with ``lp``, the log10 probability, and ``value``,
-    what it differs from that by the shorter context and ``rest``."""
+    Returns the pairs of the contexts that enter, with ``rest``, the context's factor for all words, ``lp``, the pair's log10 probability, and ``value``,
+    what that differs from the shorter context's and ``rest``."""
     below, n, whole = F.pow(F.lit(10.0), "blp"), F.col("n"), F.col("whole")
     sums = counts.groupBy("context").agg(F.max("whole").alias("whole"), F.count("*").alias("kinds"), F.sum("n").alias("listed"), F.sum(below).alias("shorter"), F.sum(n * F.log(n / whole / below)).alias("gain"))
     other, kinds = F.greatest(whole - F.col("listed"), F.lit(0)), F.col("kinds")
     other_below = F.greatest(1 - F.col("shorter"), F.lit(1e-9))
     gain = F.col("gain") + F.when(other > 0, other * F.log(other / whole / other_below)).otherwise(0.0)
     left = F.greatest(1 - (F.col("listed") + kinds * F.col("shorter")) / (whole + kinds), F.lit(1e-9))
-    kept = staged(sums.where(2 * gain > kinds + 3 * F.sqrt(2 * kinds)).select("context", "whole", "kinds", F.log10(left / other_below).alias("rest")), "kept")
+    kept = sums.where(2 * gain > kinds + 3 * F.sqrt(2 * kinds)).select("context", "kinds", F.log10(left / other_below).alias("rest"))
     lp = F.log10((n + kinds * below) / (whole + kinds))
-    both = counts.join(kept.select("context", "kinds", "rest"), "context")
-    return kept, staged(both.select("key", "n", lp.alias("lp"), (lp - F.col("blp") - F.col("rest")).alias("value")), "pairs")
+    both = counts.join(kept, "context")
+    return both.select("key", "below", "context", "n", "whole", "rest", lp.alias("lp"), (lp - F.col("blp") - F.col("rest")).alias("value"))
 
 
 def learn_tree(docs: DataFrame, vocab: DataFrame, ends: int, floor: float, text: str = "text", learn: str = "learn", context_least: int = CONTEXT_LEAST, pair_least: int = PAIR_LEAST) -> tuple[DataFrame, int]:
@@ -200,22 +213,23 @@ def learn_tree(docs: DataFrame, vocab: DataFrame, ends: int, floor: float, text:
     row = lambda h: spark.createDataFrame([(_signed(h), ends)] if ends else [], "key long, n long")
     words = vocab.select(F.col("h").alias("key"), "n").unionByName(row(END))
     tree = words.select("key", F.log10(F.col("n") + 1.0).alias("value"), "n", F.lit(0).alias("level"), F.lit(True).alias("listed"))
-    contexts = vocab.select(F.col("h").alias("key"), "n").unionByName(row(BEGIN)).where(F.col("n") >= context_least)
+    contexts = vocab.select(F.col("h").alias("key"), "n").unionByName(row(BEGIN)).where(F.col("n") >= context_least).select("key", "n", F.lit(0).cast("long").alias("short"))
     pairs = words.where(F.col("n") >= pair_least).select("key", "n", (F.log10(F.col("n") + 1.0) - floor).alias("lp"))
     level = 0
     while not contexts.isEmpty():
-        shared = spark.sparkContext.broadcast((bit_table(contexts, "key"), bit_table(pairs, "key")))
-        rows = staged(next_counts(docs, level + 1, shared, text, learn).where(F.col("n") >= pair_least), "counts")
+        shared = spark.sparkContext.broadcast(bit_tables(contexts.select("key"), pairs.select("key")))
+        rows = next_counts(docs, level + 1, shared, text, learn).where(F.col("n") >= pair_least)
+        rows = rows.join(contexts.select(F.col("key").alias("context"), F.col("n").alias("whole"), "short"), "context")
+        known = staged(_keyed(rows, level + 1).join(pairs.select(F.col("key").alias("below"), F.col("lp").alias("blp")), "below"), "known")
         shared.destroy()
-        known = rows.join(contexts.select(F.col("key").alias("context"), F.col("n").alias("whole")), "context")
-        known = staged(known.join(pairs.select(F.col("key").alias("below"), F.col("lp").alias("blp")), "below").drop("below"), "known")
-        kept, pairs = grown(known)
-        if kept.isEmpty():
+        pairs = staged(grown(known), "pairs")
+        if pairs.isEmpty():
             break
         level += 1
-        own = kept.select(F.col("context").bitwiseXOR(F.lit(_signed(_CONTEXT))).alias("key"), F.col("rest").alias("value"), F.col("whole").alias("n"), F.lit(level).alias("level"), F.lit(False).alias("listed"))
+        own = pairs.groupBy("context").agg(F.first("rest").alias("value"), F.first("whole").alias("n"))
+        own = own.select(F.col("context").bitwiseXOR(F.lit(_signed(_CONTEXT))).alias("key"), "value", "n", F.lit(level).alias("level"), F.lit(False).alias("listed"))
         tree = tree.unionByName(own).unionByName(pairs.select("key", "value", "n", F.lit(level).alias("level"), F.lit(True).alias("listed")))
-        contexts = pairs.where(F.col("n") >= context_least)
+        contexts = pairs.where(F.col("n") >= context_least).select("key", "n", F.col("below").alias("short"))
     return tree, level
 
 
@@ -234,6 +248,7 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
     total = words + ends
     floor = float(np.log10(total + kinds + (ends > 0) + 1))
     tree, depth = learn_tree(own, vocab, ends, floor, context_least=context_least, pair_least=pair_least)
+    tree = staged(tree, "tree")
     often = F.col("n") >= held_share * total
     rare = tree.where(~often)
     top = tree.where(often).select("key", "value", "level", "listed").toPandas()
