@@ -80,3 +80,13 @@ def absorption_ainslie_mccolm(khz: Column, t: Column, s: Column, depth: Column,
 def time_varied_gain(r: Column, alpha: Column) -> Column:
     """20 log10 r + 2 alpha r; NULL where the range is not above 0."""
     return F.when(r > 0, 20 * F.log10(r) + 2 * alpha * r)
+
+
+def subtract_db(level: Column, noise: Column) -> Column:
+    """A level less a noise level, in the linear domain; NULL where nothing is left."""
+    return to_db(to_linear(level) - to_linear(noise))
+
+
+def counts_to_sv(counts: Column, scale: Column, offset: Column, depth: Column, most_m: float) -> Column:
+    """Echo counts of a current profiler as volume backscatter; NULL from ``most_m`` down."""
+    return F.when(depth < most_m, counts * scale + offset)

@@ -44,18 +44,26 @@ def snake_case(name: str) -> str:
     return re.sub(r"_+", "_", re.sub(r"[^0-9A-Za-z]+", "_", name)).strip("_").lower()
 
 
-# Parts of names that tell a column's category, in order of precedence.
+# Parts of upper-case names that tell a column's category, in order of precedence.
 CATEGORIES = {
-    "nav": ("lat", "lon", "heading", "speed", "course", "sog", "cog", "pitch", "roll"),
-    "met": ("wind", "air", "baro", "humid", "rad", "wave"),
-    "ocean": ("temp", "sal", "cond", "oxygen", "chlor", "depth", "current", "sound"),
+    "nav": ("SOG", "COG", "HDG", "ROLL", "PITCH", "WING", "YAW"),
+    "met": ("WIND", "TEMP_AIR", "RH", "BARO", "PAR", "SW_IRRAD", "GUST"),
+    "ocean": ("TEMP_SBE", "TEMP_DEPTH", "TEMP_IR", "SAL", "COND", "O2", "CHLOR", "WAVE"),
 }
 
 
 def column_category(name: str) -> str:
-    low = name.lower()
-    return next((c for c, parts in CATEGORIES.items() if any(p in low for p in parts)), "other")
+    upper = name.upper()
+    return next((c for c, parts in CATEGORIES.items() if any(p in upper for p in parts)), "other")
 
 
 def categories(names: Iterable[str]) -> dict[str, str]:
     return {n: column_category(n) for n in names}
+
+
+def category_of(name: Column) -> Column:
+    """``column_category`` of names in a column."""
+    found = F.lit("other")
+    for kind, parts in reversed(CATEGORIES.items()):
+        found = F.when(F.upper(name).rlike("|".join(parts)), kind).otherwise(found)
+    return found

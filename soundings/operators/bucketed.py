@@ -41,3 +41,16 @@ def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: C
     per = df.groupBy(*by, "_b").agg(F.sum(value).alias("_v"))
     before = per.select(*by, "_b", F.sum("_v").over(Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
     return own.join(before, [*by, "_b"], "left").withColumn(name, F.coalesce("_own", F.lit(0)) + F.coalesce("_carry", F.lit(0))).drop("_own", "_carry")
+
+
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str, width: int = DAY_US) -> DataFrame:
+    """``name``: the place of each row, from 0, in the order of its key; the first of ``order`` is a number that buckets are cut from."""
+    own = running_sum(with_bucket(df, order[0], width), by, order, F.lit(1).cast("long"), name)
+    return own.withColumn(name, F.col(name) - 1).drop("_b")
+
+
+def in_blocks(df: DataFrame, place: str, reach: int, block: int = 4096) -> DataFrame:
+    """Rows dealt by their place to ``_block`` s of even size, those within ``reach`` of a border to both; ``_mine`` is TRUE in a row's own block."""
+    b = F.floor(F.col(place) / block)
+    all_ = F.array_distinct(F.array(b, F.floor((F.col(place) - reach) / block), F.floor((F.col(place) + reach) / block)))
+    return df.withColumn("_block", F.explode(all_)).withColumn("_mine", F.col("_block") == b)

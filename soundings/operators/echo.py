@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
@@ -39,7 +40,7 @@ def attenuated_pings(samples: DataFrame, low: float, high: float, half: int = 15
 
 
 def impulse_mask(samples: DataFrame, lags: Sequence[int] = (1,), over_db: float = 10, pool: int = 1, votes: int = 1) -> DataFrame:
-    """Samples louder than both neighbours at a lag by more than ``over_db``, for ``votes`` of the lags. Missing neighbours count as silent; edge pings never."""
+    """Samples louder than both neighbours at a lag by more than ``over_db``, for ``votes`` of the lags. Missing neighbours count as silent; edge pings never, they are ``impulse_unfeasible``."""
     own = samples
     if pool > 1:
         own = own.withColumn("_v", to_db(F.avg(to_linear(F.col("sv"))).over(Window.partitionBy("channel", PING, F.floor(F.col(SAMPLE) / pool)))))
@@ -50,10 +51,11 @@ def impulse_mask(samples: DataFrame, lags: Sequence[int] = (1,), over_db: float
     for k in lags:
         back, ahead = F.coalesce(F.lag("_v", k).over(w), silent), F.coalesce(F.lead("_v", k).over(w), silent)
         hits = hits + ((F.col("_v") - back > over_db) & (F.col("_v") - ahead > over_db)).cast("int")
-    span = Window.partitionBy("channel")
     most = max(lags)
-    inner = (F.col(PING) >= F.min(PING).over(span) + most) & (F.col(PING) <= F.max(PING).over(span) - most)
-    return own.withColumn("impulse", F.coalesce((hits >= votes) & inner, F.lit(False))).drop("_v")
+    span = samples.groupBy("channel").agg((F.min(PING) + most).alias("_first"), (F.max(PING) - most).alias("_last"))  # a row for each channel
+    own = own.withColumn("_hits", hits).join(span, "channel")
+    inner = F.col(PING).between(F.col("_first"), F.col("_last"))
+    return own.withColumns({"impulse": F.coalesce((F.col("_hits") >= votes) & inner, F.lit(False)), "impulse_unfeasible": ~inner}).drop("_v", "_hits", "_first", "_last")
 
 
 def transient_below(samples: DataFrame, deep: tuple[float, float], step_m: float, half: int = 5, over_db: float = 3, until_db: float = 1, exclude_above: float = 250) -> DataFrame:
@@ -85,10 +87,13 @@ def transient_block(samples: DataFrame, pings: int = 5, depth: int = 3, share: f
         grid[rows[PING] - p0, rows[SAMPLE] - s0] = 10 ** (rows["sv"] / 10)
         out = np.zeros(shape, bool)
         if shape[0] > 2 * pings and shape[1] > 2 * depth:
-            view = np.lib.stride_tricks.sliding_window_view(grid, (2 * pings + 1, 2 * depth + 1)).reshape(shape[0] - 2 * pings, shape[1] - 2 * depth, -1)
-            floor = 10 * np.log10(np.quantile(view, share, axis=-1))
-            inner = 10 * np.log10(grid[pings:-pings, depth:-depth])
-            out[pings:-pings, depth:-depth] = inner - floor > over_db
+            # Strips of samples, so that the copies of all windows stay under some 64 MB.
+            strip = max(1, (8 << 20) // ((2 * pings + 1) * (2 * depth + 1) * shape[0]))
+            for at in range(depth, shape[1] - depth, strip):
+                end = min(at + strip, shape[1] - depth)
+                view = np.lib.stride_tricks.sliding_window_view(grid[:, at - depth : end + depth], (2 * pings + 1, 2 * depth + 1))
+                floor = 10 * np.log10(np.quantile(view.reshape(shape[0] - 2 * pings, end - at, -1), share, axis=-1))
+                out[pings:-pings, at:end] = 10 * np.log10(grid[pings:-pings, at:end]) - floor > over_db + 1e-9
         hit = out[rows[PING] - p0, rows[SAMPLE] - s0] & (rows["depth"] >= below_m)
         own = (rows[PING] // block) == rows["_b"]
         return rows.assign(transient=hit)[own][["channel", PING, SAMPLE, "transient"]]
@@ -155,45 +160,105 @@ def savitzky_golay(df: DataFrame, value: str, name: str, window: int, order: int
     return own.withColumn(name, F.when(F.col("_n") >= window, total).otherwise(F.col(value))).drop("_i", "_n")
 
 
-def seabed_maximum(samples: DataFrame, low: float, high: float, least_db: float, stop_db: float) -> DataFrame:
-    """The loudest sample in the gate, if loud enough, then up while the five-sample linear mean stays over ``stop_db``."""
-    frame = along_samples().rowsBetween(-2, 2)
-    own = samples.withColumn("_m", to_db(F.avg(to_linear(F.col("sv"))).over(frame)))
-    gate = F.col("depth").between(low, high) & (F.col("sv") >= least_db)
-    peak = F.max_by(F.when(gate, F.col(SAMPLE)), F.when(gate, F.struct("sv", -F.col(SAMPLE)))).over(Window.partitionBy("channel", PING))
-    own = own.withColumn("_peak", peak).where("_peak is not null")
-    out = own.groupBy("channel", PING).agg(F.first("_peak").alias("_peak"), F.max(F.when((F.col(SAMPLE) < F.col("_peak")) & ~(F.col("_m") >= stop_db), F.col(SAMPLE))).alias("_break"), F.min(SAMPLE).alias("_top"))
-    return out.select("channel", PING, F.coalesce(F.col("_break") + 1, F.col("_top")).alias("seabed"))
-
-
-def seabed_gradient(samples: DataFrame, low: float, high: float, over_db: float = 20) -> DataFrame:
-    """The first sample in the gate that is louder than the one before it by more than ``over_db``."""
-    own = samples.withColumn("_d", F.col("sv") - F.lag("sv").over(along_samples()))
-    return own.where(F.col("depth").between(low, high) & (F.col("_d") > over_db)).groupBy("channel", PING).agg(F.min(SAMPLE).alias("seabed"))
-
-
-def seabed_morphological(samples: DataFrame, low: float, high: float, least_db: float, erode: tuple[int, int] = (1, 1), dilate: tuple[int, int] = (2, 2)) -> DataFrame:
-    """Median filter, threshold in the gate, erosion, dilation, then the first TRUE of each ping."""
-    own = median_3x3(samples).withColumn("_m", F.coalesce((F.col("sv_median") >= least_db) & F.col("depth").between(low, high), F.lit(False)))
-    own = morph(morph(own, "_m", "_e", *erode, grow=False), "_e", "_d", *dilate, grow=True)
-    return own.where("_d").groupBy("channel", PING).agg(F.min(SAMPLE).alias("seabed"))
-
-
-def seabed_composite(samples: DataFrame, low: float, high: float, margin_db: float = 3, least_db: float = -40, window: int = 5, least_share: float = 0.4) -> DataFrame:
-    """Per-ping threshold (75th percentile less a margin, floored), erosion and dilation, continuity over pings, the deepest candidate."""
-    gate = samples.where(F.col("depth").between(low, high))
-    limit = F.greatest(F.percentile("sv", F.lit(0.75)).over(Window.partitionBy("channel", PING)) - margin_db, F.lit(float(least_db)))
-    own = gate.withColumn("_m", F.coalesce(F.col("sv") >= limit, F.lit(False)))
-    own = morph(morph(own, "_m", "_e", 0, 1, grow=False), "_e", "_d", 0, 1, grow=True)
-    near = F.avg(F.col("_d").cast("double")).over(along_pings().rowsBetween(-(window // 2), window // 2))
-    return own.withColumn("_c", F.col("_d") & (near >= least_share)).where("_c").groupBy("channel", PING).agg(F.max(SAMPLE).alias("seabed"))
-
-
-def seabed_angle(samples: DataFrame, low: float, high: float, least: float, angle: str = "angle", depth: int = 1, pings: int = 1) -> DataFrame:
-    """The first sample in the gate whose box mean of the squared angle exceeds ``least``."""
-    own = samples.withColumn("_a", F.avg(F.col(angle) * F.col(angle)).over(along_samples().rowsBetween(-depth, depth)))
-    own = own.withColumn("_b", F.avg("_a").over(along_pings().rowsBetween(-pings, pings)))
-    return own.where(F.col("depth").between(low, high) & (F.col("_b") > least)).groupBy("channel", PING).agg(F.min(SAMPLE).alias("seabed"))
+def _raised(line: DataFrame, samples: DataFrame, offset_m: float) -> DataFrame:
+    """A seabed line moved up by as many samples as the one nearest ``offset_m`` has above it."""
+    if offset_m <= 0:
+        return line
+    near = samples.groupBy("channel").agg((F.min_by(SAMPLE, F.struct(F.abs(F.col("depth") - offset_m), SAMPLE)) - F.min(SAMPLE)).alias("_up"), F.min(SAMPLE).alias("_top"))
+    return line.join(near, "channel").select("channel", PING, F.greatest(F.col("seabed") - F.col("_up"), F.col("_top")).alias("seabed"))
+
+
+def box_mean(samples: DataFrame, value: str, name: str, pings: int, depth: int) -> DataFrame:
+    """Mean over 2k + 1 cells each way; beyond the grid stands its edge cell."""
+
+    def mean(w: Window, c: str, k: int) -> Column:
+        first, last = F.first(c).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.last(c).over(w.rowsBetween(0, Window.unboundedFollowing))
+        cells = [F.col(c), *[F.coalesce(F.lag(c, i).over(w), first) for i in range(1, k + 1)], *[F.coalesce(F.lead(c, i).over(w), last) for i in range(1, k + 1)]]
+        return sum(cells[1:], cells[0]) / (2 * k + 1)
+
+    own = samples.withColumn(name, mean(along_samples(), value, depth))
+    return own.withColumn(name, mean(along_pings(), name, pings))
+
+
+def seabed_maximum(samples: DataFrame, low: float, high: float, least_db: float = -40, stop_db: float = -60, offset_m: float = 0) -> DataFrame:
+    """The loudest sample of the median-filtered gate, if loud enough, then up while the linear mean of the five samples above is ``stop_db`` or more."""
+    above = along_samples().rowsBetween(-5, -1)
+    own = median_3x3(samples)
+    own = own.withColumn("_m", to_db(F.avg(to_linear(F.col("sv_median"))).over(above))).withColumn("_n", F.count("*").over(above))
+    gate = F.col("depth").between(low, high) & (F.col("sv_median") >= least_db)
+    peak = F.max_by(F.when(gate, F.col(SAMPLE)), F.when(gate, F.struct("sv_median", -F.col(SAMPLE)))).over(Window.partitionBy("channel", PING))
+    stop = (F.col("_n") < 5) | F.coalesce(F.col("_m") < stop_db, F.lit(True))
+    own = own.withColumn("_peak", peak).where((F.col(SAMPLE) <= F.col("_peak")) & stop)
+    return _raised(own.groupBy("channel", PING).agg(F.max(SAMPLE).alias("seabed")), samples, offset_m)
+
+
+def seabed_gradient(samples: DataFrame, low: float, high: float, over_db: float = 20, offset_m: float = 0) -> DataFrame:
+    """The first sample of the median-filtered gate that is louder than the one before it by more than ``over_db``."""
+    own = median_3x3(samples)
+    own = own.withColumn("_d", F.col("sv_median") - F.lag("sv_median").over(along_samples()))
+    return _raised(own.where(F.col("depth").between(low, high) & (F.col("_d") > over_db)).groupBy("channel", PING).agg(F.min(SAMPLE).alias("seabed")), samples, offset_m)
+
+
+def seabed_morphological(
+    samples: DataFrame, low: float, high: float, least_db: float = -40, erode: tuple[int, int] = (1, 1), dilate: tuple[int, int] = (1, 3), cycles: int = 3, offset_m: float = 0, smooth_window: int | None = 11,
+) -> DataFrame:
+    """Median filter, threshold in the gate, one erosion, ``cycles`` dilations kept in the gate, the first TRUE of each ping, and smoothing over pings.
+
+    Rectangles are (pings, samples) each way. The gate is a band, so dilating so many times in it is one dilation by as much more, cut to the gate.
+    Lines of a channel with no more pings than the window are not smoothed."""
+    inside = F.col("depth").between(low, high) & F.col("sv_median").isNotNull()
+    own = median_3x3(samples).withColumn("_m", F.coalesce((F.col("sv_median") >= least_db) & inside, F.lit(False)))
+    own = morph(morph(own, "_m", "_e", *erode, grow=False), "_e", "_d", cycles * dilate[0], cycles * dilate[1], grow=True)
+    line = _raised(own.where(F.col("_d") & inside).groupBy("channel", PING).agg(F.min(SAMPLE).alias("seabed")), samples, offset_m)
+    if not smooth_window:
+        return line
+    line = savitzky_golay(line.withColumn("_v", F.col("seabed").cast("double")), "_v", "_s", smooth_window, 1, ["channel"], PING)
+    many = F.count("*").over(Window.partitionBy("channel")) > smooth_window
+    return line.select("channel", PING, F.when(many, F.greatest(F.round("_s", 6), F.lit(0.0)).cast("int")).otherwise(F.col("seabed").cast("int")).alias("seabed"))
+
+
+def seabed_composite(
+    samples: DataFrame, low: float, high: float, margin_db: float = 3, least_db: float = -40, share: float = 0.75, window: int = 5, least_pings: int = 2, smooth_window: int = 31, smooth_order: int = 1, jump: float = 5,
+) -> DataFrame:
+    """Median filter; per-ping threshold (a quantile of the gate less a margin, floored); erosion and dilation, undone in pings they empty; pings
+    with few neighbours that have candidates lose theirs; the deepest candidate, else the deepest sample over the threshold, else the bottom;
+    smoothing; jumps replaced by interpolation. ``detected`` tells pings with a candidate of their own from the rest.
+
+    Lines shorter than the smoothing window stay unsmoothed."""
+    inside = F.col("depth").between(low, high)
+    own, ping = median_3x3(samples), Window.partitionBy("channel", PING)
+    limit = F.greatest(F.percentile(F.when(inside, F.col("sv_median")), F.lit(share)).over(ping) - margin_db, F.lit(float(least_db)))
+    own = own.withColumn("_m", F.coalesce((F.col("sv_median") > limit) & inside, F.lit(False)))
+    own = morph(morph(own, "_m", "_e", 0, 1, grow=False), "_e", "_d", 1, 2, grow=True)
+    left = F.max(F.col("_d").cast("int")).over(ping) == 1
+    own = own.withColumn("_c", F.when(left, F.col("_d")).otherwise(F.col("_m")) & inside)
+    line = own.groupBy("channel", PING).agg(F.max(F.when(F.col("_c"), F.col(SAMPLE))).alias("_own"), F.max(F.when(F.col("_m"), F.col(SAMPLE))).alias("_loud"), F.max(SAMPLE).alias("_bottom"))
+    w = Window.partitionBy("channel").orderBy(PING)
+    line = line.withColumn("_has", F.col("_own").isNotNull().cast("double"))
+    first, last = F.first("_has").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.last("_has").over(w.rowsBetween(0, Window.unboundedFollowing))
+    near = sum([F.coalesce(F.lag("_has", k).over(w), first) + F.coalesce(F.lead("_has", k).over(w), last) for k in range(1, window // 2 + 1)], F.col("_has"))
+    line = line.withColumn("_near", near).withColumn("_own", F.when(F.col("_near") / window >= least_pings / window, F.col("_own")))
+    line = line.select("channel", PING, F.col("_own").isNotNull().alias("detected"), F.coalesce("_own", "_loud", "_bottom").cast("double").alias("_v"), F.max("_bottom").over(Window.partitionBy("channel")).alias("_bottom"))
+    line = savitzky_golay(line, "_v", "_s", smooth_window, smooth_order, ["channel"], PING).withColumn("_n", F.row_number().over(w))
+    known = F.when(F.coalesce(F.abs(F.col("_s") - F.lag("_s").over(w)), F.lit(0.0)) <= jump, F.struct(F.col("_n").alias("n"), F.col("_s").alias("s")))
+    line = line.withColumn("_k", known)
+    line = line.withColumns({"_a": F.last("_k", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_b": F.first("_k", True).over(w.rowsBetween(0, Window.unboundedFollowing))})
+    between = F.col("_a.s") + (F.col("_b.s") - F.col("_a.s")) * (F.col("_n") - F.col("_a.n")) / F.greatest(F.col("_b.n") - F.col("_a.n"), F.lit(1))
+    index = F.coalesce(between, F.col("_a.s"), F.col("_b.s"), F.col("_s"))
+    return line.select("channel", PING, F.least(F.greatest(F.round(index, 6), F.lit(0.0)).cast("int"), F.col("_bottom").cast("int")).alias("seabed"), "detected")
+
+
+#: Fixed value: counts of an echosounder's electrical angle for each degree.
+ANGLE_COUNTS = 22.0 * 128.0 / 180.0
+
+
+def seabed_angle(samples: DataFrame, low: float, high: float, along: float = 5.0, athwart: float = 5.0, box: tuple[int, int] = (1, 1), angles: tuple[str, str] = ("angle_alongship", "angle_athwartship")) -> DataFrame:
+    """The first sample in the gate where the box mean of either split-beam angle, in counts, is over its threshold. ``box``: cells each way of the two boxes."""
+    own = samples
+    for name, angle, k in zip(("_along", "_athwart"), angles, box, strict=True):
+        own = box_mean(own.withColumn(name, F.col(angle) * ANGLE_COUNTS), name, name, k, k)
+    hit = (F.col("_along") > along) | (F.col("_athwart") > athwart)
+    return own.where(F.col("depth").between(low, high) & hit).groupBy("channel", PING).agg(F.min(SAMPLE).alias("seabed"))
 
 
 SEABED: dict[str, Callable[..., DataFrame]] = {"maximum": seabed_maximum, "gradient": seabed_gradient, "morphological": seabed_morphological, "composite": seabed_composite, "angle": seabed_angle}
@@ -226,11 +291,11 @@ def fill_gaps(samples: DataFrame, mask: str, name: str, vertical: int, horizonta
 
 
 def vertical_runs(samples: DataFrame, mask: str) -> DataFrame:
-    """Maximal TRUE runs of each ping: ``lo`` and ``hi`` sample, and an ``id`` that is unique and repeatable."""
+    """Maximal TRUE runs of each ping: ``lo`` and ``hi`` sample, their depths ``d_lo`` and ``d_hi``, and an ``id`` that is unique and repeatable."""
     on = samples.where(F.col(mask))
     w = Window.partitionBy("channel", PING).orderBy(SAMPLE)
-    runs = on.withColumn("_g", F.col(SAMPLE) - F.row_number().over(w)).groupBy("channel", PING, "_g").agg(F.min(SAMPLE).alias("lo"), F.max(SAMPLE).alias("hi"))
-    return runs.select("channel", PING, "lo", "hi", F.concat_ws("/", F.col("channel").cast("string"), F.lpad(F.col(PING).cast("string"), 12, "0"), F.lpad(F.col("lo").cast("string"), 9, "0")).alias("id"))
+    runs = on.withColumn("_g", F.col(SAMPLE) - F.row_number().over(w)).groupBy("channel", PING, "_g").agg(F.min(SAMPLE).alias("lo"), F.max(SAMPLE).alias("hi"), F.min("depth").alias("d_lo"), F.max("depth").alias("d_hi"))
+    return runs.select("channel", PING, "lo", "hi", "d_lo", "d_hi", F.concat_ws("/", F.col("channel").cast("string"), F.lpad(F.col(PING).cast("string"), 12, "0"), F.lpad(F.col("lo").cast("string"), 9, "0")).alias("id"))
 
 
 def connected(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -251,41 +316,106 @@ def schools(samples: DataFrame, mask: str, diagonal: bool = False) -> DataFrame:
     """Runs with the ``label`` of their connected component: runs of neighbouring pings that overlap (or, ``diagonal``, touch corners) are linked."""
     runs = staged(vertical_runs(samples, mask), "runs")
     wide = 1 if diagonal else 0
-    left, right = runs.toDF("channel", PING, "lo", "hi", "a"), runs.toDF("channel", "p2", "lo2", "hi2", "b")
+    left = runs.select("channel", PING, "lo", "hi", F.col("id").alias("a"))
+    right = runs.select("channel", F.col(PING).alias("p2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.col("id").alias("b"))
     near = left.withColumn("p2", F.col(PING) + 1).join(right, ["channel", "p2"]).where((F.col("lo") <= F.col("hi2") + wide) & (F.col("lo2") <= F.col("hi") + wide))
     return runs.join(connected(runs, near.select("a", "b")), "id")
 
 
-def schools_weill(samples: DataFrame, least_db: float = -70, vertical_gap: int = 0, horizontal_gap: int = 0, least_height: int = 0, least_length: int = 0) -> DataFrame:
-    """Schools by threshold, gap filling, 4-connected components and least extents: ``label``, bounding box, ``n_cells``."""
-    own = samples.withColumn("_m", F.coalesce(F.col("sv") >= least_db, F.lit(False)))
-    own = fill_gaps(own, "_m", "_f", vertical_gap, horizontal_gap)
-    return boxes(schools(own, "_f")).where((F.col("s_hi") - F.col("s_lo") + 1 >= least_height) & (F.col("p_hi") - F.col("p_lo") + 1 >= least_length))
+def _weill_runs(samples: DataFrame, least_db: float, vertical_gap: int, horizontal_gap: int) -> DataFrame:
+    own = samples.withColumn("_m", F.coalesce(F.col("sv") > least_db, F.lit(False)))
+    return schools(fill_gaps(own, "_m", "_f", vertical_gap, horizontal_gap), "_f")
+
+
+def schools_weill(samples: DataFrame, least_db: float = -70, vertical_gap: int = 5, horizontal_gap: int = 0, least_height: int = 0, least_length: int = 0) -> DataFrame:
+    """Schools over a threshold, by gap filling, 4-connected components and least extents in samples and pings: ``label``, bounding box, ``n_cells``."""
+    box = boxes(_weill_runs(samples, least_db, vertical_gap, horizontal_gap))
+    return box.where((F.col("s_hi") - F.col("s_lo") + 1 >= least_height) & (F.col("p_hi") - F.col("p_lo") + 1 >= least_length))
 
 
 def boxes(runs: DataFrame) -> DataFrame:
-    return runs.groupBy("channel", "label").agg(F.min(PING).alias("p_lo"), F.max(PING).alias("p_hi"), F.min("lo").alias("s_lo"), F.max("hi").alias("s_hi"), F.sum(F.col("hi") - F.col("lo") + 1).alias("n_cells"))
+    return runs.groupBy("channel", "label").agg(F.min(PING).alias("p_lo"), F.max(PING).alias("p_hi"), F.min("lo").alias("s_lo"), F.max("hi").alias("s_hi"), F.min("d_lo").alias("d_lo"), F.max("d_hi").alias("d_hi"), F.sum(F.col("hi") - F.col("lo") + 1).alias("n_cells"))
+
+
+def _spans(samples: DataFrame) -> DataFrame:
+    """A row for each channel: first and last ping, sample and depth, and the depth of a sample."""
+    out = samples.groupBy("channel").agg(F.min(PING).alias("p0"), F.max(PING).alias("p1"), F.min(SAMPLE).alias("s0"), F.max(SAMPLE).alias("s1"), F.min("depth").alias("d0"), F.max("depth").alias("d1"))
+    return out.withColumn("step", (F.col("d1") - F.col("d0")) / F.greatest(F.col("s1") - F.col("s0"), F.lit(1)))
+
 
+def _large(box: DataFrame, least: tuple[float, float]) -> Column:
+    """Height in metres and length in pings, each to the next cell where there is one."""
+    height = F.col("d_hi") - F.col("d_lo") + F.when(F.col("s_hi") < F.col("s1"), F.col("step")).otherwise(0.0)
+    length = F.col("p_hi") - F.col("p_lo") + (F.col("p_hi") < F.col("p1")).cast("int")
+    return (height >= least[0]) & (length >= least[1])
 
-def schools_three_stage(samples: DataFrame, least_db: float = -70, candidate: tuple[int, int] = (2, 2), link: tuple[int, int] = (2, 2), least: tuple[int, int] = (3, 3)) -> DataFrame:
-    """8-connected candidates of some size, linked where their boxes widened by ``link`` meet, small linked groups dropped. Pairs are (samples, pings)."""
-    own = samples.withColumn("_m", F.coalesce(F.col("sv") >= least_db, F.lit(False)))
-    box = boxes(schools(own, "_m", diagonal=True)).where((F.col("s_hi") - F.col("s_lo") + 1 >= candidate[0]) & (F.col("p_hi") - F.col("p_lo") + 1 >= candidate[1]))
-    box = staged(box.withColumnRenamed("label", "id"), "boxes")
-    # Boxes are dealt to the ping blocks they touch, so only near ones are compared.
+
+def _three_stage_runs(samples: DataFrame, least_db: float, candidate: tuple[float, float], link: tuple[float, float], least: tuple[float, float]) -> tuple[DataFrame, DataFrame]:
+    own = samples.withColumn("_m", F.coalesce(F.col("sv") > least_db, F.lit(False)))
+    spans = staged(_spans(samples), "spans")
+    runs = staged(schools(own, "_m", diagonal=True).withColumnRenamed("id", "run"), "runs")
+    box = boxes(runs).join(spans, "channel")
+    box = staged(box.where(_large(box, candidate)).withColumnRenamed("label", "id"), "boxes")
+    runs = staged(runs.withColumnRenamed("label", "id").join(box.select("id"), "id", "left_semi"), "candidates")
+    # A candidate is linked with all that have a cell in its widened box. Boxes and runs are dealt to blocks of pings, so only near ones are compared.
     block = 64
-    dealt = box.withColumn("_k", F.explode(F.sequence(F.floor((F.col("p_lo") - link[1]) / block), F.floor((F.col("p_hi") + link[1]) / block))))
-    a, b = dealt, dealt.select("channel", "_k", *[F.col(c).alias(c + "2") for c in ("id", "p_lo", "p_hi", "s_lo", "s_hi")])
-    meet = a.join(b, ["channel", "_k"]).where((F.col("id") < F.col("id2")) & (F.col("p_lo") <= F.col("p_hi2") + link[1]) & (F.col("p_lo2") <= F.col("p_hi") + link[1]) & (F.col("s_lo") <= F.col("s_hi2") + link[0]) & (F.col("s_lo2") <= F.col("s_hi") + link[0]))
-    linked = box.join(connected(box, meet.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()), "id")
-    out = linked.groupBy("channel", "label").agg(F.min("p_lo").alias("p_lo"), F.max("p_hi").alias("p_hi"), F.min("s_lo").alias("s_lo"), F.max("s_hi").alias("s_hi"), F.sum("n_cells").alias("n_cells"))
-    return out.where((F.col("s_hi") - F.col("s_lo") + 1 >= least[0]) & (F.col("p_hi") - F.col("p_lo") + 1 >= least[1]))
+    wide = box.select("channel", "id", (F.col("p_lo") - link[1] - 1).alias("a"), (F.col("p_hi") + link[1] + 1).alias("b"), (F.col("d_lo") - link[0] - 1 - F.col("step") / 2).alias("top"), (F.col("d_hi") + link[0] + 1 + F.col("step") / 2).alias("bottom"))
+    wide = wide.withColumn("_k", F.explode(F.sequence(F.floor(F.col("a") / block), F.floor(F.col("b") / block))))
+    other = runs.select("channel", F.floor(F.col(PING) / block).alias("_k"), F.col("id").alias("id2"), F.col(PING).alias("p"), "d_lo", "d_hi")
+    meet = wide.join(other, ["channel", "_k"]).where((F.col("id") != F.col("id2")) & F.col("p").between(F.col("a"), F.col("b")) & (F.col("d_lo") <= F.col("bottom")) & (F.col("d_hi") >= F.col("top")))
+    linked = connected(box, meet.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct())
+    runs = staged(runs.join(linked, "id").select("channel", PING, "lo", "hi", "d_lo", "d_hi", "label"), "linked")
+    large = boxes(runs).join(spans, "channel")
+    return runs, large.where(_large(large, least)).select("channel", "label", "p_lo", "p_hi", "s_lo", "s_hi", "d_lo", "d_hi", "n_cells")
+
+
+def schools_three_stage(samples: DataFrame, least_db: float = -70, candidate: tuple[float, float] = (3, 10), link: tuple[float, float] = (3, 15), least: tuple[float, float] = (3, 15)) -> DataFrame:
+    """8-connected candidates of some size; those with a cell in another's box widened by ``link`` are one school; small schools go. Pairs are (metres, pings)."""
+    return _three_stage_runs(samples, least_db, candidate, link, least)[1]
+
+
+def school_mask(samples: DataFrame, method: str = "weill", **parameters) -> DataFrame:
+    """The samples with ``school`` (inside one) and ``school_edge`` (so near the border of the grid that a school may be cut off there)."""
+    spans = _spans(samples)
+    if method == "weill":
+        parameters = {"least_db": -70, "vertical_gap": 5, "horizontal_gap": 0, "least_height": 0, "least_length": 0} | parameters
+        runs = staged(_weill_runs(samples, parameters["least_db"], parameters["vertical_gap"], parameters["horizontal_gap"]), "runs")
+        found = boxes(runs).where((F.col("s_hi") - F.col("s_lo") + 1 >= parameters["least_height"]) & (F.col("p_hi") - F.col("p_lo") + 1 >= parameters["least_length"]))
+        v, h = parameters["least_height"], parameters["least_length"]
+        edge = (F.col(SAMPLE) < F.col("s0") + v) | (F.col(PING) < F.col("p0") + h) | ((F.col(SAMPLE) > F.col("s1") - v) & (v > 0)) | ((F.col(PING) > F.col("p1") - h) & (h > 0))
+    elif method == "three_stage":
+        parameters = {"least_db": -70, "candidate": (3, 10), "link": (3, 15), "least": (3, 15)} | parameters
+        runs, found = _three_stage_runs(samples, **parameters)
+        v, h = (float(max(parameters[k][i] for k in ("candidate", "link", "least"))) for i in (0, 1))
+        edge = (F.col("depth") < F.col("d0") + v) | (F.col("depth") > F.col("d1") - v) | (F.col(PING) < F.col("p0") + h) | (F.col(PING) > F.col("p1") - h)
+    else:
+        raise ValueError(f"unknown method {method!r}; one of {', '.join(SCHOOLS)}")
+    cells = runs.join(found.select("channel", "label"), ["channel", "label"], "left_semi").select("channel", PING, F.explode(F.sequence("lo", "hi")).alias(SAMPLE), F.lit(True).alias("school"))
+    own = samples.join(cells, ["channel", PING, SAMPLE], "left").join(spans, "channel")
+    return own.select(*samples.columns, F.coalesce("school", F.lit(False)).alias("school"), edge.alias("school_edge"))
 
 
 SCHOOLS: dict[str, Callable[..., DataFrame]] = {"weill": schools_weill, "three_stage": schools_three_stage}
 
-#: Stages by name: each adds one boolean column of its own name to the sample table.
-STAGES: dict[str, Callable[..., DataFrame]] = {"impulse": impulse_mask, "transient": transient_block}
+def attenuation_stage(samples: DataFrame, **parameters) -> DataFrame:
+    """``attenuation`` for all samples of attenuated pings, and ``attenuation_unfeasible`` where no full block stands around a ping."""
+    per = attenuated_pings(samples, **parameters).select("channel", PING, F.col("attenuated").alias("attenuation"), F.col("unfeasible").alias("attenuation_unfeasible"))
+    return samples.join(per, ["channel", PING], "left")
+
+
+def background_stage(samples: DataFrame, alpha: float = 0.01, snr_db: float = 3, **parameters) -> DataFrame:
+    """``background`` where, the block's noise taken off, too little is left."""
+    noise = background_noise(samples, F.lit(alpha), **parameters)
+    own = subtract_noise(samples, noise, F.lit(alpha), parameters.get("pings", 50), snr_db)
+    return own.select(*samples.columns, F.col("low_snr").alias("background"))
+
+
+def fielding_stage(samples: DataFrame, **parameters) -> DataFrame:
+    return transient_below(samples, **parameters).withColumnRenamed("transient", "fielding")
+
+
+#: Stages by name: each adds one boolean column of its own name to the sample table, and may add ``<name>_unfeasible``.
+STAGES: dict[str, Callable[..., DataFrame]] = {"background": background_stage, "impulse": impulse_mask, "transient": transient_block, "fielding": fielding_stage, "attenuation": attenuation_stage}
 
 
 def register_stage(name: str, stage: Callable[..., DataFrame]) -> None:
@@ -293,11 +423,23 @@ def register_stage(name: str, stage: Callable[..., DataFrame]) -> None:
     STAGES[name] = stage
 
 
-def denoise(samples: DataFrame, stages: Iterable[tuple[str, dict]]) -> DataFrame:
-    """Run stages one after the other; ``masked`` is their OR where Sv is known, ``sv_clean`` what is left."""
+def denoise(samples: DataFrame, stages: Iterable[tuple[str, dict]], mask_unfeasible: bool = False) -> DataFrame:
+    """Run stages on the same samples; ``masked`` is their OR where Sv is known, ``sv_clean`` what is left.
+
+    With ``mask_unfeasible`` samples that a stage can't judge count as flagged by it. An unknown stage, or one that can't be planned
+    (a wrong parameter, a missing column), is left out with a warning; its column is then FALSE."""
     own, names = samples, []
     for name, parameters in stages:
-        own = STAGES[name](own, **parameters)
+        try:
+            more = STAGES[name](own, **parameters)
+            more.select(name)
+        except Exception as e:  # noqa: BLE001  (a stage may be anyone's code)
+            warnings.warn(f"stage {name!r} left out: {str(e).splitlines()[0] if str(e) else type(e).__name__}", stacklevel=2)
+            own = own.withColumn(name, F.lit(False))
+            continue
+        if mask_unfeasible and f"{name}_unfeasible" in more.columns:
+            more = more.withColumn(name, F.coalesce(F.col(name), F.lit(False)) | F.coalesce(f"{name}_unfeasible", F.lit(False)))
+        own = more
         names.append(name)
     any_ = F.lit(False)
     for n in names:
@@ -313,3 +455,36 @@ def flag_shares(samples: DataFrame, masks: Sequence[str]) -> DataFrame:
 def adaptive_level(samples: DataFrame, pings: int = 10) -> DataFrame:
     """Mean level over pings around each sample; frames are cut at the ends."""
     return samples.withColumn("level", F.avg("sv").over(along_pings().rowsBetween(-(pings // 2), pings - pings // 2 - 1)))
+
+
+def apply_masks(samples: DataFrame, masks: DataFrame, value: str = "sv") -> DataFrame:
+    """``value`` becomes NULL where ``masks`` (channel, ping, sample and a boolean ``mask``) is TRUE; samples without a mask keep theirs."""
+    own = samples.join(masks.select("channel", PING, SAMPLE, "mask"), ["channel", PING, SAMPLE], "left")
+    return own.withColumn(value, F.when(~F.coalesce("mask", F.lit(False)), F.col(value))).drop("mask")
+
+
+def surface_excluded(samples: DataFrame, above_m: float, value: str = "sv") -> DataFrame:
+    """``value`` stays from ``above_m`` down."""
+    return samples.withColumn(value, F.when(F.col("depth") >= above_m, F.col(value)))
+
+
+def clipped(samples: DataFrame, most: float, value: str = "sv") -> DataFrame:
+    """Values over ``most`` are no echo and become NULL."""
+    return samples.withColumn(value, F.when(F.col(value) <= most, F.col(value)))
+
+
+def depth_from_range(samples: DataFrame, transducer_m: float = 0.0, rng: str = "echo_range") -> DataFrame:
+    """``depth``: the range, or the sample's number where there is none, below the transducer."""
+    return samples.withColumn("depth", F.coalesce(F.col(rng), F.col(SAMPLE)) + transducer_m)
+
+
+def resampled_nearest(fine: DataFrame, coarse: DataFrame, value: str, steps: tuple[float, float], keys: Sequence[str] = ("channel",), axes: tuple[str, str] = ("t", "depth")) -> DataFrame:
+    """``value`` of the nearest cell of a coarser regular grid (left edges ``axes``, widths ``steps``) for every cell of a finer one; a tie goes to the lower cell."""
+    places = [F.ceil((F.col(a) / s).cast("double") - 0.5).cast("long").alias(f"_{i}") for i, (a, s) in enumerate(zip(axes, steps, strict=True))]
+    cells = coarse.select(*keys, *[F.round(F.col(a) / s).cast("long").alias(f"_{i}") for i, (a, s) in enumerate(zip(axes, steps, strict=True))], value)
+    return fine.select("*", *places).join(cells, [*keys, "_0", "_1"], "left").drop("_0", "_1")
+
+
+def rolling(df: DataFrame, value: str, name: str, half: int, reduce: Callable[[Column], Column], by: Sequence[str], order: str) -> DataFrame:
+    """``name``: any reducer of the values, an array, in a centred frame of 2 x ``half`` + 1 rows; NULL values are left out of the array."""
+    return df.withColumn(name, reduce(F.collect_list(value).over(Window.partitionBy(*by).orderBy(order).rowsBetween(-half, half))))

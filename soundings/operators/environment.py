@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import acoustics
+from .bucketed import nearest_known, with_bucket
 
 
 def row_environment(df: DataFrame, channels: DataFrame, depth: float = 0.6, ph: float = 8.1, t: str = "temperature", s: str = "salinity") -> DataFrame:
@@ -58,7 +60,7 @@ def depth_weighted(profile: DataFrame, keys: Sequence[str], target_depth: float,
 def calibrated(channels: DataFrame, calibration: DataFrame, on: Sequence[str] = ("khz", "pulse")) -> DataFrame:
     """Calibration values by frequency and pulse mode; 200 kHz is always short. An unmatched channel raises when it is read."""
     own = channels.withColumn("pulse", F.when(F.col("khz") == 200, "short").otherwise(F.col("pulse")))
-    out = own.join(F.broadcast(calibration.withColumn("_hit", F.lit(True))), list(on), "left")
+    out = own.join(calibration.withColumn("_hit", F.lit(True)), list(on), "left")
     fail = F.raise_error(F.concat(F.lit("no calibration for "), F.concat_ws("/", *[F.col(c).cast("string") for c in on])))
     return out.withColumn("gain", F.when(F.col("_hit"), F.col("gain")).otherwise(fail.cast("double"))).drop("_hit")
 
@@ -79,15 +81,15 @@ def pulse_mode(pings: DataFrame, keys: Sequence[str] = ("file", "channel"), tole
 
 def attributed_modes(pings: DataFrame, known: DataFrame, order: str = "t", by: Sequence[str] = ("platform",)) -> DataFrame:
     """Each ping's mode from ``known``; others take the next known ping's, else the last one's."""
-    own = pings.join(known, [*by, order], "left")
-    w = Window.partitionBy(*by).orderBy(order)
-    ahead, back = F.first("mode", True).over(w.rowsBetween(0, Window.unboundedFollowing)), F.last("mode", True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return own.withColumn("mode", F.coalesce("mode", ahead, back))
+    own = with_bucket(pings.join(known, [*by, order], "left"), order)
+    own = nearest_known(own, by, [order], F.col("mode"), "_ahead", forward=True)
+    own = nearest_known(own, by, [order], F.col("mode"), "_back")
+    return own.withColumn("mode", F.coalesce("mode", "_ahead", "_back")).drop("_ahead", "_back", "_b")
 
 
 def platform_class(df: DataFrame, ranges: DataFrame, number: str = "platform") -> DataFrame:
     """Class by numeric id range (``lo``, ``hi``, ``class``; a small table)."""
-    return df.join(F.broadcast(ranges), F.col(number).between(F.col("lo"), F.col("hi")), "left").drop("lo", "hi")
+    return df.join(ranges, F.col(number).between(F.col("lo"), F.col("hi")), "left").drop("lo", "hi")
 
 
 def stage_parameters(samples: DataFrame, table: DataFrame, names: Sequence[str], on: Sequence[str] = ("khz", "pulse")) -> DataFrame:
@@ -103,14 +105,20 @@ def nearest_grid(df: DataFrame, grid: DataFrame, lat0: float, lon0: float, step:
 
 
 def near_points(cells: DataFrame, points: DataFrame, radius: float) -> DataFrame:
-    """``near``: whether any point lies within ``radius`` degrees (planar) of a cell. Points are dealt to the nine buckets around theirs; no all-pairs join."""
-    key = lambda c: F.floor(F.col(c) / radius)
-    around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("o")
-    dealt = points.select(F.col("lat").alias("plat"), F.col("lon").alias("plon"), around).select("plat", "plon", (F.floor(F.col("plat") / radius) + F.col("o.i")).alias("_y"), (F.floor(F.col("plon") / radius) + F.col("o.j")).alias("_x"))
-    own = cells.withColumns({"_y": key("lat"), "_x": key("lon")})
+    """``near``: whether any point lies within ``radius`` degrees (planar) of a cell.
+
+    Buckets are so small that all of one lie within the radius: cells in a bucket with a point are settled by that, and only the others are held
+    against the points of the buckets around."""
+    side = radius / math.sqrt(2)
+    places = {"_y": F.floor(F.col("lat") / side), "_x": F.floor(F.col("lon") / side)}
+    own, points = cells.withColumns(places), points.select("lat", "lon").distinct().withColumns(places)
+    full = points.select("_y", "_x").distinct().withColumn("_full", F.lit(True))
+    own = own.join(full, ["_y", "_x"], "left")
+    around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-2, 3) for j in range(-2, 3) if i or j])).alias("o")
+    dealt = points.select(F.col("lat").alias("plat"), F.col("lon").alias("plon"), "_y", "_x", around).select("plat", "plon", (F.col("_y") + F.col("o.i")).alias("_y"), (F.col("_x") + F.col("o.j")).alias("_x"))
     within = F.sqrt(F.pow(F.col("lat") - F.col("plat"), 2) + F.pow(F.col("lon") - F.col("plon"), 2)) <= radius
-    hits = own.join(dealt, ["_y", "_x"]).where(within).select("cell_id").distinct()
-    return own.drop("_y", "_x").join(hits.withColumn("near", F.lit(True)), "cell_id", "left").withColumn("near", F.coalesce("near", F.lit(False)))
+    hits = own.where("_full is null").join(dealt, ["_y", "_x"]).where(within).select("cell_id").distinct()
+    return own.drop("_y", "_x").join(hits.withColumn("_hit", F.lit(True)), "cell_id", "left").withColumn("near", F.coalesce("_full", "_hit", F.lit(False))).drop("_full", "_hit")
 
 
 def grid_surface(points: DataFrame, value: str, step: float, radius: float, how: str = "inverse") -> DataFrame:
@@ -132,17 +140,16 @@ def best_provider(headers: DataFrame, rules: DataFrame) -> DataFrame:
 
     ``headers``: file, columns (array). ``rules``: provider, markers (array); a small table."""
     share = F.size(F.array_intersect("columns", "markers")) / F.size("markers")
-    scored = headers.join(F.broadcast(rules)).groupBy("file").agg(F.min_by(F.struct("provider", share.alias("score")), F.struct(-share, F.col("provider"))).alias("b"))
+    scored = headers.join(rules).groupBy("file").agg(F.min_by(F.struct("provider", share.alias("score")), F.struct(-share, F.col("provider"))).alias("b"))
     return scored.select("file", F.when(F.col("b.score") > 0, F.col("b.provider")).otherwise("generic").alias("provider"), F.col("b.score").alias("score"))
 
 
 def standard_names(columns: DataFrame, aliases: DataFrame, standard: DataFrame, least: float = 0.0) -> DataFrame:
     """``name`` to a standard name: by alias or exactly (1.0), else the shortest standard name that ends with it (0.85, names over four letters)."""
     low = F.lower(F.col("name"))
-    own = columns.join(F.broadcast(aliases), low == F.col("alias"), "left").withColumn("probe", F.coalesce("target", low))
-    cf = F.broadcast(standard)
+    own = columns.join(aliases, low == F.col("alias"), "left").withColumn("probe", F.coalesce("target", low))
     hit = (F.col("standard") == F.col("probe")) | ((F.length("probe") > 4) & F.col("standard").endswith(F.concat(F.lit("_"), F.col("probe"))))
-    both = own.join(cf, hit)
+    both = own.join(standard, hit)
     conf = F.when(F.col("standard") == F.col("probe"), 1.0).otherwise(0.85)
     best = both.groupBy("name").agg(F.min_by(F.struct(F.col("standard"), conf.alias("confidence")), F.struct(-conf, F.length("standard"), F.col("standard"))).alias("b"))
     return best.select("name", F.col("b.standard").alias("standard_name"), F.col("b.confidence").alias("confidence")).where(F.col("confidence") >= least)

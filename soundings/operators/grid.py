@@ -44,23 +44,27 @@ def drop_sparse(points: DataFrame, least: int = 3) -> DataFrame:
     return points.withColumns({"_la": cell[0], "_lo": cell[1]}).join(full, ["_la", "_lo"], "left_semi").drop("_la", "_lo")
 
 
-def cap_at_quantile(points: DataFrame, value: str, share: float = 0.99) -> DataFrame:
-    """Values above the one of rank floor(n x share), counted from 0, become that value rounded to one decimal.
+def ranked_value(rows: DataFrame, value: str, rank: int, parts: int = 1024) -> float:
+    """The value of ``rank`` (from 0) among the non-NULL ones, exactly: counts of ever narrower ranges find it, and at most ``parts`` counts reach the driver in a round."""
+    lo, hi = rows.agg(F.min(value), F.max(value)).first()
+    below = 0
+    while lo < hi:
+        part = F.least(F.floor((F.col(value) - lo) / (hi - lo) * parts), F.lit(parts - 1))
+        inner = rows.where(F.col(value).between(lo, hi)).groupBy(part.alias("p")).agg(F.count("*").alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
+        for row in sorted(inner.collect()):
+            if below + row["n"] > rank:
+                lo, hi = row["lo"], row["hi"]
+                break
+            below += row["n"]
+    return lo
+
 
-    Exact: the ranked value is found by counts of a range of values, narrowed by approximate quantiles, so no global sort meets in one task."""
+def cap_at_quantile(points: DataFrame, value: str, share: float = 0.99) -> DataFrame:
+    """Values above the one of rank floor(n x share), counted from 0, become that value rounded to one decimal."""
     n = points.where(F.col(value).isNotNull()).count()
     if not n:
         return points
-    rank = min(int(n * share), n - 1)
-    lo, hi = points.stat.approxQuantile(value, [max(0.0, rank / n - 0.002), min(1.0, (rank + 1) / n + 0.002)], 0.001)
-    below = points.where(F.col(value) < lo).count()
-    inner = points.where(F.col(value).between(lo, hi)).select(value).groupBy(value).count()
-    seen, cap = below, hi
-    for row in inner.orderBy(value).toLocalIterator():
-        seen += row["count"]
-        if seen > rank:
-            cap = row[value]
-            break
+    cap = ranked_value(points, value, min(int(n * share), n - 1))
     return points.withColumn(value, F.when(F.col(value) > cap, F.lit(round(cap, 1))).otherwise(F.col(value)))
 
 
@@ -102,7 +106,9 @@ def density_summary(cells: DataFrame, surface: float = 10.0) -> DataFrame:
     """Min, max, mean, median, the depth of the greatest mean, and the ratio of the surface layer's mean to the rest's."""
     per = cells.groupBy("depth").agg(F.avg("nasc").alias("m"))
     peak = per.agg(F.max_by("depth", F.struct("m", -F.col("depth"))).alias("peak_depth"), F.sum("m").alias("integrated"))
-    all_ = cells.agg(F.min("nasc").alias("min"), F.max("nasc").alias("max"), F.avg("nasc").alias("mean"), F.percentile("nasc", F.lit(0.5)).alias("median"), (F.avg(F.when(F.col("depth") < surface, F.col("nasc"))) / F.avg(F.when(F.col("depth") >= surface, F.col("nasc")))).alias("surface_ratio"))
+    n = cells.where("nasc is not null").count()
+    middle = sum(ranked_value(cells, "nasc", k) for k in ((n - 1) // 2, n // 2)) / 2 if n else None
+    all_ = cells.agg(F.min("nasc").alias("min"), F.max("nasc").alias("max"), F.avg("nasc").alias("mean"), F.lit(middle).cast("double").alias("median"), (F.avg(F.when(F.col("depth") < surface, F.col("nasc"))) / F.avg(F.when(F.col("depth") >= surface, F.col("nasc")))).alias("surface_ratio"))
     return all_.join(F.broadcast(peak))
 
 
@@ -160,3 +166,8 @@ def beam_to_earth(df: DataFrame, beams: str = "beams", matrix: str = "matrix", r
     own = df.withColumn("_x", xyze).withColumn("_e", F.transform(F.col(rotation), lambda row: dot(row, F.slice(F.col("_x"), 1, 3))))
     ok = good & (F.abs(F.col("_x")[3]) <= most_error)
     return own.withColumns({n: F.when(ok, F.col("_e")[i]) for i, n in enumerate("uvw")} | {"error": F.col("_x")[3]}).drop("_x", "_e")
+
+
+def flattened(cells: DataFrame, keys: Sequence[str], index: str, value: str, name: str = "velocities") -> DataFrame:
+    """One row for each key with the values of a cube's last axis in the order of ``index``; a cube's axis is short, so a row stays small."""
+    return cells.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct(index, value))), lambda x: x[value]).alias(name))

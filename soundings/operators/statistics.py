@@ -68,3 +68,15 @@ def top_variables(names: Sequence[str], priority: Sequence[str], most: int) -> l
     """Those on the priority list in its order, then the rest as they come."""
     first = [p for p in priority if p in names]
     return [*first, *[n for n in names if n not in first]][:most]
+
+
+def by_day_window(df: DataFrame, time: str, days: int, category: str) -> DataFrame:
+    """``window_start``, ``category`` and ``n``: rows of each window of ``days`` days, counted from the first day of year 1, and category."""
+    day = F.to_date(time)
+    start = F.date_sub(day, F.pmod(F.datediff(day, F.lit("0001-01-01").cast("date")), F.lit(days)).cast("int"))
+    return df.groupBy(start.alias("window_start"), F.col(category).alias("category")).agg(F.count("*").alias("n"))
+
+
+def inspection(df: DataFrame, keys: Sequence[str], time: str = "t", day: str = "day") -> DataFrame:
+    """Rows, columns, time span and days of each campaign."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"), F.min(time).alias("t0"), F.max(time).alias("t1"), F.countDistinct(day).alias("n_days"))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bucketed import DAY_US, nearest_known, with_bucket
+from .bucketed import DAY_US, nearest_known, numbered, with_bucket
 
 
 def brackets(left: DataFrame, right: DataFrame, by: Sequence[str], cols: Sequence[str], time: str = "t", tie: str | None = None, bucket_us: int = DAY_US) -> DataFrame:
@@ -37,11 +37,20 @@ def asof(left: DataFrame, right: DataFrame, by: Sequence[str], cols: Sequence[st
 
 def interpolated(left: DataFrame, right: DataFrame, by: Sequence[str], cols: Sequence[str], tolerance_us: int | None = None, time: str = "t", bucket_us: int = DAY_US) -> DataFrame:
     """Each of ``cols`` by time-weighted interpolation over its own non-NULL fixes; ends are held. With ``tolerance_us``, NULL where the nearer fix is farther."""
-    out = left
-    for c in cols:
-        own = brackets(out, right.where(F.col(c).isNotNull()).select(*by, time, F.col(c).alias("_v")), by, ["_v"], time, None, bucket_us)
-        out = own.withColumn(c, between(F.col(time), F.col("before"), F.col("after"), tolerance_us)).drop("before", "after")
-    return out
+    # One union and one shuffle for all columns; each has its own brackets.
+    fix = F.struct(F.col(time).alias("t"), *cols)
+    own = left.select(*by, F.col(time), F.struct("*").alias("row"), F.lit(None).cast(right.select(fix.alias("f")).schema["f"].dataType).alias("fix"))
+    ref = right.where(F.col(time).isNotNull()).select(*by, F.col(time), F.lit(None).cast(own.schema["row"].dataType).alias("row"), fix.alias("fix"))
+    both = with_bucket(own.unionByName(ref), time, bucket_us)
+    both = both.withColumns({"_side": F.col("fix").isNull().cast("int"), "_back": F.col("fix").isNotNull().cast("int")})
+    out = {}
+    for i, c in enumerate(cols):
+        known = F.when(F.col(f"fix.`{c}`").isNotNull(), F.struct(F.col("fix.t").alias("t"), F.col(f"fix.`{c}`").alias("_v")))
+        both = both.withColumn(f"_k{i}", known)
+        both = nearest_known(both, by, [time, "_side", f"_k{i}"], F.col(f"_k{i}"), f"_before{i}")
+        both = nearest_known(both, by, [time, "_back", f"_k{i}"], F.col(f"_k{i}"), f"_after{i}", forward=True)
+        out[c] = between(F.col(time), F.col(f"_before{i}"), F.col(f"_after{i}"), tolerance_us)
+    return both.where("row is not null").select(*[F.col(f"row.`{c}`").alias(c) for c in left.columns if c not in cols], *[v.alias(c) for c, v in out.items()])
 
 
 def between(t: Column, before: Column, after: Column, tolerance_us: int | None = None) -> Column:
@@ -58,19 +67,18 @@ def between(t: Column, before: Column, after: Column, tolerance_us: int | None =
 def interpolated_by_position(left: DataFrame, right: DataFrame, by: Sequence[str], cols: Sequence[str], time: str = "t") -> DataFrame:
     """Interpolation by row number among all distinct times of both sides, ends held (kept for comparison with time weights)."""
     times = left.select(*by, time).unionByName(right.select(*by, time)).distinct()
-    place = times.withColumn("_p", F.row_number().over(Window.partitionBy(*by).orderBy(time)))
+    place = numbered(times, by, [time], "_p")
     own, ref = left.join(place, [*by, time]), right.join(place, [*by, time])
     return interpolated(own, ref, by, cols, time="_p", bucket_us=1 << 20).drop("_p")
 
 
 def extrapolated(left: DataFrame, right: DataFrame, by: Sequence[str], col: str, time: str = "t", bucket_us: int = DAY_US) -> DataFrame:
     """As ``interpolated``, but beyond the ends on the line through the two outer fixes."""
-    w = Window.partitionBy(*by).orderBy(time)
     ref = right.where(F.col(col).isNotNull()).select(*by, time, F.col(col).alias("_v"))
-    ends = ref.groupBy(*by).agg(F.min_by(F.struct(F.col(time).alias("t"), "_v"), time).alias("_first"), F.max_by(F.struct(F.col(time).alias("t"), "_v"), time).alias("_last"))
-    second = ref.select(*by, time, "_v", F.row_number().over(w).alias("_up"), F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(time))).alias("_down"))
     at = F.struct(F.col(time).alias("t"), "_v")
-    second = second.groupBy(*by).agg(F.max(F.when(F.col("_up") == 2, at)).alias("_second"), F.max(F.when(F.col("_down") == 2, at)).alias("_inner"))
+    ends = ref.groupBy(*by).agg(F.min_by(at, F.struct(time, "_v")).alias("_first"), F.max_by(at, F.struct(time, "_v")).alias("_last"))
+    inner = ref.join(ends, list(by))
+    second = inner.groupBy(*by).agg(F.min_by(at, F.when(F.col(time) > F.col("_first.t"), F.struct(time, "_v"))).alias("_second"), F.max_by(at, F.when(F.col(time) < F.col("_last.t"), F.struct(time, "_v"))).alias("_inner"))
     own = brackets(left, ref, by, ["_v"], time, None, bucket_us).join(ends, list(by), "left").join(second, list(by), "left")
 
     def line(p: Column, q: Column) -> Column:

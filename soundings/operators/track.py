@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import bearing, great_circle_nmi
-from .bucketed import DAY_US, nearest_known, running_sum, with_bucket
+from .bucketed import DAY_US, in_blocks, nearest_known, numbered, running_sum, with_bucket
 
 MINUTE_US = 60_000_000
 
@@ -60,14 +60,15 @@ def speed_filter(df: DataFrame, most_knots: float = 100, by: Sequence[str] = ("p
 
 def arrows(df: DataFrame, per_segment: int = 4, least_points: int = 5, by: Sequence[str] = ("platform", "segment"), time: str = "t", tie: Sequence[str] = ()) -> DataFrame:
     """Evenly spaced points of each segment with the course from the point before to the one after, one decimal."""
-    w = Window.partitionBy(*by).orderBy(time, *tie)
-    n, rn = F.count("*").over(Window.partitionBy(*by)), F.row_number().over(w) - 1
-    at = F.struct("lat", "lon")
-    own = df.select("*", n.alias("_n"), rn.alias("_rn"), F.lag(at).over(w).alias("_a"), F.lead(at).over(w).alias("_z"))
+    order = [time, *tie]
+    own = numbered(df, by, order, "_rn").join(df.groupBy(*by).agg(F.count("*").alias("_n")), list(by))
+    own = with_bucket(own, time)
+    own = nearest_known(own, by, order, F.struct("lat", "lon"), "_a", inclusive=False)
+    own = nearest_known(own, by, order, F.struct("lat", "lon"), "_z", forward=True, inclusive=False)
     step = F.greatest(F.lit(1), F.floor(F.col("_n") / (per_segment + 1)))
     pick = (F.col("_n") >= least_points) & (F.col("_rn") > 0) & (F.col("_rn") < F.col("_n") - 1) & (F.col("_rn") % step == 0) & (F.col("_rn") <= step * per_segment)
     course = F.round(bearing(F.col("_a.lat"), F.col("_a.lon"), F.col("_z.lat"), F.col("_z.lon")), 1)
-    return own.where(pick).withColumn("bearing", course % 360).drop("_n", "_rn", "_a", "_z")
+    return own.where(pick).withColumn("bearing", course % 360).drop("_n", "_rn", "_a", "_z", "_b")
 
 
 def day_markers(df: DataFrame, time: str = "t", tie: str = "event_id", day: str = "day") -> DataFrame:
@@ -78,8 +79,7 @@ def day_markers(df: DataFrame, time: str = "t", tie: str = "event_id", day: str
 
 def every_nth(df: DataFrame, n: int, by: Sequence[str] = ("platform",), order: Sequence[str] = ("t",)) -> DataFrame:
     """Rows 0, n, 2n, ... of each track in time order."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w) - 1).where(F.col("_rn") % n == 0).drop("_rn")
+    return numbered(df, by, order, "_rn").where(F.col("_rn") % n == 0).drop("_rn")
 
 
 def endpoints(df: DataFrame, by: Sequence[str] = ("platform",), time: str = "t", tie: str = "event_id") -> DataFrame:
@@ -90,7 +90,7 @@ def endpoints(df: DataFrame, by: Sequence[str] = ("platform",), time: str = "t",
 
 def position_outliers(df: DataFrame, most_degrees: float = 0.5, by: Sequence[str] = ("platform",), order: Sequence[str] = ("t",), each_side: int = 4) -> DataFrame:
     """``outlier``: farther than ``most_degrees`` in either axis from the median of up to eight neighbours."""
-    w = Window.partitionBy(*by).orderBy(*order)
+    w = Window.partitionBy(*by, "_block").orderBy("_rn")
 
     def median(c: str) -> Column:
         around = F.concat(F.collect_list(c).over(w.rowsBetween(-each_side, -1)), F.collect_list(c).over(w.rowsBetween(1, each_side)))
@@ -98,15 +98,15 @@ def position_outliers(df: DataFrame, most_degrees: float = 0.5, by: Sequence[str
         middle = (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2
         return F.when(n > 0, middle)
 
-    own = df.withColumn("_mlat", median("lat")).withColumn("_mlon", median("lon"))
+    own = in_blocks(numbered(df, by, order, "_rn"), "_rn", each_side)
+    own = own.withColumn("_mlat", median("lat")).withColumn("_mlon", median("lon")).where("_mine")
     off = F.greatest(F.abs(F.col("lat") - F.col("_mlat")), F.abs(F.col("lon") - F.col("_mlon"))) > most_degrees
-    return own.withColumn("outlier", F.coalesce(off, F.lit(False))).drop("_mlat", "_mlon")
+    return own.withColumn("outlier", F.coalesce(off, F.lit(False))).drop("_mlat", "_mlon", "_rn", "_block", "_mine")
 
 
 def capped_points(df: DataFrame, most: int, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """At most ``most`` evenly spaced rows of each group, its first and last among them."""
-    rn, n = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1, F.count("*").over(Window.partitionBy(*by))
-    own = df.withColumn("_rn", rn).withColumn("_n", n)
+    own = numbered(df, by, order, "_rn").join(df.groupBy(*by).agg(F.count("*").alias("_n")), list(by))
     # Row r is floor(i (n - 1) / (m - 1)) for some i: the next i does not start before r + 1.
     i = F.ceil(F.col("_rn") * (most - 1) / (F.col("_n") - 1))
     hit = (F.col("_n") <= most) | (F.floor(i * (F.col("_n") - 1) / (most - 1)) == F.col("_rn"))
@@ -115,11 +115,11 @@ def capped_points(df: DataFrame, most: int, by: Sequence[str], order: Sequence[s
 
 def decimate(df: DataFrame, seconds: float, by: Sequence[str] = ("platform",), time: str = "t", tie: Sequence[str] = ()) -> DataFrame:
     """The middle row of each fixed time bucket, counted from each track's first row."""
-    origin = F.min(time).over(Window.partitionBy(*by))
-    own = df.withColumn("_bucket", F.floor((F.col(time) - origin) / int(seconds * 1e6)))
+    own = df.join(df.groupBy(*by).agg(F.min(time).alias("_origin")), list(by))
+    own = own.withColumn("_bucket", F.floor((F.col(time) - F.col("_origin")) / int(seconds * 1e6)))
     w = Window.partitionBy(*by, "_bucket")
     own = own.withColumn("_rn", F.row_number().over(w.orderBy(time, *tie)) - 1).withColumn("_n", F.count("*").over(w))
-    return own.where(F.col("_rn") == F.floor(F.col("_n") / 2)).drop("_bucket", "_rn", "_n")
+    return own.where(F.col("_rn") == F.floor(F.col("_n") / 2)).drop("_bucket", "_rn", "_n", "_origin")
 
 
 def simplify(df: DataFrame, epsilon: float = 1e-5, spacing_nmi: float = 0.01, by: Sequence[str] = ("platform", "day"), time: str = "t", row_id: str = "event_id") -> DataFrame:
@@ -154,3 +154,13 @@ def simplify(df: DataFrame, epsilon: float = 1e-5, spacing_nmi: float = 0.01, by
 
     schema = df.select(*by, row_id).schema
     return df.select(*by, time, row_id, "lon", "lat").groupBy(*by).applyInPandas(keep, schema)
+
+
+def back_matched(full: DataFrame, kept: DataFrame, keys: Sequence[str] = ("platform", "event_id")) -> DataFrame:
+    """The rows of ``full`` that a simplifier kept, with all their columns, times among them."""
+    return full.join(kept.select(*keys).distinct(), list(keys), "left_semi")
+
+
+def in_time_order(df: DataFrame, by: Sequence[str] = ("platform",), order: Sequence[str] = ("t", "event_id")) -> DataFrame:
+    """``place``: each row's number, from 0, in the time order of its track."""
+    return numbered(df, by, order, "place")

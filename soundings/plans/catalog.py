@@ -39,41 +39,6 @@ def src13_campaign_columns(spark, d):
     return store.read_campaign(spark, path, ["event_id", "value", "absent"])
 
 
-@query(f"with {TRACK}, f as (select platform, t, min(event_id) as event_id from track group by platform, t) select event_id from f")
-def src16_navigation(spark, d):
-    return store.distinct_on(fixes(spark, d), ["platform", "t"], ["event_id"]).select("event_id")
-
-
-@query("select count(*) > 0 as found, true as sized from documents")
-def src18_manifest(spark, d):
-    path = shared_path(spark, "files")
-    table(spark, d, "documents").select("source", "doc_id").write.partitionBy("source").parquet(path)
-    own = store.manifest(spark, path).where("name like '%.parquet'")
-    return own.agg((F.count("*") > 0).alias("found"), (F.min("length") > 0).alias("sized"))
-
-
-@query("select source as campaign_id, count(*) as n from documents group by source")
-def src20_routed(spark, d):
-    path = shared_path(spark, "routed")
-    own = table(spark, d, "documents").select("doc_id", F.coalesce(F.lit(None).cast("string"), F.col("source")).alias("campaign_id"))
-    own.hint("rebalance", "campaign_id").write.partitionBy("campaign_id").parquet(path)
-    return store.read_campaign(spark, path).groupBy("campaign_id").agg(F.count("*").alias("n"))
-
-
-@query("select o_orderkey, count(l_orderkey) as n_freqs from orders left join lineitem on o_orderkey = l_orderkey group by o_orderkey")
-def src21_file_frequencies(spark, d):
-    freqs = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n_freqs"))
-    return table(spark, d, "orders").join(freqs, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", F.coalesce("n_freqs", F.lit(0)).alias("n_freqs"))
-
-
-@query(f"with {TRACK} select platform, count(*) as n, min(lat) as south, max(lon) as east from track group by platform")
-def snk06_catalogue(spark, d):
-    ext = statistics.extents(fixes(spark, d), ["platform"]).where("level = 0")
-    rec = store.geojson(ext, F.struct(F.lit("Polygon").alias("type"), F.array(geo.bbox_ring(F.col("west"), F.col("south"), F.col("east"), F.col("north"))).alias("coordinates")), ["platform", "n"])
-    j = lambda p: F.get_json_object("value", p)
-    return rec.select(j("$.properties.platform").cast("long").alias("platform"), j("$.properties.n").cast("long").alias("n"), j("$.geometry.coordinates[0][0][1]").cast("double").alias("south"), j("$.geometry.coordinates[0][2][0]").cast("double").alias("east"))
-
-
 @query(f"with {SAMPLES} select day, channel % 2 as category, count(*) as n from samples group by all")
 def snk07_products(spark, d):
     path = shared_path(spark, "product")
@@ -106,16 +71,6 @@ def prj07_platform_of(spark, d):
     return table(spark, d, "documents").select("doc_id", text.platform_of(F.concat_ws("_", F.lit("vessel"), F.col("source"))).alias("platform"))
 
 
-@query(f"with {SAMPLES} select channel, count(*) filter (depth >= 30) as n from samples group by channel")
-def prj14_surface_excluded(spark, d):
-    return samples(spark, d).withColumn("sv", F.when(F.col("depth") >= 30, F.col("sv"))).groupBy("channel").agg(F.count("sv").alias("n"))
-
-
-@query(f"with {SAMPLES} select channel, count(*) filter (sv <= -40) as n from samples group by channel")
-def prj27_clipped(spark, d):
-    return samples(spark, d).withColumn("sv", F.when(F.col("sv") <= -40, F.col("sv"))).groupBy("channel").agg(F.count("sv").alias("n"))
-
-
 @query(f"""with {SAMPLES}, h as (select event_id as ping_idx, sample_idx % 2 as channel, case when (event_id + sample_idx) % (event_id % 7 + 2) <> 0 then sv end as sv from samples), p as (select ping_idx, channel, avg(case when sv is null then 1.0 else 0.0 end) as f from h group by all),
 m as (select ping_idx, min(f) as f from p group by ping_idx) select count(*) as n_rows from h where ping_idx in (select ping_idx from m where f < 0.2)""")
 def prj17_pings_dropped(spark, d):
@@ -124,12 +79,6 @@ def prj17_pings_dropped(spark, d):
     return grid.drop_null_pings(_holes(spark, d), 0.2).agg(F.count("*").alias("n_rows"))
 
 
-@query("select event_id, len(beams) as n_beams, beams[2] as b1 from (select event_id, [value, value * 2, value * 3] as beams from events)")
-def prj26_flattened(spark, d):
-    own = table(spark, d, "events").select("event_id", F.array(F.col("value"), F.col("value") * 2, F.col("value") * 3).alias("beams"))
-    return own.select("event_id", F.size("beams").alias("n_beams"), F.element_at("beams", 2).alias("b1"))
-
-
 @query()
 def prj28_constant_environment(spark, d):
     return environment.constant_environment(table(spark, d, "orders").select("o_orderkey"), 10.0, 35.0, 100.0).select("o_orderkey", r6("sound_speed").alias("sound_speed"))
@@ -143,19 +92,6 @@ def join11_blended_profile(spark, d):
     return environment.blended_profile(surface, model, ["o_orderkey"]).select("o_orderkey", "depth", "source")
 
 
-@query(f"""with {SAMPLES}, c as (select channel, ping_idx // 4 as block, avg(sv) as coarse from samples group by all) select channel, ping_idx, count(*) as n, round(max(coarse), 6) as coarse from samples join c using (channel) where block = ping_idx // 4 group by all""")
-def join22_resampled(spark, d):
-    s = samples(spark, d).withColumn("block", F.floor(F.col("ping_idx") / 4))
-    c = s.groupBy("channel", "block").agg(F.avg("sv").alias("coarse"))
-    return s.join(c, ["channel", "block"]).groupBy("channel", "ping_idx").agg(F.count("*").alias("n"), r6(F.max("coarse")).alias("coarse"))
-
-
-@query("select count(*) as n_rows, 6 as n_columns from events")
-def agg28_inspection(spark, d):
-    e = table(spark, d, "events")
-    return e.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(e.columns)))
-
-
 @query("select event_id, ts from events order by ts, event_id limit 10")
 def ord02_head(spark, d):
     return table(spark, d, "events").orderBy("ts", "event_id").limit(10).select("event_id", "ts")
@@ -200,13 +136,6 @@ def scl19_stage_parameters(spark, d):
     return own.groupBy("channel").agg(F.sum((F.col("sv") > F.col("limit_db")).cast("long")).alias("n"))
 
 
-@query("select o_orderkey, case when (o_orderkey % 900) < 600 then round((o_orderkey % 200) * 0.01 + case when o_orderkey % 2 = 0 then -80.0 else -75.0 end, 6)::double end as sv from orders")
-def scl11_counts_to_sv(spark, d):
-    offsets = spark.createDataFrame([(0, -80.0), (1, -75.0)], "beam long, cal_offset double")
-    own = table(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 2).alias("beam"), (F.col("o_orderkey") % 200).alias("counts"), (F.col("o_orderkey") % 900).alias("depth")).join(F.broadcast(offsets), "beam")
-    return own.select("o_orderkey", r6(F.when(F.col("depth") < 600, F.col("counts") * 0.01 + F.col("cal_offset"))).alias("sv"))
-
-
 @query("select event_id, ts, value from events")
 def str01_incremental(spark, d):
     """Two runs over a folder that grows between them; the second takes only what is new."""
@@ -229,12 +158,6 @@ def str02_streaming_distinct(spark, d):
     return spark.read.parquet(target).agg(F.count("*").alias("n"))
 
 
-@query(f"with {SAMPLES} select channel, count(*) filter (depth < 50) as n from samples group by channel")
-def udf01_registered_stage(spark, d):
-    echo.register_stage("shallow", lambda df, below: df.withColumn("shallow", F.col("depth") < below))
-    return echo.denoise(samples(spark, d), [("shallow", {"below": 50})]).groupBy("channel").agg(F.sum(F.col("masked").cast("long")).alias("n"))
-
-
 @query("select user_id::varchar as file, count(*) as n from events group by user_id")
 def udf03_registered_processor(spark, d):
     lines = _lines(spark, d, F.concat(F.date_format("ts", "MM/dd/yyyy,HH:mm:ss.SSS"), F.lit(", 1500.5")))

@@ -351,13 +351,6 @@ def agg26_density_summary(spark, d):
     return out.select("min", "max", r6("mean").alias("mean"), "median", r6("surface_ratio").alias("surface_ratio"), "peak_depth", F.round("integrated", 5).alias("integrated"))
 
 
-@query("select (date_trunc('day', ts)::date - (datediff('day', date '0001-01-01', ts::date) % 5)::int) as window_start, event_type as category, count(*) as n from events group by all")
-def agg25_day_windows(spark, d):
-    day = F.to_date("ts")
-    key = F.date_sub(day, F.pmod(F.datediff(day, F.lit("0001-01-01").cast("date")), F.lit(5)).cast("int"))
-    return table(spark, d, "events").groupBy(key.alias("window_start"), F.col("event_type").alias("category")).agg(F.count("*").alias("n"))
-
-
 @query(f"""with {SAMPLES}, p as (select channel // 2 as pair, ping_idx, sample_idx, max(sv) filter (channel % 2 = 0) - max(sv) filter (channel % 2 = 1) as difference from samples group by all)
 select pair, count(*) as n_cells, count(difference) as n_both, count(*) filter (difference between -12 and -2) as n_mask from p group by pair""")
 def join13_frequency_difference(spark, d):
@@ -431,18 +424,6 @@ def win11_morphology(spark, d):
     return own.groupBy("channel").agg(F.sum(F.col("g").cast("long")).alias("n"))
 
 
-@query(f"""with {SAMPLES}, m as (select *, 10 * log10(avg(pow(10, sv / 10)) over (partition by channel, ping_idx order by sample_idx rows between 2 preceding and 2 following)) as mm from samples),
-p as (select *, arg_max(sample_idx, (sv, -sample_idx)) filter (depth between 100 and 400 and sv >= -40) over (partition by channel, ping_idx) as peak from m)
-select channel, ping_idx, coalesce(max(sample_idx) filter (sample_idx < peak and not (mm >= -60)) + 1, min(sample_idx)) as seabed from p where peak is not null group by all""")
-def win12_seabed_maximum(spark, d):
-    return echo.seabed(samples(spark, d), "maximum", low=100, high=400, least_db=-40, stop_db=-60)
-
-
-@query(f"""with {SAMPLES}, m as (select *, sv - lag(sv) over (partition by channel, ping_idx order by sample_idx) as dv from samples) select channel, ping_idx, min(sample_idx) as seabed from m where depth between 100 and 400 and dv > 12 group by all""")
-def win13_seabed_gradient(spark, d):
-    return echo.seabed(samples(spark, d), "gradient", low=100, high=400, over_db=12)
-
-
 def _bed(spark, d):
     """An echo eight samples thick about sample 25, wandering with the ping."""
     off = F.abs(F.col("sample_idx") - 25 - F.col("ping_idx") % 3)
@@ -459,12 +440,6 @@ def win15_seabed_composite(spark, d):
     return echo.seabed(_bed(spark, d), "composite", low=100, high=400, least_db=-80)
 
 
-@query(f"""with {SAMPLES}, a as (select *, avg(sv * sv) over (partition by channel, ping_idx order by sample_idx rows between 1 preceding and 1 following) as a from samples), b as (select *, avg(a) over (partition by channel, sample_idx order by ping_idx rows between 1 preceding and 1 following) as b from a)
-select channel, ping_idx, min(sample_idx) as seabed from b where depth between 100 and 400 and b > 4000.5 group by all""")
-def win16_seabed_angle(spark, d):
-    return echo.seabed(samples(spark, d), "angle", low=100, high=400, least=4000.5, angle="sv")
-
-
 @query(f"with {SAMPLES} select channel, ping_idx, sample_idx, round(avg(sv) over (partition by channel, sample_idx order by ping_idx rows between 5 preceding and 4 following), 6) as level from samples")
 def win17_adaptive_level(spark, d):
     return echo.adaptive_level(samples(spark, d)).select("channel", "ping_idx", "sample_idx", r6("level").alias("level"))
@@ -515,12 +490,6 @@ def join16_noise_subtracted(spark, d):
     return own.groupBy("channel", "ping_idx").agg(F.count("sv_clean").alias("n_left"), F.sum(F.col("low_snr").cast("long")).alias("n_low"))
 
 
-@query()
-def set05_denoised(spark, d):
-    own = echo.denoise(samples(spark, d), [("impulse", {"lags": [1]}), ("transient", {"pings": 2, "depth": 2, "over_db": 20, "below_m": 100, "block": 64})])
-    return own.groupBy("channel").agg(F.sum(F.col("masked").cast("long")).alias("n_masked"), F.count("sv_clean").alias("n_left"))
-
-
 @query(f"""with {SAMPLES} select channel, round(100 * avg((sv > -40)::int), 6) as loud, round(100 * avg((depth < 50)::int), 6) as shallow from samples group by channel""")
 def agg27_flag_shares(spark, d):
     s = samples(spark, d).withColumns({"loud": F.col("sv") > -40, "shallow": F.col("depth") < 50})
@@ -602,14 +571,6 @@ def src14_environment(spark, d):
 
 # Text: files that Spark writes from the tables, then scans
 
-@query(f"with {TRACK} select event_id::varchar as event_id, lat as latitude, lon as longitude, round(value, 6) as value from track")
-def src01_csv_directory(spark, d):
-    path = shared_path(spark, "csv")
-    fixes(spark, d).selectExpr("event_id", "lat as latitude", "lon as longitude", "value", "'nan' as empty").write.option("header", True).csv(path)
-    own = csvs.coerce_by_majority(csvs.read_csv_directory(spark, path), skip=["event_id", "platform_id", "latitude", "longitude"])
-    return own.select("event_id", "latitude", "longitude", r6("value").alias("value"))
-
-
 def _lines(spark, d, line):
     """Log lines made from the events, numbered by event in a file for each platform."""
     return table(spark, d, "events").select(F.col("user_id").cast("string").alias("file"), F.col("event_id").alias("line_no"), line.alias("line"))
@@ -624,12 +585,6 @@ def src05_nmea(spark, d):
     return logs.read_nmea(lines, ["GGA"]).select(F.col("line_no").alias("event_id"), F.round("latitude", 4).alias("latitude"), F.round("longitude", 4).alias("longitude"), "quality")
 
 
-@query("select user_id::varchar as file, true as is_nmea from events group by user_id")
-def src06_nmea_sniff(spark, d):
-    lines = _lines(spark, d, F.lit("2024-02-17T00:00:00Z $GPVTG,1,T,,M,2,N,3,K")).withColumn("line_no", F.lit(0))
-    return logs.nmea_files(lines)
-
-
 @query("select event_id, round(value, 6) as velocity from events where event_id % 3 <> 0")
 def src07_sound_velocity(spark, d):
     line = F.concat(F.date_format("ts", "MM/dd/yyyy,HH:mm:ss.SSS"), F.lit(", "), F.when(F.col("event_id") % 3 == 0, "bad").otherwise(F.round("value", 6).cast("string")))
@@ -669,11 +624,6 @@ def agg09_merged_sentences(spark, d):
     return logs.merge_sentences(rows, ["file"])
 
 
-@query("select event_id, json_extract_string(props, '$') is not null as ok from events")
-def src17_json(spark, d):
-    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$").isNotNull().alias("ok"))
-
-
 # Expressions
 
 @query("select o_orderkey, round(1448.96 + 4.591*t - 5.304e-2*t*t + 2.374e-4*t*t*t + 1.340*(s-35) + 1.630e-2*d + 1.675e-7*d*d - 1.025e-2*t*(s-35) - 7.139e-13*t*d*d*d, 6) as speed from (select o_orderkey, (o_orderkey % 30)::double as t, 30 + (o_custkey % 10)::double as s, (o_orderkey % 4000)::double as d from orders)")
@@ -713,11 +663,6 @@ def scl03_decibels(spark, d):
     return table(spark, d, "orders").select("o_orderkey", r6(acoustics.to_db(F.col("o_totalprice"), -999.0)).alias("db"), F.round(acoustics.to_linear((F.col("o_orderkey") % 60 - 90).cast("double")), 12).alias("lin"))
 
 
-@query("select page_id, try_cast(substr(regexp_extract(url, '(?:19|20)\\d{2}[-_]?(?:0[1-9]|1[0-2])[-_]?(?:0[1-9]|[12]\\d|3[01])', 0), 1, 4) as int) as y, length(url) as n from pages")
-def scl14_name_date(spark, d):
-    return table(spark, d, "pages").select("page_id", F.year(text.name_date(F.col("url"))).alias("y"), F.length("url").alias("n"))
-
-
 @query("select o_orderkey, o_totalprice as x from orders")
 def scl15_lenient_number(spark, d):
     return table(spark, d, "orders").select("o_orderkey", text.lenient_number(F.concat(F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit(" dB"))).alias("x"))
@@ -826,13 +771,6 @@ def snk04_track_features(spark, d):
     return own.select(j("$.properties.platform").alias("platform"), j("$.properties.segment").alias("segment"), j("$.properties.n_points").alias("n"))
 
 
-@query("select event_id, round(x0 * value, 6) as u from (select event_id, value, 1.0 as x0 from events)")
-def scl12_beam_to_earth(spark, d):
-    eye = lambda n: F.array(*[F.array(*[F.lit(1.0 if i == k else 0.0) for k in range(n)]) for i in range(n)])
-    own = table(spark, d, "events").select("event_id", F.array(F.col("value"), F.lit(2.0), F.lit(3.0), F.lit(0.1)).alias("beams"), eye(4).alias("matrix"), eye(3).alias("rotation"), F.array(*[F.lit(100.0)] * 4).alias("corr"))
-    return grid.beam_to_earth(own).select("event_id", r6("u").alias("u"))
-
-
 @query("select user_id::varchar as file, case when user_id % 2 = 0 then 'emso' else 'generic' end as provider from events group by user_id")
 def prj19_best_provider(spark, d):
     h = table(spark, d, "events").select("user_id").distinct().select(F.col("user_id").cast("string").alias("file"), F.when(F.col("user_id") % 2 == 0, F.array(F.lit("TEMP"), F.lit("PSAL"))).otherwise(F.array(F.lit("x"))).alias("columns"))

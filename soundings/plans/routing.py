@@ -40,12 +40,6 @@ def prj15_channels(spark, d):
     return providers.choose_channels(own).groupBy("channel").agg(F.count("*").alias("n"))
 
 
-@query(f"with {SAMPLES} select channel, round(sum(coalesce(case when sample_idx % 2 = 0 then depth end, sample_idx) + 1.5), 3) as total from samples group by channel")
-def prj16_depth_from_range(spark, d):
-    own = samples(spark, d).withColumn("echo_range", F.when(F.col("sample_idx") % 2 == 0, F.col("depth")))
-    return own.groupBy("channel").agg(F.round(F.sum(F.coalesce("echo_range", F.col("sample_idx")) + 1.5), 3).alias("total"))
-
-
 @query(f"with {TRACK} select event_id, round((degrees(atan2(sin(radians(20 - lon)) * cos(radians(10)), cos(radians(lat)) * sin(radians(10)) - sin(radians(lat)) * cos(radians(10)) * cos(radians(20 - lon)))) + 360) % 360, 5) as course, round({haversine('lat', 'lon', '10.0', '20.0')}, 4) as nmi from track")
 def scl02_bearing(spark, d):
     to = (F.lit(10.0), F.lit(20.0))

@@ -19,9 +19,11 @@ def session(name: str = "soundings", **conf: str) -> SparkSession:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path under the folder that ``spark.checkpoint.dir`` names; under one of our own only where it is unset."""
+    """A new path under the folder that ``spark.checkpoint.dir`` names; under one of our own only where it is unset in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         os.makedirs("/tmp/checkpoints", exist_ok=True)
         root = "file://" + tempfile.mkdtemp(prefix="soundings-", dir="/tmp/checkpoints")
         spark.conf.set("spark.checkpoint.dir", root)

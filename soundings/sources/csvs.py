@@ -2,49 +2,107 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, platform_of
 
 POSITION = ("latitude", "longitude")
+SHIP_POSITION = ("ship_latitude", "ship_longitude")
+
+
+def _numbered(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Every line with its file's ``path`` and ``file`` name, the ``block`` of the file it is read from, and an ``id`` that rises within a block."""
+    meta = [F.col(f"_metadata.{name}").alias(to) for name, to in (("file_path", "path"), ("file_name", "file"), ("file_block_start", "block"))]
+    return spark.read.text(path).select(*meta, F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
 
 
 def read_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``file``, ``line_no`` (from 0, within the file) and ``line``. Files are whole rows, so lines keep their numbers."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value"))
-    lines = whole.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
-    return lines.where("line <> ''")
+    """``path``, ``file`` (its name), ``line_no`` (from 0, within the file) and ``line``; empty lines count and are left out.
+
+    Files are read by blocks, so no file has to fit in a task: a block's first line number is the count of lines in the file's blocks before it."""
+    own = _numbered(spark, path)
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = own.groupBy("path", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    blocks = blocks.select("path", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    return own.join(blocks, ["path", "block"]).select("path", "file", (F.col("id") + F.col("shift")).alias("line_no"), "line").where("line <> ''")
+
+
+def _names(header: str) -> list[str]:
+    """The column names of a header line; a repeated one gets a number."""
+    out: list[str] = []
+    seen: dict[str, int] = {}
+    for name in next(csv.reader([header.removeprefix("\ufeff")])):
+        low = name.lower()
+        out.append(name if low not in seen else f"{name}.{seen[low]}")
+        seen[low] = seen.get(low, 0) + 1
+    return out
+
+
+def by_header(spark: SparkSession, path: str | list[str]) -> list[tuple[list[str], DataFrame]]:
+    """Files grouped by their own header: its names, and ``file`` with those columns as text for every row below it.
+
+    The header is a file's first line that is not blank and not of a ``#`` block at its top. Blank cells and null tokens are NULL, short lines are
+    filled up, lines with too many fields are dropped. A record is one line. Only the distinct headers come to the driver."""
+    lines = _numbered(spark, path).where(F.trim("line") != "")
+    first = lines.where((F.col("block") == 0) & ~F.ltrim("line").startswith("#"))
+    heads = first.groupBy("path").agg(F.min_by("line", "id").alias("header"), F.min("id").alias("at"))
+    data = lines.join(heads, "path").where((F.col("block") > 0) | (F.col("id") > F.col("at")))
+    out = []
+    for header in sorted(r[0] for r in heads.select("header").distinct().collect()):
+        names = _names(header)
+        # One column more takes what an over-long line has too much.
+        schema = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+        row = data.where(F.col("header") == header).select("file", F.from_csv("line", schema).alias("r")).where(f"r.c{len(names)} is null")
+        out.append((names, row.select("file", *[blank_to_null(F.col(f"r.c{i}")).alias(n) for i, n in enumerate(names)])))
+    return out
+
+
+def _together(spark: SparkSession, frames: Sequence[DataFrame]) -> DataFrame:
+    frames = [f.select(*[c for c in f.columns if c not in ("file", "platform_id")], platform_of(F.col("file")).alias("platform_id")) for f in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else spark.createDataFrame([], "platform_id string")
+
+
+def _positioned(own: DataFrame) -> DataFrame:
+    return own.withColumns({c: F.col(c).try_cast("double") for c in POSITION}).dropna("any", subset=list(POSITION))
 
 
 def read_csv_directory(spark: SparkSession, path: str | list[str], skip_non_spatial: bool = True) -> DataFrame:
-    """Every CSV file under ``path`` as text columns, blank and null tokens as NULL, ``platform_id`` from the file's name.
-
-    Lines with too many fields are dropped. Rows need numeric latitude and longitude unless ``skip_non_spatial`` is off."""
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").csv(path)
-    names = raw.columns
-    most = len(names)
-    # A corrupt-record column needs a schema; short lines are padded and kept, over-long ones told by their field count.
-    schema = ", ".join(f"`{n}` string" for n in names) + ", `_bad` string"
-    own = spark.read.schema(schema).option("columnPruning", False).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").csv(path)
-    own = own.where(F.col("_bad").isNull() | (F.size(F.split("_bad", ",")) < most)).select(*[blank_to_null(F.col(f"`{n}`")).alias(n) for n in names], platform_of(F.col("_metadata.file_name")).alias("platform_id"))
-    has = all(c in names for c in POSITION)
-    if has and skip_non_spatial:
-        own = own.withColumns({c: F.col(c).try_cast("double") for c in POSITION}).dropna("any", subset=list(POSITION))
-    return own if has or not skip_non_spatial else own.limit(0)
-
-
-def read_geocsv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Rows after the ``#`` header block as text, and ``file``, ``metadata`` (map of the block's keys)."""
-    data = spark.read.option("header", True).option("comment", "#").csv(path)
-    data = data.select(*[blank_to_null(F.col(f"`{c}`")).alias(c) for c in data.columns])
-    head = read_text(spark, path).where(F.col("line").startswith("#") & F.col("line").contains(":"))
-    pair = F.split(F.regexp_replace("line", r"^#\s*", ""), ":", 2)
-    head = head.groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct(F.trim(pair[0]), F.trim(pair[1])))).alias("metadata"))
-    return data, head
+    """Every CSV file under ``path`` as text columns by its own header, ``platform_id`` from the file's name.
+
+    Files without latitude and longitude are left out, or with ``skip_non_spatial`` off kept; rows of the others need both as numbers."""
+    own = [(all(c in names for c in POSITION), rows) for names, rows in by_header(spark, path)]
+    return _together(spark, [_positioned(rows) if has else rows for has, rows in own if has or not skip_non_spatial])
+
+
+def read_validated(spark: SparkSession, path: str | list[str], allow_non_spatial: bool = False) -> DataFrame:
+    """CSV and GeoCSV files of observations, each judged by its own header: it needs a position, under the standard names or those of a ship.
+
+    Standard positions must be numbers; a ship's are left for the provider's names to settle. Rows without any value go."""
+    frames = []
+    for names, rows in by_header(spark, path):
+        if all(c in names for c in POSITION):
+            frames.append(_positioned(rows))
+        elif allow_non_spatial or all(c in names for c in SHIP_POSITION):
+            frames.append(rows)
+    out = _together(spark, frames)
+    return out.dropna("all", subset=[c for c in out.columns if c != "platform_id"]) if len(out.columns) > 1 else out
+
+
+def read_geocsv(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows after the ``#`` block at the top of each file as text, and ``path``, ``file``, ``metadata`` (map of the block's keys; of a repeated key the last value)."""
+    frames = [rows for _, rows in by_header(spark, path)]
+    data = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).drop("file") if frames else spark.createDataFrame([], "platform_id string")
+    lines = read_text(spark, path)
+    top = lines.where(~F.ltrim("line").startswith("#")).groupBy("path").agg(F.min("line_no").alias("top"))
+    pair = F.split(F.regexp_replace(F.trim("line"), r"^#\s*", ""), ":", 2)
+    head = lines.where(F.ltrim("line").startswith("#") & F.col("line").contains(":")).join(top, "path", "left").where("top is null or line_no < top")
+    head = head.groupBy("path", "file", F.trim(pair[0]).alias("k")).agg(F.max_by(F.trim(pair[1]), "line_no").alias("v"))
+    return data, head.groupBy("path", "file").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("metadata"))
 
 
 def numeric_share(df: DataFrame, skip: Sequence[str] = ()) -> dict[str, float]:
@@ -75,7 +133,7 @@ def read_units_csv(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """From numbered lines of files whose second line holds units: data rows as ``file``, ``line_no``, ``fields`` (map), and the units of each file."""
     parts = lines.select("file", "line_no", F.split("line", ",").alias("f"))
     head = parts.groupBy("file").agg(F.min_by("f", F.when(F.col("line_no") == 0, 0)).alias("names"), F.min_by("f", F.when(F.col("line_no") == 1, 0)).alias("units"))
-    data = parts.where("line_no > 1").join(F.broadcast(head), "file").select("file", "line_no", F.map_from_arrays("names", F.slice("f", 1, F.size("names"))).alias("fields"))
+    data = parts.where("line_no > 1").join(head, "file").select("file", "line_no", F.map_from_arrays("names", F.slice("f", 1, F.size("names"))).alias("fields"))
     return data, head.select("file", F.map_from_arrays("names", "units").alias("units"))
 
 
@@ -111,3 +169,15 @@ def typed(df: DataFrame) -> DataFrame:
         found["depth"] = F.col("depth").try_cast("double")
     found |= {c: F.col(c).cast("string") for c in ("platform_id", "campaign_id") if c in df.columns}
     return df.withColumns(found)
+
+
+def units_mapping(names: Sequence[str], units_row: Sequence[str] | None = None, metadata: dict[str, str] | None = None, standard: dict[str, str] | None = None) -> dict[str, str]:
+    """The unit of each column: from the row of units below a header or the ``field_unit`` list of a ``#`` block; standard units of columns that are there win."""
+    given = list(units_row or [u for u in (metadata or {}).get("field_unit", "").split(",")])
+    out = {n: u.strip() for n, u in zip(names, given, strict=False) if u.strip() and u.strip() != "(unitless)"}
+    return out | {n: u for n, u in (standard or {}).items() if n in names}
+
+
+def with_units(df: DataFrame, units: dict[str, str]) -> DataFrame:
+    """Units as metadata of the columns, which Parquet keeps."""
+    return df.select(*[F.col(f"`{c}`").alias(c, metadata={"units": units[c]}) if c in units else F.col(f"`{c}`") for c in df.columns])

@@ -90,8 +90,8 @@ def read_cnv(lines: DataFrame) -> DataFrame:
     rx = r"^#\s*name\s+(\d+)\s*=\s*([^:]+):"
     head = lines.where(F.col("line").rlike(rx)).select("file", F.regexp_extract("line", rx, 1).cast("int").alias("i"), F.trim(F.regexp_extract("line", rx, 2)).alias("name"))
     end = lines.where(F.col("line").startswith("*END*")).groupBy("file").agg(F.min("line_no").alias("end"))
-    data = lines.join(F.broadcast(end), "file").where(F.col("line_no") > F.col("end")).select("file", (F.col("line_no") - F.col("end") - 1).alias("row"), F.posexplode(F.split(F.trim("line"), r"\s+")).alias("i", "v"))
-    return data.join(F.broadcast(head), ["file", "i"]).select("file", "row", "name", F.col("v").try_cast("double").alias("value"))
+    data = lines.join(end, "file").where(F.col("line_no") > F.col("end")).select("file", (F.col("line_no") - F.col("end") - 1).alias("row"), F.posexplode(F.split(F.trim("line"), r"\s+")).alias("i", "v"))
+    return data.join(head, ["file", "i"]).select("file", "row", "name", F.col("v").try_cast("double").alias("value"))
 
 
 def key_values(lines: DataFrame) -> DataFrame:

@@ -21,13 +21,19 @@ class Provider:
     defaults: dict[str, object] = field(default_factory=dict)
 
 
+# Codes of the platform types of an in-situ archive.
+PLATFORM_TYPES = {
+    "MO": "mooring", "FB": "ferrybox", "TS": "thermosalinometer", "DB": "drifting_buoy", "TG": "tide_gauge", "GL": "glider",
+    "PF": "profiling_float", "CT": "ctd", "SM": "sea_mammal", "ML": "mini_logger", "RA": "radar", "DC": "drifting_buoy",
+}
+
 #: Common spellings of position and time, tried for files of no known provider.
 GENERIC = Provider("generic", (), {"lat": "latitude", "Latitude": "latitude", "LATITUDE": "latitude", "lon": "longitude", "Longitude": "longitude", "LONGITUDE": "longitude", "TIME": "time", "datetime": "time", "timestamp": "time", "date_time": "time"})
 PROVIDERS: dict[str, Provider] = {
     p.name: p
     for p in (
         GENERIC,
-        Provider("oceansites", ("TIME", "LATITUDE", "LONGITUDE", "TEMP", "PSAL"), GENERIC.renames | {"TEMP": "temperature", "PSAL": "salinity", "PRES": "pressure", "DEPH": "depth"}, {"platform_type": {"MO": "mooring", "GL": "glider", "PF": "profiler", "FB": "ferrybox"}}),
+        Provider("oceansites", ("TIME", "LATITUDE", "LONGITUDE", "TEMP", "PSAL"), GENERIC.renames | {"TEMP": "temperature", "PSAL": "salinity", "PRES": "pressure", "DEPH": "depth"}, {"platform_type": PLATFORM_TYPES}),
         Provider("ship", ("ship_latitude", "ship_longitude"), {"ship_latitude": "latitude", "ship_longitude": "longitude", "iso_time": "time"}),
     )
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.geo import bin_label, right_closed_bin
+from ..functions.text import name_date
 
 # Fixed value: the columns that identify an observation, those present counting.
 KEY = ("time", "latitude", "longitude", "trajectory")
@@ -85,6 +86,18 @@ def new_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Se
     return first.join(have, cond, "left_anti")
 
 
+def write_routed(df: DataFrame, path: str, campaign: str = "campaign_id") -> None:
+    """Rows to the folder of their campaign, those without one left out; one shuffle, hot campaigns dealt out by AQE's rebalance."""
+    df.where(F.col(campaign).isNotNull()).hint("rebalance", campaign).write.mode("append").partitionBy(campaign).parquet(path)
+
+
+def file_frequencies(files: DataFrame, rows: DataFrame, file: str, frequency: str) -> DataFrame:
+    """Every file with ``frequencies``, the sorted distinct ones of its rows (empty without any), and ``n_rows``."""
+    per = rows.groupBy(file).agg(F.sort_array(F.collect_set(frequency)).alias("_f"), F.count("*").alias("_n"))
+    own = files.join(per, file, "left")
+    return own.withColumns({"frequencies": F.coalesce("_f", F.array().cast(dict(per.dtypes)["_f"])), "n_rows": F.coalesce("_n", F.lit(0))}).drop("_f", "_n")
+
+
 def upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str | Column] = ("time",)) -> None:
     """Append only rows whose key is new; nothing that is stored is rewritten."""
     try:
@@ -95,11 +108,21 @@ def upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str] =
         distinct_on(new, [k for k in keys if k in new.columns], order).write.parquet(path)
         return
     used = [k for k in keys if k in new.columns and k in have.columns]
+    # Only stored rows in the range of the new ones can have their keys; the range of the first key prunes files and row groups.
+    low, high = new.agg(F.min(used[0]), F.max(used[0])).first()
+    have = have.where(F.col(used[0]).between(F.lit(low), F.lit(high)) | F.col(used[0]).isNull())
     new_rows(have.select(*used), new, used, order).write.mode("append").parquet(path)
 
 
-def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Names, sizes and times of files; their bytes are not read."""
+def manifest(spark: SparkSession, path: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Names, sizes and times of files; their bytes are not read. ``day`` is the date in the name; with ``since`` or ``until`` only files dated so stay."""
+    out = _files(spark, path).withColumn("day", name_date(F.col("name")))
+    if since is not None:
+        out = out.where(F.col("day") >= F.lit(since).cast("date"))
+    return out.where(F.col("day") <= F.lit(until).cast("date")) if until is not None else out
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", "modificationTime")
 
 

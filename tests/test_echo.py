@@ -76,14 +76,98 @@ def test_background_noise(spark):
         assert abs(got[b] - min(cells)) < 1e-9
 
 
-@pytest.mark.parametrize(("method", "parameters"), [("maximum", {"least_db": -40, "stop_db": -60}), ("gradient", {"over_db": 20}), ("morphological", {"least_db": -50}), ("composite", {})])
-def test_planted_seabed_is_found(spark, method, parameters):
-    x = noise(depth=60)
-    top = 30 + np.round(2 * np.sin(np.arange(24) / 4)).astype(int)
-    for p in range(24):
+def _planted(pings=40, depth=60):
+    x = noise(pings=pings, depth=depth)
+    top = 30 + np.round(2 * np.sin(np.arange(pings) / 4)).astype(int)
+    for p in range(pings):
         x[p, top[p] : top[p] + 8] = -30
+    return x, top
+
+
+def _median(x):
+    y = np.pad(x, 1, mode="symmetric")
+    return np.median(np.stack([y[i : i + x.shape[0], j : j + x.shape[1]] for i in range(3) for j in range(3)]), axis=0)
+
+
+def _rectangle(mask, pings, depth, grow):
+    y = np.pad(mask, ((pings, pings), (depth, depth)))
+    parts = [y[i : i + mask.shape[0], j : j + mask.shape[1]] for i in range(2 * pings + 1) for j in range(2 * depth + 1)]
+    return np.any(parts, axis=0) if grow else np.all(parts, axis=0)
+
+
+def _line(v, window):
+    """Straight lines of least squares through windows; the first and last windows serve the ends."""
+    out = np.empty(len(v))
+    for i in range(len(v)):
+        a = min(max(i - window // 2, 0), len(v) - window)
+        out[i] = np.polyval(np.polyfit(np.arange(window), v[a : a + window], 1), i - a)
+    return out
+
+
+@pytest.mark.parametrize(("method", "parameters"), [("maximum", {}), ("gradient", {})])
+def test_planted_seabed_is_found(spark, method, parameters):
+    x, top = _planted()
     got = {r["ping_idx"]: r["seabed"] for r in echo.seabed(cube(spark, x), method, low=10, high=55, **parameters).collect()}
-    assert len(got) == 24 and all(abs(got[p] - top[p]) <= (8 if method == "composite" else 3) for p in got)
+    assert len(got) == len(top)
+    if method == "gradient":
+        assert all(abs(got[p] - top[p]) <= 1 for p in got)
+    else:  # where the mean of the five samples above falls below the threshold
+        assert all(top[p] <= got[p] <= top[p] + 7 for p in got)
+    up = echo.seabed(cube(spark, x), method, low=10, high=55, offset_m=3, **parameters).collect()
+    assert {r["ping_idx"]: r["seabed"] + 3 for r in up} == got
+
+
+def test_morphological_seabed_equals_numpy(spark):
+    """One erosion, three dilations that stay in the gate, the first cell, smoothing: the line runs up to eight samples over the echo."""
+    x, top = _planted()
+    gate = np.zeros(x.shape, bool)
+    gate[:, 24:56] = True
+    mask = _rectangle((_median(x) >= -50) & gate, 1, 1, False)
+    for _ in range(3):
+        mask = _rectangle(mask, 1, 3, True) & gate
+    first = mask.argmax(axis=1)
+    for window, want in ((None, first), (11, np.round(_line(first, 11), 6).astype(int))):
+        got = {r["ping_idx"]: r["seabed"] for r in echo.seabed(cube(spark, x), "morphological", low=24, high=55, least_db=-50, smooth_window=window).collect()}
+        assert [got[p] for p in range(len(top))] == want.tolist()
+    assert first.min() == 24  # never above the gate
+
+
+def test_composite_seabed_equals_numpy(spark):
+    x, top = _planted()
+    x[5:8, 10:55] = -90  # no candidate: the bottom, a jump, is replaced
+    gate = np.zeros(x.shape, bool)
+    gate[:, 10:56] = True
+    m = _median(x)
+    limit = np.maximum(np.array([np.quantile(row[10:56], 0.75) for row in m]) - 3, -40)[:, None]
+    loud = (m > limit) & gate
+    mask = _rectangle(_rectangle(loud, 0, 1, False), 1, 2, True)
+    none = ~mask.any(axis=1)
+    mask[none] = loud[none]
+    mask &= gate
+    has = np.pad(mask.any(axis=1).astype(float), 2, mode="edge")
+    near = np.array([has[i : i + 5].sum() for i in range(len(top))]) >= 2
+    deepest = lambda row: np.flatnonzero(row)[-1]
+    own = [near[p] and mask[p].any() for p in range(len(top))]
+    index = np.array([deepest(mask[p]) if own[p] else deepest(loud[p]) if loud[p].any() else x.shape[1] - 1 for p in range(len(top))])
+    smooth = _line(index, 31)
+    jump = np.abs(np.diff(smooth, prepend=smooth[0])) > 5
+    smooth[jump] = np.interp(np.flatnonzero(jump), np.flatnonzero(~jump), smooth[~jump])
+    out = {r["ping_idx"]: r for r in echo.seabed(cube(spark, x), "composite", low=10, high=55).collect()}
+    assert [out[p]["seabed"] for p in range(len(top))] == np.round(smooth, 6).astype(int).tolist()
+    assert [out[p]["detected"] for p in range(len(top))] == own
+
+
+def test_angle_seabed_takes_either_angle(spark):
+    x = noise(pings=6, depth=30)
+    along, athwart = np.zeros(x.shape), np.zeros(x.shape)
+    along[:3, 15:], athwart[3:, 20:] = 1.0, 1.0
+    own = cube(spark, x)
+    for name, values in (("angle_alongship", along), ("angle_athwartship", athwart)):
+        own = own.join(cube(spark, values).select("channel", "ping_idx", "sample_idx", F.col("sv").alias(name)), ["channel", "ping_idx", "sample_idx"])
+    got = {r["ping_idx"]: r["seabed"] for r in echo.seabed(own, "angle", low=5, high=29).collect()}
+    y = lambda v: np.stack([np.pad(v, 1, mode="edge")[i : i + 6, j : j + 30] for i in range(3) for j in range(3)]).mean(axis=0) * 22 * 128 / 180
+    want = {p: int(np.flatnonzero(((y(along) > 5) | (y(athwart) > 5))[p] & (np.arange(30) >= 5))[0]) for p in range(6)}
+    assert got == want
 
 
 def test_schools(spark):
@@ -96,6 +180,17 @@ def test_schools(spark):
     assert found == {(5, 11, 10, 19, 70), (20, 23, 30, 35, 24)}
     joined = {(r["p_lo"], r["p_hi"]) for r in echo.schools_three_stage(cube(spark, x), -70, (1, 1), (0, 0), (2, 2)).collect()}
     assert joined == {(5, 12), (20, 23)}
+    linked = {(r["p_lo"], r["p_hi"]) for r in echo.schools_three_stage(cube(spark, x), -70, (1, 1), (9, 7), (2, 2)).collect()}
+    assert linked == {(5, 23)}  # the second has a cell in the first's box widened by 10 m and 8 pings
+    assert echo.schools_three_stage(cube(spark, x), -70, (20, 1), (0, 0), (2, 2)).isEmpty()
+    mask = echo.school_mask(cube(spark, x), "weill", least_db=-70, vertical_gap=1, least_height=2, least_length=2)
+    assert mask.where("school").count() == 94 and mask.where("school_edge").count() == 30 * 40 - 26 * 36
+    assert echo.school_mask(cube(spark, x), "three_stage", candidate=(1, 1), link=(0, 0), least=(2, 2)).where("school").count() == 69 + 1 + 24
+
+
+def test_a_school_just_at_the_threshold_is_none(spark):
+    x = np.full((4, 4), -70.0)
+    assert echo.schools_weill(cube(spark, x), -70).isEmpty() and echo.schools_three_stage(cube(spark, x), -70, (0, 0), (0, 0), (0, 0)).isEmpty()
 
 
 def test_unknown_method_is_refused(spark):
@@ -106,10 +201,22 @@ def test_unknown_method_is_refused(spark):
 def test_a_registered_stage_takes_part(spark):
     echo.register_stage("shallow", lambda df, below: df.withColumn("shallow", F.col("depth") < below))
     x = noise()
-    own = echo.denoise(cube(spark, x), [("impulse", {}), ("shallow", {"below": 5})])
+    own = echo.denoise(cube(spark, x), [("impulse", {"over_db": 1000}), ("shallow", {"below": 5})])
     assert own.where("depth < 5 and sv_clean is not null").isEmpty() and not own.where("depth >= 5 and sv_clean is not null").isEmpty()
 
 
+def test_a_failing_stage_is_left_out_and_unfeasible_samples_may_count(spark):
+    x = noise()
+    echo.register_stage("broken", lambda df: df.withColumn("broken", F.col("nothing")))
+    with pytest.warns(UserWarning, match="'broken' left out"):
+        own = echo.denoise(cube(spark, x), [("broken", {}), ("unknown", {}), ("impulse", {"over_db": 1000})])
+    assert own.where("masked").isEmpty() and {"broken", "unknown", "impulse"} <= set(own.columns)
+    own = echo.denoise(cube(spark, x), [("impulse", {"over_db": 1000}), ("attenuation", {"low": 0, "high": 100, "half": 3})], mask_unfeasible=True)
+    pings = x.shape[0]
+    assert {r["ping_idx"] for r in own.where("masked").select("ping_idx").distinct().collect()} >= {0, 1, 2, pings - 3, pings - 2, pings - 1}
+    assert own.where("masked and not (impulse or attenuation)").isEmpty()
+
+
 def test_mvbs_is_a_linear_mean(spark):
     x = noise()
     got = {(r["t_bin"], r["depth_bin"]): r["sv"] for r in grid.mvbs(cube(spark, x), 10, 5_000_000).collect()}

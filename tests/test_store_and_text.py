@@ -20,10 +20,41 @@ def test_csv_directory(spark, tmp_path):
     assert df.count() == 3 and dict(csvs.coerce_by_majority(df, 0.3).dtypes)["v"] == "double" and dict(csvs.coerce_by_majority(df, 0.5).dtypes)["v"] == "string"
 
 
+def test_files_are_read_by_their_own_headers(spark, tmp_path):
+    """One folder with columns in another order, other columns, a ship's position, no position at all, quotes, and a block of ``#`` lines."""
+    put(tmp_path, "a-1.csv", "latitude,longitude,TEMP\n1,2,3\n10,20,30,40\n")
+    put(tmp_path, "b-2.csv", "\nTEMP,latitude,longitude\n20,5,6\nnan,x,6\n")
+    put(tmp_path, "c-3.csv", "time,SAL,x\n7,8,9\n")
+    put(tmp_path, "d-4.csv", "ship_latitude,ship_longitude,note\n1,2,\"a, b\"\n,,\n")
+    put(tmp_path, "e-5.csv", "# dataset: GeoCSV 2.0\n# k: v\nlongitude,latitude,TEMP\n8,9,#1\n")
+    cols = ["platform_id", "latitude", "longitude", "TEMP"]
+    got = csvs.read_csv_directory(spark, str(tmp_path)).select(*cols).collect()
+    assert sorted(tuple(r) for r in got) == [("1", 1.0, 2.0, "3"), ("2", 5.0, 6.0, "20"), ("5", 9.0, 8.0, "#1")]
+    every = csvs.read_csv_directory(spark, str(tmp_path), skip_non_spatial=False)
+    assert every.count() == 6 and every.where("SAL = '8' and latitude is null and x = '9'").count() == 1
+    valid = csvs.read_validated(spark, str(tmp_path))
+    assert sorted((r["platform_id"], r["latitude"], r["ship_latitude"], r["note"]) for r in valid.collect()) == [("1", 1.0, None, None), ("2", 5.0, None, None), ("4", None, "1", "a, b"), ("5", 9.0, None, None)]
+    assert csvs.read_validated(spark, str(tmp_path), allow_non_spatial=True).count() == 5
+
+
+def test_lines_are_numbered_within_their_files(spark, tmp_path):
+    """Files larger than a block, and several in one task."""
+    for k in range(3):
+        put(tmp_path, f"{k}.txt", "".join(f"{k}/{i}\n" if i % 7 else "\n" for i in range(400)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("500b", "1m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = csvs.read_text(spark, str(tmp_path))
+            assert got.count() == 3 * 342 and got.where("line <> concat(substring(file, 1, 1), '/', line_no)").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_geocsv(spark, tmp_path):
-    put(tmp_path, "a.csv", "# dataset: GeoCSV 2.0\n# field_unit: a: b\nlatitude,longitude\n1,2\n")
+    put(tmp_path, "a.csv", "# dataset: GeoCSV 2.0\n# field_unit: a: b\nlatitude,longitude\n1,2\n# no: header\n")
     data, head = csvs.read_geocsv(spark, str(tmp_path))
-    assert [tuple(r) for r in data.collect()] == [("1", "2")] and head.first()["metadata"] == {"dataset": "GeoCSV 2.0", "field_unit": "a: b"}
+    assert sorted(tuple(r) for r in data.collect()) == [("# no: header", None), ("1", "2")] and head.first()["metadata"] == {"dataset": "GeoCSV 2.0", "field_unit": "a: b"}
 
 
 def test_units_row_and_snapshot(spark, tmp_path):
@@ -116,7 +147,7 @@ def test_environment_helpers(spark):
 
 
 def test_names(spark):
-    assert text.snake_case("TempDegC (mean)") == "temp_deg_c_mean" and text.column_category("wind_speed") == "nav" and text.column_category("TEMP_SBE37") == "ocean"
+    assert text.snake_case("TempDegC (mean)") == "temp_deg_c_mean" and [text.column_category(n) for n in ("wind_speed", "TEMP_SBE37_MEAN", "SOG", "wave_height", "latitude")] == ["met", "ocean", "nav", "ocean", "other"]
     assert statistics.top_variables(["a", "b", "c"], ["c", "x"], 2) == ["c", "a"]
     rows = spark.createDataFrame([("sd1030_tpos_2023_x.csv",), ("ship-42.csv",)], "n string")
     assert [r[0] for r in rows.select(text.platform_of(F.col("n"))).collect()] == ["sd1030_tpos_2023", "42"]
@@ -129,7 +160,7 @@ def test_providers(spark):
 
     catalogue = spark.createDataFrame([("ctd", "TEMP"), ("gps", "lat"), ("adcp", "u")], "sensor string, variable string")
     assert {r[0] for r in providers.sensors_present(["TEMP", "lat", "x"], catalogue).collect()} == {"ctd", "gps"}
-    assert text.categories(["lat", "x"]) == {"lat": "nav", "x": "other"}
+    assert text.categories(["HDG", "x"]) == {"HDG": "nav", "x": "other"}
     providers.register(providers.Provider("mine", ("a", "b"), {"a": "time"}))
     heads = spark.createDataFrame([("f", ["a", "b"]), ("g", ["q"])], "file string, columns array<string>")
     assert {tuple(r)[:2] for r in providers.recognise(heads).collect()} == {("f", "mine"), ("g", "generic")}

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from soundings.functions import geo
-from soundings.operators import echo, timejoin, track
+from soundings.operators import echo, grid, timejoin, track
 from soundings.plans import catalog, queries
 
 MINUTE = 60_000_000
@@ -125,3 +125,25 @@ def test_day_segments_count_every_row(spark, tmp_path, monkeypatch):
 def test_simplified_query_takes_a_track_day_as_the_group(spark, tmp_path):
     out = queries.win19_simplified(spark, two_days(spark, tmp_path))
     assert out.columns == ["platform", "event_id"] and sorted(r["event_id"] for r in out.collect()) == [0, 9, 10, 19]
+
+
+def test_ranked_values_are_exact(spark):
+    rng = np.random.default_rng(0)
+    for values in (rng.normal(size=500), np.round(rng.normal(size=500), 1), np.full(20, 3.5), np.array([1.0, 1.0 + 1e-15, 1e300, -1e300])):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+        for rank in (0, len(values) // 3, len(values) - 1):
+            assert grid.ranked_value(df, "v", rank, parts=7) == np.sort(values)[rank]
+
+
+def test_places_and_neighbours_cross_buckets(spark):
+    """Rows days apart, many in one day, and blocks smaller than the track."""
+    rng = np.random.default_rng(1)
+    t = np.sort(np.concatenate((rng.integers(0, 40, 30) * 86_400_000_000, rng.integers(0, 1000, 60))))
+    rows = [("a", int(x), i, float(rng.normal()), float(rng.normal())) for i, x in enumerate(t)]
+    df = spark.createDataFrame(rows, "platform string, t long, event_id long, lat double, lon double")
+    got = {r["event_id"]: r["place"] for r in track.in_time_order(df).collect()}
+    assert got == {i: i for i in range(len(t))}
+    lat, lon = (np.array([r[k] for r in rows]) for k in (3, 4))
+    far = lambda v, i: abs(v[i] - np.median(np.concatenate((v[max(0, i - 4) : i], v[i + 1 : i + 5])))) > 0.5
+    out = {r["event_id"]: r["outlier"] for r in track.position_outliers(df, 0.5, order=["t", "event_id"]).collect()}
+    assert out == {i: far(lat, i) or far(lon, i) for i in range(len(t))}
