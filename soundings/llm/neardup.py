@@ -430,7 +430,7 @@ def _with_partner(members: DataFrame, maps: DataFrame, percent: int) -> DataFram
         bundle = part.column("bundle").to_numpy()
         return pa.table({"bundle": pa.array(bundle[got]), "c": pa.array(c[got]), "comp": pa.array(comp[got]), "n": pa.array(n[got])})
 
-    own = _dealt(members.join(maps.select("c", "bits"), "c"), F.count("*"), FEW, MANY)
+    own = _dealt(members, F.count("*"), FEW, MANY).join(maps.select("c", "bits"), "c")
     return own.groupBy("bundle", "i", "j").applyInArrow(meet, "bundle long, c long, comp long, n long").distinct()
 
 
@@ -485,5 +485,5 @@ def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         moved = np.flatnonzero(label != np.arange(len(names)))
         return pa.table({"a": pa.array(names[label[moved]], pa.int64()), "b": pa.array(names[moved], pa.int64())})
 
-    own = _dealt(members.join(sets, "c"), F.sum("n"), BLOCK, LARGE_BLOCK).select("bundle", "i", "j", "block", "comp", "s")
+    own = _dealt(members, F.sum("n"), BLOCK, LARGE_BLOCK).join(sets, "c").select("bundle", "i", "j", "block", "comp", "s")
     return own.groupBy("bundle", "i", "j").applyInArrow(meet, "a long, b long")
