@@ -102,7 +102,7 @@ def postings(docs: DataFrame, terms: np.ndarray, text: str = "text", doc_id: str
 
 
 def _terms(rows: DataFrame) -> np.ndarray:
-    return np.sort(rows.toPandas()["term"].to_numpy(np.int64).view(np.uint64))
+    return np.sort(rows.toArrow().column("term").to_numpy().view(np.uint64))
 
 
 def anchors(docs: DataFrame, windows: DataFrame, text: str = "text", rarest: int = RAREST) -> DataFrame:

@@ -69,7 +69,8 @@ def bit_tables(*keys: DataFrame, bits: int = 25) -> list[np.ndarray]:
 
     parts = words.withColumn("part", F.floor(F.col("w") / size)).repartition("part").sortWithinPartitions("part").select("part", "w", "v").mapInArrow(pack, "part long, bits binary")
     table = np.zeros(each * len(keys), np.uint32)
-    for part, marks in parts.toPandas().itertuples(index=False):
+    got = parts.toArrow()
+    for part, marks in zip(got.column("part").to_pylist(), got.column("bits").to_pylist(), strict=True):
         table[part * size : (part + 1) * size] |= np.frombuffer(marks, np.uint32)
     return [table[i * each : (i + 1) * each] for i in range(len(keys))]
 

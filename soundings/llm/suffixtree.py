@@ -251,9 +251,13 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
     tree = staged(tree, "tree")
     often = F.col("n") >= held_share * total
     rare = tree.where(~often)
-    top = tree.where(often).select("key", "value", "level", "listed").toPandas()
-    top = top.assign(key=top["key"].to_numpy(np.int64).view(np.uint64)).sort_values("key")
-    held = {k: (g["key"].to_numpy(np.uint64), g["value"].to_numpy(float)) for k, g in top.groupby(["level", "listed"])}
+    top = tree.where(often).select("key", "value", "level", "listed").toArrow()
+    key, value, kind = top.column("key").to_numpy().view(np.uint64), top.column("value").to_numpy(), 2 * top.column("level").to_numpy() + top.column("listed").to_numpy()
+    by, held = np.lexsort((key, kind)), {}
+    for k in np.unique(kind).tolist():
+        these = by[kind[by] == k]
+        held[k // 2, bool(k % 2)] = key[these], value[these]
+    del top, key, value, by
     shared = spark.sparkContext.broadcast((held, bit_table(rare, "key")))
     none_held = (np.zeros(0, np.uint64), np.zeros(0))
 
