@@ -64,17 +64,17 @@ class WordEncoder:
         n = max(self.names) + 1
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
         self.rank = {(vocab[a], vocab[b]): r for r, (a, b) in enumerate(pairs)}
-        self.made = {(vocab[a], vocab[b]): vocab[a + b] for a, b in pairs}
+        made_by = {(vocab[a], vocab[b]): vocab[a + b] for a, b in pairs}
         self.product = [vocab[a + b] for a, b in pairs]
         # Merge order by id: 0 for what no merge makes, else its rank + 1.
         self.order = np.zeros(n, np.int64)
         self.left, self.right = np.full(n, -1), np.full(n, -1)
-        for (a, b), c in self.made.items():
+        for (a, b), c in made_by.items():
             self.order[c] = self.rank[a, b] + 1
             self.left[c], self.right[c] = a, b
-        codes = np.array([a * n + b for a, b in self.made], np.int64)
+        codes = np.array([a * n + b for a, b in made_by], np.int64)
         by = np.argsort(codes)
-        self.codes, self.code_order, self.n = codes[by], np.array([self.rank[p] + 1 for p in self.made])[by], n
+        self.codes, self.code_order, self.n = codes[by], np.array([self.rank[p] + 1 for p in made_by])[by], n
         self.reach: dict[str, int] = {}  # the longest token by its first two symbols
         for t in self.ids:
             self.reach[t[:2]] = max(self.reach.get(t[:2], 1), len(t))
@@ -233,7 +233,7 @@ def bpe_encode(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = TextEncoder.of(tokenizer)
         for whole in batches:
-            for batch in slices(whole, "text", 4 << 20):
+            for batch in slices(whole, "text"):
                 chunks, found, place = coder.distinct(batch.column("text"))
                 n = np.fromiter(map(len, found), np.int64, len(found))
                 flat = np.array([i for x in found for i in x], np.int32)
@@ -248,7 +248,7 @@ def bpe_encode(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str
 
 
 def bpe_decode(rows: DataFrame, tokenizer: str) -> DataFrame:
-    """``doc_id`` and ``text`` of ``ids``: the file names no decoder, so token strings are joined by one space. Null ids give null."""
+    """``doc_id`` and ``text`` of ``ids``: the file names no decoder, so token strings are joined by one space. Null ids give null, no ids give empty text; repeated rows are each decoded."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = WordEncoder.of(tokenizer).names
@@ -263,13 +263,16 @@ def bpe_decode(rows: DataFrame, tokenizer: str) -> DataFrame:
 def bpe_digests(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Encode and decode every whole text; return counts and SHA-256 of the ids (decimal, one space between) and of the decoded text.
 
+    Null and empty texts have no ids and decode to empty text; very long texts are encoded whole, a run of their own each; repeated rows are each returned,
+    equal texts with equal digests; special tokens written out in a text become those tokens.
+
     Decimal and decoded forms are made once for each distinct chunk of a batch and joined for each text."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = TextEncoder.of(tokenizer)
         names = coder.words.names
         for whole in batches:
-            for batch in slices(whole, "text", 4 << 20):
+            for batch in slices(whole, "text"):
                 chunks, found, place = coder.distinct(batch.column("text"))
                 n = np.fromiter(map(len, found), np.int64, len(found))
                 decimal = [" ".join(map(str, x)).encode() for x in found]

@@ -215,6 +215,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20, inside: str
         total += size
     if first < batch.num_rows:
         yield batch.slice(first)
+    pa.default_memory_pool().release_unused()  # workers live on between tasks
 
 
 def shingle_sets(words: Words, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
