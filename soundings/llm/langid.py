@@ -150,8 +150,8 @@ def predict(docs: DataFrame, model: LanguageModel | None, text: str = "text") ->
     """``row`` (the input's columns), ``lang_pred``, ``score`` and ``rejected`` for every row. One map, no shuffle.
 
     Null texts and texts without a letter are ``und`` with score 0, and rejected; so is everything without a
-    model. Other texts get the likeliest learned language; ``rejected`` when its calibrated probability is under
-    the model's threshold. Repeated rows each get their own result."""
+    model. Other texts get the likeliest learned language, the first by name of equally likely ones; ``rejected`` when its calibrated probability is under
+    the model's threshold. Very long texts are read whole. Repeated rows each get their own result."""
     spark = docs.sparkSession
     own = docs.select(F.struct("*").alias("row"))
     own = own.select("row", F.col(f"row.`{text}`").alias("text"), F.coalesce(F.col(f"row.`{text}`").rlike(r"\p{L}"), F.lit(False)).alias("letters"))

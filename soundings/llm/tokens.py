@@ -64,8 +64,8 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, tex
     run-length encoded; every stripe carries row indexes and a Bloom filter on ``doc_id``, so a reader skips
     stripes by metadata and reads the rest in parallel. Texts are what is shuffled: they are a third the size of ids.
     Null and empty texts are documents of one id, ``end_id``. Null ids come first; rows with equal ids are
-    ordered by a hash of their text, and repeated rows are each written."""
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
+    ordered by a hash of their text, and repeated rows are each written. A very long text is encoded whole. Ids keep their type."""
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
     own = own.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,14 +82,15 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, tex
                 )
                 at += int(offsets[-1])
 
-    rows = own.mapInArrow(encode, "part int, doc_id long, start_in_part long, ids array<int>")
+    kind = own.schema["doc_id"].dataType.simpleString()
+    rows = own.mapInArrow(encode, f"part int, doc_id {kind}, start_in_part long, ids array<int>")
     writer = rows.write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
     writer.option("orc.stripe.size", stripe_mb << 20).option("orc.row.index.stride", index_stride).option("orc.compress", "ZSTD").orc(path)
 
 
-def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the files with ``start``, the number of ids in all documents before. A filter on ``doc_id`` prunes stripes."""
-    rows = spark.read.schema("part int, doc_id long, start_in_part long, ids array<int>").orc(path)
+def read_token_ids(spark: SparkSession, path: str, kind: str = "long") -> DataFrame:
+    """Rows of the files with ``start``, the number of ids in all documents before. ``kind``: the type of ``doc_id``; a filter on it prunes stripes."""
+    rows = spark.read.schema(f"part int, doc_id {kind}, start_in_part long, ids array<int>").orc(path)
     ends = rows.groupBy("part").agg(F.max(F.col("start_in_part") + F.size("ids")).alias("n")).collect()  # a row for each file
     base, total = {}, 0
     for part, n in sorted(ends):
@@ -111,4 +112,5 @@ def id_digests(rows: DataFrame) -> DataFrame:
             crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return rows.mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(digest, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")

@@ -196,12 +196,32 @@ def test_token_ids_round_trip(spark, odd, empty):
     digest = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in tokens.id_digests(back).collect()}
     assert digest == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, (_, x) in got.items()}
     assert "EqualTo(doc_id,3)" in back.where("doc_id = 3")._jdf.queryExecution().toString()
-    for docs, n in ((odd, len(ODD)), (empty, 0)):
+    named = df.selectExpr("concat('d', doc_id) as doc_id", "text")
+    path = new_path(spark, "ids")
+    tokens.write_token_ids(named, path, BYTE_BPE, 2)
+    mine = tokens.id_digests(tokens.read_token_ids(spark, path, "string")).collect()
+    assert {r["doc_id"]: r["ids_crc32"] for r in mine} == {f"d{i}": x[1] for i, x in digest.items()}
+    clash = odd.withColumns({n: F.lit(n) for n in ("part", "ids", "start_in_part", "tie")})
+    for docs, n in ((odd, len(ODD)), (clash, len(ODD)), (empty, 0)):
         path = new_path(spark, "ids")
         tokens.write_token_ids(docs, path, BYTE_BPE, 2)
         assert tokens.id_digests(tokens.read_token_ids(spark, path)).count() == n
 
 
+def test_token_id_files_are_read_in_parts(spark):
+    """A filter on ids reads the row groups that may hold them and no others: by least and greatest ids, and by Bloom filters between those."""
+    docs = spark.range(0, 40_000, 2).selectExpr("id as doc_id", "concat('text ', id) as text").coalesce(1)
+    path = new_path(spark, "ids")
+    tokens.write_token_ids(docs, path, BYTE_BPE, 2, stripe_mb=1, index_stride=1000)
+    for wanted, most, found in ((20_000, 1000, 1), (20_001, 0, 0)):
+        own = spark.read.schema("part int, doc_id long, start_in_part long, ids array<int>").orc(path).where(F.col("doc_id") == wanted)
+        plan = own._jdf.queryExecution().executedPlan()
+        assert plan.executeCollect().__len__() == found
+        while "Scan" not in plan.nodeName():
+            plan = plan.children().head()
+        assert plan.metrics().get("numOutputRows").get().value() <= most
+
+
 # 4 Quality rules
 
 
@@ -664,6 +684,30 @@ def test_pipeline_stages(spark, tmp_path):
         assert docs.columns == df.columns
 
 
+def test_pipeline_stages_take_odd_rows(spark, tmp_path, clashing, empty):
+    """Nulls, empty, blank and very long texts, repeated rows and ids, names that clash with those used inside, and empty tables, stage by stage."""
+    import corpus_pipeline
+
+    spark.createDataFrame([("i", "another text with the same id")], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    none = tmp_path / "none"
+    spark.createDataFrame([], "item_id string, text string").write.parquet(str(none / "benchmark.parquet"))
+    key = lambda df: rows(df.select("doc_id", F.coalesce(F.substring("text", 1, 12), F.lit("?"))))
+    stages = dict(corpus_pipeline.STAGES)
+    seen = {n: stages[n](spark, clashing, str(tmp_path)) for n in ("language", "lines", "near_duplicates", "decontaminated")}
+    for name, out in seen.items():
+        assert out.columns == clashing.columns, name
+    letters = [r for r in ODD if r[1] and re.search("[a-zÀ-ɏ漢字]", r[1])]
+    assert set(key(seen["language"])) <= {(r[0], r[1][:12]) for r in letters} and len(key(seen["language"])) >= 5
+    # The long text on one line is a run of its own, and none repeats.
+    assert key(seen["lines"]) == key(clashing)
+    assert len(key(seen["near_duplicates"])) == len(ODD) - 1
+    assert key(seen["decontaminated"]) == sorted(((r[0], "?" if r[1] is None else r[1][:12]) for r in ODD if r[1] != "another text with the same id"), key=str)
+    assert key(stages["decontaminated"](spark, clashing, str(none))) == key(clashing)
+    assert stages["tokens"](spark, clashing, "").count() == len(ODD)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).isEmpty(), name
+
+
 def test_one_row_of_each_group_stays(spark, odd, empty):
     """Repeated rows, a repeated id with similar texts, groups of null ids only, and rows without words."""
     import corpus_pipeline
