@@ -1,6 +1,7 @@
 """A corpus pipeline: language, repeated lines, near duplicates, benchmark passages, tokens.
 
-Each stage is written as Parquet in the shared folder and read again by the next."""
+Each stage is written as Parquet in the shared folder and read again by the next. Stages keep all columns of their input, whatever their names;
+an empty table gives an empty one. Rows that are equal in id and text share their fate in every stage but ``near_duplicates``, which keeps one of them."""
 
 from __future__ import annotations
 
@@ -18,20 +19,27 @@ from soundings.llm.shared import row_key, staged, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in a learned language; those without text or letters, and those the model is unsure of, go."""
+    """Keep documents in a learned language; those without text or letters, and those the model is unsure of, go.
+
+    Rows with a null ``lang`` are judged, not learned from; null ids fall in the fold of empty text. Very long texts are judged whole, equal ones
+    equally. Without any row to learn from all go."""
     model = langid.fit(docs.where(fold("doc_id", 5) != 0))
     return langid.predict(docs, model).where("not rejected").select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Delete later copies of runs of lines; documents of which nothing is left go."""
+    """Delete later copies of runs of lines; documents of which nothing is left go.
+
+    The first position stays: by id (null first), then by a hash of the text. Null, empty and blank texts have nothing to delete and stay; in a very long text
+    lines are judged one by one. ``n_chars`` is counted anew."""
     return line_dedup(docs).where("not emptied").select("row.*").withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents one row stays: of the least id (null ids last), then of the least hash of the text, then of equal rows one.
 
-    Rows without words are in no group and stay."""
+    Rows without words are in no group and stay. Texts are compared whole, however long. Of rows equal in id and text the one with the least hash of
+    its other columns stays."""
     found = staged(jaccard_components(docs), "found")
     keys = found.where("component is not null").groupBy("component", "_k").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows"))
     least = keys.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_k", "rows")).alias("least"))
@@ -48,12 +56,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with any passage of the benchmark go."""
+    """Documents with any passage of the benchmark go; null and empty texts have none and stay, very long ones are searched whole. An empty benchmark drops none."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark")).where("n_hit = 0").select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Counts and digests of the token ids and of the text they decode to."""
+    """Counts and digests of the token ids and of the text they decode to, a row for every document; null and empty texts have no ids."""
     return bpe_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
