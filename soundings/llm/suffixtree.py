@@ -30,6 +30,8 @@ from .words import Words, mix, slices, split_words
 CONTEXT_LEAST, PAIR_LEAST = 50, 3
 #: Every task holds the keys of this share of the training tokens: at most its inverse (2 million) words, and contexts and pairs of each level. The join has the others.
 HELD_SHARE = 5e-7
+#: Rows that a task adds up before it passes them on.
+ROWS_HELD = 1_500_000
 BEGIN, END = np.uint64(0x5BE6A1F0C3D2E487), np.uint64(0xE4D1C7B2A3958677)
 #: Tells a context's own key from that of the pair it is one level below.
 _CONTEXT = np.uint64(0x3C79AC492BA7B653)
@@ -77,6 +79,12 @@ def _find(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, table[at] == values
 
 
+def _pieces(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Columns as batches of 2^17 rows, so that no large buffer crosses to the JVM."""
+    for at in range(0, len(columns[0]), 1 << 17):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 17)]) for c in columns], names=names)
+
+
 def vocabulary(docs: DataFrame, text: str = "text", learn: str = "learn") -> DataFrame:
     """``h``, ``n``: the hash of every distinct word of the texts to learn from and its count; each task adds up its own first."""
 
@@ -87,16 +95,16 @@ def vocabulary(docs: DataFrame, text: str = "text", learn: str = "learn") -> Dat
                 h, n = np.unique(split_words(batch.column("text")).hashes(), return_counts=True)
                 known.append((h, n))
                 held += len(h)
-                if held > 4_000_000:
-                    yield _summed(known)
+                if held > ROWS_HELD:
+                    yield from _summed(known)
                     known, held = [], 0
         if known:
-            yield _summed(known)
+            yield from _summed(known)
 
     def _summed(known):
         h, place = np.unique(np.concatenate([h for h, _ in known]), return_inverse=True)
         n = np.bincount(place, weights=np.concatenate([n for _, n in known]), minlength=len(h))
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+        return _pieces([h.view(np.int64), n.astype(np.int64)], ["h", "n"])
 
     own = docs.where(F.col(learn)).select(F.col(text).alias("text"))
     return own.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
@@ -112,24 +120,24 @@ def next_counts(docs: DataFrame, level: int, shared: Broadcast, text: str = "tex
         held, rows = [], 0
 
         def summed():
-            key, context, symbol = (np.concatenate(x) for x in zip(*held, strict=True))
-            _, first, n = np.unique(key, return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(context[first].view(np.int64)), pa.array(symbol[first].view(np.int64)), pa.array(n)], names=["context", "symbol", "n"])
+            context, symbol = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, first, n = np.unique(_pair(context, symbol), return_index=True, return_counts=True)
+            return _pieces([context[first].view(np.int64), symbol[first].view(np.int64), n], ["context", "symbol", "n"])
 
         for whole in batches:
             for batch in slices(whole, "text"):
                 symbols, _, place = _tokens(split_words(batch.column("text")))
-                for d, at, context, key, below in _levels(symbols, place, level):
+                for d, at, context, _, below in _levels(symbols, place, level):
                     if d == level:
                         use = np.flatnonzero(passes(context, contexts))
                         use = use[passes(below[use], shorter)]
-                        held.append((key[use], context[use], symbols[at[use]]))
+                        held.append((context[use], symbols[at[use]]))
                         rows += len(use)
-                if rows > 2_000_000:
-                    yield summed()
+                if rows > ROWS_HELD:
+                    yield from summed()
                     held, rows = [], 0
         if held:
-            yield summed()
+            yield from summed()
 
     own = docs.where(F.col(learn)).select(F.col(text).alias("text"))
     return own.mapInArrow(count, "context long, symbol long, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
