@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from .words import Words, slices, split_chunks, split_pieces, spread
 
-CACHE_SIZE = 250_000
+CACHE_SIZE = 200_000
 
 
 #: The file's own split pattern for ASCII, with letters up to U+024F counted in; texts beyond that go through the library's splitter.
@@ -184,10 +184,12 @@ class WordEncoder:
         for chunk, words in zip(chunks, split, strict=True):
             if words is None:
                 out.append(tuple(self.library.encode(chunk, add_special_tokens=False).ids))
+            elif len(words) == 1:
+                out.append(self.cache[words[0]] if words[0] in self.cache else wanted[words[0]])
             else:
                 out.append(tuple(i for w in words for i in (self.cache[w] if w in self.cache else wanted[w])))
-        if len(self.cache) < CACHE_SIZE:
-            self.cache |= wanted
+        if len(self.cache) < CACHE_SIZE:  # words that are chunks of their own are in the cache of chunks
+            self.cache |= {w: wanted[w] for words in split if words and len(words) > 1 for w in words if w in wanted}
         return out
 
 

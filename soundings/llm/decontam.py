@@ -214,7 +214,9 @@ def confirmed(docs: DataFrame, found: DataFrame, windows: DataFrame, size: int,
     found = staged(found.join(windows.select("win", "phrase"), "win"), "candidates")
     asked = found.groupBy("_k", "block").agg(F.collect_set(F.struct("start", "win", "phrase", "near")).alias("asked"))
     reach = size + (slop or 0)
-    both = _word_blocks(docs, staged(found.select("_k").distinct(), "asked"), reach, text, doc_id).join(asked, ["_k", "block"])
+    # A written table between the two maps: in one stage they would take two Python workers for each task.
+    blocks = staged(_word_blocks(docs, staged(found.select("_k").distinct(), "asked"), reach, text, doc_id), "blocks")
+    both = blocks.join(asked, ["_k", "block"])
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

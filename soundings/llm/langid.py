@@ -154,7 +154,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, text: str = "text") ->
     the model's threshold. Very long texts are read whole. Repeated rows each get their own result."""
     spark = docs.sparkSession
     own = docs.select(F.struct("*").alias("row"))
-    own = own.select("row", F.col(f"row.`{text}`").alias("text"), F.coalesce(F.col(f"row.`{text}`").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
+    own = own.select("row", F.coalesce(F.col(f"row.`{text}`").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
     if model is None:
         return own.select("row", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
     shared = spark.sparkContext.broadcast(model)  # a fixed number of buckets
@@ -163,8 +163,8 @@ def predict(docs: DataFrame, model: LanguageModel | None, text: str = "text") ->
         m = shared.value
         names = np.array([*m.languages, UNDETERMINED], object)
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 20):
-                p = m.scores(batch.column("text"))
+            for batch in slices(whole, text, 1 << 20, inside="row"):
+                p = m.scores(batch.column("row").field(text))
                 letters = np.asarray(batch.column("letters").to_numpy(zero_copy_only=False), bool)
                 best = np.where(letters, p.argmax(axis=1), len(m.languages))
                 top = np.where(letters, p.max(axis=1), 0.0)
