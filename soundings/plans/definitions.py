@@ -243,3 +243,55 @@ def scl12_beam_to_earth(spark, d):
     corr = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.when(i < F.col("event_id") % 4, 10.0).otherwise(100.0))
     own = e.select("event_id", beams.alias("beams"), rows(mix).alias("matrix"), rows(turn).alias("rotation"), corr.alias("corr"))
     return grid.beam_to_earth(own, most_error=0.3 + 1e-12).select("event_id", r6("u").alias("u"), r6("v").alias("v"), r6("w").alias("w"))
+
+
+# Schools: runs of samples, linked between pings, and the least label that reaches each (labels spread until none falls)
+
+_SCHOOLS = SAMPLES + """,
+v as (select *, sv > -55 as m, last_value(case when sv > -55 then sample_idx end ignore nulls) over (w rows unbounded preceding) as b, first_value(case when sv > -55 then sample_idx end ignore nulls) over (w rows between current row and unbounded following) as a from samples window w as (partition by channel, ping_idx order by sample_idx)),
+o as (select channel, ping_idx, sample_idx, depth, sample_idx - row_number() over (partition by channel, ping_idx order by sample_idx) as g from v where m or coalesce(a - b - 1 <= 1, false)),
+runs as (select channel, ping_idx, min(sample_idx) as lo, max(sample_idx) as hi, min(depth) as d_lo, max(depth) as d_hi, channel || '/' || lpad(ping_idx::varchar, 12, '0') || '/' || lpad(min(sample_idx)::varchar, 9, '0') as id from o group by channel, ping_idx, g),
+pairs as (select x.id as a, y.id as b from runs x join runs y on x.channel = y.channel and y.ping_idx = x.ping_idx + 1 and x.lo <= y.hi and y.lo <= x.hi),
+edges as (select a, b from pairs union all select b, a from pairs),
+cc(id, label) using key (id) as (select id, id from runs union (select e.b, min(cc.label) from cc join edges e on e.a = cc.id join recurring.cc as r on r.id = e.b where cc.label < r.label group by e.b)),
+box as (select runs.channel, label, min(ping_idx) as p_lo, max(ping_idx) as p_hi, min(lo) as s_lo, max(hi) as s_hi, min(d_lo) as d_lo, max(d_hi) as d_hi, sum(hi - lo + 1)::bigint as n_cells from runs join cc using (id) group by all),
+schools as (select * from box where s_hi - s_lo + 1 >= 2 and p_hi - p_lo + 1 >= 2)"""
+SQL["clu01_schools_weill"] = f"with recursive {_SCHOOLS} select * from schools"
+SQL["agg21_school_statistics"] = f"""with recursive {_SCHOOLS}, s as (select channel, count(*) as n, sum(n_cells) as cells from schools group by channel), al as (select channel, count(*) as valid from samples where sv > -900 group by channel)
+select al.channel, coalesce(n, 0) as n_schools, round(coalesce(cells, 0) / valid, 6) as share from al left join s using (channel)"""
+
+SQL["clu03_methods"] = f"""select channel, ping_idx, 'gradient' as method, seabed from (with {BED}, {_median('bed')}, g as (select *, m - lag(m) over ({ALONG}) as dv from f)
+ select channel, ping_idx, min(sample_idx) as seabed from g where depth between 100 and 400 and dv > 20 group by all)
+union all select channel, ping_idx, 'maximum', seabed from ({SQL['win12_seabed_maximum']})"""
+
+SQL["agg24_depth_weighted"] = f"""with p as (select o_custkey as k, (o_orderkey % 1000)::double as depth, avg((o_orderkey % 30)::double) as t from orders group by all),
+g as (select k, unnest(range(100)) * (500.0::double / 99) as z from (select distinct k from p)),
+a as (select g.k, g.z, p.depth as d0, p.t as t0 from g asof left join p on g.k = p.k and g.z >= p.depth), b as (select a.*, q.depth as d1, q.t as t1 from a asof left join p q on a.k = q.k and a.z <= q.depth),
+e as (select k, z, case when d1 > d0 then t0 + (t1 - t0) * (z - d0) / (d1 - d0) else coalesce(t0, t1) end as t, 35::double as s, 8.1::double as ph, 38::double as khz from b),
+c as (select *, {_MACKENZIE} as c, {_TERMS} from e) select k, round(1 / avg(1 / c), 6) as sound_speed, round(avg({_FG}), 9) as absorption from c group by k"""
+
+SQL["clu02_schools_three_stage"] = f"""with recursive {SAMPLES}, sp as (select channel, max(ping_idx) as p1, max(sample_idx) as s1, (max(depth) - min(depth)) / greatest(max(sample_idx) - min(sample_idx), 1) as step from samples group by channel),
+o as (select channel, ping_idx, sample_idx, depth, sample_idx - row_number() over ({ALONG}) as g from samples where sv > -60),
+runs as (select channel, ping_idx, min(sample_idx) as lo, max(sample_idx) as hi, min(depth) as d_lo, max(depth) as d_hi, channel || '/' || lpad(ping_idx::varchar, 12, '0') || '/' || lpad(min(sample_idx)::varchar, 9, '0') as id from o group by channel, ping_idx, g),
+pairs as (select x.id as a, y.id as b from runs x join runs y on x.channel = y.channel and y.ping_idx = x.ping_idx + 1 and x.lo <= y.hi + 1 and y.lo <= x.hi + 1), edges as (select a, b from pairs union all select b, a from pairs),
+cc(id, label) using key (id) as (select id, id from runs union (select e.b, min(cc.label) from cc join edges e on e.a = cc.id join recurring.cc as r on r.id = e.b where cc.label < r.label group by e.b)),
+box as (select runs.channel, label as id, min(ping_idx) as p_lo, max(ping_idx) as p_hi, min(lo) as s_lo, max(hi) as s_hi, min(d_lo) as d_lo, max(d_hi) as d_hi from runs join cc using (id) group by all),
+cand as (select box.*, step from box join sp using (channel) where d_hi - d_lo + case when s_hi < s1 then step else 0 end >= 3 and p_hi - p_lo + (p_hi < p1)::int >= 10),
+own as (select runs.* exclude id, cc.label as id from runs join cc using (id) where cc.label in (select id from cand)),
+meet as (select distinct c.id as a, o.id as b from cand c join own o on c.channel = o.channel and c.id <> o.id and o.ping_idx between c.p_lo - 16 and c.p_hi + 16 and o.d_lo <= c.d_hi + 4 + c.step / 2 and o.d_hi >= c.d_lo - 4 - c.step / 2),
+links as (select a, b from meet union select b, a from meet),
+far(id, label) using key (id) as (select id, id from cand union (select e.b, min(far.label) from far join links e on e.a = far.id join recurring.far as r on r.id = e.b where far.label < r.label group by e.b)),
+whole as (select own.channel, far.label, min(ping_idx) as p_lo, max(ping_idx) as p_hi, min(lo) as s_lo, max(hi) as s_hi, min(d_lo) as d_lo, max(d_hi) as d_hi, sum(hi - lo + 1)::bigint as n_cells from own join far using (id) group by all)
+select whole.* from whole join sp using (channel) where d_hi - d_lo + case when s_hi < s1 then step else 0 end >= 3 and p_hi - p_lo + (p_hi < p1)::int >= 15"""
+
+
+def _double_hex(x: str) -> str:
+    """The eight bytes of a double, least first, as hex: sign, exponent and fraction put together and turned round."""
+    power = f"floor(log2(abs({x})))"
+    power = f"({power} + case when abs({x}) >= pow(2, {power} + 1) then 1 when abs({x}) < pow(2, {power}) then -1 else 0 end)"
+    bits = f"(({x} < 0)::int::hugeint * 9223372036854775808 + ({power}::hugeint + 1023) * 4503599627370496 + ((abs({x}) / pow(2, {power}) - 1) * 4503599627370496)::hugeint)"
+    digits = f"lpad(to_hex({bits}::ubigint), 16, '0')"
+    return f"case when {x} = 0 then repeat('0', 16) else " + " || ".join(f"substr({digits}, {k}, 2)" for k in range(15, 0, -2)) + " end"
+
+
+SQL["prj09_points"] = f"with {TRACK} select event_id, '0101000000' || {_double_hex('lon')} || {_double_hex('lat')} as wkb from track"
