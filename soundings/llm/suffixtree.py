@@ -23,7 +23,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bit_table, bit_tables, passes, staged
+from .shared import bit_tables, passes, staged
 from .words import Words, mix, slices, split_words
 
 #: Occurrences from which a context is tested, and from which a word stands in a context's list, at every size.
@@ -266,7 +266,8 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
         these = by[kind[by] == k]
         held[k // 2, bool(k % 2)] = key[these], value[these]
     del top, key, value, by
-    shared = spark.sparkContext.broadcast((held, bit_table(rare, "key")))
+    # Contexts are few: with a table of their own, hardly any position is taken for one that is not there.
+    shared = spark.sparkContext.broadcast((held, bit_tables(rare.where("not listed").select("key"), rare.where("listed").select("key"), bits=26)))
     none_held = (np.zeros(0, np.uint64), np.zeros(0))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,7 +286,7 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
                     i, found = _find(keys, table)
                     to[at[found]] += values[i[found]]
                     rest = np.flatnonzero(~found)
-                    rest = rest[passes(keys[rest], rare)]
+                    rest = rest[passes(keys[rest], rare[int(name[1])])]
                     asked.append((doc[at[rest]], keys[rest]))
                     some = found.copy()
                     some[rest] = True
