@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from . import langid, toxicity
 from .bpe import bpe_digests
 from .decontam import decontaminate
+from .importance import resample
+from .lexical import ranked_search
 from .linededup import line_dedup
 from .neardup import jaccard_components
+from .packing import read_packed, sequence_digests, write_packed
 from .quality import quality_rules
 from .sampling import fold
 from .shared import new_path, table
@@ -81,4 +84,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_line_dedup, op3_token_ids, op4_quality_rules, op5_url_filters, op6_lm_scoring, op7_ngram_jaccard, op8_language_id, op9_decontamination, op10_bpe)}
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "packed")
+    write_packed(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1, most=2048)
+    return sequence_digests(read_packed(spark, path))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, least_words=20, longest=1, buckets=10_000, seed=2024)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), depth=10)
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_line_dedup, op3_token_ids, op4_quality_rules, op5_url_filters, op6_lm_scoring, op7_ngram_jaccard, op8_language_id, op9_decontamination, op10_bpe, op11_packing, op12_importance, op13_lexical_search)}

@@ -69,4 +69,44 @@ select doc_id, n_lines::bigint as n_lines, n_deleted::bigint as n_deleted,
 from o
 """
 
-ORACLE = {"op2_line_dedup": OP2, "op4_quality_rules": OP4, "op5_url_filters": OP5}
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12 = rf"""
+with d as (select doc_id, list_filter(regexp_split_to_array({_FOLDED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as ws from documents),
+i as (select list_filter(regexp_split_to_array({_FOLDED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as ws from benchmark),
+dw as (select doc_id, w, count(*) as n from (select doc_id, unnest(ws) as w from d) group by doc_id, w),
+iw as (select w, count(*) as n from (select unnest(ws) as w from i) group by w),
+t as (select list_transform(range(0, 256), lambda b: list_reduce(range(0, 8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, b)) as t),
+b as (select w, list_transform(range(0, strlen(w)), lambda k: ('0x' || hex(encode(w))[2 * k + 1:2 * k + 2])::bigint) as b from (select w from dw union select w from iw)),
+h as (select w, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]), 4294967295), 4294967295) % 10000 as k from b, t),
+s as (select k, sum(n)::bigint as s from dw join h using (w) group by k),
+u as (select k, sum(n)::bigint as t from iw join h using (w) group by k),
+a as (select (select coalesce(sum(n), 0)::bigint from dw) as sa, (select coalesce(sum(n), 0)::bigint from iw) as ta),
+g as (select s.k, floor(1000 * ln(((coalesce(t, 0) + 1)::double * (sa + 10000)::double) / ((s + 1)::double * (ta + 10000)::double)))::bigint as g from s left join u on u.k = s.k, a),
+m as (select doc_id, sum(n)::bigint as n, sum(n * g)::bigint as g from dw join h using (w) join g using (k) group by doc_id),
+f as (select d.doc_id, len(ws) as n_words, coalesce(n, 0) as n_features, case when n is null then 0 when g >= 0 then g // n else -((-g + n - 1) // n) end as weight,
+             ('0x' || substr(sha256('2024:' || coalesce(d.doc_id::varchar, '')), 1, 8))::bigint as h
+      from d left join m on m.doc_id = d.doc_id),
+r as (select *, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double)))::bigint as score from f),
+o as (select doc_id, row_number() over (order by score desc, doc_id) as rank from r where n_words >= 20),
+c as (select 10 * count(*) // 100 as c from r where n_words >= 20)
+select r.doc_id, n_features::bigint as n_features, weight::bigint as weight, score, case when rank <= c then rank end as rank
+from r left join o on o.doc_id = r.doc_id, c
+"""
+
+_TERMS = rf"regexp_split_to_array({_FOLDED}, '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP13 = rf"""
+with d as (select doc_id, unnest({_TERMS}) as w from documents),
+tf as (select doc_id, w, count(*) as tf from d where w <> '' group by doc_id, w),
+n as (select doc_id, sum(tf)::bigint as n from tf group by doc_id),
+a as (select count(*) as c, sum(n)::bigint as l from n),
+q as (select item_id, w, count(*) as q from (select item_id, unnest({_TERMS}) as w from benchmark) where w <> '' group by item_id, w),
+w as (select w, floor(1000 * ln((2 * c + 2)::double / (2 * count(*) + 1)::double))::bigint as weight from tf, a group by w, c),
+s as (select q.item_id, tf.doc_id, sum(q * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * c) // l))))::bigint as score
+      from q join tf using (w) join w using (w) join n on n.doc_id = tf.doc_id, a group by q.item_id, tf.doc_id),
+r as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from s where score > 0)
+select item_id, rank::int as rank, doc_id, score from r where rank <= 10
+"""
+
+ORACLE = {"op12_importance": OP12, "op13_lexical_search": OP13, "op2_line_dedup": OP2, "op4_quality_rules": OP4, "op5_url_filters": OP5}
