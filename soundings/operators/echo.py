@@ -9,13 +9,23 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ..functions.acoustics import time_varied_gain, to_db, to_linear
 from ..session import staged
+from .bucketed import DAY_US, in_frames, nearest_known, with_bucket
 
 PING, SAMPLE = "ping_idx", "sample_idx"
 
 
+#: Pings of a block: series over pings are worked out block by block, with as many pings beside it as a frame reaches.
+PINGS = 4096
+
+
+def _median_of(value: str, half: int) -> Callable[[WindowSpec], Column]:
+    return lambda w: F.percentile(value, F.lit(0.5)).over(w.rowsBetween(-half, half))
+
+
 def along_pings(keys: Sequence[str] = ("channel", SAMPLE)) -> Window:
     return Window.partitionBy(*keys).orderBy(PING)
 
@@ -30,12 +40,11 @@ def band_statistics(samples: DataFrame, low: float, high: float) -> DataFrame:
     return samples.groupBy("channel", PING).agg(F.percentile(band, F.lit(0.5)).alias("p50"), F.percentile(band, F.lit(0.75)).alias("p75"))
 
 
-def attenuated_pings(samples: DataFrame, low: float, high: float, half: int = 15, below_db: float = 6) -> DataFrame:
+def attenuated_pings(samples: DataFrame, low: float, high: float, half: int = 15, below_db: float = 6, block: int = PINGS) -> DataFrame:
     """Pings whose band median lies more than ``below_db`` under the median of a full centred block; others near the ends are ``unfeasible``."""
     per = band_statistics(samples, low, high)
-    w = Window.partitionBy("channel").orderBy(PING).rowsBetween(-half, half)
-    full = F.count("p50").over(w) == 2 * half + 1
-    own = per.select("channel", PING, "p50", F.percentile("p50", F.lit(0.5)).over(w).alias("block"), full.alias("_full"))
+    own = in_frames(per, ["channel"], PING, half, {"block": _median_of("p50", half), "_k": lambda w: F.count("p50").over(w.rowsBetween(-half, half))}, block, PINGS)
+    own = own.withColumn("_full", F.col("_k") == 2 * half + 1)
     return own.select("channel", PING, "p50", "block", F.coalesce(F.col("_full") & (F.col("p50") - F.col("block") < -below_db), F.lit(False)).alias("attenuated"), (~F.col("_full")).alias("unfeasible"))
 
 
@@ -58,14 +67,13 @@ def impulse_mask(samples: DataFrame, lags: Sequence[int] = (1,), over_db: float
     return own.withColumns({"impulse": F.coalesce((F.col("_hits") >= votes) & inner, F.lit(False)), "impulse_unfeasible": ~inner}).drop("_v", "_hits", "_first", "_last")
 
 
-def transient_below(samples: DataFrame, deep: tuple[float, float], step_m: float, half: int = 5, over_db: float = 3, until_db: float = 1, exclude_above: float = 250) -> DataFrame:
+def transient_below(samples: DataFrame, deep: tuple[float, float], step_m: float, half: int = 5, over_db: float = 3, until_db: float = 1, exclude_above: float = 250, block: int = PINGS) -> DataFrame:
     """Pings with a loud deep band lose their samples from the depth where, going up, the excess over the block falls below ``until_db``."""
     per = band_statistics(samples, *deep).select("channel", PING, "p50")
-    w = Window.partitionBy("channel").orderBy(PING).rowsBetween(-half, half)
-    loud = per.withColumn("block", F.percentile("p50", F.lit(0.5)).over(w)).where(F.col("p50") - F.col("block") > over_db).select("channel", PING)
+    loud = in_frames(per, ["channel"], PING, half, {"block": _median_of("p50", half)}, block, PINGS).where(F.col("p50") - F.col("block") > over_db).select("channel", PING)
     step = samples.where((F.col("depth") >= exclude_above) & (F.col("depth") <= deep[1])).groupBy("channel", PING, F.floor(F.col("depth") / step_m).alias("s")).agg(F.percentile("sv", F.lit(0.5)).alias("m"))
-    ws = Window.partitionBy("channel", "s").orderBy(PING).rowsBetween(-half, half)
-    step = step.withColumn("excess", F.col("m") - F.percentile("m", F.lit(0.5)).over(ws)).join(loud, ["channel", PING], "left_semi")
+    step = in_frames(step, ["channel", "s"], PING, half, {"_around": _median_of("m", half)}, block, PINGS)
+    step = step.withColumn("excess", F.col("m") - F.col("_around")).join(loud, ["channel", PING], "left_semi")
     calm = step.where(F.col("excess") < until_db).groupBy("channel", PING).agg(((F.max("s") + 1) * step_m).alias("from"))
     cut = loud.join(calm, ["channel", PING], "left").select("channel", PING, F.coalesce("from", F.lit(float(exclude_above))).alias("_from"))
     own = samples.join(cut, ["channel", PING], "left")
@@ -147,17 +155,19 @@ def smooth_weights(window: int, order: int) -> np.ndarray:
     return a @ np.linalg.pinv(a)
 
 
-def savitzky_golay(df: DataFrame, value: str, name: str, window: int, order: int, by: Sequence[str], time: str) -> DataFrame:
-    """Smoothing by a local polynomial; the first and last half windows use the end polynomials. Shorter groups stay as they are."""
-    w, half = Window.partitionBy(*by).orderBy(time), window // 2
+def savitzky_golay(df: DataFrame, value: str, name: str, window: int, order: int, by: Sequence[str], time: str, block: int = PINGS, width: int = DAY_US) -> DataFrame:
+    """Smoothing by a local polynomial; the first and last half windows use the end polynomials. Shorter groups stay as they are.
+
+    Rows are numbered along their group (``width``: of the buckets of ``time`` that takes) and smoothed block by block; only a group's count is known to all its blocks."""
+    half, reach = window // 2, window - 1
     weights = smooth_weights(window, order)
-    own = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_n", F.count("*").over(Window.partitionBy(*by)))
-    place = F.when(F.col("_i") < half, F.col("_i")).when(F.col("_i") >= F.col("_n") - half, F.col("_i") - F.col("_n") + window).otherwise(half)
-    around = F.collect_list(value).over(w.rowsBetween(-(window - 1), window - 1))
-    start = F.least(F.col("_i"), F.lit(window - 1)) - place  # where the window begins in ``around``
+    own = in_frames(df, by, time, reach, {"_around": lambda w: F.collect_list(F.coalesce(value, F.lit(float("nan")))).over(w.rowsBetween(-reach, reach))}, block, width)
+    own = own.join(df.groupBy(*by).agg(F.count("*").alias("_rows")), list(by))
+    place = F.when(F.col("_at") < half, F.col("_at")).when(F.col("_at") >= F.col("_rows") - half, F.col("_at") - F.col("_rows") + window).otherwise(half)
+    start = F.least(F.col("_at"), F.lit(reach)) - place  # where the window begins in ``_around``
     table = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in weights])
-    total = F.aggregate(F.zip_with(F.slice(around, (start + 1).cast("int"), window), F.get(table, place.cast("int")), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    return own.withColumn(name, F.when(F.col("_n") >= window, total).otherwise(F.col(value))).drop("_i", "_n")
+    total = F.aggregate(F.zip_with(F.slice("_around", (start + 1).cast("int"), window), F.get(table, place.cast("int")), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    return own.withColumn(name, F.when(F.col("_rows") >= window, F.nanvl(total, F.lit(None).cast("double"))).otherwise(F.col(value))).drop("_at", "_rows", "_around")
 
 
 def _raised(line: DataFrame, samples: DataFrame, offset_m: float) -> DataFrame:
@@ -200,7 +210,7 @@ def seabed_gradient(samples: DataFrame, low: float, high: float, over_db: float
 
 
 def seabed_morphological(
-    samples: DataFrame, low: float, high: float, least_db: float = -40, erode: tuple[int, int] = (1, 1), dilate: tuple[int, int] = (1, 3), cycles: int = 3, offset_m: float = 0, smooth_window: int | None = 11,
+    samples: DataFrame, low: float, high: float, least_db: float = -40, erode: tuple[int, int] = (1, 1), dilate: tuple[int, int] = (1, 3), cycles: int = 3, offset_m: float = 0, smooth_window: int | None = 11, block: int = PINGS,
 ) -> DataFrame:
     """Median filter, threshold in the gate, one erosion, ``cycles`` dilations kept in the gate, the first TRUE of each ping, and smoothing over pings.
 
@@ -212,13 +222,14 @@ def seabed_morphological(
     line = _raised(own.where(F.col("_d") & inside).groupBy("channel", PING).agg(F.min(SAMPLE).alias("seabed")), samples, offset_m)
     if not smooth_window:
         return line
-    line = savitzky_golay(line.withColumn("_v", F.col("seabed").cast("double")), "_v", "_s", smooth_window, 1, ["channel"], PING)
-    many = F.count("*").over(Window.partitionBy("channel")) > smooth_window
+    counts = line.groupBy("channel").agg(F.count("*").alias("_many"))
+    line = savitzky_golay(line.withColumn("_v", F.col("seabed").cast("double")), "_v", "_s", smooth_window, 1, ["channel"], PING, block, PINGS).join(counts, "channel")
+    many = F.col("_many") > smooth_window
     return line.select("channel", PING, F.when(many, F.greatest(F.round("_s", 6), F.lit(0.0)).cast("int")).otherwise(F.col("seabed").cast("int")).alias("seabed"))
 
 
 def seabed_composite(
-    samples: DataFrame, low: float, high: float, margin_db: float = 3, least_db: float = -40, share: float = 0.75, window: int = 5, least_pings: int = 2, smooth_window: int = 31, smooth_order: int = 1, jump: float = 5,
+    samples: DataFrame, low: float, high: float, margin_db: float = 3, least_db: float = -40, share: float = 0.75, window: int = 5, least_pings: int = 2, smooth_window: int = 31, smooth_order: int = 1, jump: float = 5, block: int = PINGS,
 ) -> DataFrame:
     """Median filter; per-ping threshold (a quantile of the gate less a margin, floored); erosion and dilation, undone in pings they empty; pings
     with few neighbours that have candidates lose theirs; the deepest candidate, else the deepest sample over the threshold, else the bottom;
@@ -233,16 +244,18 @@ def seabed_composite(
     left = F.max(F.col("_d").cast("int")).over(ping) == 1
     own = own.withColumn("_c", F.when(left, F.col("_d")).otherwise(F.col("_m")) & inside)
     line = own.groupBy("channel", PING).agg(F.max(F.when(F.col("_c"), F.col(SAMPLE))).alias("_own"), F.max(F.when(F.col("_m"), F.col(SAMPLE))).alias("_loud"), F.max(SAMPLE).alias("_bottom"))
-    w = Window.partitionBy("channel").orderBy(PING)
-    line = line.withColumn("_has", F.col("_own").isNotNull().cast("double"))
-    first, last = F.first("_has").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.last("_has").over(w.rowsBetween(0, Window.unboundedFollowing))
-    near = sum([F.coalesce(F.lag("_has", k).over(w), first) + F.coalesce(F.lead("_has", k).over(w), last) for k in range(1, window // 2 + 1)], F.col("_has"))
-    line = line.withColumn("_near", near).withColumn("_own", F.when(F.col("_near") / window >= least_pings / window, F.col("_own")))
-    line = line.select("channel", PING, F.col("_own").isNotNull().alias("detected"), F.coalesce("_own", "_loud", "_bottom").cast("double").alias("_v"), F.max("_bottom").over(Window.partitionBy("channel")).alias("_bottom"))
-    line = savitzky_golay(line, "_v", "_s", smooth_window, smooth_order, ["channel"], PING).withColumn("_n", F.row_number().over(w))
-    known = F.when(F.coalesce(F.abs(F.col("_s") - F.lag("_s").over(w)), F.lit(0.0)) <= jump, F.struct(F.col("_n").alias("n"), F.col("_s").alias("s")))
-    line = line.withColumn("_k", known)
-    line = line.withColumns({"_a": F.last("_k", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_b": F.first("_k", True).over(w.rowsBetween(0, Window.unboundedFollowing))})
+    line = staged(line.withColumn("_has", F.col("_own").isNotNull().cast("double")), "line")  # a row for each ping
+    ends = line.groupBy("channel").agg(F.min_by("_has", PING).alias("_first"), F.max_by("_has", PING).alias("_last"), F.max("_bottom").alias("_deepest"))
+    steps = [k for k in range(-(window // 2), window // 2 + 1) if k]
+    line = in_frames(line, ["channel"], PING, window // 2, {f"_has{k}": (lambda w, k=k: F.lead("_has", k).over(w)) for k in steps}, block, PINGS).join(ends, "channel")
+    line = line.withColumn("_near", sum([F.coalesce(f"_has{k}", "_first" if k < 0 else "_last") for k in steps], F.col("_has"))).withColumn("_own", F.when(F.col("_near") / window >= least_pings / window, F.col("_own")))
+    line = line.select("channel", PING, F.col("_own").isNotNull().alias("detected"), F.coalesce("_own", "_loud", "_bottom").cast("double").alias("_v"), F.col("_deepest").alias("_bottom"), F.col("_at").alias("_n"))
+    line = savitzky_golay(line, "_v", "_s", smooth_window, smooth_order, ["channel"], PING, block, PINGS)
+    line = staged(line, "line")
+    line = nearest_known(with_bucket(line, "_n", block), ["channel"], ["_n"], F.col("_s"), "_before", inclusive=False)
+    known = F.when(F.coalesce(F.abs(F.col("_s") - F.col("_before")), F.lit(0.0)) <= jump, F.struct(F.col("_n").alias("n"), F.col("_s").alias("s")))
+    line = nearest_known(line.withColumn("_k", known), ["channel"], ["_n"], F.col("_k"), "_a")
+    line = nearest_known(line, ["channel"], ["_n"], F.col("_k"), "_b2", forward=True).drop("_b").withColumnRenamed("_b2", "_b")
     between = F.col("_a.s") + (F.col("_b.s") - F.col("_a.s")) * (F.col("_n") - F.col("_a.n")) / F.greatest(F.col("_b.n") - F.col("_a.n"), F.lit(1))
     index = F.coalesce(between, F.col("_a.s"), F.col("_b.s"), F.col("_s"))
     return line.select("channel", PING, F.least(F.greatest(F.round(index, 6), F.lit(0.0)).cast("int"), F.col("_bottom").cast("int")).alias("seabed"), "detected")
@@ -270,6 +283,20 @@ def seabed(samples: DataFrame, method: str = "morphological", **parameters) -> D
     return SEABED[method](samples, **parameters)
 
 
+def seabed_statistics(line: DataFrame, pings: DataFrame, depth: str = "depth") -> DataFrame:
+    """For each channel of ``pings`` (any rows with channel and ping): the share of pings with a seabed (``rate``), and mean, population deviation, least and greatest depth; NULL without any."""
+    n = pings.groupBy("channel").agg(F.countDistinct(PING).alias("_n"))
+    found = line.groupBy("channel").agg(F.count(depth).alias("_k"), F.avg(depth).alias("mean"), F.stddev_pop(depth).alias("std"), F.min(depth).alias("min"), F.max(depth).alias("max"))
+    return n.join(found, "channel", "left").select("channel", (F.coalesce("_k", F.lit(0)) / F.col("_n")).alias("rate"), "mean", "std", "min", "max")
+
+
+def school_statistics(schools: DataFrame, samples: DataFrame, silent_db: float = -900) -> DataFrame:
+    """For each channel: ``n_schools``, and ``share``, their cells among the samples over ``silent_db``; channels without such samples are left out."""
+    found = schools.groupBy("channel").agg(F.count("*").alias("_k"), F.sum("n_cells").alias("_cells"))
+    valid = samples.where(F.col("sv") > silent_db).groupBy("channel").agg(F.count("*").alias("_valid"))
+    return valid.join(found, "channel", "left").select("channel", F.coalesce("_k", F.lit(0)).alias("n_schools"), (F.coalesce("_cells", F.lit(0)) / F.col("_valid")).alias("share"))
+
+
 def mask_below_seabed(samples: DataFrame, line: DataFrame, offset_m: float = 0) -> DataFrame:
     """Sv stays above ``seabed_depth`` less an offset; pings without a seabed keep all."""
     own = samples.join(line.select("channel", PING, "seabed_depth"), ["channel", PING], "left")
@@ -485,6 +512,6 @@ def resampled_nearest(fine: DataFrame, coarse: DataFrame, value: str, steps: tup
     return fine.select("*", *places).join(cells, [*keys, "_0", "_1"], "left").drop("_0", "_1")
 
 
-def rolling(df: DataFrame, value: str, name: str, half: int, reduce: Callable[[Column], Column], by: Sequence[str], order: str) -> DataFrame:
-    """``name``: any reducer of the values, an array, in a centred frame of 2 x ``half`` + 1 rows; NULL values are left out of the array."""
-    return df.withColumn(name, reduce(F.collect_list(value).over(Window.partitionBy(*by).orderBy(order).rowsBetween(-half, half))))
+def rolling(df: DataFrame, value: str, name: str, half: int, reduce: Callable[[Column], Column], by: Sequence[str], order: str, block: int = PINGS, width: int = DAY_US) -> DataFrame:
+    """``name``: any reducer of the values, an array, in a centred frame of 2 x ``half`` + 1 rows; NULL values are left out of the array. Series are worked out block by block."""
+    return in_frames(df, by, order, half, {name: lambda w: reduce(F.collect_list(value).over(w.rowsBetween(-half, half)))}, block, width).drop("_at")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bucketed import DAY_US, nearest_known, numbered, with_bucket
+from .bucketed import DAY_US, nearest_known, numbered, running_sums, with_bucket
 
 
 def brackets(left: DataFrame, right: DataFrame, by: Sequence[str], cols: Sequence[str], time: str = "t", tie: str | None = None, bucket_us: int = DAY_US) -> DataFrame:
@@ -96,3 +96,37 @@ def first_source(left: DataFrame, sources: Sequence[tuple[str, DataFrame, int |
         picks.append((name, F.col(f"_{name}")))
     source = F.coalesce(*[F.when(m.isNotNull(), F.lit(n)) for n, m in picks])
     return out.select(*left.columns, *[F.coalesce(*[m[c] for _, m in picks]).alias(c) for c in cols], source.alias("source"))
+
+
+def mean_before(left: DataFrame, right: DataFrame, by: Sequence[str], cols: Sequence[str], span_us: int, time: str = "t", bucket_us: int = DAY_US) -> DataFrame:
+    """Rows of ``left`` with the means of ``cols`` over the rows of ``right`` in the ``span_us`` up to each (both ends count); NULL where there is none.
+
+    Time is cut into spans: what a row asks for is the end of the span before and the beginning of its own, a running sum each, worked out in buckets of
+    ``bucket_us``. No sums of long histories are subtracted, and no series sits in one task."""
+    sums = {f"_s{i}": F.coalesce(F.col(f"_v.{c}").cast("double"), F.lit(0.0)) for i, c in enumerate(cols)} | {f"_n{i}": F.col(f"_v.{c}").isNotNull().cast("long") for i, c in enumerate(cols)}
+    rows = right.select(*by, F.col(time).alias("_t"), F.struct(*cols).alias("_v"))
+    out = left.withColumn("_row", F.struct("*"))
+
+    def running(own: DataFrame, at: Column, ahead: bool, names: str) -> DataFrame:
+        """The sums of the rows of ``right`` in the span of ``at``, up to it (``ahead``: from it on)."""
+        sign = -1 if ahead else 1
+        asked = own.select(*by, at.alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast(rows.schema["_v"].dataType).alias("_v"), F.struct("*").alias("_own"))
+        both = rows.select(*by, "_t", F.lit(0).alias("_kind"), "_v", F.lit(None).cast(asked.schema["_own"].dataType).alias("_own")).unionByName(asked)
+        both = both.withColumns({"_span": F.floor(F.col("_t") / span_us), "_o": F.col("_t") * sign})
+        both = running_sums(with_bucket(both, "_o", bucket_us), [*by, "_span"], ["_o", "_kind"], {names + name: value for name, value in sums.items()})
+        return both.where("_kind = 1").select("_own.*", *[names + name for name in sums])
+
+    out = running(out.select(*by, F.col(time).alias("_at"), "_row"), F.col("_at"), False, "_p")
+    out = running(out, F.col("_at") - span_us, True, "_q")
+    mean = lambda i: (F.col(f"_p_s{i}") + F.col(f"_q_s{i}")) / F.nullif(F.col(f"_p_n{i}") + F.col(f"_q_n{i}"), F.lit(0))
+    return out.select("_row.*", *[mean(i).alias(c) for i, c in enumerate(cols)])
+
+
+def with_fallback(left: DataFrame, in_situ: DataFrame, model: DataFrame, by: Sequence[str], cols: Sequence[str], tolerance_us: int, span_us: int = 10 * DAY_US, time: str = "t") -> DataFrame:
+    """``cols`` of the nearest in-situ row within ``tolerance_us``, else the model's means over the ``span_us`` before; ``source`` says which, or ``none``."""
+    own = asof(left, in_situ, by, cols, "nearest", tolerance_us, time)
+    model = model.select(*by, time, *[F.col(c).alias(f"_m_{c}") for c in cols])
+    own = mean_before(own, model, by, [f"_m_{c}" for c in cols], span_us, time)
+    some = F.coalesce(*[F.col(f"_m_{c}") for c in cols]).isNotNull()
+    source = F.when(F.col("match").isNotNull(), "in_situ").when(some, "model_mean").otherwise("none")
+    return own.select(*left.columns, *[F.when(F.col("match").isNotNull(), F.col(f"match.{c}")).otherwise(F.col(f"_m_{c}")).alias(c) for c in cols], source.alias("source"))

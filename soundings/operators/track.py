@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import bearing, great_circle_nmi
-from .bucketed import DAY_US, in_blocks, nearest_known, numbered, running_sum, with_bucket
+from ..session import staged
+from . import chains
+from .bucketed import DAY_US, by_runs, in_blocks, nearest_known, numbered, running_sum, with_bucket
 
 MINUTE_US = 60_000_000
 
@@ -113,47 +116,139 @@ def capped_points(df: DataFrame, most: int, by: Sequence[str], order: Sequence[s
     return own.where(hit).drop("_rn", "_n")
 
 
-def decimate(df: DataFrame, seconds: float, by: Sequence[str] = ("platform",), time: str = "t", tie: Sequence[str] = ()) -> DataFrame:
-    """The middle row of each fixed time bucket, counted from each track's first row."""
-    own = df.join(df.groupBy(*by).agg(F.min(time).alias("_origin")), list(by))
-    own = own.withColumn("_bucket", F.floor((F.col(time) - F.col("_origin")) / int(seconds * 1e6)))
-    w = Window.partitionBy(*by, "_bucket")
-    own = own.withColumn("_rn", F.row_number().over(w.orderBy(time, *tie)) - 1).withColumn("_n", F.count("*").over(w))
-    return own.where(F.col("_rn") == F.floor(F.col("_n") / 2)).drop("_bucket", "_rn", "_n", "_origin")
-
-
-def simplify(df: DataFrame, epsilon: float = 1e-5, spacing_nmi: float = 0.01, by: Sequence[str] = ("platform", "day"), time: str = "t", row_id: str = "event_id") -> DataFrame:
-    """Rows kept by recursive splitting at the point farthest from the chord, then at least ``spacing_nmi`` apart. A track-day is the group."""
-
-    def keep(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([time, row_id], kind="stable")
-        xy = rows[["lon", "lat"]].to_numpy(float)
-        kept, todo = np.zeros(len(xy), bool), [(0, len(xy) - 1)]
-        kept[[0, -1]] = True
-        while todo:
-            a, z = todo.pop()
-            if z - a < 2:
-                continue
-            chord, inner = xy[z] - xy[a], xy[a + 1 : z] - xy[a]
-            length = np.hypot(*chord)
-            far = np.abs(chord[0] * inner[:, 1] - chord[1] * inner[:, 0]) / length if length else np.hypot(inner[:, 0], inner[:, 1])
-            i = int(far.argmax())
-            if far[i] > epsilon:
-                kept[a + 1 + i] = True
-                todo += [(a, a + 1 + i), (a + 1 + i, z)]
-        out, last = [], None
-        for i in np.flatnonzero(kept):
-            lat, lon = np.radians(xy[i, 1]), np.radians(xy[i, 0])
-            if last is not None:
-                h = np.sin((lat - last[0]) / 2) ** 2 + np.cos(lat) * np.cos(last[0]) * np.sin((lon - last[1]) / 2) ** 2
-                if 2 * 3440.065 * np.arcsin(min(1.0, np.sqrt(h))) < spacing_nmi:
-                    continue
-            out.append(i)
-            last = (lat, lon)
-        return rows.iloc[out][[*by, row_id]]
-
-    schema = df.select(*by, row_id).schema
-    return df.select(*by, time, row_id, "lon", "lat").groupBy(*by).applyInPandas(keep, schema)
+def decimate(df: DataFrame, seconds: float, by: Sequence[str] = ("platform",), time: str = "t", tie: Sequence[str] = (), bucket_us: int = DAY_US) -> DataFrame:
+    """The middle row of each chained bucket: a bucket starts at the first row that is ``seconds`` or more after the start of the one before it.
+
+    Each row points to the first row an interval later; the buckets' starts are the chain of pointers from a track's first row, and a bucket's rows are those
+    from its start to the next. Rows stay as they are where ``seconds`` is not above 0."""
+    if seconds <= 0:
+        return df
+    own = numbered(df, by, [time, *tie], "_i", bucket_us)
+    rows = staged(own.select(*by, time, "_i"), "places")
+    pointers = staged(chains.first_at_least_later(rows, int(seconds * 1e6), by, time, "_i", bucket_us), "next")
+    starts = chains.chain(pointers, rows.where("_i = 0"), by, "_i")
+    ends = rows.groupBy(*by).agg((F.max("_i") + 1).alias("_n"))
+    spans = starts.join(pointers, [*by, "_i"], "left").join(ends, list(by))
+    middle = spans.select(*by, (F.col("_i") + F.floor((F.coalesce("next", "_n") - F.col("_i")) / 2)).alias("_i"))
+    return own.join(middle, [*by, "_i"], "left_semi").drop("_i")
+
+
+#: Rows of an open chord that a task finishes by itself, and rows that are searched together for the next one far enough away.
+CHORD_ROWS, SPACED_ROWS = 20_000, 4096
+
+
+def _far(chord_lon: Column | np.ndarray, chord_lat: Column | np.ndarray, lon: Column | np.ndarray, lat: Column | np.ndarray, sqrt) -> tuple:
+    """The chord's length, a point's distance from the line through it, and from its start; points count from the start."""
+    length = sqrt(chord_lon * chord_lon + chord_lat * chord_lat)
+    cross = chord_lon * lat - chord_lat * lon
+    return length, cross, sqrt(lon * lon + lat * lat)
+
+
+def _split_here(rows: pd.DataFrame, epsilon: float) -> np.ndarray:
+    """Which rows of one open chord's inside (in order, with the chord's ends) are kept by splitting on to the end."""
+    xy = np.concatenate(([[rows["_alon"].iloc[0], rows["_alat"].iloc[0]]], rows[["lon", "lat"]].to_numpy(float), [[rows["_zlon"].iloc[0], rows["_zlat"].iloc[0]]]))
+    kept, todo = np.zeros(len(xy), bool), [(0, len(xy) - 1)]
+    while todo:
+        a, z = todo.pop()
+        if z - a < 2:
+            continue
+        chord, inner = xy[z] - xy[a], xy[a + 1 : z] - xy[a]
+        length, cross, near = _far(chord[0], chord[1], inner[:, 0], inner[:, 1], np.sqrt)
+        far = np.abs(cross) / length if length else near
+        i = int(far.argmax())
+        if far[i] > epsilon:
+            kept[a + 1 + i] = True
+            todo += [(a, a + 1 + i), (a + 1 + i, z)]
+    return kept[1:-1]
+
+
+def shape_points(df: DataFrame, epsilon: float, by: Sequence[str], place: str, chord_rows: int = CHORD_ROWS) -> DataFrame:
+    """``by``, ``place``, ``lon``, ``lat`` of the rows that recursive splitting at the point farthest from the chord keeps; ``place`` numbers each group's rows from 0.
+
+    Rounds: an aggregate finds the farthest row of every open chord of more than ``chord_rows`` rows, and the rows left are a written table. Shorter chords
+    are finished in one task each. Of rows equally far the first splits. Groups of one or two rows stay."""
+    point = F.struct(F.col(place).alias("i"), "lon", "lat")
+    ends = df.groupBy(*by).agg(F.min_by(point, place).alias("_a"), F.max_by(point, place).alias("_z"))
+    kept = [df.join(ends.select(*by, F.explode(F.array("_a.i", "_z.i")).alias(place)).distinct(), [*by, place], "left_semi").select(*by, place, "lon", "lat")]
+    flat = [F.col(f"{e}.{c}").alias(f"{e}{c}") for e in ("_a", "_z") for c in ("i", "lon", "lat")]
+    inner = df.select(*by, place, "lon", "lat").join(ends, list(by)).where(F.col(place).between(F.col("_a.i") + 1, F.col("_z.i") - 1)).select(*by, place, "lon", "lat", *flat)
+    rows, key = staged(inner, "chords"), [*by, "_ai"]
+    length, cross, near = _far(F.col("_zlon") - F.col("_alon"), F.col("_zlat") - F.col("_alat"), F.col("lon") - F.col("_alon"), F.col("lat") - F.col("_alat"), F.sqrt)
+    far = F.when(length > 0, F.abs(cross) / length).otherwise(near)
+    small = F.col("_zi") - F.col("_ai") - 1 <= chord_rows
+
+    def finish(own: pd.DataFrame) -> pd.DataFrame:
+        return own[_split_here(own, epsilon)][[*by, place, "lon", "lat"]]
+
+    schema = ", ".join(f"`{n}` {t}" for n, t in kept[0].dtypes)
+    while not rows.isEmpty():
+        kept.append(staged(by_runs(rows.where(small), key, [place], finish, schema), "kept"))
+        rows = rows.where(~small)
+        split = rows.withColumn("_d", far).groupBy(*key).agg(F.max("_d").alias("_d"), F.min_by(point, F.struct(-F.col("_d"), place)).alias("_m")).where(F.col("_d") > epsilon)
+        split = staged(split.select(*key, "_m"), "split")
+        kept.append(split.select(*by, F.col("_m.i").alias(place), "_m.lon", "_m.lat"))
+        left = F.col(place) < F.col("_m.i")
+        parts = [F.when(left, F.col(f"_a{c}")).otherwise(F.col(f"_m.{c}")).alias(f"_a{c}") for c in ("i", "lon", "lat")] + [F.when(left, F.col(f"_m.{c}")).otherwise(F.col(f"_z{c}")).alias(f"_z{c}") for c in ("i", "lon", "lat")]
+        rows = staged(rows.join(split, key).where(F.col(place) != F.col("_m.i")).select(*by, place, "lon", "lat", *parts), "chords")
+    return reduce(lambda a, b: a.unionByName(b), kept)
+
+
+def _first_away(lat: np.ndarray, lon: np.ndarray, lats: np.ndarray, lons: np.ndarray, begin: np.ndarray, spacing_nmi: float) -> np.ndarray:
+    """For each point the first of ``lats, lons``, from its ``begin`` on, that is ``spacing_nmi`` or more away; -1 without any."""
+    found, at = np.full(len(lat), -1), begin.copy()
+    live = np.flatnonzero(at < len(lats))
+    while len(live):
+        j = at[live]
+        h = np.sin((lats[j] - lat[live]) / 2) ** 2 + np.cos(lats[j]) * np.cos(lat[live]) * np.sin((lons[j] - lon[live]) / 2) ** 2
+        away = 2 * 3440.065 * np.arcsin(np.minimum(1.0, np.sqrt(h))) >= spacing_nmi
+        found[live[away]] = j[away]
+        live = live[~away]
+        at[live] += 1
+        live = live[at[live] < len(lats)]
+    return found
+
+
+def spaced(df: DataFrame, spacing_nmi: float, by: Sequence[str], place: str, block: int = SPACED_ROWS) -> DataFrame:
+    """``by`` and ``place`` of the rows kept going along each group: its first, then always the next one ``spacing_nmi`` or more from the last kept.
+
+    Each row points to the first row behind it that is so far away; it is looked for in the row's own block of ``block`` rows, then in the blocks behind it, one
+    a round, by the rows that have not found theirs. The rows kept are the chain of pointers from each group's first row. ``place`` numbers the rows from 0."""
+    rows = staged(df.select(*by, F.col(place).alias("_i"), F.radians("lat").alias("_lat"), F.radians("lon").alias("_lon"), F.floor(F.col(place) / block).alias("_b")), "points")
+    kind = dict(rows.dtypes)
+    schema = ", ".join(f"`{c}` {kind[c]}" for c in (*by, "_i")) + ", next long, _lat double, _lon double, _b long"
+
+    def search(own: pd.DataFrame) -> pd.DataFrame | None:
+        asked, there = own[own["_asks"]], own[own["_there"]]
+        if not len(asked) or not len(there):
+            return None  # nobody asks, or the group has no block so far behind
+        places = there["_i"].to_numpy()
+        begin = np.searchsorted(places, asked["_i"].to_numpy(), side="right")
+        found = _first_away(asked["_lat"].to_numpy(), asked["_lon"].to_numpy(), there["_lat"].to_numpy(), there["_lon"].to_numpy(), begin, spacing_nmi)
+        return asked.assign(next=np.where(found >= 0, places[found], -1), _b=asked["_b"] + 1)[[*by, "_i", "next", "_lat", "_lon", "_b"]]
+
+    keys, done = [*by, "_b"], []
+    both = rows.withColumns({"_asks": F.lit(True), "_there": F.lit(True)})
+    while True:
+        found = staged(by_runs(both, keys, ["_i"], search, schema), "away")
+        done.append(found.where("next >= 0").select(*by, "_i", "next"))
+        pending = found.where("next = -1").drop("next")
+        if pending.isEmpty():
+            break
+        there = rows.join(pending.select(*keys).distinct(), keys, "left_semi").withColumns({"_asks": F.lit(False), "_there": F.lit(True)})
+        both = pending.withColumns({"_asks": F.lit(True), "_there": F.lit(False)}).unionByName(there)
+    pointers = reduce(lambda a, b: a.unionByName(b), done)
+    return chains.chain(pointers, rows.where("_i = 0"), by, "_i").withColumnRenamed("_i", place)
+
+
+def simplify(df: DataFrame, epsilon: float = 1e-5, spacing_nmi: float = 0.01, by: Sequence[str] = ("platform", "day"), time: str = "t", row_id: str = "event_id", chord_rows: int = CHORD_ROWS, block: int = SPACED_ROWS) -> DataFrame:
+    """Rows kept by recursive splitting at the point farthest from the chord, then at least ``spacing_nmi`` apart. A track-day is the group; it may be of any size."""
+    own = numbered(df.select(*by, time, row_id, "lon", "lat"), by, [time, row_id], "_at")
+    own = staged(own, "fixes")
+    shape = staged(shape_points(own.select(*by, "_at", "lon", "lat"), epsilon, by, "_at", chord_rows), "shape")
+    order = numbered(shape, by, ["_at"], "_place", 1 << 16)
+    order = staged(order, "shape")
+    kept = spaced(order, spacing_nmi, by, "_place", block).join(order, [*by, "_place"])
+    return own.join(kept.select(*by, "_at"), [*by, "_at"], "left_semi").select(*by, row_id)
 
 
 def back_matched(full: DataFrame, kept: DataFrame, keys: Sequence[str] = ("platform", "event_id")) -> DataFrame:

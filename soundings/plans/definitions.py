@@ -78,6 +78,25 @@ def win13_seabed_gradient(spark, d):
     return echo.seabed(_bed(spark, d), "gradient", low=100, high=400, over_db=12)
 
 
+GRADIENT = f"""{BED}, {_median('bed')}, g as (select channel, ping_idx, min(sample_idx) as seabed from (select *, m - lag(m) over ({ALONG}) as dv from f) where depth between 100 and 400 and dv > 12 group by all)"""
+
+
+@query(f"""with {GRADIENT} select s.channel, s.ping_idx, count(*) filter (g.seabed is null or depth < g.seabed * 10 - 10) as n_kept from bed s left join g on s.channel = g.channel and s.ping_idx = g.ping_idx group by all""")
+def prj13_below_seabed(spark, d):
+    s = _bed(spark, d)
+    line = echo.seabed_gradient(s, 100, 400, 12).withColumn("seabed_depth", F.col("seabed") * 10.0)
+    return echo.mask_below_seabed(s, line, 10).groupBy("channel", "ping_idx").agg(F.count("sv").alias("n_kept"))
+
+
+@query(f"""with {GRADIENT}, p as (select channel, count(*) as n from pings group by channel)
+select p.channel, round(count(seabed) / max(n), 6) as rate, round(avg(seabed * 10.0::double), 6) as mean, round(stddev_pop(seabed * 10.0::double), 6) as std, min(seabed * 10.0::double) as min, max(seabed * 10.0::double) as max from p left join g on g.channel = p.channel group by p.channel""")
+def agg20_seabed_statistics(spark, d):
+    s = _bed(spark, d)
+    line = echo.seabed_gradient(s, 100, 400, 12).withColumn("depth", F.col("seabed") * 10.0)
+    out = echo.seabed_statistics(line, s)
+    return out.select("channel", *[r6(c).alias(c) for c in ("rate", "mean", "std")], "min", "max")
+
+
 SQL["win14_seabed_morphological"] = f"""with {BED}, {_median('bed')}, x as (select *, m >= -66 and depth between 100 and 400 as k from f),
 {_rectangle('x', 'k', 'eroded', 1, 1, False)}, e as (select * rename (d as e) from eroded), {_rectangle('e', 'e', 'grown', 3, 9, True)},
 line as (select channel, ping_idx, min(sample_idx)::double as v from grown where d and depth between 100 and 400 group by all), {_smoothed('line', 'v', 'channel', 'ping_idx', 11, 1, 'channel, ping_idx')}

@@ -80,17 +80,6 @@ def win05_smoothing(spark, d):
     return echo.savitzky_golay(fixes(spark, d), "value", "smooth", 11, 2, ["platform"], "t").select("event_id", r6("smooth").alias("smooth"))
 
 
-@query()
-def win19_simplified(spark, d):
-    return track.simplify(fixes(spark, d), 5.0, 10.0).select("platform", "event_id")
-
-
-@query(f"""with {TRACK}, b as (select *, (t - min(t) over (partition by platform)) // 86400000000 as bucket from track),
-n as (select event_id, row_number() over (partition by platform, bucket order by t, event_id) - 1 as rn, count(*) over (partition by platform, bucket) as n from b) select event_id from n where rn = n // 2""")
-def win20_decimated(spark, d):
-    return track.decimate(fixes(spark, d), 86400, tie=["event_id"]).select("event_id")
-
-
 @query(f"""with {TRACK}, m as (select event_id, lat, lon, list(lat) over (w rows between 4 preceding and 1 preceding) as a, list(lat) over (w rows between 1 following and 4 following) as b,
  list(lon) over (w rows between 4 preceding and 1 preceding) as c, list(lon) over (w rows between 1 following and 4 following) as e from track window w as (partition by platform order by t, event_id))
 select event_id, coalesce(greatest(abs(lat - list_median(list_concat(coalesce(a, []), coalesce(b, [])))), abs(lon - list_median(list_concat(coalesce(c, []), coalesce(e, []))))) > 30, false) as outlier from m""")
@@ -466,9 +455,8 @@ def clu02_schools_three_stage(spark, d):
 @query()
 def agg21_school_statistics(spark, d):
     s = samples(spark, d)
-    found = echo.schools_weill(s, -55, 1, 0, 2, 2).groupBy("channel").agg(F.count("*").alias("n_schools"), F.sum("n_cells").alias("cells"))
-    all_ = s.where("sv > -900").groupBy("channel").agg(F.count("*").alias("valid"))
-    return all_.join(found, "channel", "left").select("channel", F.coalesce("n_schools", F.lit(0)).alias("n_schools"), r6(F.coalesce("cells", F.lit(0)) / F.col("valid")).alias("share"))
+    out = echo.school_statistics(echo.schools_weill(s, -55, 1, 0, 2, 2), s)
+    return out.withColumn("share", r6("share"))
 
 
 NOISE = SAMPLES + """,
@@ -497,24 +485,6 @@ def agg27_flag_shares(spark, d):
     return out.select("channel", r6("loud").alias("loud"), r6("shallow").alias("shallow"))
 
 
-@query(f"""with {SAMPLES}, g as (select channel, ping_idx, min(sample_idx) as seabed from (select *, sv - lag(sv) over (partition by channel, ping_idx order by sample_idx) as dv from samples) where depth between 100 and 400 and dv > 12 group by all)
-select s.channel, s.ping_idx, count(*) filter (g.seabed is null or depth < g.seabed * 10 - 10) as n_kept from samples s left join g on s.channel = g.channel and s.ping_idx = g.ping_idx group by all""")
-def prj13_below_seabed(spark, d):
-    s = samples(spark, d)
-    line = echo.seabed_gradient(s, 100, 400, 12).withColumn("seabed_depth", F.col("seabed") * 10.0)
-    return echo.mask_below_seabed(s, line, 10).groupBy("channel", "ping_idx").agg(F.count("sv").alias("n_kept"))
-
-
-@query(f"""with {SAMPLES}, g as (select channel, ping_idx, min(depth) as depth from (select *, sv - lag(sv) over (partition by channel, ping_idx order by sample_idx) as dv from samples) where depth between 100 and 400 and dv > 12 group by all), p as (select channel, count(*) as n from pings group by channel)
-select p.channel, round(count(g.depth) / max(n), 6) as rate, round(avg(g.depth), 6) as mean, round(stddev_pop(g.depth), 6) as std, min(g.depth) as min, max(g.depth) as max from p left join g on g.channel = p.channel group by p.channel""")
-def agg20_seabed_statistics(spark, d):
-    s = samples(spark, d)
-    line = echo.seabed_gradient(s, 100, 400, 12).withColumn("depth", F.col("seabed") * 10.0)
-    n = s.groupBy("channel").agg(F.countDistinct("ping_idx").alias("n"))
-    own = n.join(line, "channel", "left").groupBy("channel").agg(r6(F.count("depth") / F.max("n")).alias("rate"), r6(F.avg("depth")).alias("mean"), r6(F.stddev_pop("depth")).alias("std"), F.min("depth").alias("min"), F.max("depth").alias("max"))
-    return own
-
-
 # Store: keys, bins, unions
 
 KEYS = "l_orderkey, l_linenumber"
