@@ -6,6 +6,7 @@ of one length opens only theirs.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -18,6 +19,9 @@ from pyspark.sql import functions as F
 from .bpe import TextEncoder
 from .words import slices, spread
 
+#: Entries of the table that a worker keeps between batches and tasks.
+PIECES_KNOWN = 600_000
+
 
 def binary_pieces(n: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Lengths of the pieces of documents of ``n`` tokens, end to end, and how many each has: pieces of ``most`` first, then the binary digits of the rest, high ones first."""
@@ -31,6 +35,55 @@ def binary_pieces(n: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return lengths, many.sum(axis=1)
 
 
+class PieceCoder:
+    """Ids of distinct pieces of texts by the library: pieces not known yet are encoded together, and the ids' offsets tell them apart."""
+
+    _own: dict[str, PieceCoder] = {}
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.known: dict[bytes, bytes] = {}
+
+    @classmethod
+    def of(cls, path: str) -> PieceCoder:
+        if path not in cls._own:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            cls._own[path] = cls(path)
+        return cls._own[path]
+
+    def encode(self, pieces: list[bytes]) -> Iterator[bytes]:
+        """Ids as 32-bit integers. White space ends a word of this tokenizer and has no id of its own, so pieces with a blank between them don't touch."""
+        texts = [p.decode() for p in pieces]
+        for at in range(0, len(texts), 4096):
+            part = texts[at : at + 4096]
+            found = self.library.encode(" ".join(part), add_special_tokens=False)
+            n = np.fromiter(map(len, part), np.int64, len(part)) + 1
+            begin = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.offsets))
+            cut = [*np.searchsorted(begin, np.cumsum(n) - n).tolist(), len(begin)]
+            data = np.array(found.ids, np.int32).tobytes()
+            yield from [data[4 * a : 4 * b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and how many stand before each text and after the last."""
+        chunks = TextEncoder._split(texts)
+        _, keys, place = chunks.distinct()
+        found = [self.known.get(k) for k in keys]
+        new = [i for i, x in enumerate(found) if x is None]
+        for i, ids in zip(new, self.encode([keys[i] for i in new]), strict=True):
+            found[i] = ids
+            if len(self.known) < PIECES_KNOWN:
+                self.known[keys[i]] = ids
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        each = size[place] if len(place) else np.zeros(0, np.int64)
+        flat = np.frombuffer(b"".join(found), np.int32)
+        ids = flat[spread(each, (np.cumsum(size) - size)[place])] if len(each) else flat
+        return ids, np.concatenate(([0], np.cumsum(each)))[chunks.bounds]
+
+
 def write_packed(docs: DataFrame, path: str, tokenizer: str, end_id: int, most: int = 2048, text: str = "text", doc_id: str = "doc_id") -> None:
     """Encode every whole text, append ``end_id``, cut at binary lengths, and write Parquet with a folder ``length=...`` for each bucket.
 
@@ -41,15 +94,10 @@ def write_packed(docs: DataFrame, path: str, tokenizer: str, end_id: int, most:
     binary_pieces(np.zeros(0, np.int64), most)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, given = TextEncoder.of(tokenizer), TaskContext.get().partitionId() << 36
+        coder, given = PieceCoder.of(tokenizer), TaskContext.get().partitionId() << 36
         for whole in batches:
-            for batch in slices(whole, "text"):
-                chunks, found, place = coder.distinct(batch.column("text"))
-                size = np.fromiter(map(len, found), np.int64, len(found))
-                flat = np.array([i for x in found for i in x], np.int32)
-                each = size[place] if len(place) else np.zeros(0, np.int64)
-                ids = flat[spread(each, (np.cumsum(size) - size)[place])] if len(each) else flat
-                ends = np.concatenate(([0], np.cumsum(each)))[chunks.bounds]
+            for batch in slices(whole, "text", 4 << 20):
+                ids, ends = coder.ids(batch.column("text"))
                 ids = np.insert(ids, ends[1:], end_id).astype(np.int32)
                 n = np.diff(ends) + 1
                 lengths, many = binary_pieces(n, most)
