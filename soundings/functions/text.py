@@ -16,6 +16,19 @@ def blank_to_null(c: Column) -> Column:
     return F.when(~F.trim(c).isin(*NULL_TOKENS), c)
 
 
+def csv_cells(line: Column) -> Column:
+    """The cells of a CSV record as an array; quoted cells may hold commas, and a doubled quote in them is one."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    quoted = lambda c: (F.length(c) > 1) & c.startswith('"') & c.endswith('"')
+    return F.transform(raw, lambda c: F.when(quoted(c), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+
+
+def named_cells(names: Column, cells: Column) -> Column:
+    """A map from names to cells: missing cells are NULL, cells without a name go, of a repeated name the first counts."""
+    pairs = F.transform(names, lambda n, i: F.struct(n.alias("key"), F.get(cells, i).alias("value"), (F.array_position(names, n) == i + 1).alias("first")))
+    return F.map_from_entries(F.transform(F.filter(pairs, lambda p: p["first"]), lambda p: F.struct(p["key"], p["value"])))
+
+
 def lenient_number(c: Column) -> Column:
     """A number with thousands commas or a trailing unit; NULL where none is found."""
     return F.regexp_replace(F.regexp_extract(F.trim(c), r"^([-+]?[\d,]*\.?\d+(?:[eE][-+]?\d+)?)", 1), ",", "").try_cast("double")

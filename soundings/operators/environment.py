@@ -148,8 +148,11 @@ def standard_names(columns: DataFrame, aliases: DataFrame, standard: DataFrame,
     """``name`` to a standard name: by alias or exactly (1.0), else the shortest standard name that ends with it (0.85, names over four letters)."""
     low = F.lower(F.col("name"))
     own = columns.join(aliases, low == F.col("alias"), "left").withColumn("probe", F.coalesce("target", low))
-    hit = (F.col("standard") == F.col("probe")) | ((F.length("probe") > 4) & F.col("standard").endswith(F.concat(F.lit("_"), F.col("probe"))))
-    both = own.join(standard, hit)
+    # A standard name is put out once as a whole and once for what follows each of its underscores, so that the match is a join of keys.
+    parts = F.split("standard", "_")
+    ends = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "_"))
+    keys = standard.select("standard", F.explode(F.array_distinct(ends)).alias("probe"))
+    both = own.join(keys, "probe").where((F.col("standard") == F.col("probe")) | (F.length("probe") > 4))
     conf = F.when(F.col("standard") == F.col("probe"), 1.0).otherwise(0.85)
     best = both.groupBy("name").agg(F.min_by(F.struct(F.col("standard"), conf.alias("confidence")), F.struct(-conf, F.length("standard"), F.col("standard"))).alias("b"))
     return best.select("name", F.col("b.standard").alias("standard_name"), F.col("b.confidence").alias("confidence")).where(F.col("confidence") >= least)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -59,9 +60,14 @@ def pivot_quality(df: DataFrame, index: Sequence[str], variables: Sequence[str],
     return own.groupBy(*index).agg(*out)
 
 
-def measurement_columns(df: DataFrame, system: Sequence[str], exclude: Sequence[str] = ("_qc", "_flag", "_id", "index", "time", "lat", "lon")) -> list[str]:
-    """Columns that hold measurements: none of the system's, not all lower case, without an excluded part. Schema only."""
-    return [c for c in df.columns if c not in system and c != c.lower() and not any(p in c.lower() for p in exclude)]
+# Columns of every table that are no measurements, and patterns of names (whole, any case) that repeat others or vary them.
+SYSTEM_COLUMNS = ("time", "latitude", "longitude", "geometry", "platform_id", "campaign_id", "trajectory", "lat_bin", "lon_bin")
+LEFT_OUT = (r".*_STDDEV", r".*_STD", r".*_MIN", r".*_MAX", r".*_PEAK", r"UWND_.*", r"VWND_.*", r"WWND_.*", r".*_WING_.*", r"WING_.*", r"HDG", r"SOG", r"COG")
+
+
+def measurement_columns(df: DataFrame, system: Sequence[str] = SYSTEM_COLUMNS, exclude: Sequence[str] = LEFT_OUT) -> list[str]:
+    """Columns that hold measurements, sorted: none of the system's, none all in lower case, and no name that a pattern fits as a whole. Schema only."""
+    return sorted(c for c in df.columns if c not in system and not c.islower() and not any(re.fullmatch(p, c, re.IGNORECASE) for p in exclude))
 
 
 def top_variables(names: Sequence[str], priority: Sequence[str], most: int) -> list[str]:

@@ -14,19 +14,23 @@ from .standins import SAMPLES, TRACK, samples, table
 from .standins import track as fixes
 
 
-@query("select user_id::varchar as file, arg_min(round(value, 6), event_id) as t from events group by user_id")
+@query("select user_id::varchar as file, arg_min(round(value, 6), event_id) as t, case when arg_min(event_id, event_id) % 2 = 0 then 'a, \"b\"' end as note from events group by user_id")
 def src11_snapshot(spark, d):
     e = table(spark, d, "events")
-    head = e.select("user_id").distinct().select(F.col("user_id").cast("string").alias("file"), F.lit(0).cast("long").alias("line_no"), F.lit("time,TEMP").alias("line"))
-    rows = e.select(F.col("user_id").cast("string").alias("file"), (F.col("event_id") + 1).alias("line_no"), F.concat_ws(",", F.lit("2024-01-01"), F.col("value").cast("string")).alias("line"))
-    return csvs.first_snapshot(head.unionByName(rows), {"time": "time", "TEMP": "t"}, (63.46, 10.39)).select("file", r6("t").alias("t"))
+    head = e.select("user_id").distinct().select(F.col("user_id").cast("string").alias("file"), F.lit(0).cast("long").alias("line_no"), F.lit("time,TEMP,note").alias("line"))
+    # Rows are ragged: some have a quoted cell with a comma in it and one cell too many, the others one too few.
+    more = F.when(F.col("event_id") % 2 == 0, F.lit('"a, ""b""",too many'))
+    rows = e.select(F.col("user_id").cast("string").alias("file"), (F.col("event_id") + 1).alias("line_no"), F.concat_ws(",", F.lit("2024-01-01"), F.col("value").cast("string"), more).alias("line"))
+    out = csvs.first_snapshot(head.unionByName(rows), {"time": "time", "TEMP": "t"}, (63.46, 10.39))
+    noted = csvs.first_snapshot(head.unionByName(rows), {"time": "time", "note": "note"}, (63.46, 10.39), text=("note",))
+    return out.join(noted.select("file", "note"), "file").select("file", r6("t").alias("t"), "note")
 
 
 @query("select user_id::varchar as file, count(*) as n, 'degC' as unit, round(sum(value), 3) as total from events group by user_id")
 def src12_units_row(spark, d):
     e = table(spark, d, "events")
     head = e.select("user_id").distinct().select(F.col("user_id").cast("string").alias("file"), F.posexplode(F.array(F.lit("time,TEMP"), F.lit("UTC,degC"))).alias("line_no", "line"))
-    rows = e.select(F.col("user_id").cast("string").alias("file"), (F.col("event_id") + 2).cast("int").alias("line_no"), F.concat_ws(",", F.lit("2024-01-01"), F.col("value").cast("string")).alias("line"))
+    rows = e.select(F.col("user_id").cast("string").alias("file"), (F.col("event_id") + 2).cast("int").alias("line_no"), F.concat_ws(",", F.lit('"2024-01-01, noon"'), F.col("value").cast("string"), F.when(F.col("event_id") % 3 == 0, "x")).alias("line"))
     data, units = csvs.read_units_csv(head.unionByName(rows))
     own = data.groupBy("file").agg(F.count("*").alias("n"), F.round(F.sum(F.col("fields")["TEMP"].cast("double")), 3).alias("total"))
     return own.join(units.select("file", F.col("units")["TEMP"].alias("unit")), "file")
@@ -36,6 +40,7 @@ def src12_units_row(spark, d):
 def src13_campaign_columns(spark, d):
     path = shared_path(spark, "campaign")
     fixes(spark, d).write.partitionBy("event_type").parquet(path)
+    fixes(spark, d).write.parquet(f"{path}/stac/items")  # a catalogue's folder is no partition and not read
     return store.read_campaign(spark, path, ["event_id", "value", "absent"])
 
 

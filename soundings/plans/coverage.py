@@ -106,12 +106,14 @@ def prj02_majority_on_writing(spark, d):
     return csvs.coerce_by_majority(own, min(0.5, share)).select("event_id", "half")
 
 
-@query("select variable, count(*) as n_valid, round(sum(v), 3) as total from (select 'TEMP' as variable, value as v from events union all select 'Sal', event_id::double from events) group by variable")
+@query("""select variable, count(*) as n_valid, round(sum(v), 3) as total from (select 'TEMP' as variable, value as v from events union all select 'RELATIVE_HUMIDITY', event_id::double from events
+ union all select 'HDG_FILTERED_MEAN', value * 2 from events where event_id % 3 > 0 union all select 'TEMP_QC', 1.0 from events) group by variable""")
 def prj11_measurement_columns(spark, d):
-    e = table(spark, d, "events").select(F.col("value").alias("TEMP"), F.col("event_id").cast("double").alias("Sal"), F.lit(1).alias("TEMP_QC"), F.lit(2).alias("lower"), F.col("ts").alias("Time"))
-    names = statistics.measurement_columns(e, ["Platform"])
-    own = e.select(*names).unpivot([], names, "variable", "value")
-    return own.groupBy("variable").agg(F.count("value").alias("n_valid"), F.round(F.sum("value"), 3).alias("total"))
+    e, v = table(spark, d, "events"), F.col("value")
+    left_out = ["TEMP_SBE37_STDDEV", "SAL_STD", "Depth_min", "BARO_MAX", "Wave_Peak", "UWND_MEAN", "VWND_MEAN", "WWND_MEAN", "PITCH_WING_MEAN", "WING_ANGLE", "HDG", "sog", "COG", "latitude", "time", "lat_bin", "lower"]
+    own = e.select(v.alias("TEMP"), F.col("event_id").cast("double").alias("RELATIVE_HUMIDITY"), F.when(F.col("event_id") % 3 > 0, v * 2).alias("HDG_FILTERED_MEAN"), F.lit(1.0).alias("TEMP_QC"), *[v.alias(c) for c in left_out])
+    long = own.select(*statistics.measurement_columns(own)).unpivot([], statistics.measurement_columns(own), "variable", "value")
+    return long.groupBy("variable").agg(F.count("value").alias("n_valid"), F.round(F.sum("value"), 3).alias("total"))
 
 
 @query(f"with {SAMPLES} select channel, (count(*) filter (not ((ping_idx + sample_idx) % 3 = 0 and sample_idx % 2 = 0)))::bigint as n from samples group by channel")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import timejoin, track
+from ..session import shared_path
+from ..sources import geoparquet, store
 from .queries import query, r6
-from .standins import TRACK, haversine
+from .standins import TRACK, haversine, table
 from .standins import track as fixes
 
 
@@ -69,3 +71,32 @@ def join10_model_mean(spark, d):
     left = t.where("event_type = 'click'").select("platform", "t", "event_id")
     own, model = t.where("event_type = 'view'").select("platform", "t", F.col("value").alias("v")), t.where("event_type not in ('view', 'click')").select("platform", "t", F.col("value").alias("v"))
     return timejoin.with_fallback(left, own, model, ["platform"], ["v"], 7_200_000_000).select("event_id", r6("v").alias("v"), "source")
+
+
+@query(f"""with {TRACK}, b as (select *, (floor(lat / 30) * 30)::int as lat_bin, (floor(lon / 60) * 60)::int as lon_bin from track)
+select lat_bin, lon_bin, count(*) as n_rows, round(min(lon), 6) as west, round(min(lat), 6) as south, round(max(lon), 6) as east, round(max(lat), 6) as north, 'degC' as unit, 'sea_water_temperature' as name, 'temp' as alias from b group by all""")
+def snk02_footer_keys(spark, d):
+    """Footers read back: the box of each file's rows, units, names and aliases, put together for each partition."""
+    path = shared_path(spark, "geoparquet")
+    own = fixes(spark, d).withColumns({"lat_bin": (F.floor(F.col("lat") / 30) * 30).cast("int"), "lon_bin": (F.floor(F.col("lon") / 60) * 60).cast("int")})
+    own = own.withColumns({c: F.col(c).cast("double") for c in ("lat", "lon")})
+    geoparquet.write_geoparquet(own, path, units={"value": "degC"}, aliases={"value": "temp"}, standard_names={"value": "sea_water_temperature"}, latitude="lat", longitude="lon")
+    key = lambda k, at: F.get_json_object(F.col("keys")[k], at)
+    edge = lambda i: key("geo", f"$.columns.geometry.bbox[{i}]").cast("double")
+    part = lambda c: F.regexp_extract("file", f"{c}=([^/]*)/", 1).cast("int").alias(c)
+    found = geoparquet.footers(spark, path).groupBy(part("lat_bin"), part("lon_bin")).agg(
+        F.sum("n_rows").alias("n_rows"), *[r6(f(edge(i))).alias(n) for i, (n, f) in enumerate((("west", F.min), ("south", F.min), ("east", F.max), ("north", F.max)))],
+        F.max(key("units", "$.value")).alias("unit"), F.max(key("cf_standard_names", "$.value")).alias("name"), F.max(key("aliases", "$.value")).alias("alias"),
+    )
+    return found
+
+
+@query("select event_id, value from events")
+def set03_indexed_upsert(spark, d):
+    """Batches that overlap, each once more: the store ends with every event once."""
+    path = shared_path(spark, "upserts")
+    e = table(spark, d, "events").select("event_id", "value")
+    for low, high in ((0.0, 0.5), (0.3, 0.8), (0.0, 0.1), (0.6, 1.0)):
+        place = F.pmod(F.xxhash64("event_id"), F.lit(1000)) / 1000
+        store.upsert(spark, path, e.where(place.between(low, high)), ["event_id"], ["value"])
+    return spark.read.parquet(path)

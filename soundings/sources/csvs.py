@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import blank_to_null, platform_of
+from ..functions.text import blank_to_null, csv_cells, named_cells, platform_of
 
 POSITION = ("latitude", "longitude")
 SHIP_POSITION = ("ship_latitude", "ship_longitude")
@@ -43,60 +43,63 @@ def _names(header: str) -> list[str]:
     return out
 
 
-def by_header(spark: SparkSession, path: str | list[str]) -> list[tuple[list[str], DataFrame]]:
-    """Files grouped by their own header: its names, and ``file`` with those columns as text for every row below it.
-
-    The header is a file's first line that is not blank and not of a ``#`` block at its top. Blank cells and null tokens are NULL, short lines are
-    filled up, lines with too many fields are dropped. A record is one line. Only the distinct headers come to the driver."""
-    lines = _numbered(spark, path).where(F.trim("line") != "")
-    first = lines.where((F.col("block") == 0) & ~F.ltrim("line").startswith("#"))
-    heads = first.groupBy("path").agg(F.min_by("line", "id").alias("header"), F.min("id").alias("at"))
-    data = lines.join(heads, "path").where((F.col("block") > 0) | (F.col("id") > F.col("at")))
-    out = []
-    for header in sorted(r[0] for r in heads.select("header").distinct().collect()):
-        names = _names(header)
-        # One column more takes what an over-long line has too much.
-        schema = ", ".join(f"c{i} string" for i in range(len(names) + 1))
-        row = data.where(F.col("header") == header).select("file", F.from_csv("line", schema).alias("r")).where(f"r.c{len(names)} is null")
-        out.append((names, row.select("file", *[blank_to_null(F.col(f"r.c{i}")).alias(n) for i, n in enumerate(names)])))
-    return out
-
-
-def _together(spark: SparkSession, frames: Sequence[DataFrame]) -> DataFrame:
-    frames = [f.select(*[c for c in f.columns if c not in ("file", "platform_id")], platform_of(F.col("file")).alias("platform_id")) for f in frames]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else spark.createDataFrame([], "platform_id string")
-
-
-def _positioned(own: DataFrame) -> DataFrame:
-    return own.withColumns({c: F.col(c).try_cast("double") for c in POSITION}).dropna("any", subset=list(POSITION))
+class Headed:
+    """Files of any number of headers, read together: ``rows`` has ``file``, ``header`` (the line) and ``cells`` (an array), ``headers`` the names of each distinct header."""
+
+    def __init__(self, spark: SparkSession, path: str | list[str]) -> None:
+        """The header is a file's first line that is not blank and not of a ``#`` block at its top. A record is one line, parsed once to as many
+        cells as the widest header has, and one more for lines with too many fields, which are dropped. Only distinct headers come to the driver."""
+        lines = _numbered(spark, path).where(F.trim("line") != "")
+        first = lines.where((F.col("block") == 0) & ~F.ltrim("line").startswith("#"))
+        heads = first.groupBy("path").agg(F.min_by("line", "id").alias("header"), F.min("id").alias("at"))
+        self.spark = spark
+        self.headers = {h: _names(h) for h in sorted(r[0] for r in heads.select("header").distinct().collect())}
+        most = max(map(len, self.headers.values()), default=0)
+        data = lines.join(heads, "path").where((F.col("block") > 0) | (F.col("id") > F.col("at")))
+        schema = ", ".join(f"c{i} string" for i in range(most + 1))
+        self.rows = data.select("file", "header", F.from_csv("line", schema).alias("r")).select("file", "header", F.array(*[blank_to_null(F.col(f"r.c{i}")) for i in range(most + 1)]).alias("cells"))
+
+    def named(self, headers: Sequence[str], marks: dict[str, bool] | None = None) -> DataFrame:
+        """Rows below these headers, a text column for each name that any of them has, ``platform_id`` and ``_spatial``, the header's mark; a row's cells are found by its header's row of a table of (header, places)."""
+        names = list(dict.fromkeys(n for h in headers for n in self.headers[h]))
+        if not names:
+            return self.spark.createDataFrame([], "platform_id string, _spatial boolean")
+        places = [(h, (marks or {}).get(h, False), len(self.headers[h]), [self.headers[h].index(n) if n in self.headers[h] else None for n in names]) for h in headers]
+        table = self.spark.createDataFrame(places, "header string, _spatial boolean, _many int, _places array<int>")
+        own = self.rows.join(table, "header").where(F.get("cells", F.col("_many")).isNull())
+        kept = [n for n in names if n not in ("file", "platform_id")]
+        cells = [F.get("cells", F.get("_places", F.lit(names.index(n)))).alias(n) for n in kept]
+        return own.select(*cells, platform_of(F.col("file")).alias("platform_id"), "_spatial")
+
+
+def _read(found: Headed, other: Callable[[list[str]], bool]) -> DataFrame:
+    """Rows of files with standard positions, which must be numbers there, and of the files whose names ``other`` takes as they are."""
+    spatial = {h: all(c in names for c in POSITION) for h, names in found.headers.items()}
+    out = found.named([h for h, names in found.headers.items() if spatial[h] or other(names)], spatial)
+    if any(spatial.values()):
+        out = out.withColumns({c: F.col(c).try_cast("double") for c in POSITION}).where(~F.col("_spatial") | (F.col("latitude").isNotNull() & F.col("longitude").isNotNull()))
+    return out.drop("_spatial")
 
 
 def read_csv_directory(spark: SparkSession, path: str | list[str], skip_non_spatial: bool = True) -> DataFrame:
-    """Every CSV file under ``path`` as text columns by its own header, ``platform_id`` from the file's name.
+    """Every CSV file under ``path`` as text columns by its own header, ``platform_id`` from the file's name; one scan for the headers and one for the rows.
 
     Files without latitude and longitude are left out, or with ``skip_non_spatial`` off kept; rows of the others need both as numbers."""
-    own = [(all(c in names for c in POSITION), rows) for names, rows in by_header(spark, path)]
-    return _together(spark, [_positioned(rows) if has else rows for has, rows in own if has or not skip_non_spatial])
+    return _read(Headed(spark, path), lambda names: not skip_non_spatial)
 
 
 def read_validated(spark: SparkSession, path: str | list[str], allow_non_spatial: bool = False) -> DataFrame:
     """CSV and GeoCSV files of observations, each judged by its own header: it needs a position, under the standard names or those of a ship.
 
     Standard positions must be numbers; a ship's are left for the provider's names to settle. Rows without any value go."""
-    frames = []
-    for names, rows in by_header(spark, path):
-        if all(c in names for c in POSITION):
-            frames.append(_positioned(rows))
-        elif allow_non_spatial or all(c in names for c in SHIP_POSITION):
-            frames.append(rows)
-    out = _together(spark, frames)
+    out = _read(Headed(spark, path), lambda names: allow_non_spatial or all(c in names for c in SHIP_POSITION))
     return out.dropna("all", subset=[c for c in out.columns if c != "platform_id"]) if len(out.columns) > 1 else out
 
 
 def read_geocsv(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows after the ``#`` block at the top of each file as text, and ``path``, ``file``, ``metadata`` (map of the block's keys; of a repeated key the last value)."""
-    frames = [rows for _, rows in by_header(spark, path)]
-    data = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).drop("file") if frames else spark.createDataFrame([], "platform_id string")
+    found = Headed(spark, path)
+    data = found.named(list(found.headers)).drop("_spatial", "platform_id")
     lines = read_text(spark, path)
     top = lines.where(~F.ltrim("line").startswith("#")).groupBy("path").agg(F.min("line_no").alias("top"))
     pair = F.split(F.regexp_replace(F.trim("line"), r"^#\s*", ""), ":", 2)
@@ -130,20 +133,24 @@ def union_all(frames: Sequence[DataFrame], ignore: Sequence[str] = ("platform_id
 
 
 def read_units_csv(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From numbered lines of files whose second line holds units: data rows as ``file``, ``line_no``, ``fields`` (map), and the units of each file."""
-    parts = lines.select("file", "line_no", F.split("line", ",").alias("f"))
+    """From numbered lines of files whose second line holds units: data rows as ``file``, ``line_no``, ``fields`` (map), and the units of each file.
+
+    Quoted cells may hold commas; short lines have NULLs and cells beyond the header are left out."""
+    parts = lines.select("file", "line_no", csv_cells(F.col("line")).alias("f"))
     head = parts.groupBy("file").agg(F.min_by("f", F.when(F.col("line_no") == 0, 0)).alias("names"), F.min_by("f", F.when(F.col("line_no") == 1, 0)).alias("units"))
-    data = parts.where("line_no > 1").join(head, "file").select("file", "line_no", F.map_from_arrays("names", F.slice("f", 1, F.size("names"))).alias("fields"))
-    return data, head.select("file", F.map_from_arrays("names", "units").alias("units"))
+    data = parts.where("line_no > 1").join(head, "file").select("file", "line_no", named_cells(F.col("names"), F.col("f")).alias("fields"))
+    return data, head.select("file", named_cells(F.col("names"), F.col("units")).alias("units"))
+
 
+def first_snapshot(lines: DataFrame, renames: dict[str, str], site: tuple[float, float], text: Sequence[str] = ()) -> DataFrame:
+    """The first data row of each file, columns renamed and but for time and ``text`` numbers, the site's position added; files without a time give no row.
 
-def first_snapshot(lines: DataFrame, renames: dict[str, str], site: tuple[float, float]) -> DataFrame:
-    """The first data row of each file, columns renamed, the site's position added; files without a time give no row."""
-    parts = lines.select("file", "line_no", F.split("line", ",").alias("f"))
+    Quoted cells may hold commas; a short row has NULLs and cells beyond the header are left out."""
+    parts = lines.select("file", "line_no", csv_cells(F.col("line")).alias("f"))
     row = parts.groupBy("file").agg(F.min_by("f", F.when(F.col("line_no") == 0, 0)).alias("names"), F.min_by("f", F.when(F.col("line_no") > 0, F.col("line_no"))).alias("v"))
-    fields = F.map_from_arrays("names", "v")
+    fields = named_cells(F.col("names"), F.col("v"))
     out = row.where("v is not null").select("file", *[blank_to_null(fields[a]).alias(b) for a, b in renames.items()], F.lit(site[0]).alias("latitude"), F.lit(site[1]).alias("longitude"))
-    return out.withColumns({b: F.col(b).try_cast("double") for b in renames.values() if b != "time"}).where("time is not null")
+    return out.withColumns({b: F.col(b).try_cast("double") for b in renames.values() if b != "time" and b not in text}).where("time is not null")
 
 
 def normalise(df: DataFrame, renames: dict[str, str], codes: dict[str, dict[str, str]] | None = None, defaults: dict[str, object] | None = None) -> DataFrame:

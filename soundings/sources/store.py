@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.geo import bin_label, right_closed_bin
 from ..functions.text import name_date
+from . import keyindex
 
 # Fixed value: the columns that identify an observation, those present counting.
 KEY = ("time", "latitude", "longitude", "trajectory")
@@ -48,9 +50,16 @@ def read_density(spark: SparkSession, path: str, bbox: tuple[float, float, float
     return out
 
 
-def read_campaign(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """All Parquet files of a campaign, schemas merged, catalogue folders left out."""
-    out = spark.read.option("mergeSchema", True).option("pathGlobFilter", "*.parquet").parquet(path)
+def read_campaign(spark: SparkSession, path: str, columns: Sequence[str] | None = None, skip: Sequence[str] = ("stac",)) -> DataFrame:
+    """All Parquet files of a campaign, schemas merged; folders named in ``skip`` (catalogues) are left out wherever they stand below ``path``.
+
+    Files are listed by name first, so folders that are no partitions don't meet partition discovery. A campaign without files gives an empty frame."""
+    listed = _files(spark, path, "*.parquet")
+    inside = F.split(F.element_at(F.split("path", re.escape("/" + path.rstrip("/").split("/")[-1] + "/"), 2), 2), "/")
+    paths = [r[0] for r in listed.where(~F.arrays_overlap(inside, F.array(*[F.lit(s) for s in skip]))).select("path").collect()]  # as many as the scan itself lists
+    if not paths:
+        return spark.createDataFrame([], StructType())
+    out = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*paths)
     return out.select(*[c for c in columns if c in out.columns]) if columns else out
 
 
@@ -98,20 +107,33 @@ def file_frequencies(files: DataFrame, rows: DataFrame, file: str, frequency: st
     return own.withColumns({"frequencies": F.coalesce("_f", F.array().cast(dict(per.dtypes)["_f"])), "n_rows": F.coalesce("_n", F.lit(0))}).drop("_f", "_n")
 
 
-def upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str | Column] = ("time",)) -> None:
-    """Append only rows whose key is new; nothing that is stored is rewritten."""
+def upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str | Column] = ("time",)) -> list[str]:
+    """Append only rows whose key is new; nothing that is stored is rewritten. Returns the stored files that were read for it.
+
+    A key index beside the table (``keyindex``) says which files may hold a key of ``new``, so one late row opens the files around it and no others.
+    A table without an index, or with files that it lacks, gets it at the end of the run."""
     try:
         have = spark.read.parquet(path)
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER" not in str(e):
             raise
-        distinct_on(new, [k for k in keys if k in new.columns], order).write.parquet(path)
-        return
+        used = [k for k in keys if k in new.columns]
+        distinct_on(new, used, order).write.parquet(path)
+        keyindex.update(spark, path, used)
+        return []
     used = [k for k in keys if k in new.columns and k in have.columns]
-    # Only stored rows in the range of the new ones can have their keys; the range of the first key prunes files and row groups.
-    low, high = new.agg(F.min(used[0]), F.max(used[0])).first()
-    have = have.where(F.col(used[0]).between(F.lit(low), F.lit(high)) | F.col(used[0]).isNull())
-    new_rows(have.select(*used), new, used, order).write.mode("append").parquet(path)
+    files = keyindex.may_hold(spark, path, new, used)
+    if files:
+        # Only stored rows in the range of the new ones can have their keys; the range of the first key prunes row groups.
+        low, high = new.agg(F.min(used[0]), F.max(used[0])).first()
+        near = spark.read.option("basePath", path).schema(have.schema).parquet(*files)
+        near = near.where(F.col(used[0]).between(F.lit(low), F.lit(high)) | F.col(used[0]).isNull())
+        add = new_rows(near.select(*used), new, used, order)
+    else:
+        add = distinct_on(new, used, order)
+    add.write.mode("append").parquet(path)
+    keyindex.update(spark, path, used)
+    return files
 
 
 def manifest(spark: SparkSession, path: str, since: str | None = None, until: str | None = None) -> DataFrame:
@@ -122,8 +144,8 @@ def manifest(spark: SparkSession, path: str, since: str | None = None, until: st
     return out.where(F.col("day") <= F.lit(until).cast("date")) if until is not None else out
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", "modificationTime")
+def _files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", "modificationTime")
 
 
 def content_hashes(spark: SparkSession, path: str) -> DataFrame:
