@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import acoustics
 from .bucketed import nearest_known, with_bucket
+from .surface import linear_surface
 
 
 def row_environment(df: DataFrame, channels: DataFrame, depth: float = 0.6, ph: float = 8.1, t: str = "temperature", s: str = "salinity") -> DataFrame:
@@ -122,10 +123,12 @@ def near_points(cells: DataFrame, points: DataFrame, radius: float) -> DataFrame
 
 
 def grid_surface(points: DataFrame, value: str, step: float, radius: float, how: str = "inverse") -> DataFrame:
-    """Values on a grid of ``step`` degrees within ``radius`` of points: inverse-distance means, or the ``nearest`` point's. Values not above 0 are left out."""
+    """Values on a grid of ``step`` degrees within ``radius`` of points: inverse-distance means, the ``nearest`` point's, or ``linear`` in the points' triangles. Values not above 0 are left out."""
     own = points.where(F.col(value) > 0)
+    if how == "linear":
+        return linear_surface(own, value, step, radius)
     lo, hi = (lambda c: F.ceil((F.col(c) - radius) / step)), (lambda c: F.floor((F.col(c) + radius) / step))
-    cell = own.select(value, "lat", "lon", F.explode(F.sequence(lo("lat").cast("long"), hi("lat").cast("long"))).alias("iy"), "event_id").where(F.lit(True))
+    cell = own.select(value, "lat", "lon", F.explode(F.sequence(lo("lat").cast("long"), hi("lat").cast("long"))).alias("iy"), "event_id")
     cell = cell.withColumn("ix", F.explode(F.sequence(lo("lon").cast("long"), hi("lon").cast("long"))))
     d = F.sqrt(F.pow(F.col("iy") * step - F.col("lat"), 2) + F.pow(F.col("ix") * step - F.col("lon"), 2))
     cell = cell.withColumn("d", d).where(F.col("d") <= radius)

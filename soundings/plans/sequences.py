@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import timejoin, track
+from ..operators import environment, timejoin, track
 from ..session import shared_path
 from ..sources import geoparquet, store
 from .queries import query, r6
@@ -100,3 +100,25 @@ def set03_indexed_upsert(spark, d):
         place = F.pmod(F.xxhash64("event_id"), F.lit(1000)) / 1000
         store.upsert(spark, path, e.where(place.between(low, high)), ["event_id"], ["value"])
     return spark.read.parquet(path)
+
+
+@query(f"""with {TRACK}, k as (select avg(lon::double) as x, avg(lat::double) as y, avg(value) as v from track where value > 0 group by floor(lat / 1.0), floor(lon / 1.0)),
+h as (select *, floor(x * 10000 + 0.5)::bigint as kx, floor(y * 10000 + 0.5)::bigint as ky from k),
+p as (select row_number() over (order by x, y) as id, x + (((kx * 7919 + ky * 5147) % 10007 + 10007) % 10007 / 10007.0::double - 0.5) * 4e-5 as x, y + (((kx * 3571 + ky * 6007) % 10007 + 10007) % 10007 / 10007.0::double - 0.5) * 4e-5 as y, v from h),
+g as (select *, floor(x / 12)::int as gx, floor(y / 12)::int as gy from p),
+around as (select g.*, gx + i as bx, gy + j as by from g, (select unnest([-1, 0, 1]) as i), (select unnest([-1, 0, 1]) as j)),
+e as (select a.id as a, b.id as b from g a join around b on a.gx = b.bx and a.gy = b.by where a.id < b.id and (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 144),
+t as (select e.a, e.b, f.b as c from e join e f on e.a = f.a and e.b < f.b join e s on s.a = e.b and s.b = f.b),
+l as (select t.*, pa.x as ax, pa.y as ay, pb.x - pa.x as ux, pb.y - pa.y as uy, pc.x - pa.x as wx, pc.y - pa.y as wy, pa.v as va, pb.v as vb, pc.v as vc from t join p pa on pa.id = a join p pb on pb.id = b join p pc on pc.id = c),
+m as (select *, 2 * (ux * wy - uy * wx) as d from l where ux * wy - uy * wx <> 0),
+o as (select *, (wy * (ux * ux + uy * uy) - uy * (wx * wx + wy * wy)) / d as ox, (ux * (wx * wx + wy * wy) - wx * (ux * ux + uy * uy)) / d as oy from m),
+q as (select *, ax + ox as cx, ay + oy as cy, ox * ox + oy * oy as r2 from o where ox * ox + oy * oy <= 36),
+empty as (select * from q where not exists (select 1 from around n where n.bx = floor(cx / 12)::int and n.by = floor(cy / 12)::int and n.id not in (a, b, c) and (n.x - cx) ** 2 + (n.y - cy) ** 2 < r2)),
+cells as (select empty.*, iy, unnest(range(ceil((ax + least(0, ux, wx)) / 2)::bigint, floor((ax + greatest(0, ux, wx)) / 2)::bigint + 1)) as ix
+          from (select *, unnest(range(ceil((ay + least(0, uy, wy)) / 2)::bigint, floor((ay + greatest(0, uy, wy)) / 2)::bigint + 1)) as iy from empty) empty),
+w as (select *, (ux * (iy * 2.0::double - ay) - uy * (ix * 2.0::double - ax)) * 2 / d as wc, ((ix * 2.0::double - ax) * wy - (iy * 2.0::double - ay) * wx) * 2 / d as wb from cells),
+s as (select iy, ix, any_value((1 - wb - wc) * va + wb * vb + wc * vc) as value from w where wb >= -1e-12 and wc >= -1e-12 and 1 - wb - wc >= -1e-12 group by iy, ix)
+select iy, ix, round(value, 5) as value from s where exists (select 1 from around n where n.bx = floor(ix * 2.0::double / 12)::int and n.by = floor(iy * 2.0::double / 12)::int and (n.x - ix * 2.0::double) ** 2 + (n.y - iy * 2.0::double) ** 2 <= 9)""")
+def clu04_linear_surface(spark, d):
+    own = fixes(spark, d).withColumns({c: F.col(c).cast("double") for c in ("lat", "lon")})
+    return environment.grid_surface(own, "value", 2.0, 3.0, "linear").withColumn("value", F.round("value", 5))
