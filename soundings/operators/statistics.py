@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import category_of
+
 
 def measurement_statistics(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     """min, max, mean, count and valid percent of each column, a row each; one pass."""
@@ -22,6 +24,34 @@ def report(df: DataFrame, time: str = "t", day_us: int = 86_400_000_000) -> Data
     )
 
 
+def dataset_report(df: DataFrame, measures: Sequence[str], time: str = "t", platform: str = "platform") -> DataFrame:
+    """A report as rows of ``section``, ``name``, ``n``, ``low``, ``high``, ``mean`` and ``percent``: rows, days and box of all (``overall``), rows of each platform, valid values of each
+    measure, and measures of each category. Two aggregates over the data; the rows are as many as platforms, measures and categories."""
+    number = lambda c: F.col(c).cast("double")
+    row = lambda section, name, n, low, high, mean, percent: F.struct(
+        F.lit(section).alias("section"), (F.lit(name) if isinstance(name, str) else name).alias("name"), n.cast("long").alias("n"),
+        low.cast("double").alias("low"), high.cast("double").alias("high"), mean.cast("double").alias("mean"), percent.cast("double").alias("percent"))
+    none, all_ = F.lit(None), F.count("*")
+    parts = [row("overall", c, F.count(c), F.min(number(c)), F.max(number(c)), none, 100 * F.count(c) / F.greatest(all_, F.lit(1))) for c in (time, "lat", "lon")]
+    parts += [row("variable", m, F.count(number(m)), F.min(number(m)), F.max(number(m)), F.avg(number(m)), 100 * F.count(number(m)) / F.greatest(all_, F.lit(1))) for m in measures]
+    whole = df.agg(F.array(row("overall", "rows", all_, none, none, none, none), *parts).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+    by = df.groupBy(F.col(platform).cast("string").alias("_p")).agg(F.count("*").alias("_k"), F.min(number(time)).alias("_lo"), F.max(number(time)).alias("_hi"))
+    by = by.select(row("platform", F.coalesce("_p", F.lit("none")), F.col("_k"), F.col("_lo"), F.col("_hi"), none, none).alias("r")).select("r.*")
+    kinds = df.sparkSession.createDataFrame([(m,) for m in measures], "m string").groupBy(category_of(F.col("m")).alias("_c")).agg(F.count("*").alias("_k"))
+    return whole.unionByName(by).unionByName(kinds.select(row("category", F.col("_c"), F.col("_k"), none, none, none, none).alias("r")).select("r.*"))
+
+
+def report_markdown(report: DataFrame, title: str) -> DataFrame:
+    """``place`` and ``value``: the report's lines in order, a table for each section. The report is small by construction."""
+    order = F.array_position(F.array(*[F.lit(x) for x in ("overall", "platform", "variable", "category")]), F.col("section"))
+    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    lines = report.select(order.alias("a"), F.lit(3).alias("b"), "name", F.concat(F.lit("| "), F.concat_ws(" | ", "name", *[cell(c) for c in ("n", "low", "high", "mean", "percent")]), F.lit(" |")).alias("value"))
+    head = report.select("section", order.alias("a")).distinct()
+    heads = head.select("a", F.posexplode(F.array(F.concat(F.lit("## "), F.initcap("section")), F.lit("| name | n | low | high | mean | percent |"), F.lit("|-|-|-|-|-|-|"))).alias("b", "value")).select("a", "b", F.lit("").alias("name"), "value")
+    top = report.sparkSession.createDataFrame([(0, 0, "", f"# {title}")], "a long, b int, name string, value string")
+    return top.unionByName(heads).unionByName(lines).select(F.struct("a", "b", "name").alias("place"), "value")
+
+
 def extents(df: DataFrame, keys: Sequence[str], time: str = "t") -> DataFrame:
     """Position and time extent overall and for each key, in one pass; ``level`` 0 is a key's, the rest overall."""
     own = df.groupingSets([[F.col(k) for k in keys], []], *keys) if keys else df.groupBy()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import acoustics, geo, text
 from ..operators import echo, environment, grid, statistics, timejoin, track
 from ..session import shared_path
-from ..sources import csvs, logs, store
+from ..sources import csvs, files, logs, store
 from .standins import SAMPLES, TRACK, haversine, samples, table
 from .standins import track as fixes
 
@@ -638,9 +638,13 @@ def scl15_lenient_number(spark, d):
     return table(spark, d, "orders").select("o_orderkey", text.lenient_number(F.concat(F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit(" dB"))).alias("x"))
 
 
-@query("select doc_id, sha256(text) as sha256 from documents where text is not null")
+@query("select user_id, sha256(string_agg(event_id::varchar || ',' || event_type, chr(10) order by event_id) || chr(10)) as sha256 from events group by user_id")
 def scl17_content_hash(spark, d):
-    return table(spark, d, "documents").where("text is not null").select("doc_id", F.sha2("text", 256).alias("sha256"))
+    """A text file for each platform, hashed as a stream."""
+    path = shared_path(spark, "logs")
+    own = table(spark, d, "events").select("user_id", "event_id", F.concat_ws(",", F.col("event_id").cast("string"), "event_type").alias("value"))
+    own.repartition("user_id").sortWithinPartitions("user_id", "event_id").select("user_id", "value").write.partitionBy("user_id").text(path)
+    return files.content_hashes(spark, path).where(F.col("name").startswith("part-")).select(F.regexp_extract("path", "user_id=([^/]*)/", 1).cast("long").alias("user_id"), "sha256")
 
 
 @query("select event_id, case event_type when 'view' then 'mooring' when 'click' then 'vessel' else event_type end as code from events")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import environment, timejoin, track
+from ..operators import environment, statistics, timejoin, track
 from ..session import shared_path
-from ..sources import geoparquet, store
-from .queries import query, r6
+from ..sources import geoparquet, providers, store
+from .queries import SEGMENTS, _segmented, query, r6
 from .standins import TRACK, haversine, table
 from .standins import track as fixes
 
@@ -122,3 +122,78 @@ select iy, ix, round(value, 5) as value from s where exists (select 1 from aroun
 def clu04_linear_surface(spark, d):
     own = fixes(spark, d).withColumns({c: F.col(c).cast("double") for c in ("lat", "lon")})
     return environment.grid_surface(own, "value", 2.0, 3.0, "linear").withColumn("value", F.round("value", 5))
+
+
+REPORT = f"""with {TRACK}, v as (select platform, t, lat::double as lat, lon::double as lon, value, case when event_id % 3 > 0 then event_id end as "TEMP_AIR_MEAN" from track),
+r as (select 'overall' as section, 'rows' as name, count(*) as n, null::double as low, null::double as high, null::double as mean, null::double as percent from v
+ union all select 'overall', 't', count(t), min(t)::double, max(t)::double, null, 100.0 from v union all select 'overall', 'lat', count(lat), min(lat), max(lat), null, 100.0 from v
+ union all select 'overall', 'lon', count(lon), min(lon), max(lon), null, 100.0 from v
+ union all select 'variable', 'value', count(value), min(value), max(value), avg(value), 100.0 * count(value) / count(*) from v
+ union all select 'variable', 'TEMP_AIR_MEAN', count("TEMP_AIR_MEAN"), min("TEMP_AIR_MEAN")::double, max("TEMP_AIR_MEAN")::double, avg("TEMP_AIR_MEAN"), 100.0 * count("TEMP_AIR_MEAN") / count(*) from v
+ union all select 'platform', platform::varchar, count(*), min(t)::double, max(t)::double, null, null from v group by platform
+ union all select 'category', 'met', 1, null, null, null, null union all select 'category', 'other', 1, null, null, null, null)"""
+
+
+def _report(spark, d):
+    own = fixes(spark, d).withColumns({c: F.col(c).cast("double") for c in ("lat", "lon")}).withColumn("TEMP_AIR_MEAN", F.when(F.col("event_id") % 3 > 0, F.col("event_id")))
+    return statistics.dataset_report(own, ["value", "TEMP_AIR_MEAN"])
+
+
+@query(f"{REPORT} select section, name, n, low, high, round(mean, 6) as mean, round(percent, 6) as percent from r")
+def agg02_full_report(spark, d):
+    return _report(spark, d).withColumns({c: r6(c) for c in ("mean", "percent")})
+
+
+@query(f"{REPORT} select name, n from r where section in ('platform', 'variable')")
+def snk08_markdown(spark, d):
+    """The report as Markdown, written and its tables read back."""
+    path = shared_path(spark, "report")
+    statistics.report_markdown(_report(spark, d), "Campaign").coalesce(1).sortWithinPartitions("place").select("value").write.text(path)
+    cells = F.split("value", r" \| ")
+    rows = spark.read.text(path).where("value like '| % |' and value not like '| name %'").select(F.regexp_replace(cells[0], r"^\| ", "").alias("name"), cells[1].cast("long").alias("n"), cells[2].alias("low"))
+    return rows.where("low <> '' and name not in ('t', 'lat', 'lon')").select("name", "n")
+
+
+@query(f"""with {SEGMENTS}, s as (select platform, segment, count(*) as n from seg group by all having count(*) > 1), n as (select *, count(*) over (partition by platform, segment) as n, row_number() over (partition by platform, segment order by t, event_id) - 1 as rn from seg),
+a as (select event_id from n where n >= 5 and rn > 0 and rn < n - 1 and rn % greatest(1, n // 5) = 0 and rn <= 4 * greatest(1, n // 5))
+select 'segment' as type, count(*) as n, coalesce(sum(n), 0)::bigint as points from s union all select 'arrow', count(*), 0 from a union all select 'day_marker', 2 * count(*), 0 from (select distinct platform, day from seg)""")
+def snk04_all_features(spark, d):
+    """Segments with means and images, arrows and day markers, written as text and read back."""
+    path, seg = shared_path(spark, "features"), _segmented(spark, d)
+    lines = track.segment_summary(seg, ["value"], tie=["event_id"])
+    image = F.concat(F.lit("images/"), F.col("platform").cast("string"), F.lit("_"), F.col("segment").cast("string"), F.lit(".png"))
+    store.track_features(lines, track.arrows(seg, tie=["event_id"]), track.day_markers(seg), ["mean_value"], image).write.text(path)
+    j = lambda p: F.get_json_object("value", p)
+    back = spark.read.text(path).select(j("$.properties.type").alias("type"), j("$.properties.n_points").cast("long").alias("points"))
+    return back.groupBy("type").agg(F.count("*").alias("n"), F.coalesce(F.sum("points"), F.lit(0)).alias("points"))
+
+
+@query(f"with {TRACK} select event_id, round(lon::double, 6) as lon, round(value, 2) as nasc, round(value * 2, 4) as sv from track where event_id % 4 > 0")
+def snk05_density_features(spark, d):
+    own = fixes(spark, d).withColumns({"nasc": F.when(F.col("event_id") % 4 > 0, F.col("value")), "sv": F.when(F.col("event_id") % 4 > 0, F.col("value") * 2)})
+    j = lambda p, kind: F.get_json_object("value", p).cast(kind)
+    return store.density_features(own, {"nasc": 2, "sv": 4}, ["event_id"]).select(j("$.properties.event_id", "long").alias("event_id"), j("$.geometry.coordinates[0]", "double").alias("lon"), j("$.properties.nasc", "double").alias("nasc"), j("$.properties.sv", "double").alias("sv"))
+
+
+@query(f"""with {TRACK} select day, count(*) as n_points, 'images/' || day::varchar || '.png' as image, round(arg_min(lon, (t, event_id))::double, 6) as lon_start from track group by day having count(*) > 1""")
+def snk10_image_features(spark, d):
+    """A line for each day of a campaign, with the day's image."""
+    own = fixes(spark, d).withColumns({"segment": F.col("day"), "campaign": F.lit("all")})
+    lines = track.segment_summary(own, [], by=["campaign"], tie=["event_id"]).withColumnRenamed("segment", "day").withColumns({"platform": F.col("campaign"), "segment": F.lit(1)})
+    value = store.track_features(lines, own.select("platform", "segment", "lon", "lat", F.lit(0.0).alias("bearing")).limit(0), track.day_markers(own).limit(0), (), F.concat(F.lit("images/"), F.col("day").cast("string"), F.lit(".png")))
+    j = lambda p: F.get_json_object("value", p)
+    return value.select(j("$.properties.day").cast("date").alias("day"), j("$.properties.n_points").cast("long").alias("n_points"), j("$.properties.image").alias("image"), r6(j("$.geometry.coordinates[0][0]").cast("double")).alias("lon_start"))
+
+
+@query("""select event_id::varchar as id, case event_id % 10 when 0 then 'saildrone' when 1 then 'r2r' when 2 then 'emso' when 3 then 'emodnet' when 4 then 'plocan' when 5 then 'norsoop' when 6 then 'oceanlab' when 7 then 'ooi' when 8 then 'cmems' else 'generic' end as provider,
+ case event_id % 10 when 0 then 0.8 when 1 then 0.7 when 2 then 0.6 when 3 then 0.75 when 4 then 0.7 when 5 then 0.6 when 6 then 0.65 when 7 then 0.5 when 8 then 0.85 else 0.0 end::double as score from events""")
+def udf02_detected(spark, d):
+    """A file for each event, recognised by its name, header or metadata."""
+    kinds = [
+        ("sd1030_a.csv", ["time", "trajectory"], ""), ("x.csv", ["a"], "# field_unit: m; # cruise_id: X"), ("obsea.csv", ["a"], ""), ("x.csv", ["LOCAL_CDI_ID"], ""), ("x.csv", ["a"], "# PLOCAN buoy"),
+        ("x.csv", ["TEMP", "PSAL", "TURB"], ""), ("munkholmen.csv", ["a"], ""), ("CE02SHSM.csv", ["a"], ""), ("x.csv", ["variable", "platform_type", "value_qc", "product_doi"], ""), ("x.csv", ["lat", "lon"], ""),
+    ]
+    table_ = spark.createDataFrame([(i, *k) for i, k in enumerate(kinds)], "k long, name string, columns array<string>, metadata string")
+    own = table(spark, d, "events").select("event_id", (F.col("event_id") % 10).alias("k")).join(F.broadcast(table_), "k")
+    found = providers.detect(own.select(F.concat(F.col("name"), F.lit("/"), F.col("event_id").cast("string")).alias("file"), "columns", "metadata"))
+    return found.select(F.split("file", "/")[1].alias("id"), "provider", r6("score").alias("score"))

@@ -11,10 +11,10 @@ import re
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
@@ -22,19 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from .files import listed, opened
+
 #: Rows of a file at most.
 ROWS_PER_FILE = 5_000_000
 SCRATCH = "_writing"
 ESCAPED = r"""["#%'*/:=?\\\x7f{\[\]^\x00-\x1f]"""
 
 
-def _opened(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system and the place in it; a path is no encoded address, so its percent signs are its own."""
-    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:/", path):
-        return pafs.FileSystem.from_uri(quote(re.sub("^file:/+", "file:///", path), safe="/:@=,+~!$&'()*;"))
-    return pafs.LocalFileSystem(), path
-
-
 def _folder(key: str, value: object) -> str:
     """A partition's folder; characters that paths cannot have are put as Spark does."""
     return f"{key}={'__HIVE_DEFAULT_PARTITION__' if value is None else re.sub(ESCAPED, lambda m: f'%{ord(m[0]):02X}', str(value))}"
@@ -66,7 +61,7 @@ class _Sink(DataSourceArrowWriter):
         self.run = uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        fs, root = _opened(self.path)
+        fs, root = opened(self.path)
         attempt, files, at, writer, box, rows = uuid.uuid4().hex, [], None, None, None, 0
 
         def close() -> None:
@@ -102,7 +97,7 @@ class _Sink(DataSourceArrowWriter):
         return Written(files)
 
     def commit(self, messages: list[Written | None]) -> None:
-        fs, root = _opened(self.path)
+        fs, root = opened(self.path)
         old = [i.path for i in fs.get_file_info(pafs.FileSelector(root, recursive=True, allow_not_found=True)) if i.type == pafs.FileType.File and f"/{SCRATCH}/" not in i.path] if self.overwrite else []
         for scratch, final in [f for m in messages if m is not None for f in m.files]:
             fs.create_dir(final.rsplit("/", 1)[0], recursive=True)
@@ -113,7 +108,7 @@ class _Sink(DataSourceArrowWriter):
 
     def abort(self, messages: list[Written | None]) -> None:
         """Nothing of this run stays in the scratch folder; without a commit the table is as it was."""
-        fs, root = _opened(self.path)
+        fs, root = opened(self.path)
         if fs.get_file_info(f"{root}/{SCRATCH}/{self.run}").type == pafs.FileType.Directory:
             fs.delete_dir(f"{root}/{SCRATCH}/{self.run}")
 
@@ -144,18 +139,17 @@ def write_geoparquet(df: DataFrame, path: str, keys: Sequence[str] = ("lat_bin",
 
 def footers(spark: SparkSession, path: str) -> DataFrame:
     """``file`` (below ``path``), ``n_rows`` and ``keys``, a map of what each file's footer has, Arrow's own schema left out; only footers are read."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select("path")
     top = "/" + path.rstrip("/").split("/")[-1] + "/"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, rows, keys = [], [], []
             for p in batch.column("path").to_pylist():
-                fs, at = _opened(p)
+                fs, at = opened(p)
                 found = pq.read_metadata(fs.open_input_file(at))
                 names.append(p.split(top, 1)[-1])
                 rows.append(found.num_rows)
                 keys.append([(k.decode(), v.decode()) for k, v in (found.metadata or {}).items() if k != b"ARROW:schema"])
             yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(rows, pa.int64()), pa.array(keys, pa.map_(pa.string(), pa.string()))], names=["file", "n_rows", "keys"])
 
-    return listed.repartition(F.col("path")).mapInArrow(read, "file string, n_rows long, keys map<string,string>")
+    return listed(spark, path, "*.parquet").select("path").repartition(F.col("path")).mapInArrow(read, "file string, n_rows long, keys map<string,string>")

@@ -9,11 +9,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import staged
+from .files import json_objects
+
 # Names that latitude, longitude and time go by, the likelier first; upper and lower case make no difference.
 LATITUDES = ("lat", "latitude", "lat_deg")
 LONGITUDES = ("lon", "longitude", "lng", "lon_deg")
 TIMES = ("time", "dt", "datetime", "timestamp", "date_time")
-RECORDS = "array<struct<source_path:string,file_name:string,file_freqs:string,file_start_time:string,file_end_time:string,id:string,location_data:array<struct<lat:double,lon:double,dt:string,knt:double>>>>"
+RECORD = "source_path string, file_name string"
+POSITION = "lat double, lon double, dt string, knt double"
 
 
 def _sniffed(columns: Sequence[str], names: Sequence[str]) -> str | None:
@@ -49,6 +53,11 @@ def navigation(df: DataFrame) -> DataFrame:
 
 
 def read_locations(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each position of JSON files that hold an array of file records, with its record's ``file_name`` and ``source_path``."""
-    whole = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", RECORDS)).alias("r"))
-    return whole.select("r.source_path", "r.file_name", F.explode("r.location_data").alias("l")).select("source_path", "file_name", "l.lat", "l.lon", F.col("l.dt").try_cast("timestamp").alias("dt"), "l.knt")
+    """A row for each position of JSON files that hold an array of file records, with its record's ``file_name`` and ``source_path``.
+
+    Files are cut into records across input splits (``files.json_objects``), so an array may be larger than a task. Records without positions give no row."""
+    found = staged(json_objects(spark, path), "objects")
+    record = found.where("depth = 1").select("path", "record", F.from_json("text", RECORD).alias("r"))
+    place = found.where("depth = 2").select("path", "record", F.from_json("text", POSITION).alias("l"))
+    own = place.join(record, ["path", "record"])
+    return own.select("r.source_path", "r.file_name", "l.lat", "l.lon", F.col("l.dt").try_cast("timestamp").alias("dt"), "l.knt")

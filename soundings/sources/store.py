@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from ..functions.geo import bin_label, right_closed_bin
 from ..functions.text import name_date
 from . import keyindex
+from .files import listed
 
 # Fixed value: the columns that identify an observation, those present counting.
 KEY = ("time", "latitude", "longitude", "trajectory")
@@ -54,7 +55,7 @@ def read_campaign(spark: SparkSession, path: str, columns: Sequence[str] | None
     """All Parquet files of a campaign, schemas merged; folders named in ``skip`` (catalogues) are left out wherever they stand below ``path``.
 
     Files are listed by name first, so folders that are no partitions don't meet partition discovery. A campaign without files gives an empty frame."""
-    listed = _files(spark, path, "*.parquet")
+    listed = listed(spark, path, "*.parquet")
     inside = F.split(F.element_at(F.split("path", re.escape("/" + path.rstrip("/").split("/")[-1] + "/"), 2), 2), "/")
     paths = [r[0] for r in listed.where(~F.arrays_overlap(inside, F.array(*[F.lit(s) for s in skip]))).select("path").collect()]  # as many as the scan itself lists
     if not paths:
@@ -138,20 +139,12 @@ def upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str] =
 
 def manifest(spark: SparkSession, path: str, since: str | None = None, until: str | None = None) -> DataFrame:
     """Names, sizes and times of files; their bytes are not read. ``day`` is the date in the name; with ``since`` or ``until`` only files dated so stay."""
-    out = _files(spark, path).withColumn("day", name_date(F.col("name")))
+    out = listed(spark, path).withColumn("day", name_date(F.col("name")))
     if since is not None:
         out = out.where(F.col("day") >= F.lit(since).cast("date"))
     return out.where(F.col("day") <= F.lit(until).cast("date")) if until is not None else out
 
 
-def _files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", "modificationTime")
-
-
-def content_hashes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"), "length")
-
-
 def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files whose name and hash the ledger does not have; each is judged on its own."""
     return files.join(ledger.select("name", "sha256"), ["name", "sha256"], "left_anti")
@@ -181,6 +174,26 @@ def point(lon: Column, lat: Column) -> Column:
     return F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates"))
 
 
+def track_features(segments: DataFrame, arrows: DataFrame, markers: DataFrame, measures: Sequence[str] = (), image: Column | None = None) -> DataFrame:
+    """``value``: newline GeoJSON of a campaign's track: segments as lines with their mean measures, arrows as points with their course, and the first and last point of each day.
+
+    ``segments``: platform, segment, day, n_points, t_start, t_end, coordinates; ``arrows``: platform, segment, lon, lat, bearing; ``markers``: platform, day, t_first, t_last, first, last.
+    ``image`` names a segment's product image. Empty properties are left out of a feature."""
+    links = [image.alias("image")] if image is not None else []
+    lines = segments.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.lit("segment").alias("type"), "platform", "segment", *[c for c in ("day",) if c in segments.columns], "n_points", "t_start", "t_end", *measures, *links).alias("properties"), line_string(F.col("coordinates")).alias("geometry"))).alias("value"))
+    heads = geojson(arrows.withColumn("type", F.lit("arrow")), point(F.col("lon"), F.col("lat")), ["type", "platform", "segment", "bearing"])
+    ends = markers.select("platform", "day", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(t).alias("t"), F.col(f"{at}.lon").alias("lon"), F.col(f"{at}.lat").alias("lat")) for k, t, at in (("start", "t_first", "first"), ("end", "t_last", "last"))])).alias("e"))
+    ends = geojson(ends.select(F.lit("day_marker").alias("type"), "platform", "day", "e.*"), point(F.col("lon"), F.col("lat")), ["type", "platform", "day", "kind", "t"])
+    return lines.unionByName(heads).unionByName(ends)
+
+
+def density_features(df: DataFrame, values: dict[str, int], keys: Sequence[str] = ("channel", "t")) -> DataFrame:
+    """``value``: newline GeoJSON of density points (``lon``, ``lat`` to six decimals) with ``keys`` and each of ``values`` rounded to so many decimals; points without a position or any value are left out."""
+    own = df.where(F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.coalesce(*[F.col(v).cast("double") for v in values]).isNotNull())
+    own = own.withColumns({v: F.round(F.col(v).cast("double"), d) for v, d in values.items()})
+    return geojson(own, point(F.round(F.col("lon").cast("double"), 6), F.round(F.col("lat").cast("double"), 6)), [*keys, *values])
+
+
 def save_metadata(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
