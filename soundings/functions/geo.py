@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,15 +51,24 @@ def bin_label(prefix: str, index: Column, edges: Sequence[float]) -> Column:
     return F.coalesce(F.concat(F.lit(prefix + "_"), edge_text(F.get(ends, index)), F.lit("_"), edge_text(F.get(ends, index + 1))), F.lit("nan"))
 
 
-def _wkb(lon: pd.Series, lat: pd.Series) -> pd.Series:
-    xy = np.stack((lon.to_numpy("<f8"), lat.to_numpy("<f8")), axis=1).tobytes()
-    return pd.Series([b"\x01\x01\x00\x00\x00" + xy[i : i + 16] for i in range(0, len(xy), 16)])
+def points(lon: pa.Array, lat: pa.Array) -> pa.Array:
+    """21-byte little-endian points for whole columns; NULL where either coordinate is."""
+    x, y = (np.asarray(c.cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False), "<f8") for c in (lon, lat))
+    table = np.zeros((len(x), 21), np.uint8)
+    table[:, :5] = np.frombuffer(b"\x01\x01\x00\x00\x00", np.uint8)
+    table[:, 5:13], table[:, 13:] = x[:, None].view(np.uint8), y[:, None].view(np.uint8)
+    offsets = np.arange(len(x) + 1, dtype=np.int32) * 21
+    whole = pa.BinaryArray.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(offsets), pa.py_buffer(table)])
+    return pc.if_else(pc.and_(pc.is_valid(lon), pc.is_valid(lat)), whole, pa.scalar(None, pa.binary()))
 
 
 def point_wkb(lon: Column, lat: Column) -> Column:
-    """21-byte little-endian point; NULL where either coordinate is."""
-    both = lon.isNotNull() & lat.isNotNull()
-    return F.when(both, F.pandas_udf(_wkb, "binary")(F.coalesce(lon, F.lit(0.0)), F.coalesce(lat, F.lit(0.0))))
+    """A point in 21 bytes; NULL where either coordinate is. Doubles have no bytes in SQL, so whole columns go through Arrow."""
+
+    def make(x: pa.Array, y: pa.Array) -> pa.Array:
+        return points(x, y)
+
+    return F.arrow_udf(make, "binary")(lon.cast("double"), lat.cast("double"))
 
 
 def bbox_ring(west: Column, south: Column, east: Column, north: Column) -> Column:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from ..functions.geo import points
 from .files import listed, opened
 
 #: Rows of a file at most.
@@ -35,18 +36,6 @@ def _folder(key: str, value: object) -> str:
     return f"{key}={'__HIVE_DEFAULT_PARTITION__' if value is None else re.sub(ESCAPED, lambda m: f'%{ord(m[0]):02X}', str(value))}"
 
 
-def points(lon: pa.Array, lat: pa.Array) -> pa.Array:
-    """21-byte little-endian points for whole columns; NULL where either coordinate is."""
-    x, y = (np.asarray(c.fill_null(0.0).to_numpy(zero_copy_only=False), "<f8") for c in (lon, lat))
-    table = np.zeros((len(x), 21), np.uint8)
-    table[:, :5] = np.frombuffer(b"\x01\x01\x00\x00\x00", np.uint8)
-    table[:, 5:13], table[:, 13:] = x[:, None].view(np.uint8), y[:, None].view(np.uint8)
-    offsets = np.arange(len(x) + 1, dtype=np.int32) * 21
-    whole = pa.BinaryArray.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(offsets), pa.py_buffer(table)])
-    both = pa.compute.and_(pa.compute.is_valid(lon), pa.compute.is_valid(lat))
-    return pa.compute.if_else(both, whole, pa.scalar(None, pa.binary()))
-
-
 @dataclass
 class Written(WriterCommitMessage):
     files: list[tuple[str, str]]
@@ -90,7 +79,7 @@ class _Sink(DataSourceArrowWriter):
                     writer = pq.ParquetWriter(fs.open_output_stream(f"{scratch}/{name}"), body.schema, compression="zstd")
                 writer.write_table(body.slice(a, z - a))
                 rows += z - a
-                x, y = (pa.compute.min_max(batch.column(c).slice(a, z - a)).as_py() for c in (self.lon, self.lat))
+                x, y = (pc.min_max(batch.column(c).slice(a, z - a)).as_py() for c in (self.lon, self.lat))
                 if x["min"] is not None and y["min"] is not None:
                     box = [min(box[0], x["min"]), min(box[1], y["min"]), max(box[2], x["max"]), max(box[3], y["max"])]
         close()

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,17 +26,33 @@ def _sniffed(columns: Sequence[str], names: Sequence[str]) -> str | None:
     return next((low[n] for n in names if n in low), None)
 
 
-def _point(wkb: pd.Series, at: int) -> pd.Series:
-    raw = [w if isinstance(w, bytes | bytearray) and len(w) >= 21 else None for w in wkb]
-    return pd.Series([None if w is None else float(np.frombuffer(w, "<f8" if w[0] == 1 else ">f8", 1, at)[0]) for w in raw], dtype="float64")
+def _ordinate(wkb: pa.Array, at: int) -> pa.Array:
+    """The double ``at`` so many bytes into each point, in either byte order; NULL for what is too short for a point."""
+    own = wkb.cast(pa.large_binary())
+    size = pc.fill_null(pc.binary_length(own), 0).to_numpy(zero_copy_only=False)
+    good = size >= 21
+    if not good.any():
+        return pa.nulls(len(wkb), pa.float64())
+    begin = np.frombuffer(own.buffers()[1], np.int64, len(own) + 1 + own.offset)[own.offset : -1][good]
+    data = np.frombuffer(own.buffers()[2], np.uint8)
+    out = np.full(len(wkb), np.nan)
+    little, big = (np.ndarray((len(data) - 7,), kind, data, strides=(1,))[begin + at].astype(float) for kind in ("<f8", ">f8"))
+    out[good] = np.where(data[begin] == 1, little, big)
+    return pa.array(out, mask=~good)
 
 
 def point_x(wkb: Column) -> Column:
-    return F.pandas_udf(lambda w: _point(w, 5), "double")(wkb)
+    def x(column: pa.Array) -> pa.Array:
+        return _ordinate(column, 5)
+
+    return F.arrow_udf(x, "double")(wkb)
 
 
 def point_y(wkb: Column) -> Column:
-    return F.pandas_udf(lambda w: _point(w, 13), "double")(wkb)
+    def y(column: pa.Array) -> pa.Array:
+        return _ordinate(column, 13)
+
+    return F.arrow_udf(y, "double")(wkb)
 
 
 def navigation(df: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from soundings.functions.text import csv_cells, named_cells
 from soundings.operators import environment, statistics
-from soundings.sources import csvs, geoparquet, keyindex, store
+from soundings.functions.geo import points
+from soundings.sources import csvs, geoparquet, keyindex, navigation, store
 
 
 def scans(df):
@@ -115,7 +116,7 @@ def test_a_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
 
 
 def test_points_without_rows():
-    assert geoparquet.points(pa.array([], pa.float64()), pa.array([], pa.float64())).to_pylist() == []
+    assert points(pa.array([], pa.float64()), pa.array([], pa.float64())).to_pylist() == []
 
 
 def test_a_late_row_opens_the_files_around_it_only(spark, tmp_path):
@@ -145,3 +146,11 @@ def test_the_index_never_misses(spark, tmp_path):
     assert {f.split("/")[-1] for f in owners} <= {f.split("/")[-1] for f in found}
     nothing = keyindex.may_hold(spark, path, spark.createDataFrame([(1000.0, "zz", 0)], "x double, s string, i int"), ["x", "s"])
     assert len(nothing) == len({r.f for r in spark.read.parquet(path).where("i >= 300").select(F.col("_metadata.file_path").alias("f")).collect()})
+
+
+def test_points_are_read_in_either_byte_order():
+    raw = [None, b"", b"\x01" * 20, points(pa.array([1.5]), pa.array([-2.5]))[0].as_py(), b"\x00\x00\x00\x00\x01" + np.array([3.5, 4.5], ">f8").tobytes(), b"\x01\x01\x00\x00\x00" + np.array([5.5, 6.5], "<f8").tobytes() + b"more"]
+    column = pa.array([b"x" * 30, *raw], pa.binary()).slice(1)
+    assert navigation._ordinate(column, 5).to_pylist() == [None, None, None, 1.5, 3.5, 5.5]
+    assert navigation._ordinate(column, 13).to_pylist() == [None, None, None, -2.5, 4.5, 6.5]
+    assert navigation._ordinate(column.slice(0, 2), 5).to_pylist() == [None, None]

@@ -123,7 +123,7 @@ def test_day_segments_count_every_row(spark, tmp_path, monkeypatch):
 
 
 def test_simplified_query_takes_a_track_day_as_the_group(spark, tmp_path):
-    out = queries.win19_simplified(spark, two_days(spark, tmp_path))
+    out = sequences.win19_simplified(spark, two_days(spark, tmp_path))
     assert out.columns == ["platform", "event_id"] and sorted(r["event_id"] for r in out.collect()) == [0, 9, 10, 19]
 
 
