@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from soundings.functions import geo
 from soundings.operators import echo, grid, timejoin, track
-from soundings.plans import catalog, queries
+from soundings.plans import catalog, sequences
 
 MINUTE = 60_000_000
 
