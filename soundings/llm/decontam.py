@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
-from .shared import bit_table, passes, row_key, staged
+from .shared import Scratch, bit_table, passes, row_key, staged
 from .words import ALNUM, slices, split_words
 
 #: Most window terms looked for in one pass over the documents; a larger benchmark is searched in several blocks.
@@ -247,15 +247,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, slop: i
 
     The benchmark is a query set, searched in blocks of bounded size against the index of all documents. Null and empty texts have no words;
     very long ones are searched block by block. Repeated rows each get the result of their text; repeated items all count, and of items with equal windows all are named."""
-    windows = staged(windows_of(benchmark, size, item_text, item_id), "windows")
-    total = windows.agg(F.sum(F.size("terms"))).first()[0] or 0
-    blocks = 1 + int(total) // TERMS_PER_BLOCK
-    found = None
-    for i in range(blocks):
-        own = windows.where(F.pmod("win", F.lit(blocks)) == i)
-        part = confirmed(docs, candidates(docs, own, size, slop, text, doc_id), own, size, slop, text, doc_id)
-        found = part if found is None else found.unionByName(part)
-    found = staged(found, "confirmed")
+    with Scratch() as scratch:
+        windows = staged(windows_of(benchmark, size, item_text, item_id), "windows")
+        total = windows.agg(F.sum(F.size("terms"))).first()[0] or 0
+        blocks = 1 + int(total) // TERMS_PER_BLOCK
+        found = None
+        for i in range(blocks):
+            own = windows.where(F.pmod("win", F.lit(blocks)) == i)
+            part = confirmed(docs, candidates(docs, own, size, slop, text, doc_id), own, size, slop, text, doc_id)
+            found = part if found is None else found.unionByName(part)
+        found = staged(found, "confirmed")
+        scratch.keep(windows, found)
 
     def named(wins: str, to: str) -> DataFrame:
         pairs = found.select("_k", F.explode(wins).alias("win")).distinct().join(windows.select("win", "items"), "win")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quality import BLANKS
-from .shared import row_key, staged
+from .shared import dropped, row_key, staged
 
 
 def _lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -54,6 +54,7 @@ def repeated_spans(docs: DataFrame, min_words: int = 50, text: str = "text", doc
     sides = F.explode(F.array("a", F.struct("b.content", "b.first", "b.last", "b.fp", F.lit(None).cast("int").alias("at"))))
     met = own.select("_o", "_k", sides.alias("w")).where("w.fp is not null").select("_o", "_k", "w.content", "w.first", "w.last", "w.fp")
     met = staged(met.join(often, "fp", "left_semi"), "met")
+    dropped(own, often)
     earliest = met.groupBy("fp", "content").agg(F.min(F.struct("_o", "_k", "first")).alias("src"), F.count("*").alias("n")).where("n > 1").drop("n")
     joined = met.join(staged(earliest, "earliest"), ["fp", "content"])
     later = (F.col("src._k") != F.col("_k")) | (F.col("src.first") != F.col("first"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bit_table, passes, row_key, staged
+from .shared import Scratch, dropped, bit_table, passes, row_key, staged
 from .words import mix, shingle_sets, slices, split_words, spread
 
 BUCKET_BITS = 18
@@ -290,13 +290,16 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
     label = staged(nodes.select("c", F.col("c").alias("comp")), "label")
     while True:
         near = edges.join(label.select(F.col("c").alias("b"), "comp"), "b").groupBy(F.col("a").alias("c")).agg(F.min("comp").alias("near"))
-        step = staged(label.join(near, "c", "left").select("c", F.least("comp", "near").alias("next"), "comp"), "step")
+        step = staged(label.select("c", "comp").join(near, "c", "left").select("c", F.least("comp", "near").alias("next"), "comp"), "step")
         hop = step.select(F.col("c").alias("next"), F.col("next").alias("far"))
+        dropped(label)
         new = staged(step.join(hop, "next", "left").select("c", F.least("next", "far").alias("comp"), F.col("comp").alias("old")), "label")
         done = new.where("comp <> old").isEmpty()
-        label = new.select("c", "comp")
+        dropped(step)
+        label = new
         if done:
-            return label
+            dropped(edges)
+            return label.select("c", "comp")
 
 
 def _set_table(docs: DataFrame, keys: DataFrame, width: int, text: str) -> DataFrame:
@@ -326,32 +329,44 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text:
     component) and ``component`` (its hash, NULL for empty sets) for every row. Fewer words than ``width``: the whole sequence is one shingle. Null texts and texts without
     words have an empty set and are linked with nothing. Null ids never give a component its id while
     another is there. Repeated rows are each returned. Sets are told apart by 64-bit hashes."""
-    own = staged(profiles(docs, width, text, doc_id), "profiles")
-    classes = staged(own.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
-    sizes = {r[0]: r[1] for r in classes.groupBy("n").count().collect()}  # as many rows as there are set sizes
-    boundary = size_boundary(sizes, percent, scan_cost)
-    counts = _bucket_counts(docs, width, text)
-    found = staged(_scan_lists(_signatures(docs, counts, boundary, width, percent, text), boundary, percent), "lists")
-    maps = classes.select("c", "n", "bits")
-    pairs = staged(_possible(staged(found.where("kind = 0").select("a", "b").distinct(), "pairs"), maps, percent), "possible")
-    long = staged(found.where("kind = 1").select("sig", F.col("b").alias("c"), "n", "rest").distinct(), "long")
-    ends = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
-    nodes = staged(ends.unionByName(long.select("c")).distinct(), "nodes")
-    sets = staged(_set_table(docs, staged(ends, "ends"), width, text), "sets")
-    links = _similar(pairs, sets, percent).where(100 * F.col("inter") >= percent * F.col("total")).select("a", "b")
-    label = components(staged(links, "links"), nodes)
-    members = _open_members(long, label, percent)
-    if members is not None:
-        # Bitmaps first, and whole sets of the members that they leave a partner. Links found now join components, so components are the nodes.
-        members = staged(_with_partner(members, maps, percent), "partnered")
-        sets = staged(_set_table(docs, staged(members.select("c").distinct(), "need"), width, text), "sets")
-        more = staged(_joined(members, sets, percent), "joined")
-        again = components(more, more.select(F.col("a").alias("c")).unionByName(more.select(F.col("b").alias("c"))).distinct())
-        label = label.join(again.toDF("comp", "far"), "comp", "left").select("c", F.coalesce("far", "comp").alias("comp"))
-    # Names: the least document id of the classes of a component.
-    named = classes.join(label, "c", "left").select("c", F.coalesce("comp", "c").alias("comp"), "least")
-    names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    final = staged(named.select("c", "comp").join(names, "comp").select("c", "component_id", F.col("comp").alias("component")), "components")
+    with Scratch() as scratch:
+        own = staged(profiles(docs, width, text, doc_id), "profiles")
+        classes = staged(own.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
+        sizes = {r[0]: r[1] for r in classes.groupBy("n").count().collect()}  # as many rows as there are set sizes
+        boundary = size_boundary(sizes, percent, scan_cost)
+        counts = _bucket_counts(docs, width, text)
+        found = staged(_scan_lists(_signatures(docs, counts, boundary, width, percent, text), boundary, percent), "lists")
+        maps = classes.select("c", "n", "bits")
+        all_pairs = staged(found.where("kind = 0").select("a", "b").distinct(), "pairs")
+        long = staged(found.where("kind = 1").select("sig", F.col("b").alias("c"), "n", "rest").distinct(), "long")
+        dropped(found)
+        pairs = staged(_possible(all_pairs, maps, percent), "possible")
+        dropped(all_pairs)
+        ends = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
+        nodes = staged(ends.unionByName(long.select("c")).distinct(), "nodes")
+        ends = staged(ends, "ends")
+        sets = staged(_set_table(docs, ends, width, text), "sets")
+        links = _similar(pairs, sets, percent).where(100 * F.col("inter") >= percent * F.col("total")).select("a", "b")
+        links = staged(links, "links")
+        dropped(pairs, ends, sets)
+        label = components(links, nodes)
+        dropped(links, nodes)
+        members = _open_members(long, label, percent)
+        dropped(long)
+        if members is not None:
+            # Bitmaps first, and whole sets of the members that they leave a partner. Links found now join components, so components are the nodes.
+            bundles, members = members, staged(_with_partner(members, maps, percent), "partnered")
+            dropped(bundles)
+            sets = staged(_set_table(docs, staged(members.select("c").distinct(), "need"), width, text), "sets")
+            more = staged(_joined(members, sets, percent), "joined")
+            dropped(members, sets)
+            again = components(more, more.select(F.col("a").alias("c")).unionByName(more.select(F.col("b").alias("c"))).distinct())
+            label = label.join(again.toDF("comp", "far"), "comp", "left").select("c", F.coalesce("far", "comp").alias("comp"))
+        # Names: the least document id of the classes of a component.
+        named = classes.join(label, "c", "left").select("c", F.coalesce("comp", "c").alias("comp"), "least")
+        names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
+        final = staged(named.select("c", "comp").join(names, "comp").select("c", "component_id", F.col("comp").alias("component")), "components")
+        scratch.keep(own, final)
     got = own.where("n > 0").join(final, "c").select("_k", "doc_id", F.col("n").alias("n_shingles"), "component_id", "component")
     return got.unionByName(own.where("n = 0").select("_k", "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("component")))
 
@@ -361,18 +376,21 @@ def _open_members(long: DataFrame, label: DataFrame, percent: int) -> DataFrame
 
     Members that sizes and rests allow no partner in the list are left out of it. A list's bundle is the least hash among its members, and then among
     the lists that its members stand in: the many lists of a group of copies become one bundle."""
-    tagged = staged(long.join(label, "c"), "tagged")
-    several = (F.min("comp") < F.max("comp")).alias("several")
-    lists = tagged.groupBy("sig").agg(several, F.min("n").alias("least"), F.max("rest").alias("most")).where("several").drop("several")
-    room = percent * (F.col("n") + F.col("least")) <= (100 + percent) * F.least("rest", "most")
-    live = staged(tagged.join(staged(lists, "lists"), "sig").where(room).select("sig", "c", "comp", "n"), "live")
-    open_ = staged(live.groupBy("sig").agg(several, F.min(F.xxhash64("c")).alias("bundle")).where("several").drop("several"), "open")
-    if open_.isEmpty():
-        return None
-    own = staged(live.join(open_, "sig"), "listed")
-    near = staged(own.groupBy("c").agg(F.min("bundle").alias("near")), "near")
-    wide = staged(own.join(near, "c").groupBy("sig").agg(F.min("near").alias("wide")), "wide")
-    return staged(own.join(wide, "sig").groupBy(F.col("wide").alias("bundle"), "c").agg(F.first("comp").alias("comp"), F.first("n").alias("n")), "members")
+    with Scratch() as scratch:
+        tagged = staged(long.join(label, "c"), "tagged")
+        several = (F.min("comp") < F.max("comp")).alias("several")
+        lists = tagged.groupBy("sig").agg(several, F.min("n").alias("least"), F.max("rest").alias("most")).where("several").drop("several")
+        room = percent * (F.col("n") + F.col("least")) <= (100 + percent) * F.least("rest", "most")
+        live = staged(tagged.join(staged(lists, "lists"), "sig").where(room).select("sig", "c", "comp", "n"), "live")
+        open_ = staged(live.groupBy("sig").agg(several, F.min(F.xxhash64("c")).alias("bundle")).where("several").drop("several"), "open")
+        if open_.isEmpty():
+            return None
+        own = staged(live.join(open_, "sig"), "listed")
+        near = staged(own.groupBy("c").agg(F.min("bundle").alias("near")), "near")
+        wide = staged(own.join(near, "c").groupBy("sig").agg(F.min("near").alias("wide")), "wide")
+        members = staged(own.join(wide, "sig").groupBy(F.col("wide").alias("bundle"), "c").agg(F.first("comp").alias("comp"), F.first("n").alias("n")), "members")
+        scratch.keep(members)
+        return members
 
 
 def _dealt(members: DataFrame, amount: Column, least: int, most: int) -> DataFrame:

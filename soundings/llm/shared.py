@@ -29,12 +29,55 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """Tables written inside a ``with`` block: all but those kept are deleted at its end, and single ones before, when nothing is to be read from them again.
+
+    What was made from a deleted table has been written itself, so a lost executor needs none of them."""
+
+    _open: list[Scratch] = []
+
+    def __enter__(self) -> Scratch:
+        self.paths: dict[str, SparkSession] = {}
+        Scratch._open.append(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        Scratch._open.remove(self)
+        for path, spark in self.paths.items():
+            _delete(spark, path)
+
+    def keep(self, *frames: DataFrame) -> None:
+        """Tables that the result still reads; they belong to the block around this one, if there is any."""
+        for df in frames:
+            spark = self.paths.pop(df._scratch, None)
+            around = Scratch._open[: Scratch._open.index(self)]
+            if spark is not None and around:
+                around[-1].paths[df._scratch] = spark
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Delete the tables of frames that ``staged`` gave."""
+    for df in frames:
+        _delete(df.sparkSession, df._scratch)
+        for scope in Scratch._open:
+            scope.paths.pop(df._scratch, None)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there,
     a lost executor loses nothing, and later joins see an unpartitioned scan that AQE can split."""
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    if Scratch._open:
+        Scratch._open[-1].paths[path] = df.sparkSession
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
