@@ -23,7 +23,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bit_tables, passes, staged
+from .shared import Scratch, bit_tables, dropped, passes, staged
 from .words import Words, mix, slices, split_words
 
 #: Occurrences from which a context is tested, and from which a word stands in a context's list, at every size.
@@ -231,6 +231,7 @@ def learn_tree(docs: DataFrame, vocab: DataFrame, ends: int, floor: float, text:
         known = staged(_keyed(rows, level + 1).join(pairs.select(F.col("key").alias("below"), F.col("lp").alias("blp")), "below"), "known")
         shared.destroy()
         pairs = staged(grown(known), "pairs")
+        dropped(known)
         if pairs.isEmpty():
             break
         level += 1
@@ -250,13 +251,15 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
     Keys of little share are looked up in the whole tree by a join. With ``pair_least`` = 1 no count is left out of any list."""
     spark = docs.sparkSession
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.col(learn), F.lit(False)).alias("learn"))
-    vocab = staged(vocabulary(own), "vocabulary")
-    ends = own.where(F.col("learn")).count()
-    words, kinds = vocab.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    total = words + ends
-    floor = float(np.log10(total + kinds + (ends > 0) + 1))
-    tree, depth = learn_tree(own, vocab, ends, floor, context_least=context_least, pair_least=pair_least)
-    tree = staged(tree, "tree")
+    with Scratch() as scratch:
+        vocab = staged(vocabulary(own), "vocabulary")
+        ends = own.where(F.col("learn")).count()
+        words, kinds = vocab.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+        total = words + ends
+        floor = float(np.log10(total + kinds + (ends > 0) + 1))
+        tree, depth = learn_tree(own, vocab, ends, floor, context_least=context_least, pair_least=pair_least)
+        tree = staged(tree, "tree")
+        scratch.keep(tree)
     often = F.col("n") >= held_share * total
     rare = tree.where(~often)
     top = tree.where(often).select("key", "value", "level", "listed").toArrow()
