@@ -19,35 +19,54 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import Scratch, bit_tables, dropped, passes, staged
-from .words import Words, mix, slices, split_words
+from .words import mix, slices, split_words
 
 #: Occurrences from which a context is tested, and from which a word stands in a context's list, at every size.
 CONTEXT_LEAST, PAIR_LEAST = 50, 3
-#: Every task holds the keys of this share of the training tokens: at most its inverse (2 million) words, and contexts and pairs of each level. The join has the others.
-HELD_SHARE = 5e-7
-#: Rows that a task adds up before it passes them on.
-ROWS_HELD = 1_500_000
+#: Every task holds the keys of this share of the training tokens: at most its inverse (2 million) words, and as many contexts and pairs of each of the first levels. The join has the others.
+HELD_SHARE, HELD_LEVELS = 5e-7, 3
+#: Rows that a task adds up before it passes them on, and texts.
+ROWS_HELD, TEXTS_HELD = 1_500_000, 1 << 16
+#: Rows of the tree in a bucket of the join.
+BUCKET_ROWS = 1 << 18
+#: Bytes of symbols that are worked on at once.
+SLICE = 4 << 20
 BEGIN, END = np.uint64(0x5BE6A1F0C3D2E487), np.uint64(0xE4D1C7B2A3958677)
 #: Tells a context's own key from that of the pair it is one level below.
 _CONTEXT = np.uint64(0x3C79AC492BA7B653)
 
 
-def _tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of all rows, each ended by END; the row of each, and how many stand before it in its row."""
-    h = words.hashes()
-    at = words.bounds[1:] + np.arange(words.n_docs)
-    symbols = np.empty(len(h) + words.n_docs, np.uint64)
-    is_end = np.zeros(len(symbols), bool)
-    is_end[at] = True
-    symbols[is_end], symbols[~is_end] = END, h
-    n = words.counts + 1
-    begin = np.cumsum(n) - n
-    return symbols, np.repeat(np.arange(words.n_docs), n), np.arange(len(symbols)) - np.repeat(begin, n)
+def hashed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``learn`` and ``symbols``: the hashes of a text's words and END, eight bytes each. Texts are split once; all else reads these."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                words = split_words(batch.column("text"))
+                at = words.bounds[1:] + np.arange(words.n_docs)
+                symbols = np.insert(words.hashes(), words.bounds[1:], END)
+                offsets = np.concatenate(([0], 8 * (at + 1))).astype(np.int32)
+                column = pa.Array.from_buffers(pa.binary(), words.n_docs, [None, pa.py_buffer(offsets), pa.py_buffer(symbols)])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("learn"), column], names=["doc_id", "learn", "symbols"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "learn", "text").mapInArrow(make, f"doc_id {kind}, learn boolean, symbols binary")
+
+
+def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of all rows; the row of each, and how many stand before it in its row; symbols of each row."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1 + column.offset)[column.offset :]
+    symbols = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(np.uint64)
+    bounds = (offsets - offsets[0]) >> 3
+    n = np.diff(bounds)
+    return symbols, np.repeat(np.arange(len(n)), n), np.arange(len(symbols)) - np.repeat(bounds[:-1], n), n
 
 
 def _pair(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
@@ -85,14 +104,15 @@ def _pieces(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 17)]) for c in columns], names=names)
 
 
-def vocabulary(docs: DataFrame, text: str = "text", learn: str = "learn") -> DataFrame:
+def vocabulary(tokens: DataFrame) -> DataFrame:
     """``h``, ``n``: the hash of every distinct word of the texts to learn from and its count; each task adds up its own first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held = [], 0
         for whole in batches:
-            for batch in slices(whole, "text"):
-                h, n = np.unique(split_words(batch.column("text")).hashes(), return_counts=True)
+            for batch in slices(whole, "symbols", SLICE):
+                symbols = _tokens(batch.column("symbols"))[0]
+                h, n = np.unique(symbols[symbols != END], return_counts=True)
                 known.append((h, n))
                 held += len(h)
                 if held > ROWS_HELD:
@@ -106,11 +126,10 @@ def vocabulary(docs: DataFrame, text: str = "text", learn: str = "learn") -> Dat
         n = np.bincount(place, weights=np.concatenate([n for _, n in known]), minlength=len(h))
         return _pieces([h.view(np.int64), n.astype(np.int64)], ["h", "n"])
 
-    own = docs.where(F.col(learn)).select(F.col(text).alias("text"))
-    return own.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return tokens.where("learn").select("symbols").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def next_counts(docs: DataFrame, level: int, shared: Broadcast, text: str = "text", learn: str = "learn") -> DataFrame:
+def next_counts(tokens: DataFrame, level: int, shared: Broadcast) -> DataFrame:
     """``context``, ``symbol``, ``n``: how often each word follows each context of one level. ``shared``: two filters.
 
     Rows that a filter of the level's contexts, or one of the pairs one level below, does not let through are not
@@ -125,8 +144,8 @@ def next_counts(docs: DataFrame, level: int, shared: Broadcast, text: str = "tex
             return _pieces([context[first].view(np.int64), symbol[first].view(np.int64), n], ["context", "symbol", "n"])
 
         for whole in batches:
-            for batch in slices(whole, "text"):
-                symbols, _, place = _tokens(split_words(batch.column("text")))
+            for batch in slices(whole, "symbols", SLICE):
+                symbols, _, place, _ = _tokens(batch.column("symbols"))
                 for d, at, context, _, below in _levels(symbols, place, level):
                     if d == level:
                         use = np.flatnonzero(passes(context, contexts))
@@ -139,8 +158,7 @@ def next_counts(docs: DataFrame, level: int, shared: Broadcast, text: str = "tex
         if held:
             yield from summed()
 
-    own = docs.where(F.col(learn)).select(F.col(text).alias("text"))
-    return own.mapInArrow(count, "context long, symbol long, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+    return tokens.where("learn").select("symbols").mapInArrow(count, "context long, symbol long, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
 
 
 def _keyed(rows: DataFrame, level: int) -> DataFrame:
@@ -215,9 +233,9 @@ def grown(counts: DataFrame) -> DataFrame:
     return both.select("key", "below", "context", "n", "whole", "rest", lp.alias("lp"), (lp - F.col("blp") - F.col("rest")).alias("value"))
 
 
-def learn_tree(docs: DataFrame, vocab: DataFrame, ends: int, floor: float, text: str = "text", learn: str = "learn", context_least: int = CONTEXT_LEAST, pair_least: int = PAIR_LEAST) -> tuple[DataFrame, int]:
+def learn_tree(tokens: DataFrame, vocab: DataFrame, ends: int, floor: float, context_least: int = CONTEXT_LEAST, pair_least: int = PAIR_LEAST) -> tuple[DataFrame, int]:
     """``key``, ``value``, ``n``, ``level`` (0: words) and ``listed`` (or a context), and the number of levels; counts cover all rows to learn from."""
-    spark = docs.sparkSession
+    spark = tokens.sparkSession
     row = lambda h: spark.createDataFrame([(_signed(h), ends)] if ends else [], "key long, n long")
     words = vocab.select(F.col("h").alias("key"), "n").unionByName(row(END))
     tree = words.select("key", F.log10(F.col("n") + 1.0).alias("value"), "n", F.lit(0).alias("level"), F.lit(True).alias("listed"))
@@ -226,7 +244,7 @@ def learn_tree(docs: DataFrame, vocab: DataFrame, ends: int, floor: float, text:
     level = 0
     while not contexts.isEmpty():
         shared = spark.sparkContext.broadcast(bit_tables(contexts.select("key"), pairs.select("key")))
-        rows = next_counts(docs, level + 1, shared, text, learn).where(F.col("n") >= pair_least)
+        rows = next_counts(tokens, level + 1, shared).where(F.col("n") >= pair_least)
         rows = rows.join(contexts.select(F.col("key").alias("context"), F.col("n").alias("whole"), "short"), "context")
         known = staged(_keyed(rows, level + 1).join(pairs.select(F.col("key").alias("below"), F.col("lp").alias("blp")), "below"), "known")
         shared.destroy()
@@ -248,19 +266,20 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
     Returns ``doc_id``, ``learn``, ``n_tokens`` (words and the end), ``n_known``, ``train_tokens``, ``base_score`` (add-one unigrams) and
     ``score`` (log10 probability under the tree). Null texts count as empty: the end alone. Repeated rows are each
     returned and each counted; very long texts are read whole, a run of their own each. Without rows to learn from, all tokens are unknown.
-    Keys of little share are looked up in the whole tree by a join. With ``pair_least`` = 1 no count is left out of any list."""
+    Keys of little share are looked up in the whole tree by a join on buckets of keys. With ``pair_least`` = 1 no count is left out of any list."""
     spark = docs.sparkSession
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.col(learn), F.lit(False)).alias("learn"))
     with Scratch() as scratch:
-        vocab = staged(vocabulary(own), "vocabulary")
-        ends = own.where(F.col("learn")).count()
+        tokens = staged(hashed(own), "tokens")
+        vocab = staged(vocabulary(tokens), "vocabulary")
+        ends = tokens.where("learn").count()
         words, kinds = vocab.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
         total = words + ends
         floor = float(np.log10(total + kinds + (ends > 0) + 1))
-        tree, depth = learn_tree(own, vocab, ends, floor, context_least=context_least, pair_least=pair_least)
+        tree, depth = learn_tree(tokens, vocab, ends, floor, context_least=context_least, pair_least=pair_least)
         tree = staged(tree, "tree")
-        scratch.keep(tree)
-    often = F.col("n") >= held_share * total
+        scratch.keep(tree, tokens)
+    often = (F.col("n") >= held_share * total) & (F.col("level") <= HELD_LEVELS)
     rare = tree.where(~often)
     top = tree.where(often).select("key", "value", "level", "listed").toArrow()
     key, value, kind = top.column("key").to_numpy().view(np.uint64), top.column("value").to_numpy(), 2 * top.column("level").to_numpy() + top.column("listed").to_numpy()
@@ -271,26 +290,63 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
     del top, key, value, by
     # Contexts are few: with a table of their own, hardly any position is taken for one that is not there.
     shared = spark.sparkContext.broadcast((held, bit_tables(rare.where("not listed").select("key"), rare.where("listed").select("key"), bits=26)))
+    bits = max(3, int(np.ceil(np.log2(max(rare.count(), 1) / BUCKET_ROWS))))
+    parts = _own_parts(tokens, shared, depth, floor, bits)
+    rare = rare.select(F.shiftrightunsigned("key", 64 - bits).cast("int").alias("bucket"), "key", "value", (F.col("level") == 0).alias("word"))
+    return _looked_up(parts, rare).select("doc_id", "learn", "n_tokens", F.col("known").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers as bytes, the first byte of all before the second of all, so that leading zeros of small ones compress."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _numbers(data: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _own_parts(tokens: DataFrame, shared: Broadcast, depth: int, floor: float, bits: int) -> DataFrame:
+    """What tasks can tell of texts by the keys they hold, and what they have to ask for.
+
+    Texts go in runs (``chunk``), numbered by ``row`` in each. A text has a row with its sums so far. For each bucket of keys a run has one row: the distinct
+    ``keys`` it asks for, sorted and as differences, how ``many`` places ask for each, and the ``rows`` of these, so a key is sent once for a run and not for each text."""
+    kind = tokens.schema["doc_id"].dataType.simpleString()
     none_held = (np.zeros(0, np.uint64), np.zeros(0))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rare = shared.value
-        row = TaskContext.get().partitionId() << 40
-        names = ["r", "doc_id", "learn", "n_tokens", "known", "base", "score", "h", "tf"]
+        chunk, texts, asked, n_asked = TaskContext.get().partitionId() << 32, 0, [], 0
+
+        def questions() -> pa.RecordBatch:
+            row, key = (np.concatenate(k) for k in zip(*asked, strict=True))
+            by = np.argsort(key)
+            row, key = row[by].astype(np.uint32), key[by]
+            first = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), key[1:] != key[:-1])))
+            key, many = key[first], np.diff(np.append(first, len(row))).astype(np.uint32)
+            cuts = np.searchsorted(key, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist() + [len(key)]
+            ends = np.append(first, len(row)).tolist()
+            out = [(b, _planes(np.diff(key[i:j], prepend=np.uint64(0))), _planes(many[i:j]), _planes(row[ends[i] : ends[j]])) for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)) if i < j]
+            m = len(out)
+            columns = [pa.array([b for b, *_ in out], pa.int32()), pa.array([chunk] * m, pa.int64()), pa.array([texts] * m, pa.int64())]
+            columns += [pa.nulls(m, t) for t in (doc_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+            return pa.RecordBatch.from_arrays([*columns, *[pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)]], names=names)
+
+        names = ["bucket", "chunk", "row", "doc_id", "learn", "n_tokens", "known", "base", "score", "keys", "many", "rows"]
         for whole in batches:
-            for batch in slices(whole, "text"):
-                words = split_words(batch.column("text"))
-                symbols, doc, place = _tokens(words)
-                n, asked = words.n_docs, []
+            for batch in slices(whole, "symbols", SLICE):
+                symbols, doc, place, sizes = _tokens(batch.column("symbols"))
+                n, doc_type = len(sizes), batch.column("doc_id").type
 
                 def add(to, at, keys, name):
                     """Add the values of the keys held; note those to be asked for. True for either."""
+                    nonlocal n_asked
                     table, values = held.get(name, none_held)
                     i, found = _find(keys, table)
                     to[at[found]] += values[i[found]]
                     rest = np.flatnonzero(~found)
                     rest = rest[passes(keys[rest], rare[int(name[1])])]
-                    asked.append((doc[at[rest]], keys[rest]))
+                    asked.append((texts + doc[at[rest]], keys[rest]))
+                    n_asked += len(rest)
                     some = found.copy()
                     some[rest] = True
                     return found, some
@@ -306,22 +362,54 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
                     live[:] = False
                     live[at[here]] = True
                 base, extra = np.bincount(doc, weights=base, minlength=n), np.bincount(doc, weights=extra, minlength=n)
-                none, ids = pa.nulls(n, pa.int64()), row + np.arange(n)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column("doc_id"), batch.column("learn"), pa.array(words.counts.astype(np.int64) + 1), pa.array(np.bincount(doc[known], minlength=n)), pa.array(base), pa.array(base + extra), none, none], names=names)
-                d, x = (np.concatenate(k) for k in zip(*asked, strict=True))
-                by = np.lexsort((x, d))
-                d, x = d[by], x[by]
-                first = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (x[1:] != x[:-1])))) if len(d) else np.zeros(0, np.int64)
-                m = len(first)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[d[first]]), pa.nulls(m, batch.column("doc_id").type), pa.nulls(m, pa.bool_()), *[pa.nulls(m, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())], pa.array(x[first].view(np.int64)), pa.array(np.diff(np.append(first, len(d))))], names=names)
-                row += n
-
-    kind = own.schema["doc_id"].dataType.simpleString()
-    parts = staged(own.mapInArrow(read, f"r long, doc_id {kind}, learn boolean, n_tokens long, known long, base double, score double, h long, tf long"), "parts")
-    found = parts.where("h is not null").select("r", F.col("h").alias("key"), "tf").join(rare.select("key", "value", (F.col("level") == 0).alias("word")), "key")
-    part = F.col("tf") * F.col("value")
-    found = found.select("r", F.when(F.col("word"), F.col("tf")).otherwise(0).alias("known"), F.when(F.col("word"), part).otherwise(0.0).alias("base"), part.alias("score"))
-    whole = parts.where("h is null").select("r", "doc_id", "learn", "n_tokens", "known", "base", "score")
-    both = whole.unionByName(found.selectExpr("r", f"cast(null as {kind}) as doc_id", "cast(null as boolean) as learn", "0L as n_tokens", "known", "base", "score"))
-    out = both.groupBy("r").agg(F.max("doc_id").alias("doc_id"), F.max("learn").alias("learn"), *[F.sum(c).alias(c) for c in ("n_tokens", "known", "base", "score")])
-    return out.select("doc_id", "learn", "n_tokens", F.col("known").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
+                sums = [sizes, np.bincount(doc[known], minlength=n), base, base + extra]
+                home = pa.array(np.full(n, chunk % (1 << bits)), pa.int32())
+                yield pa.RecordBatch.from_arrays([home, pa.array(np.full(n, chunk)), pa.array(texts + np.arange(n)), batch.column("doc_id"), batch.column("learn"), *map(pa.array, sums), *[pa.nulls(n, pa.binary())] * 3], names=names)
+                texts += n
+                if n_asked > ROWS_HELD or texts > TEXTS_HELD:
+                    yield questions()
+                    chunk, texts, asked, n_asked = chunk + 1, 0, [], 0
+        if texts:
+            yield questions()
+
+    return tokens.mapInArrow(read, f"bucket int, chunk long, row long, doc_id {kind}, learn boolean, n_tokens long, known long, base double, score double, keys binary, many binary, rows binary")
+
+
+def _looked_up(parts: DataFrame, rare: DataFrame) -> DataFrame:
+    """Sums of each text: its own and what the tree has for the keys its run asked for. A bucket has some ``BUCKET_ROWS`` keys of the tree and what is asked of them; no key is asked twice by a run."""
+    kind = parts.schema["doc_id"].dataType.simpleString()
+    names = ["chunk", "row", "doc_id", "learn", "n_tokens", "known", "base", "score", "more_known", "more_base", "more_score"]
+
+    def answers(asked: pa.Table, tree: pa.Table) -> pa.Table:
+        by = np.argsort(key := tree.column("key").to_numpy().view(np.uint64))
+        key, value, word = key[by], tree.column("value").to_numpy()[by], tree.column("word").to_numpy()[by]
+        whole = asked.filter(pc.is_null(asked.column("keys")))
+        whole = whole.select(names[:8])
+        for k in names[8:]:
+            whole = whole.append_column(k, pa.nulls(len(whole), pa.binary()))
+        own, out = asked.filter(pc.is_valid(asked.column("keys"))), []
+        for chunk, texts, keys, many, rows in zip(*(own.column(k).to_pylist() for k in ("chunk", "row", "keys", "many", "rows")), strict=True):
+            at, found = _find(np.cumsum(_numbers(keys, "u8"), dtype=np.uint64), key)
+            many = _numbers(many, "u4")
+            row, at = _numbers(rows, "u4")[np.repeat(found, many)], np.repeat(at[found], many[found])
+            if len(row):
+                sums = [np.bincount(row[word[at]], minlength=texts).astype(np.uint32), np.bincount(row, weights=value[at] * word[at], minlength=texts), np.bincount(row, weights=value[at], minlength=texts)]
+                out.append((chunk, *map(_planes, sums)))
+        m = len(out)
+        columns = [pa.array([o[0] for o in out], pa.int64()), *[pa.nulls(m, whole.schema.field(k).type) for k in names[1:8]], *[pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)]]
+        return pa.concat_tables([whole, pa.Table.from_arrays(columns, schema=whole.schema)])
+
+    def summed(rows: pa.Table) -> pa.Table:
+        whole = rows.filter(pc.is_valid(rows.column("row"))).sort_by("row")
+        more = rows.filter(pc.is_null(rows.column("row")))
+        out = [whole.column(k) for k in ("doc_id", "learn", "n_tokens")]
+        for k, form in (("known", "u4"), ("base", "f8"), ("score", "f8")):
+            own = whole.column(k).to_numpy().copy()
+            for x in more.column(f"more_{k}"):
+                own += _numbers(x.as_py(), form).astype(own.dtype)
+            out.append(pa.chunked_array([own]))
+        return pa.Table.from_arrays(out, names=["doc_id", "learn", "n_tokens", "known", "base", "score"])
+
+    fields = f"doc_id {kind}, learn boolean, n_tokens long, known long, base double, score double"
+    both = parts.groupBy("bucket").cogroup(rare.groupBy("bucket")).applyInArrow(answers, f"chunk long, row long, {fields}, more_known binary, more_base binary, more_score binary")
+    return both.groupBy("chunk").applyInArrow(summed, fields)
