@@ -68,11 +68,19 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there,
     a lost executor loses nothing, and later joins see an unpartitioned scan that AQE can split."""
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    path, conf = new_path(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")  # the written table stands in for its shuffles, which then need no disk
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch = path
     if Scratch._open:
