@@ -14,7 +14,7 @@ and what a word in its list differs from that are values of keys, so a text's sc
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -73,17 +73,25 @@ def _pair(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return mix(mix(context) + symbol)
 
 
-def _levels(symbols: np.ndarray, place: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each level: the symbols with so many before them (the beginning is one); of these the contexts, the keys of context and symbol, and the keys one level below."""
-    key = symbols
+def _levels(symbols: np.ndarray, place: np.ndarray, depth: int) -> Generator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray | None, None]:
+    """For each level: places of symbols with so many before them (the beginning is one); their contexts, the keys of context and symbol, and the keys one level below.
+
+    The caller sends back which of them go on. A context's suffix and its beginning are in the tree if it is, so a place
+    is only on the next level if it and the one before it went on."""
+    key, live = symbols, np.ones(len(symbols), bool)
     for level in range(1, depth + 1):
-        context = np.empty_like(key)
-        context[:1], context[1:] = BEGIN, key[:-1]
         if level == 1:
+            at = np.arange(len(symbols))
+            context = np.concatenate((np.array([BEGIN]), key[:-1]))[: len(key)]
             context[place == 0] = BEGIN
-        below, key = key, _pair(context, symbols)
-        own = np.flatnonzero(place >= level - 1)
-        yield level, own, context[own], key[own], below[own]
+        else:
+            at = np.flatnonzero(live[1:] & live[:-1] & (place[1:] >= level - 1)) + 1
+            context = key[at - 1]
+        below, own = key[at], _pair(context, symbols[at])
+        on = yield level, at, context, own, below
+        key, live = np.empty_like(symbols), np.zeros(len(symbols), bool)
+        key[at] = own
+        live[at if on is None else at[on]] = True
 
 
 def _signed(x: np.uint64) -> int:
@@ -130,9 +138,9 @@ def vocabulary(tokens: DataFrame) -> DataFrame:
 
 
 def next_counts(tokens: DataFrame, level: int, shared: Broadcast) -> DataFrame:
-    """``context``, ``symbol``, ``n``: how often each word follows each context of one level. ``shared``: two filters.
+    """``context``, ``symbol``, ``n``: how often each word follows each context of one level. ``shared``: filters of contexts by level, and one of pairs.
 
-    Rows that a filter of the level's contexts, or one of the pairs one level below, does not let through are not
+    Rows that the filter of the level's contexts, those of the first levels or the one of the pairs one level below do not let through are not
     made: a pair is not more frequent than the one a word shorter. What they let through too much is for joins to drop."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         contexts, shorter = shared.value
@@ -146,12 +154,14 @@ def next_counts(tokens: DataFrame, level: int, shared: Broadcast) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "symbols", SLICE):
                 symbols, _, place, _ = _tokens(batch.column("symbols"))
-                for d, at, context, _, below in _levels(symbols, place, level):
-                    if d == level:
-                        use = np.flatnonzero(passes(context, contexts))
-                        use = use[passes(below[use], shorter)]
-                        held.append((context[use], symbols[at[use]]))
-                        rows += len(use)
+                levels, on = _levels(symbols, place, level), None
+                for d in range(1, level + 1):
+                    _, at, context, _, below = levels.send(on)
+                    on = passes(context, contexts[d]) if d in contexts else None
+                use = np.flatnonzero(on)
+                use = use[passes(below[use], shorter)]
+                held.append((context[use], symbols[at[use]]))
+                rows += len(use)
                 if rows > ROWS_HELD:
                     yield from summed()
                     held, rows = [], 0
@@ -241,14 +251,17 @@ def learn_tree(tokens: DataFrame, vocab: DataFrame, ends: int, floor: float, con
     tree = words.select("key", F.log10(F.col("n") + 1.0).alias("value"), "n", F.lit(0).alias("level"), F.lit(True).alias("listed"))
     contexts = vocab.select(F.col("h").alias("key"), "n").unionByName(row(BEGIN)).where(F.col("n") >= context_least).select("key", "n", F.lit(0).cast("long").alias("short"))
     pairs = words.where(F.col("n") >= pair_least).select("key", "n", (F.log10(F.col("n") + 1.0) - floor).alias("lp"))
-    level = 0
+    level, first = 0, {}
     while not contexts.isEmpty():
-        shared = spark.sparkContext.broadcast(bit_tables(contexts.select("key"), pairs.select("key")))
+        own, shorter = bit_tables(contexts.select("key"), pairs.select("key"))
+        shared = spark.sparkContext.broadcast(({**first, level + 1: own}, shorter))
+        if level < HELD_LEVELS:
+            first[level + 1] = own
         rows = next_counts(tokens, level + 1, shared).where(F.col("n") >= pair_least)
         rows = rows.join(contexts.select(F.col("key").alias("context"), F.col("n").alias("whole"), "short"), "context")
-        known = staged(_keyed(rows, level + 1).join(pairs.select(F.col("key").alias("below"), F.col("lp").alias("blp")), "below"), "known")
+        known = staged(_keyed(rows, level + 1).join(pairs.select(F.col("key").alias("below"), F.col("lp").alias("blp")), "below"), "known", tidy=True)
         shared.destroy()
-        pairs = staged(grown(known), "pairs")
+        pairs = staged(grown(known), "pairs", tidy=True)
         dropped(known)
         if pairs.isEmpty():
             break
@@ -270,14 +283,14 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
     spark = docs.sparkSession
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.col(learn), F.lit(False)).alias("learn"))
     with Scratch() as scratch:
-        tokens = staged(hashed(own), "tokens")
-        vocab = staged(vocabulary(tokens), "vocabulary")
+        tokens = staged(hashed(own), "tokens", tidy=True)
+        vocab = staged(vocabulary(tokens), "vocabulary", tidy=True)
         ends = tokens.where("learn").count()
         words, kinds = vocab.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
         total = words + ends
         floor = float(np.log10(total + kinds + (ends > 0) + 1))
         tree, depth = learn_tree(tokens, vocab, ends, floor, context_least=context_least, pair_least=pair_least)
-        tree = staged(tree, "tree")
+        tree = staged(tree, "tree", tidy=True)
         scratch.keep(tree, tokens)
     often = (F.col("n") >= held_share * total) & (F.col("level") <= HELD_LEVELS)
     rare = tree.where(~often)
@@ -353,14 +366,11 @@ def _own_parts(tokens: DataFrame, shared: Broadcast, depth: int, floor: float, b
 
                 base, extra = np.full(len(symbols), -floor), np.zeros(len(symbols))
                 known, _ = add(base, np.arange(len(symbols)), symbols, (0, True))
-                live = np.ones(len(symbols), bool)
-                for level, at, context, key, _ in _levels(symbols, place, depth):
-                    own = np.flatnonzero(live[at])  # only what follows a shorter context can follow a longer one
-                    at, context, key = at[own], context[own], key[own]
-                    _, here = add(extra, at, context ^ _CONTEXT, (level, False))
-                    add(extra, at[here], key[here], (level, True))
-                    live[:] = False
-                    live[at[here]] = True
+                levels, on = _levels(symbols, place, depth), None
+                for level in range(1, depth + 1):
+                    _, at, context, key, _ = levels.send(on)
+                    _, on = add(extra, at, context ^ _CONTEXT, (level, False))  # only what follows a shorter context can follow a longer one
+                    add(extra, at[on], key[on], (level, True))
                 base, extra = np.bincount(doc, weights=base, minlength=n), np.bincount(doc, weights=extra, minlength=n)
                 sums = [sizes, np.bincount(doc[known], minlength=n), base, base + extra]
                 home = pa.array(np.full(n, chunk % (1 << bits)), pa.int32())
