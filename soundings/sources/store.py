@@ -55,9 +55,9 @@ def read_campaign(spark: SparkSession, path: str, columns: Sequence[str] | None
     """All Parquet files of a campaign, schemas merged; folders named in ``skip`` (catalogues) are left out wherever they stand below ``path``.
 
     Files are listed by name first, so folders that are no partitions don't meet partition discovery. A campaign without files gives an empty frame."""
-    listed = listed(spark, path, "*.parquet")
+    found = listed(spark, path, "*.parquet")
     inside = F.split(F.element_at(F.split("path", re.escape("/" + path.rstrip("/").split("/")[-1] + "/"), 2), 2), "/")
-    paths = [r[0] for r in listed.where(~F.arrays_overlap(inside, F.array(*[F.lit(s) for s in skip]))).select("path").collect()]  # as many as the scan itself lists
+    paths = [r[0] for r in found.where(~F.arrays_overlap(inside, F.array(*[F.lit(s) for s in skip]))).select("path").collect()]  # as many as the scan itself lists
     if not paths:
         return spark.createDataFrame([], StructType())
     out = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*paths)

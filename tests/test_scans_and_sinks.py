@@ -154,3 +154,10 @@ def test_points_are_read_in_either_byte_order():
     assert navigation._ordinate(column, 5).to_pylist() == [None, None, None, 1.5, 3.5, 5.5]
     assert navigation._ordinate(column, 13).to_pylist() == [None, None, None, -2.5, 4.5, 6.5]
     assert navigation._ordinate(column.slice(0, 2), 5).to_pylist() == [None, None]
+
+
+def test_campaign_of_catalogues_alone_is_empty(spark, tmp_path):
+    spark.createDataFrame([("x",)], "catalogue string").write.parquet(str(tmp_path / "c/stac/items"))
+    assert store.read_campaign(spark, str(tmp_path / "c")).columns == []
+    store.write_routed(spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "id int, campaign_id string"), str(tmp_path / "r"))
+    assert sorted((r.id, r.campaign_id) for r in store.read_campaign(spark, str(tmp_path / "r")).collect()) == [(1, "a"), (3, "b")]
