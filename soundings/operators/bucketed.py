@@ -76,8 +76,8 @@ def in_frames(df: DataFrame, by: Sequence[str], order: str, reach: int, columns:
     return own.withColumns({name: make(w) for name, make in columns.items()}).where("_mine").drop("_block", "_mine")
 
 
-def by_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], each: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str) -> DataFrame:
-    """``each`` applied to the rows of every key in ``order``; a task holds one Arrow batch and the key that goes on into the next.
+def by_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], each: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str, tasks: int | None = None) -> DataFrame:
+    """``each`` applied to the rows of every key in ``order``; a task holds one Arrow batch and the key that goes on into the next. ``tasks``: a number that AQE leaves as it is, for work that is long beside its bytes.
 
     For many small groups: one exchange and one pass of Python over a partition, where a grouped map costs an Arrow stream for each group."""
 
@@ -102,7 +102,7 @@ def by_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], each: Call
         if rest is not None:
             yield from done(rest, len(rest))
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
+    return df.repartition(*([tasks] if tasks else []), *keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
 
 
 def _changes(rows: pd.DataFrame, keys: Sequence[str]) -> np.ndarray:

@@ -7,13 +7,14 @@ from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from ..functions.acoustics import time_varied_gain, to_db, to_linear
 from ..session import staged
-from .bucketed import DAY_US, in_frames, nearest_known, with_bucket
+from .bucketed import DAY_US, by_runs, in_frames, nearest_known, with_bucket
 
 PING, SAMPLE = "ping_idx", "sample_idx"
 
@@ -62,8 +63,8 @@ def impulse_mask(samples: DataFrame, lags: Sequence[int] = (1,), over_db: float
         hits = hits + ((F.col("_v") - back > over_db) & (F.col("_v") - ahead > over_db)).cast("int")
     most = max(lags)
     span = samples.groupBy("channel").agg((F.min(PING) + most).alias("_first"), (F.max(PING) - most).alias("_last"))  # a row for each channel
-    own = own.withColumn("_hits", hits).join(span, "channel")
-    inner = F.col(PING).between(F.col("_first"), F.col("_last"))
+    own = own.withColumn("_hits", hits).join(span, "channel", "left")  # an inner join may broadcast the samples
+    inner = F.coalesce(F.col(PING).between(F.col("_first"), F.col("_last")), F.lit(False))
     return own.withColumns({"impulse": F.coalesce((F.col("_hits") >= votes) & inner, F.lit(False)), "impulse_unfeasible": ~inner}).drop("_v", "_hits", "_first", "_last")
 
 
@@ -86,13 +87,14 @@ def transient_block(samples: DataFrame, pings: int = 5, depth: int = 3, share: f
     Two-dimensional frames have no built-in form: blocks of pings with a halo go to an Arrow kernel, one for each channel and block."""
     b = F.floor(F.col(PING) / block)
     ids = F.array_distinct(F.array(F.floor((F.col(PING) - pings) / block), b, F.floor((F.col(PING) + pings) / block)))
-    dealt = samples.select("channel", PING, SAMPLE, "depth", "sv", F.explode(ids).alias("_b"))
+    dealt = samples.withColumn("_b", F.explode(ids))
 
-    def mask(rows: pd.DataFrame) -> pd.DataFrame:
-        p0, s0 = rows[PING].min(), rows[SAMPLE].min()
-        shape = (rows[PING].max() - p0 + 1, rows[SAMPLE].max() - s0 + 1)
+    def mask(rows: pa.Table) -> pa.Table:
+        at_ping, at_sample, sv, depths = (rows.column(c).to_numpy() for c in (PING, SAMPLE, "sv", "depth"))
+        p, s = at_ping - at_ping.min(), at_sample - at_sample.min()
+        shape = (p.max() + 1, s.max() + 1)
         grid = np.full(shape, np.nan)
-        grid[rows[PING] - p0, rows[SAMPLE] - s0] = 10 ** (rows["sv"] / 10)
+        grid[p, s] = 10 ** (sv.astype(float) / 10)
         out = np.zeros(shape, bool)
         if shape[0] > 2 * pings and shape[1] > 2 * depth:
             # Strips of samples, so that the copies of all windows stay under some 64 MB.
@@ -102,13 +104,12 @@ def transient_block(samples: DataFrame, pings: int = 5, depth: int = 3, share: f
                 view = np.lib.stride_tricks.sliding_window_view(grid[:, at - depth : end + depth], (2 * pings + 1, 2 * depth + 1))
                 floor = 10 * np.log10(np.quantile(view.reshape(shape[0] - 2 * pings, end - at, -1), share, axis=-1))
                 out[pings:-pings, at:end] = 10 * np.log10(grid[pings:-pings, at:end]) - floor > over_db + 1e-9
-        hit = out[rows[PING] - p0, rows[SAMPLE] - s0] & (rows["depth"] >= below_m)
-        own = (rows[PING] // block) == rows["_b"]
-        return rows.assign(transient=hit)[own][["channel", PING, SAMPLE, "transient"]]
+        hit = out[p, s] & (depths >= below_m)
+        own = pa.array(at_ping // block == rows.column("_b").to_numpy())
+        return rows.drop_columns("_b").append_column("transient", pa.array(hit)).filter(own)
 
-    kind = dict(samples.dtypes)
-    flags = dealt.groupBy("channel", "_b").applyInPandas(mask, f"channel {kind['channel']}, {PING} {kind[PING]}, {SAMPLE} {kind[SAMPLE]}, transient boolean")
-    return samples.join(flags, ["channel", PING, SAMPLE])
+    # The kernel carries all columns: a join with its flags would move every sample twice more.
+    return dealt.groupBy("channel", "_b").applyInArrow(mask, samples.withColumn("transient", F.lit(False)).schema)
 
 
 def background_noise(samples: DataFrame, alpha: Column, pings: int = 50, ranges: int = 20, share: float | None = None, most_db: float = -125) -> DataFrame:
@@ -222,6 +223,7 @@ def seabed_morphological(
     line = _raised(own.where(F.col("_d") & inside).groupBy("channel", PING).agg(F.min(SAMPLE).alias("seabed")), samples, offset_m)
     if not smooth_window:
         return line
+    line = staged(line, "line")  # a row for each ping, read several times
     counts = line.groupBy("channel").agg(F.count("*").alias("_many"))
     line = savitzky_golay(line.withColumn("_v", F.col("seabed").cast("double")), "_v", "_s", smooth_window, 1, ["channel"], PING, block, PINGS).join(counts, "channel")
     many = F.col("_many") > smooth_window
@@ -339,14 +341,51 @@ def connected(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return label
 
 
-def schools(samples: DataFrame, mask: str, diagonal: bool = False) -> DataFrame:
-    """Runs with the ``label`` of their connected component: runs of neighbouring pings that overlap (or, ``diagonal``, touch corners) are linked."""
-    runs = staged(vertical_runs(samples, mask), "runs")
+def _local_labels(runs: DataFrame, wide: int, block: int) -> DataFrame:
+    """Runs with ``label``, the least id of what is linked with them inside their block ``_k`` of pings."""
+    kind = {f.name: f.dataType.simpleString() for f in runs.schema}
+
+    def link(rows: pd.DataFrame) -> pd.DataFrame:
+        p, lo, hi = (rows[c].to_numpy() for c in (PING, "lo", "hi"))
+        up = np.arange(len(rows))
+
+        def root(i: int) -> int:
+            while up[i] != i:
+                up[i] = up[up[i]]
+                i = up[i]
+            return i
+
+        j = 0
+        for i in range(len(rows)):
+            # ``j``: the first run of the ping before that does not end above this one.
+            while j < i and (p[j] < p[i] - 1 or (p[j] == p[i] - 1 and hi[j] + wide < lo[i])):
+                j += 1
+            at = j
+            while at < i and p[at] == p[i] - 1 and lo[at] <= hi[i] + wide:
+                a, b = root(i), root(at)
+                up[max(a, b)] = min(a, b)
+                at += 1
+        return rows.assign(label=rows["id"].groupby([root(i) for i in range(len(rows))]).transform("min").to_numpy())
+
+    own = runs.withColumn("_k", F.floor(F.col(PING) / block))
+    schema = ", ".join(f"{c} {kind[c]}" for c in runs.columns) + ", _k long, label string"
+    return by_runs(own, ["channel", "_k"], [PING, "lo"], link, schema, int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def schools(samples: DataFrame, mask: str, diagonal: bool = False, block: int = 256) -> DataFrame:
+    """Runs with the ``label`` of their connected component: runs of neighbouring pings that overlap (or, ``diagonal``, touch corners) are linked.
+
+    Components are found inside blocks of pings first; only those that meet at a border between blocks go into rounds."""
     wide = 1 if diagonal else 0
-    left = runs.select("channel", PING, "lo", "hi", F.col("id").alias("a"))
-    right = runs.select("channel", F.col(PING).alias("p2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.col("id").alias("b"))
-    near = left.withColumn("p2", F.col(PING) + 1).join(right, ["channel", "p2"]).where((F.col("lo") <= F.col("hi2") + wide) & (F.col("lo2") <= F.col("hi") + wide))
-    return runs.join(connected(runs, near.select("a", "b")), "id")
+    runs = staged(_local_labels(vertical_runs(samples, mask), wide, block), "runs")
+    left = runs.where(F.pmod(F.col(PING), F.lit(block)) == block - 1).select("channel", (F.col(PING) + 1).alias("p2"), "lo", "hi", F.col("label").alias("a"))
+    right = runs.where(F.pmod(F.col(PING), F.lit(block)) == 0).select("channel", F.col(PING).alias("p2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.col("label").alias("b"))
+    near = staged(left.join(right, ["channel", "p2"]).where((F.col("lo") <= F.col("hi2") + wide) & (F.col("lo2") <= F.col("hi") + wide)).select("a", "b").distinct(), "borders")
+    runs = runs.drop("_k")
+    if near.isEmpty():
+        return runs
+    meet = connected(near.select(F.col("a").alias("id")).union(near.select("b")).distinct(), near).select(F.col("id").alias("label"), F.col("label").alias("_label"))
+    return runs.join(meet, "label", "left").withColumn("label", F.coalesce("_label", "label")).drop("_label")
 
 
 def _weill_runs(samples: DataFrame, least_db: float, vertical_gap: int, horizontal_gap: int) -> DataFrame:
@@ -418,7 +457,7 @@ def school_mask(samples: DataFrame, method: str = "weill", **parameters) -> Data
     else:
         raise ValueError(f"unknown method {method!r}; one of {', '.join(SCHOOLS)}")
     cells = runs.join(found.select("channel", "label"), ["channel", "label"], "left_semi").select("channel", PING, F.explode(F.sequence("lo", "hi")).alias(SAMPLE), F.lit(True).alias("school"))
-    own = samples.join(cells, ["channel", PING, SAMPLE], "left").join(spans, "channel")
+    own = samples.join(cells.hint("merge"), ["channel", PING, SAMPLE], "left").join(spans, "channel", "left")
     return own.select(*samples.columns, F.coalesce("school", F.lit(False)).alias("school"), edge.alias("school_edge"))
 
 
@@ -486,7 +525,8 @@ def adaptive_level(samples: DataFrame, pings: int = 10) -> DataFrame:
 
 def apply_masks(samples: DataFrame, masks: DataFrame, value: str = "sv") -> DataFrame:
     """``value`` becomes NULL where ``masks`` (channel, ping, sample and a boolean ``mask``) is TRUE; samples without a mask keep theirs."""
-    own = samples.join(masks.select("channel", PING, SAMPLE, "mask"), ["channel", PING, SAMPLE], "left")
+    # Samples beside samples: never broadcast, however small the plan takes them to be.
+    own = samples.join(masks.select("channel", PING, SAMPLE, "mask").hint("merge"), ["channel", PING, SAMPLE], "left")
     return own.withColumn(value, F.when(~F.coalesce("mask", F.lit(False)), F.col(value))).drop("mask")
 
 

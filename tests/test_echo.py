@@ -230,3 +230,53 @@ def test_regrid_is_linear(spark):
     got = back(grid.regrid(cube(spark, x, step=1.5), 0.5).withColumn("sample_idx", (F.col("depth") * 2).cast("int")), "sv", (2, 28))
     for p in range(2):
         assert np.allclose(got[p], np.interp(np.arange(28) * 0.5, np.arange(10) * 1.5, x[p]))
+
+
+def test_samples_are_not_broadcast(spark):
+    """Exploded samples look as small as their pings to the planner."""
+    pings = spark.range(40).select((F.col("id") % 2).alias("channel"), F.floor(F.col("id") / 2).cast("int").alias("ping_idx"))
+    own = pings.withColumn("sample_idx", F.explode(F.sequence(F.lit(0), F.lit(9)))).withColumns({"depth": F.col("sample_idx") * 1.0, "sv": -60.0 + (F.col("ping_idx") * 7 + F.col("sample_idx")) % 11})
+    masks = own.select("channel", "ping_idx", "sample_idx", (F.col("sample_idx") % 3 == 0).alias("mask"))
+    for got in (echo.apply_masks(own, masks), echo.transient_block(own, 1, 1, below_m=0, block=8), echo.impulse_mask(own)):
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        assert "BuildLeft" not in plan and not any("BroadcastHashJoin" in x and "sample_idx" in x for x in plan.splitlines()), plan
+        assert got.count() == 400
+
+
+def test_transient_block_keeps_kinds_and_nulls(spark):
+    rows = [("a", p, s, float(s), -70.0 if (p, s) != (3, 2) else -20.0, None if p % 2 else p, None if s else "x") for p in range(7) for s in range(5)]
+    own = spark.createDataFrame(rows, "channel string, ping_idx int, sample_idx int, depth double, sv double, n int, note string")
+    got = echo.transient_block(own, 1, 1, below_m=0, block=4)
+    assert got.dtypes == [*own.dtypes, ("transient", "boolean")]
+    assert sorted(got.select(*own.columns).collect(), key=lambda r: r[1:3]) == sorted(own.collect(), key=lambda r: r[1:3])
+    assert [(r.ping_idx, r.sample_idx) for r in got.where("transient").collect()] == [(3, 2)]
+
+
+def test_schools_do_not_depend_on_blocks(spark):
+    rng = np.random.default_rng(5)
+    x = np.where(rng.random((60, 30)) < 0.45, -50.0, -90.0)
+    s = cube(spark, x).withColumn("m", F.col("sv") > -70)
+    key = lambda r: (r.channel, r.ping_idx, r.lo, r.hi, r.label)
+    for diagonal in (False, True):
+        runs = echo.vertical_runs(s, "m").collect()
+        # by brute force: spread the least id until nothing changes
+        label, wide, more = {r.id: r.id for r in runs}, int(diagonal), True
+        pairs = [(a.id, b.id) for a in runs for b in runs if b.ping_idx == a.ping_idx + 1 and a.lo <= b.hi + wide and b.lo <= a.hi + wide]
+        while more:
+            more = False
+            for a, b in pairs:
+                least = min(label[a], label[b])
+                more |= label[a] != least or label[b] != least
+                label[a] = label[b] = least
+        want = sorted((r.channel, r.ping_idx, r.lo, r.hi, label[r.id]) for r in runs)
+        for block in (1, 7, 256):
+            assert sorted(map(key, echo.schools(s, "m", diagonal, block).collect())) == want, (diagonal, block)
+
+
+def test_windows_of_samples_need_no_exchange(spark):
+    """The stand-in is dealt by channel, and its tasks grow with the events."""
+    from soundings.plans import standins
+
+    s = standins.samples(spark, "/root/testdata/sf0.001")
+    plan = echo.median_3x3(s)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1, plan
