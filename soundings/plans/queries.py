@@ -169,12 +169,11 @@ def join04_interpolated_by_position(spark, d):
 @query(f"""with {SIDES}, o as (select platform, t, v, row_number() over (partition by platform order by t) as up, row_number() over (partition by platform order by t desc) as down from ref),
 e as (select platform, max(case when up = 1 then t end) as t1, max(case when up = 1 then v end) as v1, max(case when up = 2 then t end) as t2, max(case when up = 2 then v end) as v2,
  max(case when down = 1 then t end) as z1, max(case when down = 1 then v end) as w1, max(case when down = 2 then t end) as z2, max(case when down = 2 then v end) as w2 from o group by platform)
-select event_id, round(case when bt is null then coalesce(v1 + (v2 - v1) * (t - t1) / (t2 - t1), v1) when ft is null then coalesce(w2 + (w1 - w2) * (t - z2) / (z1 - z2), w1) else {LINE} end, 5) as v
+select event_id, case when bt is null then coalesce(v1 + (v2 - v1) * (t - t1) / (t2 - t1), v1) when ft is null then coalesce(w2 + (w1 - w2) * (t - z2) / (z1 - z2), w1) else {LINE} end as v
 from br left join e on br.platform = e.platform""")
 def join06_extrapolated(spark, d):
     s, r = _sides(spark, d)
-    out = timejoin.extrapolated(s, r, ["platform"], "v").select("event_id", "v")
-    return out.select("event_id", F.round("v", 5).alias("v"))
+    return timejoin.extrapolated(s, r, ["platform"], "v").select("event_id", "v")  # not rounded: values grow without bound as outer fixes come near each other
 
 
 @query(f"with {SIDES} select event_id, round(coalesce(case when ft is null or t - bt <= ft - t then bv else av end, 0), 6) as speed from br")

@@ -1,5 +1,7 @@
 """Time joins and tracks, checked by hand values, numpy and independence of the bucket width."""
 
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -147,3 +149,16 @@ def test_places_and_neighbours_cross_buckets(spark):
     far = lambda v, i: abs(v[i] - np.median(np.concatenate((v[max(0, i - 4) : i], v[i + 1 : i + 5])))) > 0.5
     out = {r["event_id"]: r["outlier"] for r in track.position_outliers(df, 0.5, order=["t", "event_id"]).collect()}
     assert out == {i: far(lat, i) or far(lon, i) for i in range(len(t))}
+
+
+def test_extrapolation_beyond_close_fixes_equals_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from soundings.plans import queries
+
+    start = dt.datetime(2024, 1, 1)
+    rows = [(66 * u + i, start + (dt.timedelta(microseconds=i * 77777777) if i < 4 else dt.timedelta(days=20, microseconds=(i - 4) * (3 + u))), u, "view" if i >= 4 else "click", float((7 * u + 13 * i) % 509) + 0.29, "{}") for u in range(120) for i in range(7)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    got = sorted(tuple(r) for r in queries.QUERIES["join06_extrapolated"](spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.sql(f"create view events as select * from read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    assert got == sorted(con.sql(queries.SQL["join06_extrapolated"]).fetchall())
