@@ -81,17 +81,26 @@ def by_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], each: Call
 
     For many small groups: one exchange and one pass of Python over a partition, where a grouped map costs an Arrow stream for each group."""
 
+    def one_by_one(rows: pd.DataFrame, first: np.ndarray) -> pd.DataFrame | None:
+        parts = [each(rows.iloc[a:z]) for a, z in zip(first, np.append(first[1:], len(rows)), strict=True)]
+        parts = [p for p in parts if p is not None and len(p)]
+        return pd.concat(parts) if parts else None
+
+    return by_batches(df, keys, order, one_by_one, schema, tasks)
+
+
+def by_batches(df: DataFrame, keys: Sequence[str], order: Sequence[str], each: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame | None], schema: str, tasks: int | None = None) -> DataFrame:
+    """As ``by_runs``, but ``each`` takes the rows of many whole keys at once and where each key's begin, for work that goes over all keys as arrays: a frame for each of millions of keys costs a millisecond each."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
 
         def done(rows: pd.DataFrame, to: int) -> Iterator[pd.DataFrame]:
             if to:
-                head = rows.iloc[:to]
-                first = np.flatnonzero(_changes(head, keys))
-                parts = [each(head.iloc[a:z]) for a, z in zip(first, np.append(first[1:], to), strict=True)]
-                parts = [p for p in parts if p is not None and len(p)]
-                if parts:
-                    yield pd.concat(parts)
+                head = rows.iloc[:to].reset_index(drop=True)
+                out = each(head, np.flatnonzero(_changes(head, keys)))
+                if out is not None and len(out):
+                    yield out
 
         for batch in batches:
             rest = batch if rest is None or not len(rest) else pd.concat([rest, batch], ignore_index=True)

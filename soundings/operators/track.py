@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import bearing, great_circle_nmi
 from ..session import staged
 from . import chains
-from .bucketed import DAY_US, by_runs, in_blocks, nearest_known, numbered, running_sum, with_bucket
+from .bucketed import DAY_US, by_batches, in_blocks, nearest_known, numbered, running_sum, with_bucket
 
 MINUTE_US = 60_000_000
 
@@ -144,22 +144,31 @@ def _far(chord_lon: Column | np.ndarray, chord_lat: Column | np.ndarray, lon: Co
     return length, cross, sqrt(lon * lon + lat * lat)
 
 
-def _split_here(rows: pd.DataFrame, epsilon: float) -> np.ndarray:
-    """Which rows of one open chord's inside (in order, with the chord's ends) are kept by splitting on to the end."""
-    xy = np.concatenate(([[rows["_alon"].iloc[0], rows["_alat"].iloc[0]]], rows[["lon", "lat"]].to_numpy(float), [[rows["_zlon"].iloc[0], rows["_zlat"].iloc[0]]]))
-    kept, todo = np.zeros(len(xy), bool), [(0, len(xy) - 1)]
-    while todo:
-        a, z = todo.pop()
-        if z - a < 2:
-            continue
-        chord, inner = xy[z] - xy[a], xy[a + 1 : z] - xy[a]
-        length, cross, near = _far(chord[0], chord[1], inner[:, 0], inner[:, 1], np.sqrt)
-        far = np.abs(cross) / length if length else near
-        i = int(far.argmax())
-        if far[i] > epsilon:
-            kept[a + 1 + i] = True
-            todo += [(a, a + 1 + i), (a + 1 + i, z)]
-    return kept[1:-1]
+def _split_here(rows: pd.DataFrame, first: np.ndarray, epsilon: float) -> np.ndarray:
+    """Which rows of open chords' insides (in order, with the chord's ends; ``first`` says where each begins) are kept by splitting on to the end. All chords are split at once, level by level."""
+    lon, lat = (rows[c].to_numpy(float) for c in ("lon", "lat"))
+    ends = [rows[c].to_numpy(float)[first] for c in ("_alon", "_alat", "_zlon", "_zlat")]
+    kept, low, high = np.zeros(len(rows), bool), first, np.append(first[1:], len(rows))
+    while len(low):
+        alon, alat, zlon, zlat = ends
+        size = high - low
+        begin = np.cumsum(size) - size
+        of = np.repeat(np.arange(len(low)), size)
+        row = np.arange(len(of)) + (low - begin)[of]
+        with np.errstate(all="ignore"):
+            length, cross, near = _far((zlon - alon)[of], (zlat - alat)[of], lon[row] - alon[of], lat[row] - alat[of], np.sqrt)
+            far = np.where(length != 0, np.abs(cross) / length, near)
+            most = np.maximum.reduceat(far, begin)
+            split = np.flatnonzero(most > epsilon)
+        hit = np.flatnonzero(far == most[of])
+        at = row[hit[np.searchsorted(of[hit], split)]]  # the first of rows equally far
+        kept[at] = True
+        left = [alon[split], alat[split], lon[at], lat[at]]
+        right = [lon[at], lat[at], zlon[split], zlat[split]]
+        low, high = np.concatenate((low[split], at + 1)), np.concatenate((at, high[split]))
+        go = np.flatnonzero(high > low)
+        low, high, ends = low[go], high[go], [np.concatenate(x)[go] for x in zip(left, right, strict=True)]
+    return kept
 
 
 def shape_points(df: DataFrame, epsilon: float, by: Sequence[str], place: str, chord_rows: int = CHORD_ROWS) -> DataFrame:
@@ -177,12 +186,12 @@ def shape_points(df: DataFrame, epsilon: float, by: Sequence[str], place: str, c
     far = F.when(length > 0, F.abs(cross) / length).otherwise(near)
     small = F.col("_zi") - F.col("_ai") - 1 <= chord_rows
 
-    def finish(own: pd.DataFrame) -> pd.DataFrame:
-        return own[_split_here(own, epsilon)][[*by, place, "lon", "lat"]]
+    def finish(own: pd.DataFrame, first: np.ndarray) -> pd.DataFrame:
+        return own[_split_here(own, first, epsilon)][[*by, place, "lon", "lat"]]
 
     schema = ", ".join(f"`{n}` {t}" for n, t in kept[0].dtypes)
     while not rows.isEmpty():
-        kept.append(staged(by_runs(rows.where(small), key, [place], finish, schema), "kept"))
+        kept.append(staged(by_batches(rows.where(small), key, [place], finish, schema), "kept"))
         rows = rows.where(~small)
         split = rows.withColumn("_d", far).groupBy(*key).agg(F.max("_d").alias("_d"), F.min_by(point, F.struct(-F.col("_d"), place)).alias("_m")).where(F.col("_d") > epsilon)
         split = staged(split.select(*key, "_m"), "split")
@@ -193,10 +202,10 @@ def shape_points(df: DataFrame, epsilon: float, by: Sequence[str], place: str, c
     return reduce(lambda a, b: a.unionByName(b), kept)
 
 
-def _first_away(lat: np.ndarray, lon: np.ndarray, lats: np.ndarray, lons: np.ndarray, begin: np.ndarray, spacing_nmi: float) -> np.ndarray:
-    """For each point the first of ``lats, lons``, from its ``begin`` on, that is ``spacing_nmi`` or more away; -1 without any."""
+def _first_away(lat: np.ndarray, lon: np.ndarray, lats: np.ndarray, lons: np.ndarray, begin: np.ndarray, end: np.ndarray, spacing_nmi: float) -> np.ndarray:
+    """For each point the first of ``lats, lons``, from its ``begin`` on and before its ``end``, that is ``spacing_nmi`` or more away; -1 without any."""
     found, at = np.full(len(lat), -1), begin.copy()
-    live = np.flatnonzero(at < len(lats))
+    live = np.flatnonzero(at < end)
     while len(live):
         j = at[live]
         h = np.sin((lats[j] - lat[live]) / 2) ** 2 + np.cos(lats[j]) * np.cos(lat[live]) * np.sin((lons[j] - lon[live]) / 2) ** 2
@@ -204,40 +213,70 @@ def _first_away(lat: np.ndarray, lon: np.ndarray, lats: np.ndarray, lons: np.nda
         found[live[away]] = j[away]
         live = live[~away]
         at[live] += 1
-        live = live[at[live] < len(lats)]
+        live = live[at[live] < end[live]]
     return found
 
 
+#: Marks in ``next``: none found yet, and a kept row of a group that a task finished by itself.
+_PENDING, _KEPT = -1, -2
+
+
 def spaced(df: DataFrame, spacing_nmi: float, by: Sequence[str], place: str, block: int = SPACED_ROWS) -> DataFrame:
     """``by`` and ``place`` of the rows kept going along each group: its first, then always the next one ``spacing_nmi`` or more from the last kept.
 
-    Each row points to the first row behind it that is so far away; it is looked for in the row's own block of ``block`` rows, then in the blocks behind it, one
-    a round, by the rows that have not found theirs. The rows kept are the chain of pointers from each group's first row. ``place`` numbers the rows from 0."""
+    Each row points to the first row behind it that is so far away; it is looked for in the row's own block of ``block`` rows, then in the blocks behind it, by the
+    rows that have not found theirs: in one block, then in two, in four and so on, so rounds grow with the logarithm of a group's blocks. The rows kept are the chain of pointers from each group's first row. A group that does not fill its
+    first block is followed to its end where it is searched. ``place`` numbers the rows from 0."""
     rows = staged(df.select(*by, F.col(place).alias("_i"), F.radians("lat").alias("_lat"), F.radians("lon").alias("_lon"), F.floor(F.col(place) / block).alias("_b")), "points")
     kind = dict(rows.dtypes)
     schema = ", ".join(f"`{c}` {kind[c]}" for c in (*by, "_i")) + ", next long, _lat double, _lon double, _b long"
 
-    def search(own: pd.DataFrame) -> pd.DataFrame | None:
-        asked, there = own[own["_asks"]], own[own["_there"]]
-        if not len(asked) or not len(there):
-            return None  # nobody asks, or the group has no block so far behind
-        places = there["_i"].to_numpy()
-        begin = np.searchsorted(places, asked["_i"].to_numpy(), side="right")
-        found = _first_away(asked["_lat"].to_numpy(), asked["_lon"].to_numpy(), there["_lat"].to_numpy(), there["_lon"].to_numpy(), begin, spacing_nmi)
-        return asked.assign(next=np.where(found >= 0, places[found], -1), _b=asked["_b"] + 1)[[*by, "_i", "next", "_lat", "_lon", "_b"]]
-
-    keys, done = [*by, "_b"], []
+    def search(own: pd.DataFrame, first: np.ndarray) -> pd.DataFrame:
+        """Of many groups' blocks at once; rows that ask in a block that their group does not have are left out."""
+        there, size = own["_there"].to_numpy(bool), np.diff(np.append(first, len(own)))
+        upto = np.cumsum(there)  # rows to be searched up to each row, so the number of the first one behind it
+        end = np.repeat(upto[first + size - 1], size)
+        none = np.repeat(upto[first + size - 1] == upto[first] - there[first], size)
+        asks = np.flatnonzero(own["_asks"].to_numpy(bool) & ~none)
+        lat, lon, places = own["_lat"].to_numpy(), own["_lon"].to_numpy(), np.flatnonzero(there)
+        found = _first_away(lat[asks], lon[asks], lat[there], lon[there], upto[asks], end[asks], spacing_nmi)
+        ahead = np.full(len(own), -1)
+        ahead[asks[found >= 0]] = places[found[found >= 0]]  # rows of ``own``
+        pointer = np.where(ahead >= 0, own["_i"].to_numpy()[ahead], _PENDING)
+        whole = first[(own["_b"].to_numpy()[first] == 0) & (size < block) & there[first]]
+        open_ = np.ones(len(own), bool)
+        open_[np.flatnonzero(np.repeat(np.isin(first, whole), size))] = False
+        last = whole
+        while len(last):
+            pointer[last] = _KEPT
+            last = ahead[last]
+            last = last[last >= 0]
+        out = own.assign(next=pointer, _b=own["_b"] + 1)[[*by, "_i", "next", "_lat", "_lon", "_b"]]
+        asking = np.zeros(len(own), bool)
+        asking[asks] = True
+        return out[asking & (open_ | (pointer == _KEPT))]
+
+    keys, done, blocks = [*by, "_b"], [], 1
     both = rows.withColumns({"_asks": F.lit(True), "_there": F.lit(True)})
     while True:
-        found = staged(by_runs(both, keys, ["_i"], search, schema), "away")
-        done.append(found.where("next >= 0").select(*by, "_i", "next"))
-        pending = found.where("next = -1").drop("next")
+        found = by_batches(both, keys, ["_i"], search, schema)
+        if blocks > 1:  # a row has asked in several blocks
+            nearest = F.coalesce(F.min(F.when(F.col("next") >= 0, F.col("next"))), F.lit(_PENDING).cast("long"))
+            found = found.groupBy(*by, "_i").agg(nearest.alias("next"), F.first("_lat").alias("_lat"), F.first("_lon").alias("_lon"), F.max("_b").alias("_b"))
+        done.append(staged(found, "away"))
+        pending = done[-1].where(F.col("next") == _PENDING).drop("next")
         if pending.isEmpty():
             break
+        pending = pending.withColumn("_b", F.explode(F.sequence(F.col("_b"), F.col("_b") + blocks - 1)))
         there = rows.join(pending.select(*keys).distinct(), keys, "left_semi").withColumns({"_asks": F.lit(False), "_there": F.lit(True)})
         both = pending.withColumns({"_asks": F.lit(True), "_there": F.lit(False)}).unionByName(there)
-    pointers = reduce(lambda a, b: a.unionByName(b), done)
-    return chains.chain(pointers, rows.where("_i = 0"), by, "_i").withColumnRenamed("_i", place)
+        blocks *= 2
+    kept = done[0].where(F.col("next") == _KEPT).select(*by, "_i")
+    starts = done[0].where((F.col("_i") == 0) & (F.col("next") != _KEPT))
+    if not starts.isEmpty():
+        pointers = reduce(lambda a, b: a.unionByName(b), [found.where("next >= 0").select(*by, "_i", "next") for found in done])
+        kept = kept.unionByName(chains.chain(pointers, starts, by, "_i"))
+    return kept.withColumnRenamed("_i", place)
 
 
 def simplify(df: DataFrame, epsilon: float = 1e-5, spacing_nmi: float = 0.01, by: Sequence[str] = ("platform", "day"), time: str = "t", row_id: str = "event_id", chord_rows: int = CHORD_ROWS, block: int = SPACED_ROWS) -> DataFrame:

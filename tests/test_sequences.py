@@ -131,3 +131,17 @@ def test_model_means_over_the_days_before(spark):
     near = spark.createDataFrame([("a", 5 * day, 9.0, 9.0)], "p string, t long, x double, y double")
     both = timejoin.with_fallback(spark.createDataFrame([("a", 5 * day + 5, 1), ("a", 30 * day, 2), ("c", 0, 3)], "p string, t long, i long"), near, spark.createDataFrame(model, "p string, t long, x double, y double"), ["p"], ["x", "y"], 10)
     assert {r.i: r.source for r in both.collect()} == {1: "in_situ", 2: "model_mean", 3: "none"}
+
+
+def test_many_short_groups_are_simplified_as_arrays(spark, monkeypatch):
+    """Thousands of groups meet the kernels in a few calls, with no frame for each; the rows are those of the loop."""
+    rng, rows = random.Random(5), []
+    for p in range(1500):
+        rows += [(p, p * 100 + i, i * 1_000_000, rng.uniform(-1, 1), rng.uniform(-1, 1)) for i in range(rng.choice([1, 2, 3, 6, 9]))]
+    want = sorted(e for p in range(1500) for e in kept_by_loop([r for r in rows if r[0] == p], 0.4, 30.0))
+    calls = spark.sparkContext.accumulator(0)
+    split, first_away = track._split_here, track._first_away
+    monkeypatch.setattr(track, "_split_here", lambda *a: (calls.add(1), split(*a))[1])
+    monkeypatch.setattr(track, "_first_away", lambda *a: (calls.add(1), first_away(*a))[1])
+    got = track.simplify(spark.createDataFrame(rows, SCHEMA), 0.4, 30.0, ["platform"])
+    assert sorted(r.event_id for r in got.collect()) == want and 0 < calls.value < 100
