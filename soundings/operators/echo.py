@@ -130,18 +130,44 @@ def subtract_noise(samples: DataFrame, noise: DataFrame, alpha: Column, pings: i
 
 
 def median_3x3(samples: DataFrame, value: str = "sv", name: str = "sv_median") -> DataFrame:
-    """Median of a cell and its eight neighbours; edges are reflected onto the edge cell itself."""
+    """Median of a cell and its eight neighbours; edges are reflected onto the edge cell itself. NULL counts as more than any value.
+
+    Each cell is put in order with its neighbours in the ping; the median of nine is then that of the greatest least, the middle of the middles and the least greatest of three pings."""
     ws, wp = along_samples(), along_pings()
-    side = F.array(F.coalesce(F.lag(value).over(ws), F.col(value)), F.col(value), F.coalesce(F.lead(value).over(ws), F.col(value)))
-    own = samples.withColumn("_col", side)
-    nine = F.concat(F.coalesce(F.lag("_col").over(wp), F.col("_col")), F.col("_col"), F.coalesce(F.lead("_col").over(wp), F.col("_col")))
-    return own.withColumn(name, F.element_at(F.array_sort(nine), 5)).drop("_col")
+    kind = dict(samples.dtypes)[value]
+    if kind not in ("double", "float"):  # no value to stand for NULL that sorts last
+        side = F.array(F.coalesce(F.lag(value).over(ws), F.col(value)), F.col(value), F.coalesce(F.lead(value).over(ws), F.col(value)))
+        own = samples.withColumn("_col", side)
+        nine = F.concat(F.coalesce(F.lag("_col").over(wp), F.col("_col")), F.col("_col"), F.coalesce(F.lead("_col").over(wp), F.col("_col")))
+        return own.withColumn(name, F.element_at(F.array_sort(nine), 5)).drop("_col")
+    nan = F.lit(float("nan")).cast(kind)
+    # As NaN, which is the greatest of all; ``_k`` counts how many are NULL.
+    own = samples.withColumns({"_v": F.coalesce(value, nan), "_k": F.col(value).isNull().cast("int")})
+
+    def beside(c: str, w: WindowSpec) -> tuple[Column, Column, Column]:
+        return F.coalesce(F.lag(c).over(w), F.col(c)), F.col(c), F.coalesce(F.lead(c).over(w), F.col(c))
+
+    def middle(a: Column, b: Column, c: Column) -> Column:
+        return F.greatest(F.least(a, b), F.least(F.greatest(a, b), c))
+
+    own = own.withColumns({f"_v{i}": x for i, x in enumerate(beside("_v", ws))} | {"_k": sum(beside("_k", ws), F.lit(0))})
+    three = [F.col(f"_v{i}") for i in range(3)]
+    own = own.withColumns({"_lo": F.least(*three), "_mid": middle(*three), "_hi": F.greatest(*three)})
+    around = {f"{c}{i}": x for c in ("_lo", "_mid", "_hi", "_k") for i, x in enumerate(beside(c, wp))}
+    own = own.withColumns(around)
+    of = lambda c: [F.col(f"{c}{i}") for i in range(3)]
+    nine = middle(F.greatest(*of("_lo")), middle(*of("_mid")), F.least(*of("_hi")))
+    nulls = of("_k")[0] + of("_k")[1] + of("_k")[2]
+    return own.select(*[c for c in samples.columns if c != name], F.when(nulls < 5, nine).alias(name))
 
 
 def morph(samples: DataFrame, mask: str, name: str, pings: int, depth: int, grow: bool) -> DataFrame:
     """Erosion or dilation (``grow``) of a mask by a rectangle of 2k + 1 cells each way; outside the grid is FALSE."""
 
     def pass_over(df: DataFrame, w: Window, k: int, c: str) -> DataFrame:
+        if k == 0:  # the cell alone; no row has to be put in order for it
+            alone = F.col(c).cast("int") == 1
+            return df.withColumn(name, alone if grow else F.coalesce(alone, F.lit(False)))
         frame = w.rowsBetween(-k, k)
         v = F.max(F.col(c).cast("int")).over(frame) == 1 if grow else (F.min(F.col(c).cast("int")).over(frame) == 1) & (F.count(c).over(frame) == 2 * k + 1)
         return df.withColumn(name, v)
@@ -183,7 +209,8 @@ def box_mean(samples: DataFrame, value: str, name: str, pings: int, depth: int)
     """Mean over 2k + 1 cells each way; beyond the grid stands its edge cell."""
 
     def mean(w: Window, c: str, k: int) -> Column:
-        first, last = F.first(c).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.last(c).over(w.rowsBetween(0, Window.unboundedFollowing))
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # one value for a series: a frame that ends with it is gone through anew by every row
+        first, last = F.first(c).over(whole), F.last(c).over(whole)
         cells = [F.col(c), *[F.coalesce(F.lag(c, i).over(w), first) for i in range(1, k + 1)], *[F.coalesce(F.lead(c, i).over(w), last) for i in range(1, k + 1)]]
         return sum(cells[1:], cells[0]) / (2 * k + 1)
 
@@ -191,23 +218,48 @@ def box_mean(samples: DataFrame, value: str, name: str, pings: int, depth: int)
     return own.withColumn(name, mean(along_pings(), name, pings))
 
 
-def seabed_maximum(samples: DataFrame, low: float, high: float, least_db: float = -40, stop_db: float = -60, offset_m: float = 0) -> DataFrame:
-    """The loudest sample of the median-filtered gate, if loud enough, then up while the linear mean of the five samples above is ``stop_db`` or more."""
+def _maximum_cells(own: DataFrame, low: float, high: float, least_db: float = -40, stop_db: float = -60) -> tuple[DataFrame, Callable[[str], Column], Column]:
+    """Median-filtered samples with the columns that ``seabed_maximum`` needs, and the seabed of a ping: an aggregate and where a sample is a candidate for it."""
+    ping = along_samples().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     above = along_samples().rowsBetween(-5, -1)
-    own = median_3x3(samples)
-    own = own.withColumn("_m", to_db(F.avg(to_linear(F.col("sv_median"))).over(above))).withColumn("_n", F.count("*").over(above))
     gate = F.col("depth").between(low, high) & (F.col("sv_median") >= least_db)
-    peak = F.max_by(F.when(gate, F.col(SAMPLE)), F.when(gate, F.struct("sv_median", -F.col(SAMPLE)))).over(Window.partitionBy("channel", PING))
+    own = own.withColumn("_linear", to_linear(F.col("sv_median")))  # once, not for each of the five rows below
+    own = own.withColumns({"_m": F.avg("_linear").over(above), "_n": F.count("*").over(above), "_most": F.max(F.when(gate, F.col("sv_median"))).over(ping)})
+    own = own.withColumn("_m", to_db(F.col("_m")))
+    peak = F.min(F.when(gate & (F.col("sv_median") == F.col("_most")), F.col(SAMPLE))).over(ping)
     stop = (F.col("_n") < 5) | F.coalesce(F.col("_m") < stop_db, F.lit(True))
-    own = own.withColumn("_peak", peak).where((F.col(SAMPLE) <= F.col("_peak")) & stop)
-    return _raised(own.groupBy("channel", PING).agg(F.max(SAMPLE).alias("seabed")), samples, offset_m)
+    return own.withColumn("_peak", peak), F.max, (F.col(SAMPLE) <= F.col("_peak")) & stop
+
+
+def _gradient_cells(own: DataFrame, low: float, high: float, over_db: float = 20) -> tuple[DataFrame, Callable[[str], Column], Column]:
+    """As ``_maximum_cells``, for ``seabed_gradient``."""
+    own = own.withColumn("_d", F.col("sv_median") - F.lag("sv_median").over(along_samples()))
+    return own, F.min, F.col("depth").between(low, high) & (F.col("_d") > over_db)
+
+
+_CELLS: dict[str, Callable[..., tuple[DataFrame, Callable[[str], Column], Column]]] = {"maximum": _maximum_cells, "gradient": _gradient_cells}
+
+
+def seabed_lines(samples: DataFrame, methods: dict[str, dict], low: float, high: float) -> DataFrame:
+    """``channel``, ping, ``method`` and ``seabed`` by several methods that start from the same median ("maximum", "gradient"), in one pass: samples are filtered and put in order once for all."""
+    own, found = median_3x3(samples), []
+    for name, parameters in methods.items():
+        own, pick, candidate = _CELLS[name](own, low, high, **parameters)
+        own = own.withColumn(name, F.when(candidate, F.col(SAMPLE)))
+        found.append(pick(name).alias(name))
+    lines = own.where(F.coalesce(*methods).isNotNull()).groupBy("channel", PING).agg(*found)
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("method"), F.col(n).alias("seabed")) for n in methods]))
+    return lines.select("channel", PING, each.alias("_e")).select("channel", PING, "_e.*").where("seabed is not null")
+
+
+def seabed_maximum(samples: DataFrame, low: float, high: float, least_db: float = -40, stop_db: float = -60, offset_m: float = 0) -> DataFrame:
+    """The loudest sample of the median-filtered gate, if loud enough, then up while the linear mean of the five samples above is ``stop_db`` or more."""
+    return _raised(seabed_lines(samples, {"maximum": {"least_db": least_db, "stop_db": stop_db}}, low, high).drop("method"), samples, offset_m)
 
 
 def seabed_gradient(samples: DataFrame, low: float, high: float, over_db: float = 20, offset_m: float = 0) -> DataFrame:
     """The first sample of the median-filtered gate that is louder than the one before it by more than ``over_db``."""
-    own = median_3x3(samples)
-    own = own.withColumn("_d", F.col("sv_median") - F.lag("sv_median").over(along_samples()))
-    return _raised(own.where(F.col("depth").between(low, high) & (F.col("_d") > over_db)).groupBy("channel", PING).agg(F.min(SAMPLE).alias("seabed")), samples, offset_m)
+    return _raised(seabed_lines(samples, {"gradient": {"over_db": over_db}}, low, high).drop("method"), samples, offset_m)
 
 
 def seabed_morphological(
@@ -310,10 +362,13 @@ def fill_gaps(samples: DataFrame, mask: str, name: str, vertical: int, horizonta
     """FALSE runs between TRUE cells become TRUE if no longer than given: down each ping first, then along pings."""
 
     def fill(df: DataFrame, keys: Sequence[str], order: str, most: int, c: str) -> DataFrame:
+        if most <= 0:
+            return df.withColumn(name, F.coalesce(c, F.lit(False)))
         w = Window.partitionBy(*keys).orderBy(order)
         here = F.when(F.col(c), F.col(order))
-        before = F.last(here, True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        after = F.first(here, True).over(w.rowsBetween(0, Window.unboundedFollowing))
+        # The ends of a run that is short enough are both within ``most`` cells.
+        before = F.last(here, True).over(w.rangeBetween(-most, 0))
+        after = F.first(here, True).over(w.rangeBetween(0, most))
         return df.withColumn(name, F.coalesce(F.col(c) | (after - before - 1 <= most), F.lit(False)))
 
     return fill(fill(samples, ("channel", PING), SAMPLE, vertical, mask), ("channel", SAMPLE), PING, horizontal, name)

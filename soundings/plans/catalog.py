@@ -171,12 +171,8 @@ def udf03_registered_processor(spark, d):
 
 @query()
 def clu03_methods(spark, d):
-    s = _bed(spark, d)
-    out = None
-    for name, parameters in (("gradient", {"over_db": 20}), ("maximum", {"least_db": -40, "stop_db": -60})):
-        one = echo.seabed(s, name, low=100, high=400, **parameters).select("channel", "ping_idx", F.lit(name).alias("method"), "seabed")
-        out = one if out is None else out.unionByName(one)
-    return out
+    methods = {"gradient": {"over_db": 20}, "maximum": {"least_db": -40, "stop_db": -60}}
+    return echo.seabed_lines(_bed(spark, d), methods, 100, 400).select("channel", "ping_idx", "method", "seabed")
 
 
 @query(f"with {SAMPLES} select channel, (t // 86400000000) as t_bin, count(*) as n from samples where sv is not null group by all having count(sv) > 0")

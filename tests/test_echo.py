@@ -280,3 +280,52 @@ def test_windows_of_samples_need_no_exchange(spark):
     s = standins.samples(spark, "/root/testdata/sf0.001")
     plan = echo.median_3x3(s)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_median_counts_null_as_more_than_any_value(spark):
+    x = np.round(noise(3, 14, 11))
+    x[np.random.default_rng(4).random(x.shape) < 0.4] = np.nan
+    want = np.sort(np.lib.stride_tricks.sliding_window_view(np.pad(x, 1, mode="symmetric"), (3, 3)).reshape(*x.shape, 9), axis=-1)[..., 4]
+    out = echo.median_3x3(cube(spark, x))
+    assert np.array_equal(back(out.withColumn("sv_median", F.coalesce("sv_median", F.lit(float("nan")))), "sv_median", x.shape), want, equal_nan=True)
+    assert out.where("isnan(sv_median)").isEmpty() and out.columns == [*cube(spark, x).columns, "sv_median"]
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_steps_on_samples_make_no_arrays_and_look_no_farther_than_they_must(spark):
+    """A sort of arrays for each sample, and frames that end with the series, took most of the time."""
+    own = cube(spark, noise(pings=3, depth=4)).withColumn("m", F.col("sv") > -70)
+    assert "array" not in plan(echo.median_3x3(own))
+    assert "unboundedfollowing" not in plan(echo.fill_gaps(own, "m", "f", 2, 3))
+    assert "currentrow$(), unboundedfollowing" not in plan(echo.box_mean(own, "sv", "b", 1, 1))
+    assert plan(echo.morph(own, "m", "e", 0, 1, grow=False)).count("windowspecdefinition") == 2
+
+
+@pytest.mark.parametrize(("vertical", "horizontal"), [(0, 0), (2, 0), (0, 3), (3, 2)])
+def test_gaps_are_filled_as_by_a_loop(spark, vertical, horizontal):
+    m = np.random.default_rng(6).random((12, 15)) < 0.35
+    df = cube(spark, np.where(m, 1.0, 0.0)).withColumn("m", F.when(F.col("sv") > 0, True))  # NULL elsewhere
+
+    def fill(rows, most):
+        out = rows.copy()
+        for row, own in zip(rows, out, strict=True):
+            at = np.flatnonzero(row)
+            for a, z in zip(at, at[1:]):
+                own[a:z] |= z - a - 1 <= most
+        return out
+
+    want = fill(fill(m, vertical).T, horizontal).T
+    got = back(echo.fill_gaps(df, "m", "f", vertical, horizontal).withColumn("f", F.col("f").cast("int")), "f", m.shape)
+    assert (got == want).all()
+
+
+def test_methods_that_share_the_median_go_over_the_samples_once(spark):
+    own = cube(spark, _planted()[0])
+    methods = {"gradient": {"over_db": 12}, "maximum": {"least_db": -50, "stop_db": -65}}
+    lines = echo.seabed_lines(own, methods, 10, 55)
+    got = sorted((r["method"], r["ping_idx"], r["seabed"]) for r in lines.collect())
+    assert got == sorted((m, r["ping_idx"], r["seabed"]) for m, p in methods.items() for r in echo.seabed(own, m, low=10, high=55, **p).collect()) and {r[0] for r in got} == set(methods)
+    assert plan(lines).count("logicalrdd") == 1
