@@ -13,10 +13,14 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 #: Bits of a filter for each row at least, bits that a key sets, and bits of a filter at most.
 BITS_EACH, PROBES, MOST_BITS = 10, 4, 1 << 26
 #: Buckets that the whole range of the first key is cut into.
 BUCKETS = 1024
+#: Rows that a file counts for at least, when it is weighed whether to test it.
+LEAST_ROWS = 4096
 #: For rows whose first key is NULL.
 NO_RANGE = -(1 << 62)
 
@@ -89,13 +93,16 @@ def update(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
 
 
 def may_hold(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]) -> list[str]:
-    """The stored files that may hold any key of ``batch``: exact as to leaving out, since ranges and filters miss no key."""
+    """The stored files that may hold any key of ``batch``: exact as to leaving out, since ranges and filters miss no key.
+
+    A file is tested where that costs less than to read it. One whose range holds more keys of the batch, each of which asks for ``PROBES`` rows, than the
+    file has rows is named untested; so a batch never makes more rows than the table has, however many files its keys lie across."""
     files = stored(spark, path)
     have, first = _tables(spark, path), _number(batch, keys[0])
     if have is None or first is None:
         return files
     of = F.col("keys") == ",".join(keys)
-    index, bits = have[0].where(of).select("file", "lo", "hi", "nulls", "bits"), have[1].where(of)
+    index, bits = have[0].where(of).select("file", "lo", "hi", "nulls", "bits", "n_rows"), have[1].where(of)
     lo, hi, known = index.agg(F.min("lo"), F.max("hi"), F.collect_set("file")).first()  # the names of the table's files, as above
     lo, hi = (0.0, 0.0) if lo is None else (lo, hi)
     width = max((hi - lo) / BUCKETS, 1e-9)
@@ -103,12 +110,17 @@ def may_hold(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[st
     spans = F.when(F.col("lo").isNotNull(), F.sequence(bucket(F.col("lo")), bucket(F.col("hi")))).otherwise(F.array().cast("array<long>"))
     spans = F.concat(spans, F.when(F.col("nulls"), F.array(F.lit(NO_RANGE).cast("long"))).otherwise(F.array().cast("array<long>")))
     there = index.withColumn("b", F.explode(spans))
-    asked = batch.select(first.alias("first"), _hash(keys).alias("h")).distinct().withColumn("b", F.when(F.col("first").isNull(), F.lit(NO_RANGE)).otherwise(bucket(F.col("first"))))
-    near = asked.join(there, "b").where(F.col("first").isNull() | F.col("first").between(F.col("lo"), F.col("hi")))
-    probes = near.select("file", "h", F.explode(F.array_distinct(_probes(F.col("h"), F.col("bits")))).alias("place"))
-    probes = probes.withColumn("word", F.floor(F.col("place") / 64))
-    tested = probes.join(bits.select("file", "word", "set"), ["file", "word"], "left")
-    hit = F.coalesce(F.col("set").bitwiseAND(_bit(F.col("place"))) != 0, F.lit(False))
-    found = {_plain(r[0]) for r in tested.groupBy("file", "h").agg(F.bool_and(hit).alias("all")).where("all").select("file").distinct().collect()}
+    own = batch.select(first.alias("first"), _hash(keys).alias("h")).withColumn("b", F.when(F.col("first").isNull(), F.lit(NO_RANGE)).otherwise(bucket(F.col("first"))))
+    load = there.join(own.groupBy("b").agg(F.count("*").alias("asked")), "b").groupBy("file").agg((F.sum("asked") * PROBES > F.greatest(F.max("n_rows"), F.lit(LEAST_ROWS))).alias("untested"))
+    load = staged(load, "load")
+    found = {_plain(r[0]) for r in load.where("untested").select("file").collect()}
+    few = load.where("not untested")
+    if not few.isEmpty():
+        near = own.distinct().join(there.join(few, "file", "left_semi"), "b").where(F.col("first").isNull() | F.col("first").between(F.col("lo"), F.col("hi")))
+        probes = near.select("file", "h", F.explode(F.array_distinct(_probes(F.col("h"), F.col("bits")))).alias("place"))
+        probes = probes.withColumn("word", F.floor(F.col("place") / 64))
+        tested = probes.join(bits.select("file", "word", "set"), ["file", "word"], "left")
+        hit = F.coalesce(F.col("set").bitwiseAND(_bit(F.col("place"))) != 0, F.lit(False))
+        found |= {_plain(r[0]) for r in tested.groupBy("file", "h").agg(F.bool_and(hit).alias("all")).where("all").select("file").distinct().collect()}
     names = {_plain(f) for f in known or ()}
     return [f for f in files if _plain(f) not in names or _plain(f) in found]

@@ -148,6 +148,20 @@ def test_the_index_never_misses(spark, tmp_path):
     assert len(nothing) == len({r.f for r in spark.read.parquet(path).where("i >= 300").select(F.col("_metadata.file_path").alias("f")).collect()})
 
 
+def test_a_batch_over_many_files_makes_no_more_rows_than_they_have(spark, tmp_path, monkeypatch):
+    path, made = str(tmp_path / "t"), []
+    monkeypatch.setattr(keyindex, "LEAST_ROWS", 1)
+    for k in range(8):  # each file spans the whole range
+        spark.range(k, 1600, 8).coalesce(1).write.mode("append").parquet(path)
+    keyindex.update(spark, path, ["id"])
+    own = keyindex._probes
+    monkeypatch.setattr(keyindex, "_probes", lambda h, bits: made.append(1) or own(h, bits))
+    assert len(keyindex.may_hold(spark, path, spark.range(0, 1600, 2), ["id"])) == 8 and not made  # 800 keys in the range of each file of 200 rows
+    assert len(keyindex.may_hold(spark, path, spark.createDataFrame([(8,), (16,)], "id long"), ["id"])) < 8 and made
+    store.upsert(spark, path, spark.range(0, 1700, 2), ["id"], ["id"])
+    assert spark.read.parquet(path).count() == spark.read.parquet(path).distinct().count() == 1650
+
+
 def test_points_are_read_in_either_byte_order():
     raw = [None, b"", b"\x01" * 20, points(pa.array([1.5]), pa.array([-2.5]))[0].as_py(), b"\x00\x00\x00\x00\x01" + np.array([3.5, 4.5], ">f8").tobytes(), b"\x01\x01\x00\x00\x00" + np.array([5.5, 6.5], "<f8").tobytes() + b"more"]
     column = pa.array([b"x" * 30, *raw], pa.binary()).slice(1)
