@@ -53,3 +53,22 @@ def test_large_files_are_hashed_as_streams(spark, tmp_path):
             want.update(part)
     got = {r.name: (r.sha256, r.length) for r in files.content_hashes(spark, str(tmp_path)).collect()}
     assert got == {"large": (want.hexdigest(), (2 << 30) + 12345), "100% a=b": (hashlib.sha256(b"small").hexdigest(), 5)}
+
+
+def test_many_small_files_are_written_whole_without_a_folder_for_each(spark, tmp_path):
+    rows = [(f"{k % 3}/no {k}%.log", i, None if (k, i) == (7, 2) else f"{k},é{i}") for k in range(40) for i in range(k % 9 + 1)]
+    random.Random(1).shuffle(rows)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # files go on from batch to batch
+    try:
+        own = spark.createDataFrame(rows, "file string, i int, value string")
+        assert files.write_text_files(own, f"file://{tmp_path}/logs", "file", ["i"]) == len(rows)
+        assert files.write_text_files(own.where("false"), f"file://{tmp_path}/none", "file", ["i"]) == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    found = {str(f.relative_to(tmp_path / "logs")): f.read_text() for f in (tmp_path / "logs").rglob("*") if f.is_file()}
+    want = {}
+    for name, _, v in sorted(rows, key=lambda r: r[:2]):
+        want[name] = want.get(name, "") + (v or "") + "\n"
+    assert found == want and len(list((tmp_path / "logs").iterdir())) == 3
+    assert {r.name: r.sha256 for r in files.content_hashes(spark, str(tmp_path / "logs")).collect()} == {n.split("/")[-1]: hashlib.sha256(t.encode()).hexdigest() for n, t in want.items()}
