@@ -9,7 +9,7 @@ from ..operators import echo, environment, grid, statistics, track
 from ..session import shared_path
 from ..sources import catalogue, csvs, navigation, providers, store
 from .queries import query, r6
-from .standins import SAMPLES, TRACK, samples, table
+from .standins import EVENTS, SAMPLES, TRACK, samples, table
 from .standins import track as fixes
 
 _ISO = "strftime(make_timestamp({}), '%Y-%m-%dT%H:%M:%SZ')"
@@ -53,12 +53,15 @@ def src16_navigation(spark, d):
 
 @query(f"with {TRACK} select platform::varchar as file_name, t, lat, lon, value as knt from track where event_id % 7 <> 0")
 def src17_json(spark, d):
-    """Records with a list of positions, an array of them in each file; a record without positions gives no row."""
+    """Records with a list of positions, an array of them in each file; a record without positions gives no row.
+
+    Platforms share files, so their number follows the events and not the platforms."""
     path = shared_path(spark, "locations")
     at = F.struct("lat", "lon", F.date_format(F.timestamp_micros("t"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("dt"), F.col("value").alias("knt"))
     own = fixes(spark, d).groupBy("platform", "day").agg(F.collect_list(F.when(F.col("event_id") % 7 != 0, at)).alias("location_data"))
     record = F.struct(F.concat(F.lit("raw/"), F.col("platform").cast("string")).alias("source_path"), F.col("platform").cast("string").alias("file_name"), "location_data")
-    own = own.groupBy("platform").agg(F.to_json(F.collect_list(record)).alias("value")).select("value")
+    n_files = -(-table(spark, d, "events").count() // EVENTS)  # from footers
+    own = own.groupBy(F.pmod(F.xxhash64("platform"), F.lit(max(n_files, 1))).alias("k")).agg(F.to_json(F.collect_list(record)).alias("value")).select("value")
     own.write.option("maxRecordsPerFile", 1).text(path)  # an array is a whole file
     return navigation.read_locations(spark, path).select("file_name", F.unix_micros("dt").alias("t"), "lat", "lon", "knt")
 

@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from soundings.plans import coverage
 from soundings.sources import files, navigation
 
 
@@ -72,3 +73,14 @@ def test_many_small_files_are_written_whole_without_a_folder_for_each(spark, tmp
         want[name] = want.get(name, "") + (v or "") + "\n"
     assert found == want and len(list((tmp_path / "logs").iterdir())) == 3
     assert {r.name: r.sha256 for r in files.content_hashes(spark, str(tmp_path / "logs")).collect()} == {n.split("/")[-1]: hashlib.sha256(t.encode()).hexdigest() for n, t in want.items()}
+
+
+def test_json_files_follow_the_events_not_the_platforms(spark, tmp_path, monkeypatch):
+    own = spark.range(600).selectExpr("id as event_id", "cast(timestamp_seconds(1700000000 + 7 * id) as timestamp_ntz) as ts", "id % 300 as user_id", "'view' as event_type", "id * 0.5D as value", "'{}' as props")
+    own.write.parquet(str(tmp_path / "events.parquet"))
+    seen, read = [], navigation.read_locations
+    monkeypatch.setattr(coverage.navigation, "read_locations", lambda spark, path: seen.append(files.listed(spark, path, "part-*").count()) or read(spark, path))
+    monkeypatch.setattr(coverage, "EVENTS", 100)
+    got = coverage.src17_json(spark, str(tmp_path)).collect()
+    assert 1 < seen[0] <= 6
+    assert sorted((r.file_name, r.t, r.knt) for r in got) == sorted((str(i % 300), (1700000000 + 7 * i) * 1_000_000, i / 2) for i in range(600) if i % 7)
