@@ -10,7 +10,7 @@ from ..operators import echo, grid
 from ..session import shared_path
 from ..sources import csvs, logs
 from .queries import NOISE, SQL, _bed, query, r6
-from .standins import SAMPLES, TRACK, samples, table
+from .standins import EVENTS, SAMPLES, TRACK, samples, table
 from .standins import track as fixes
 
 ALONG = "partition by channel, ping_idx order by sample_idx"
@@ -206,12 +206,13 @@ def src01_csv_directory(spark, d):
 
 @query(f"with {TRACK} select event_id::varchar as event_id, lat::varchar as latitude, (event_id % 4)::varchar as part, (select count(distinct event_id % 4) from track) as n_files from track")
 def src02_geocsv(spark, d):
-    """Files with a block of ``#`` lines, a header, and rows of which some begin with ``#`` too."""
+    """Files with a block of ``#`` lines, a header, and rows of which some begin with ``#`` too; of each part a file for a range of events."""
     path = shared_path(spark, "geocsv")
-    t = fixes(spark, d).select((F.col("event_id") % 4).alias("k"), "event_id", F.concat_ws(",", F.concat(F.when(F.col("event_id") % 5 == 0, "#").otherwise(""), F.col("event_id").cast("string")), F.col("lat").cast("string")).alias("value"))
-    head = t.select("k").distinct().select("k", F.posexplode(F.array(F.lit("# dataset: GeoCSV 2.0"), F.concat(F.lit("# part: "), F.col("k").cast("string")), F.lit("event_id,latitude"))).alias("at", "value"))
-    rows = head.select("k", (F.col("at") - 3).cast("long").alias("at"), "value").unionByName(t.select("k", F.col("event_id").alias("at"), "value"))
-    rows.repartition("k").sortWithinPartitions("k", "at").select("k", "value").write.partitionBy("k").text(path)
+    k, file = (F.col("event_id") % 4).alias("k"), F.concat_ws("-", F.col("event_id") % 4, F.floor(F.col("event_id") / (4 * EVENTS))).alias("f")
+    t = fixes(spark, d).select(k, file, "event_id", F.concat_ws(",", F.concat(F.when(F.col("event_id") % 5 == 0, "#").otherwise(""), F.col("event_id").cast("string")), F.col("lat").cast("string")).alias("value"))
+    head = t.select("k", "f").distinct().select("f", F.posexplode(F.array(F.lit("# dataset: GeoCSV 2.0"), F.concat(F.lit("# part: "), F.col("k").cast("string")), F.lit("event_id,latitude"))).alias("at", "value"))
+    rows = head.select("f", (F.col("at") - 3).cast("long").alias("at"), "value").unionByName(t.select("f", F.col("event_id").alias("at"), "value"))
+    rows.repartition("f").sortWithinPartitions("f", "at").select("f", "value").write.partitionBy("f").text(path)
     data, metadata = csvs.read_geocsv(spark, f"{path}/*")
     n = metadata.where("metadata['dataset'] = 'GeoCSV 2.0'").agg(F.countDistinct(F.element_at("metadata", "part")).alias("n_files"))
     own = data.select(F.regexp_replace("event_id", "^#", "").alias("event_id"), "latitude")

@@ -29,7 +29,7 @@ def read_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = own.groupBy("path", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     blocks = blocks.select("path", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
-    return own.join(blocks, ["path", "block"]).select("path", "file", (F.col("id") + F.col("shift")).alias("line_no"), "line").where("line <> ''")
+    return own.join(blocks.hint("shuffle_hash"), ["path", "block"]).select("path", "file", (F.col("id") + F.col("shift")).alias("line_no"), "line").where("line <> ''")
 
 
 def _names(header: str) -> list[str]:
@@ -48,14 +48,17 @@ class Headed:
 
     def __init__(self, spark: SparkSession, path: str | list[str]) -> None:
         """The header is a file's first line that is not blank and not of a ``#`` block at its top. A record is one line, parsed once to as many
-        cells as the widest header has, and one more for lines with too many fields, which are dropped. Only distinct headers come to the driver."""
+        cells as the widest header has, and one more for lines with too many fields, which are dropped. Only distinct headers come to the driver.
+        A header meets its file's lines block by block, so a large file is no task's own."""
         lines = _numbered(spark, path).where(F.trim("line") != "")
-        first = lines.where((F.col("block") == 0) & ~F.ltrim("line").startswith("#"))
-        heads = first.groupBy("path").agg(F.min_by("line", "id").alias("header"), F.min("id").alias("at"))
+        here = F.when((F.col("block") == 0) & ~F.ltrim("line").startswith("#"), F.struct("id", "line"))
+        blocks = lines.groupBy("path", "block").agg(F.min(here).alias("first"))
+        top = F.first("first").over(Window.partitionBy("path").orderBy("block"))
+        heads = blocks.select("path", "block", top.alias("top")).where("top is not null").select("path", "block", F.col("top.line").alias("header"), F.col("top.id").alias("at"))
         self.spark = spark
-        self.headers = {h: _names(h) for h in sorted(r[0] for r in heads.select("header").distinct().collect())}
+        self.headers = {h: _names(h) for h in sorted(r[0] for r in heads.where("block = 0").select("header").distinct().collect())}
         most = max(map(len, self.headers.values()), default=0)
-        data = lines.join(heads, "path").where((F.col("block") > 0) | (F.col("id") > F.col("at")))
+        data = lines.join(heads.hint("shuffle_hash"), ["path", "block"]).where((F.col("block") > 0) | (F.col("id") > F.col("at")))
         schema = ", ".join(f"c{i} string" for i in range(most + 1))
         self.rows = data.select("file", "header", F.from_csv("line", schema).alias("r")).select("file", "header", F.array(*[blank_to_null(F.col(f"r.c{i}")) for i in range(most + 1)]).alias("cells"))
 
@@ -66,7 +69,7 @@ class Headed:
             return self.spark.createDataFrame([], "platform_id string, _spatial boolean")
         places = [(h, (marks or {}).get(h, False), len(self.headers[h]), [self.headers[h].index(n) if n in self.headers[h] else None for n in names]) for h in headers]
         table = self.spark.createDataFrame(places, "header string, _spatial boolean, _many int, _places array<int>")
-        own = self.rows.join(table, "header").where(F.get("cells", F.col("_many")).isNull())
+        own = self.rows.join(F.broadcast(table), "header").where(F.get("cells", F.col("_many")).isNull())
         kept = [n for n in names if n not in ("file", "platform_id")]
         cells = [F.get("cells", F.get("_places", F.lit(names.index(n)))).alias(n) for n in kept]
         return own.select(*cells, platform_of(F.col("file")).alias("platform_id"), "_spatial")

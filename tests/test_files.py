@@ -6,8 +6,8 @@ import random
 
 import pytest
 
-from soundings.plans import coverage
-from soundings.sources import files, navigation
+from soundings.plans import coverage, definitions
+from soundings.sources import csvs, files, navigation
 
 
 def records(n, seed):
@@ -84,3 +84,31 @@ def test_json_files_follow_the_events_not_the_platforms(spark, tmp_path, monkeyp
     got = coverage.src17_json(spark, str(tmp_path)).collect()
     assert 1 < seen[0] <= 6
     assert sorted((r.file_name, r.t, r.knt) for r in got) == sorted((str(i % 300), (1700000000 + 7 * i) * 1_000_000, i / 2) for i in range(600) if i % 7)
+
+
+def test_parts_of_many_events_are_many_files(spark, tmp_path, monkeypatch):
+    own = spark.range(1000).selectExpr("id as event_id", "cast(timestamp_seconds(1700000000 + 7 * id) as timestamp_ntz) as ts", "id % 30 as user_id", "'view' as event_type", "id * 0.5D as value", "'{}' as props")
+    own.write.parquet(str(tmp_path / "events.parquet"))
+    seen, read = [], csvs.read_geocsv
+    monkeypatch.setattr(definitions.csvs, "read_geocsv", lambda spark, path: seen.append(files.listed(spark, path, "part-*").count()) or read(spark, path))
+    monkeypatch.setattr(definitions, "EVENTS", 25)
+    got = definitions.src02_geocsv(spark, str(tmp_path)).collect()
+    assert seen[0] >= 40
+    assert sorted(map(tuple, got)) == sorted((str(i), r, str(i % 4), 4) for i, r in [(int(g.event_id), g.latitude) for g in got]) and {int(g.event_id) for g in got} == set(range(1000))
+
+
+def test_a_header_meets_its_lines_block_by_block(spark, tmp_path):
+    for k in range(2):
+        (tmp_path / f"sd{k}.csv").write_text("# top: x\n\n" + ("b,a" if k else "a,b") + "\n" + "".join(f"{i},{-i}\n" for i in range(500)))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.autoBroadcastJoinThreshold")}
+    for c, v in zip(before, ("700", "1", "-1"), strict=True):
+        spark.conf.set(c, v)
+    try:
+        found = csvs.Headed(spark, str(tmp_path))
+        plan = found.rows._jdf.queryExecution().executedPlan().toString()
+        got = found.named(list(found.headers)).select("a", "b").collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert sorted((int(r.a), int(r.b)) for r in got) == sorted([(i, -i) for i in range(500)] + [(-i, i) for i in range(500)])
+    assert "ShuffledHashJoin [path#" in plan and ", block#" in plan.split("ShuffledHashJoin [path#")[1].split("]")[0]
