@@ -130,7 +130,9 @@ def _bucket_counts(docs: DataFrame, width: int, text: str) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["b", "n"])
 
     rows = docs.select(F.col(text).alias("text")).mapInArrow(count, "b long, n long").groupBy("b").agg(F.sum("n").alias("n"))
+    rows = staged(rows, "counts")
     got = rows.toArrow()
+    dropped(rows)
     out = np.zeros(1 << BUCKET_BITS, np.int64)
     out[got.column("b").to_numpy()] = got.column("n").to_numpy()
     return out

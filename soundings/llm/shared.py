@@ -71,9 +71,9 @@ def _delete(spark: SparkSession, path: str) -> None:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def staged(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
+def staged(df: DataFrame, name: str, tidy: bool = True) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there,
-    a lost executor loses nothing, and later joins see an unpartitioned scan that AQE can split. With ``tidy`` its shuffle files go with the write."""
+    a lost executor loses nothing, and later joins see an unpartitioned scan that AQE can split. With ``tidy`` its shuffle files go with the write (a setting of Spark 4; others keep them until the driver collects)."""
     path, conf = new_path(df.sparkSession, name), df.sparkSession.conf
     before = conf.get(_CLEANUP, "false")
     conf.set(_CLEANUP, "true" if tidy else before)

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from hashlib import sha256
@@ -14,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from soundings.llm import importance, lexical, packing
-from soundings.llm.shared import new_path
+from soundings.llm.shared import new_path, staged
 
 from .conftest import ODD, SCHEMA
 
@@ -228,3 +229,19 @@ def test_search_over_odd_rows(spark, odd, clashing, empty):
     assert lexical.ranked_search(odd, items.limit(0)).count() == 0
     named = lexical.ranked_search(odd.withColumnRenamed("doc_id", "d").withColumnRenamed("text", "t"), items.withColumn("extra", F.lit(1)), text="t", doc_id="d")
     assert named.count() == len(want)
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        names = disk.getAllFiles()
+        return {n for n in (names.apply(i).getName() for i in range(names.size())) if n.startswith("shuffle_")}
+
+    before = shuffled()
+    out = staged(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("n")), "sums")
+    end = time.time() + 20
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert sorted(map(tuple, out.collect())) == sorted((k, sum(range(k, 1000, 7))) for k in range(7))
