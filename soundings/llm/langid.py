@@ -163,7 +163,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, text: str = "text") ->
         m = shared.value
         names = np.array([*m.languages, UNDETERMINED], object)
         for whole in batches:
-            for batch in slices(whole, text, 1 << 20, inside="row"):
+            for batch in slices(whole, text, 1 << 18, inside="row"):
                 p = m.scores(batch.column("row").field(text))
                 letters = np.asarray(batch.column("letters").to_numpy(zero_copy_only=False), bool)
                 best = np.where(letters, p.argmax(axis=1), len(m.languages))
