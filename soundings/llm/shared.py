@@ -133,7 +133,12 @@ def bit_table(keys: DataFrame, key: str) -> np.ndarray:
 def passes(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Which of the uint64 ``keys`` the bit table lets through."""
     bits = (len(table) * 32).bit_length() - 1
-    mask, out = np.uint64((1 << bits) - 1), np.ones(len(keys), bool)
-    for x in (keys & mask, (keys >> np.uint64(bits)) & mask):
-        out &= (table[(x >> np.uint64(5)).astype(np.int64)] >> (x & np.uint64(31)).astype(np.uint32) & np.uint32(1)).astype(bool)
+    mask = np.uint64((1 << bits) - 1)
+
+    def marked(x: np.ndarray) -> np.ndarray:
+        return (table[(x >> np.uint64(5)).view(np.int64)] >> (x & np.uint64(31)).astype(np.uint32) & np.uint32(1)).view(np.int32) != 0
+
+    out = marked(keys & mask)
+    on = np.flatnonzero(out)  # the others have been settled
+    out[on] = marked((keys[on] >> np.uint64(bits)) & mask)
     return out

@@ -106,6 +106,32 @@ def _find(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, table[at] == values
 
 
+def _starts(table: np.ndarray) -> np.ndarray:
+    """Where the keys of each run of leading bits begin in a sorted table; a run has one or two keys of evenly spread ones."""
+    bits = max(1, len(table).bit_length() - 1)
+    return np.concatenate(([0], np.cumsum(np.bincount((table >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)))).astype(np.int32)
+
+
+def _find_by(values: np.ndarray, table: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_find``, for many values in no order: each begins where its leading bits do, and what some steps don't settle is searched for."""
+    if not len(table):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    last = len(table) - 1
+    at = np.minimum(starts[(values >> np.uint64(64 - (len(starts).bit_length() - 1))).astype(np.int64)], last).astype(np.int64)
+    key = table[at]
+    found, on = key == values, np.flatnonzero((key < values) & (at < last))
+    for _ in range(8):
+        if not len(on):
+            break
+        at[on] += 1
+        key, wanted = table[at[on]], values[on]
+        found[on] = key == wanted
+        on = on[(key < wanted) & (at[on] < last)]
+    if len(on):
+        at[on], found[on] = _find(values[on], table)
+    return at, found
+
+
 def _pieces(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
     """Columns as batches of 2^17 rows, so that no large buffer crosses to the JVM."""
     for at in range(0, len(columns[0]), 1 << 17):
@@ -148,8 +174,12 @@ def next_counts(tokens: DataFrame, level: int, shared: Broadcast) -> DataFrame:
 
         def summed():
             context, symbol = (np.concatenate(x) for x in zip(*held, strict=True))
-            _, first, n = np.unique(_pair(context, symbol), return_index=True, return_counts=True)
-            return _pieces([context[first].view(np.int64), symbol[first].view(np.int64), n], ["context", "symbol", "n"])
+            held.clear()
+            key = _pair(context, symbol)
+            by = np.argsort(key)  # in any order among equals, which np.unique has to keep
+            key = key[by]
+            at = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), key[1:] != key[:-1])))
+            return _pieces([context[by[at]].view(np.int64), symbol[by[at]].view(np.int64), np.diff(np.append(at, len(key)))], ["context", "symbol", "n"])
 
         for whole in batches:
             for batch in slices(whole, "symbols", SLICE):
@@ -164,7 +194,7 @@ def next_counts(tokens: DataFrame, level: int, shared: Broadcast) -> DataFrame:
                 rows += len(use)
                 if rows > ROWS_HELD:
                     yield from summed()
-                    held, rows = [], 0
+                    rows = 0
         if held:
             yield from summed()
 
@@ -324,10 +354,11 @@ def _own_parts(tokens: DataFrame, shared: Broadcast, depth: int, floor: float, b
     Texts go in runs (``chunk``), numbered by ``row`` in each. A text has a row with its sums so far. For each bucket of keys a run has one row: the distinct
     ``keys`` it asks for, sorted and as differences, how ``many`` places ask for each, and the ``rows`` of these, so a key is sent once for a run and not for each text."""
     kind = tokens.schema["doc_id"].dataType.simpleString()
-    none_held = (np.zeros(0, np.uint64), np.zeros(0))
+    none_held = (np.zeros(0, np.uint64), np.zeros(0), np.zeros(3, np.int32))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rare = shared.value
+        held = {name: (table, values, _starts(table)) for name, (table, values) in held.items()}
         chunk, texts, asked, n_asked = TaskContext.get().partitionId() << 32, 0, [], 0
 
         def questions() -> pa.RecordBatch:
@@ -353,10 +384,10 @@ def _own_parts(tokens: DataFrame, shared: Broadcast, depth: int, floor: float, b
                 def add(to, at, keys, name):
                     """Add the values of the keys held; note those to be asked for. True for either."""
                     nonlocal n_asked
-                    table, values = held.get(name, none_held)
-                    i, found = _find(keys, table)
-                    to[at[found]] += values[i[found]]
-                    rest = np.flatnonzero(~found)
+                    table, values, starts = held.get(name, none_held)
+                    i, found = _find_by(keys, table, starts)
+                    own, rest = np.flatnonzero(found), np.flatnonzero(~found)
+                    to[at[own]] += values[i[own]]
                     rest = rest[passes(keys[rest], rare[int(name[1])])]
                     asked.append((texts + doc[at[rest]], keys[rest]))
                     n_asked += len(rest)

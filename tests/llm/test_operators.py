@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from soundings.llm import bpe, decontam, langid, linededup, neardup, quality, sampling, suffixtree, tokens, toxicity, urls, words
-from soundings.llm.shared import new_path
+from soundings.llm.shared import new_path, passes
 
 from .conftest import ODD, SCHEMA
 
@@ -328,6 +328,20 @@ def test_scores_and_counts(spark, odd, empty, clashing):
     assert suffixtree.score_texts(empty.withColumn("learn", F.lit(True))).isEmpty()
 
 
+def test_keys_are_found_by_their_leading_bits():
+    """Unsorted keys are looked up as by binary search, spread evenly or not; the filter lets the same keys through as one that tests both bits of all."""
+    rng = np.random.default_rng(3)
+    asked = rng.integers(0, 2**64, 5000, dtype=np.uint64)
+    for table in (asked[:3000], asked[:1], asked[:0], np.arange(500, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)):
+        table = np.unique(table)
+        values = np.concatenate([asked, table, table + np.uint64(1)])
+        at, found = suffixtree._find_by(values, table, suffixtree._starts(table))
+        assert (found == np.isin(values, table)).all() and (table[at[found]] == values[found]).all()
+    bits = rng.integers(0, 2**32, 64, dtype=np.uint32)
+    both = [bits[x >> 5] >> np.uint32(x & 31) & 1 and bits[y >> 5] >> np.uint32(y & 31) & 1 for x, y in ((k & 2047, k >> 11 & 2047) for k in asked.tolist())]
+    assert (passes(asked, bits) == np.array(both, bool)).all()
+
+
 def test_tree_distributions_add_up_to_one():
     tree = suffixtree.SuffixTree(np.array([1, 2, 3], np.uint64), np.array([50, 30, 20]), float(np.log10(104)), 5)
     context, symbol = np.array([9, 9], np.uint64), np.array([1, 2], np.uint64)
