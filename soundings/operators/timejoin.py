@@ -73,7 +73,7 @@ def interpolated_by_position(left: DataFrame, right: DataFrame, by: Sequence[str
 
 
 def extrapolated(left: DataFrame, right: DataFrame, by: Sequence[str], col: str, time: str = "t", bucket_us: int = DAY_US) -> DataFrame:
-    """As ``interpolated``, but beyond the ends on the line through the two outer fixes."""
+    """As ``interpolated``, but beyond the ends on the line through the two outer fixes; a single fix is held both ways."""
     ref = right.where(F.col(col).isNotNull()).select(*by, time, F.col(col).alias("_v"))
     at = F.struct(F.col(time).alias("t"), "_v")
     ends = ref.groupBy(*by).agg(F.min_by(at, F.struct(time, "_v")).alias("_first"), F.max_by(at, F.struct(time, "_v")).alias("_last"))
@@ -81,10 +81,11 @@ def extrapolated(left: DataFrame, right: DataFrame, by: Sequence[str], col: str,
     second = inner.groupBy(*by).agg(F.min_by(at, F.when(F.col(time) > F.col("_first.t"), F.struct(time, "_v"))).alias("_second"), F.max_by(at, F.when(F.col(time) < F.col("_last.t"), F.struct(time, "_v"))).alias("_inner"))
     own = brackets(left, ref, by, ["_v"], time, None, bucket_us).join(ends, list(by), "left").join(second, list(by), "left")
 
-    def line(p: Column, q: Column) -> Column:
-        return F.coalesce(p["_v"] + (q["_v"] - p["_v"]) * (F.col(time) - p["t"]) / (q["t"] - p["t"]), p["_v"])
+    def line(p: Column, q: Column, end: Column) -> Column:
+        return F.coalesce(p["_v"] + (q["_v"] - p["_v"]) * (F.col(time) - p["t"]) / (q["t"] - p["t"]), end["_v"])
 
-    value = F.when(F.col("before").isNull(), line(F.col("_first"), F.col("_second"))).when(F.col("after").isNull(), line(F.col("_inner"), F.col("_last"))).otherwise(between(F.col(time), F.col("before"), F.col("after")))
+    first, last = F.col("_first"), F.col("_last")
+    value = F.when(F.col("before").isNull(), line(first, F.col("_second"), first)).when(F.col("after").isNull(), line(F.col("_inner"), last, last)).otherwise(between(F.col(time), F.col("before"), F.col("after")))
     return own.withColumn(col, value).drop("before", "after", "_first", "_last", "_second", "_inner")
 
 

@@ -162,3 +162,19 @@ def test_extrapolation_beyond_close_fixes_equals_sql(spark, tmp_path):
     con = duckdb.connect()
     con.sql(f"create view events as select * from read_parquet('{tmp_path}/events.parquet/*.parquet')")
     assert got == sorted(con.sql(queries.SQL["join06_extrapolated"]).fetchall())
+
+
+def test_extrapolation_from_a_single_fix_equals_sql(spark, tmp_path):
+    """Platforms with no, one and two fixes; rows before, at and after them."""
+    duckdb = pytest.importorskip("duckdb")
+    from soundings.plans import queries
+
+    start = dt.datetime(2024, 1, 1)
+    rows = [(10 * u + i, start + dt.timedelta(days=i), u, "view" if 4 <= i < 4 + u else "click", 35.08 + i, "{}") for u in range(3) for i in range(10)]
+    rows += [(30, start + dt.timedelta(days=4), 1, "click", 1.0, "{}")]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    got = sorted(tuple(r) for r in queries.QUERIES["join06_extrapolated"](spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.sql(f"create view events as select * from read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    assert got == sorted(con.sql(queries.SQL["join06_extrapolated"]).fetchall())
+    assert {v for e, v in got if 10 <= e < 20 or e == 30} == {39.08}
