@@ -10,7 +10,7 @@ from ..operators import echo, grid
 from ..session import shared_path
 from ..sources import csvs, logs
 from .queries import NOISE, SQL, _bed, query, r6
-from .standins import EVENTS, SAMPLES, TRACK, samples, table
+from .standins import EVENTS, SAMPLES, TRACK, sample_tasks, samples, table
 from .standins import track as fixes
 
 ALONG = "partition by channel, ping_idx order by sample_idx"
@@ -144,7 +144,8 @@ def set05_denoised(spark, d):
         ("impulse", {"lags": [1]}), ("transient", {"pings": 2, "depth": 2, "over_db": 20, "below_m": 100, "block": 64}),
         ("attenuation", {"low": 100, "high": 300, "half": 5, "below_db": 2}), ("background", {"pings": 10, "ranges": 5, "most_db": -100}),
     ]
-    own = echo.denoise(samples(spark, d), stages, mask_unfeasible=True)
+    own = samples(spark, d).select("channel", "ping_idx", "sample_idx", "depth", "sv")  # the kernel carries what it is given
+    own = echo.denoise(own, stages, mask_unfeasible=True, tasks=sample_tasks(spark, d))
     return own.groupBy("channel").agg(F.sum(F.col("masked").cast("long")).alias("n_masked"), F.count("sv_clean").alias("n_left"))
 
 

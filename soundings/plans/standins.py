@@ -29,14 +29,18 @@ TRACK = """track as (select user_id as platform, event_id, epoch_us(ts) as t, ca
 EVENTS = 16_384
 
 
+def sample_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Into how many tasks ``samples`` are dealt by channel."""
+    return max(spark.sparkContext.defaultParallelism, -(-table(spark, sf_dir, "events").count() // EVENTS))  # from footers
+
+
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fifty echo samples for each event: each platform is a channel, its events are the pings.
 
     Dealt by channel to as many tasks as the events ask for: exchanges are sized before events become samples, and what follows by channel needs no other one."""
     own = track(spark, sf_dir).withColumnRenamed("platform", "channel")
-    tasks = max(spark.sparkContext.defaultParallelism, -(-table(spark, sf_dir, "events").count() // EVENTS))  # from footers
     w = Window.partitionBy("channel").orderBy("t", "event_id")
-    p = own.repartition(tasks, "channel").select("channel", (F.row_number().over(w) - 1).alias("ping_idx"), "t", "day", "event_id")
+    p = own.repartition(sample_tasks(spark, sf_dir), "channel").select("channel", (F.row_number().over(w) - 1).alias("ping_idx"), "t", "day", "event_id")
     s = p.withColumn("sample_idx", F.explode(F.sequence(F.lit(0), F.lit(49))))
     return s.select("*", (F.col("sample_idx") * 10.0).alias("depth"), (-90.0 + (F.col("event_id") * 7 + F.col("sample_idx") * 13) % 60).alias("sv"))
 

@@ -217,6 +217,39 @@ def test_a_failing_stage_is_left_out_and_unfeasible_samples_may_count(spark):
     assert own.where("masked and not (impulse or attenuation)").isEmpty()
 
 
+def test_stages_at_once_equal_one_after_the_other(spark):
+    """With missing pings and samples, missing values, channels without a name and a short one; the kernel runs once and no join moves samples."""
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(-70, 12, (70, 12)))
+    x[rng.random(x.shape) < 0.02] = np.nan
+    own = cube(spark, x, "a", 10.0).where("not (ping_idx between 20 and 24) and (ping_idx + sample_idx) % 29 <> 0")
+    own = own.unionByName(cube(spark, x[:3], None, 10.0)).unionByName(cube(spark, x[:8], "b", 10.0))
+    stages = [
+        ("impulse", {"lags": [1]}), ("transient", {"pings": 2, "depth": 2, "over_db": 20, "below_m": 20, "block": 16}),
+        ("attenuation", {"low": 10, "high": 90, "half": 3, "below_db": 2}), ("background", {"pings": 10, "ranges": 5, "most_db": -75}),
+    ]
+    want, flags = own, F.lit(False)
+    for name, parameters in stages:
+        want = echo.STAGES[name](want, **parameters)
+        for flag in (name, f"{name}_unfeasible"):
+            flags = flags | F.coalesce(flag, F.lit(False)) if flag in want.columns else flags
+    want = want.withColumn("masked", F.col("sv").isNotNull() & flags)
+
+    def rows(df):
+        return sorted((tuple(r) for r in df.select("channel", "ping_idx", "sample_idx", "masked", "transient", "background").collect()), key=lambda r: (str(r[0]), *r[1:3]))
+
+    for tasks in (None, 3):
+        got = echo.denoise(own, stages, mask_unfeasible=True, tasks=tasks)
+        assert set(got.columns) == {*want.columns, "sv_clean"}
+        assert rows(got) == rows(want)
+        assert not [n for n, _ in stages if got.where(n).isEmpty()]
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("FlatMapGroupsInArrow") == 1
+    with pytest.warns(UserWarning, match="'transient' left out"):
+        alone = echo.denoise(own, [("transient", {"nothing": 1}), stages[2]])
+    assert alone.where("attenuation").count() == want.where("attenuation").count()
+
+
 def test_mvbs_is_a_linear_mean(spark):
     x = noise()
     got = {(r["t_bin"], r["depth_bin"]): r["sv"] for r in grid.mvbs(cube(spark, x), 10, 5_000_000).collect()}
