@@ -2,7 +2,9 @@
 
 Sets are the distinct five-word shingles of whole texts, as 64-bit hashes. Sets that are equal form a
 class and only classes are joined. One global order ranks shingles by how often their hash bucket occurs
-in the corpus (a table of fixed size), rarest first, so that passages which many documents share stand last.
+in the corpus, rarest first, so that passages which many documents share stand last. The buckets grow with the corpus up to a
+table of fixed size: where many shingles share one, those that stand in ten or fifty documents are not told from unique ones, and
+their lists put documents that have little in common into large bundles.
 
 With overlap at least ``alpha`` needed, two sets share ``k`` of the first ``n - alpha + k`` shingles of each. Small
 sets are found by the pairs (k = 2) among those, large sets by single shingles (k = 1); the boundary is
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 from .shared import Scratch, dropped, bit_table, passes, row_key, staged
 from .words import mix, shingle_sets, slices, split_words, spread
 
-BUCKET_BITS = 18
+#: Buckets of shingle counts, the least and the most of them, as bits.
+BUCKET_BITS, MOST_BITS = 18, 24
 #: Classes that a task remembers in order not to give them twice; what it gives twice is dropped later.
 SEEN = 1 << 18
 #: Shingles in a block of sets, for bundles of up to eight blocks and for larger ones; and sets in a block of bitmaps.
@@ -116,26 +119,63 @@ def profiles(docs: DataFrame, width: int = 5, text: str = "text", doc_id: str =
     return own.mapInArrow(profile, "_k long, doc_id long, n long, c long, bits binary")
 
 
-def _bucket_counts(docs: DataFrame, width: int, text: str) -> np.ndarray:
-    """How many shingles of the corpus fall in each of a fixed number of hash buckets; each task sums its own first."""
-    shift = np.uint64(64 - BUCKET_BITS)
+def _bucket_bits(shingles: int) -> int:
+    """So many buckets that some sixteen shingles share one, up to a table of 16 MB: the more do, the fewer repeated shingles stand out from the unique ones."""
+    return min(MOST_BITS, max(BUCKET_BITS, (shingles >> 4).bit_length()))
+
+
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes: square roots, in steps of about the spread that chance gives a bucket, and logarithms from 4,096 on."""
+    return np.where(counts < 4096, np.rint(2 * np.sqrt(counts)), np.minimum(255, 128 + np.rint(8 * np.log2(np.maximum(counts, 4096) / 4096)))).astype(np.uint8)
+
+
+#: The count that a level stands for.
+_COUNT = np.array([q * q / 4 if q <= 128 else 4096 * 2 ** ((q - 128) / 8) for q in range(256)]).astype(np.int64)
+
+
+def _bucket_counts(docs: DataFrame, width: int, text: str, bits: int = BUCKET_BITS) -> np.ndarray:
+    """How many shingles of the corpus fall in each of 2^``bits`` hash buckets, as levels; each task sums its own first and gives them by pieces of the table."""
+    shift, piece = np.uint64(64 - bits), 1 << 10
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BUCKET_BITS, np.int64)
+        total = np.zeros(1 << bits, np.int32)
         for whole in batches:
             for _, values, _ in _sets(whole, width):
-                total += np.bincount((values >> shift).astype(np.int64), minlength=1 << BUCKET_BITS)
-        some = np.flatnonzero(total)
-        if len(some):
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["b", "n"])
+                np.add.at(total, (values >> shift).view(np.int64), np.int32(1))
+        rows = total.reshape(-1, piece)
+        for at in range(0, len(rows), 1 << 10):
+            part = rows[at : at + (1 << 10)]
+            most = part.max(axis=1)
+            some = np.flatnonzero(most)
+            if len(some):
+                packed = [part[k].astype(np.uint8 if most[k] < 256 else np.int32).tobytes() for k in some.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(at + some), pa.array(packed, pa.binary())], names=["b", "n"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = -1, np.zeros(piece, np.int64)
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([_levels(total).tobytes()], pa.binary())], names=["b", "n"])
 
-    rows = docs.select(F.col(text).alias("text")).mapInArrow(count, "b long, n long").groupBy("b").agg(F.sum("n").alias("n"))
-    rows = staged(rows, "counts")
+        for batch in batches:
+            for b, n in zip(batch.column("b").to_pylist(), batch.column("n"), strict=True):
+                if b != at:
+                    if at >= 0:
+                        yield out()
+                    at, total = b, np.zeros(piece, np.int64)
+                own = n.as_buffer()
+                total += np.frombuffer(own, np.uint8 if own.size == piece else np.int32)
+        if at >= 0:
+            yield out()
+
+    rows = docs.select(F.col(text).alias("text")).mapInArrow(count, "b long, n binary")
+    rows = staged(rows.repartition("b").sortWithinPartitions("b").mapInArrow(merge, "b long, n binary"), "counts")
     got = rows.toArrow()
     dropped(rows)
-    out = np.zeros(1 << BUCKET_BITS, np.int64)
-    out[got.column("b").to_numpy()] = got.column("n").to_numpy()
-    return out
+    out = np.zeros(((1 << bits) // piece, piece), np.uint8)
+    for b, n in zip(got.column("b").to_pylist(), got.column("n"), strict=True):
+        out[b] = np.frombuffer(n.as_buffer(), np.uint8)
+    return out.reshape(-1)
 
 
 def size_boundary(sizes: dict[int, int], percent: int, scan_cost: float = SCAN_COST) -> int:
@@ -157,12 +197,13 @@ def _signatures(docs: DataFrame, counts: np.ndarray, boundary: int, width: int,
     """``sig``, ``salt``, ``c``, ``n``, ``rest`` (shingles from the place on) and ``single``: a row for every subset or prefix shingle of every class (copies in one task once).
 
     Where the bucket of a signature is so full that its list may be long, the list is dealt out by class over ``salt``."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, (1 << 24) - 1).astype(np.int32))
-    room = int(max(512, 4 * counts.mean()))
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    room = int(max(512, 4 * sum(_COUNT @ np.bincount(part, minlength=256) for part in np.array_split(counts, 1 + (len(counts) >> 16))) / len(counts)))
     least_single = _least(boundary + 1, percent)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen, shift = shared.value, set(), np.uint64(64 - BUCKET_BITS)
+        table, seen = shared.value, set()
+        shift = np.uint64(65 - len(table).bit_length())
         for whole in batches:
             for _, values, at in _sets(whole, width):
                 sig, cls, size, single, full, rest = [], [], [], [], [], []
@@ -178,7 +219,7 @@ def _signatures(docs: DataFrame, counts: np.ndarray, boundary: int, width: int,
                     often = table[(s >> shift).astype(np.int64)]
                     prefix = n - _least(n, percent) + 2
                     order = np.argsort(often, kind="stable")[:prefix]
-                    s, often, rows = s[order], often[order], 0
+                    s, often, rows = s[order], _COUNT[often[order]], 0
                     if n <= boundary:
                         i, j = np.triu_indices(len(s), 1)
                         sig.append(mix(mix(s[i]) + s[j]))
@@ -336,7 +377,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text:
         classes = staged(own.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
         sizes = {r[0]: r[1] for r in classes.groupBy("n").count().collect()}  # as many rows as there are set sizes
         boundary = size_boundary(sizes, percent, scan_cost)
-        counts = _bucket_counts(docs, width, text)
+        counts = _bucket_counts(docs, width, text, _bucket_bits(sum(n * k for n, k in sizes.items())))
         found = staged(_scan_lists(_signatures(docs, counts, boundary, width, percent, text), boundary, percent), "lists")
         maps = classes.select("c", "n", "bits")
         all_pairs = staged(found.where("kind = 0").select("a", "b").distinct(), "pairs")

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, the library it must equal, or held-out accuracy; and its odd cases."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -518,6 +519,37 @@ def test_near_duplicates_odd_rows(spark, odd, empty, clashing):
     assert neardup.jaccard_components(empty).isEmpty()
 
 
+def test_buckets_follow_the_corpus_and_unlike_texts_form_no_long_lists(spark, monkeypatch):
+    """Sixteen texts share one shingle and nothing else. Where very many shingles share a bucket, it may stand in the prefix of them all."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    docs = [(i, " ".join([*(word() for _ in range(60)), *(f"w{i % 25}{k}" for k in range(5)), *(word() for _ in range(60))])) for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(neardup, "BUCKET_BITS", 4)
+    found, lists = neardup._open_members, []
+
+    def members(long, label, percent):
+        lists.append(long.count())
+        return found(long, label, percent)
+
+    monkeypatch.setattr(neardup, "_open_members", members)
+    assert {tuple(r) for r in neardup.jaccard_components(df).select("doc_id", "component_id").collect()} == {(i, i) for i in range(400)}
+    assert lists == [0]
+
+
+def test_bucket_counts_are_sums_over_all_tasks(spark):
+    docs = [(i, " ".join(f"w{(i * k) % 37}" for k in range(1 + i % 50))) for i in range(300)] + [(1000 + i, "one two three four five") for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    want = np.zeros(1 << 16, np.int64)
+    for text in (t for _, t in docs):
+        values, _ = words.shingle_sets(words.split_words(pa.array([text])), 5)
+        np.add.at(want, (values >> np.uint64(48)).astype(np.int64), 1)
+    assert (neardup._bucket_counts(df, 5, "text", 16) == neardup._levels(want)).all() and want.max() >= 300
+    counts = np.unique(np.concatenate((np.arange(70_000), 2 ** np.arange(12, 28))))
+    level = neardup._levels(counts).astype(int)
+    assert (np.diff(level) >= 0).all() and (np.abs(neardup._COUNT[level] - counts) <= np.maximum(1.2 * np.sqrt(counts) / 2 + 1, counts * 0.05)).all()
+
+
 def test_bitmaps_never_hide_a_similar_pair():
     rng = np.random.default_rng(9)
     for _ in range(300):
