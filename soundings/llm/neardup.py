@@ -345,24 +345,24 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
             return label.select("c", "comp")
 
 
-def _set_table(docs: DataFrame, keys: DataFrame, width: int, text: str) -> DataFrame:
-    """``c``, ``s``: sorted shingle hashes of the classes in ``keys``. Texts are hashed where they lie; a bit table of fixed
-    size stops most other sets there, and a join the rest."""
-    shared = docs.sparkSession.sparkContext.broadcast(bit_table(keys, "c"))
+def _set_table(docs: DataFrame, keys: DataFrame, width: int, text: str, doc_id: str) -> DataFrame:
+    """``c``, ``s``: sorted shingle hashes of the classes in ``keys``, which have ``k``, the key of one row of the class. Texts are hashed where they lie;
+    a bit table of fixed size stops most others before that, and a join the rest."""
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(keys, "k"))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = set()
-        for whole in batches:
+        for all_ in batches:
+            whole = all_.filter(pa.array(passes(all_.column("_k").to_numpy().view(np.uint64), shared.value)))
             for _, values, at in _sets(whole, width):
                 c = _classes(values, at)
-                use = np.flatnonzero(np.diff(at) > 0)
-                use = [i for i in use[passes(c[use], shared.value)].tolist() if c[i] not in done]
+                use = [i for i in np.flatnonzero(np.diff(at) > 0).tolist() if c[i] not in done]
                 if len(done) < SEEN:
                     done.update(c[use].tolist())
                 yield pa.RecordBatch.from_arrays([pa.array(c[use].view(np.int64)), pa.array([values[at[i] : at[i + 1]].tobytes() for i in use], pa.binary())], names=["c", "s"])
 
-    own = docs.select(F.col(text).alias("text")).mapInArrow(collect, "c long, s binary")
-    return own.join(keys, "c", "left_semi").dropDuplicates(["c"])
+    own = docs.select(row_key(doc_id, text).alias("_k"), F.col(text).alias("text")).mapInArrow(collect, "c long, s binary")
+    return own.join(keys.select("c"), "c", "left_semi").dropDuplicates(["c"])
 
 
 def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text: str = "text", doc_id: str = "doc_id", scan_cost: float = SCAN_COST) -> DataFrame:
@@ -374,12 +374,12 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text:
     another is there. Repeated rows are each returned. Sets are told apart by 64-bit hashes."""
     with Scratch() as scratch:
         own = staged(profiles(docs, width, text, doc_id), "profiles")
-        classes = staged(own.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
+        classes = staged(own.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("_k").alias("k")), "classes")
         sizes = {r[0]: r[1] for r in classes.groupBy("n").count().collect()}  # as many rows as there are set sizes
         boundary = size_boundary(sizes, percent, scan_cost)
         counts = _bucket_counts(docs, width, text, _bucket_bits(sum(n * k for n, k in sizes.items())))
         found = staged(_scan_lists(_signatures(docs, counts, boundary, width, percent, text), boundary, percent), "lists")
-        maps = classes.select("c", "n", "bits")
+        maps, row_of = classes.select("c", "n", "bits"), classes.select("c", "k")
         all_pairs = staged(found.where("kind = 0").select("a", "b").distinct(), "pairs")
         long = staged(found.where("kind = 1").select("sig", F.col("b").alias("c"), "n", "rest").distinct(), "long")
         dropped(found)
@@ -387,8 +387,8 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text:
         dropped(all_pairs)
         ends = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
         nodes = staged(ends.unionByName(long.select("c")).distinct(), "nodes")
-        ends = staged(ends, "ends")
-        sets = staged(_set_table(docs, ends, width, text), "sets")
+        ends = staged(ends.join(row_of, "c"), "ends")
+        sets = staged(_set_table(docs, ends, width, text, doc_id), "sets")
         links = _similar(pairs, sets, percent).where(100 * F.col("inter") >= percent * F.col("total")).select("a", "b")
         links = staged(links, "links")
         dropped(pairs, ends, sets)
@@ -400,9 +400,10 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, text:
             # Bitmaps first, and whole sets of the members that they leave a partner. Links found now join components, so components are the nodes.
             bundles, members = members, staged(_with_partner(members, maps, percent), "partnered")
             dropped(bundles)
-            sets = staged(_set_table(docs, staged(members.select("c").distinct(), "need"), width, text), "sets")
+            need = staged(members.select("c").distinct().join(row_of, "c"), "need")
+            sets = staged(_set_table(docs, need, width, text, doc_id), "sets")
             more = staged(_joined(members, sets, percent), "joined")
-            dropped(members, sets)
+            dropped(members, need, sets)
             again = components(more, more.select(F.col("a").alias("c")).unionByName(more.select(F.col("b").alias("c"))).distinct())
             label = label.join(again.toDF("comp", "far"), "comp", "left").select("c", F.coalesce("far", "comp").alias("comp"))
         # Names: the least document id of the classes of a component.
